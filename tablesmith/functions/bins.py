@@ -36,7 +36,9 @@ def hist_edges(lo: float, hi: float, n: int) -> list[float]:
 def hist_bucket(x: Column, lo: float, hi: float, n: int) -> Column:
     lo, hi = hist_range(lo, hi)
     raw = F.floor((x - F.lit(lo)) * F.lit(float(n)) / F.lit(hi - lo))
-    return F.least(F.lit(n - 1).cast("long"), raw).cast("long")
+    # least() skips NULL, so a missing x must be kept missing explicitly.
+    return F.when(x.isNull(), F.lit(None).cast("long")).otherwise(
+        F.least(F.lit(n - 1).cast("long"), raw).cast("long"))
 
 
 def interior_edges(lo: float, hi: float, n: int) -> list[float]:
@@ -82,7 +84,8 @@ def trend_midpoints(lo: float, hi: float, n: int) -> list[float]:
 
 def sql_hist_bucket(x: str, lo: str, hi: str, n: int) -> str:
     """``lo``/``hi`` are SQL expressions already widened for constants."""
-    return f"CAST(LEAST({n - 1}, FLOOR(({x} - {lo}) * {float(n)} / ({hi} - {lo}))) AS BIGINT)"
+    return (f"CASE WHEN {x} IS NULL THEN NULL ELSE "
+            f"CAST(LEAST({n - 1}, FLOOR(({x} - {lo}) * {float(n)} / ({hi} - {lo}))) AS BIGINT) END")
 
 
 def sql_trend_bucket(x: str, lo: str, hi: str, n: int) -> str:

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from tablesmith.plans import q_experiment
+from tablesmith.plans import q_clean, q_experiment
 
-_MODULES = [q_experiment]
+_MODULES = [q_experiment, q_clean]
 
 
 def all_queries() -> dict:
