@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from tablesmith.plans import q_clean, q_experiment
+from tablesmith.plans import q_clean, q_experiment, q_explore
 
-_MODULES = [q_experiment, q_clean]
+_MODULES = [q_experiment, q_clean, q_explore]
 
 
 def all_queries() -> dict:
