@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from tablesmith.plans import q_clean, q_experiment, q_explore
+from tablesmith.plans import q_clean, q_experiment, q_explore, q_flow
 
-_MODULES = [q_experiment, q_clean, q_explore]
+_MODULES = [q_experiment, q_clean, q_explore, q_flow]
 
 
 def all_queries() -> dict:
