@@ -26,7 +26,8 @@ def _leaf(column: str, op: str, value) -> Column:
     if op in ("==", "="):
         return c == F.lit(value)
     if op == "!=":
-        return ~c.eqNullSafe(F.lit(value))
+        # spelled so the scan can take it: NOT (x = v) OR x IS NULL
+        return (c != F.lit(value)) | c.isNull()
     if op == ">":
         return c > F.lit(value)
     if op == ">=":
@@ -38,7 +39,7 @@ def _leaf(column: str, op: str, value) -> Column:
     if op == "in":
         return c.isin(list(value))
     if op == "not in":
-        return ~F.coalesce(c.isin(list(value)), F.lit(False))
+        return (~c.isin(list(value))) | c.isNull()
     if op == "between":
         lo, hi = value
         return (c > F.lit(lo)) & (c < F.lit(hi))
@@ -51,7 +52,9 @@ def condition(spec) -> Column:
     ``lo < x < hi`` is ``(x, "between", (lo, hi))``."""
     head = spec[0]
     if isinstance(head, str) and head.lower() == "not" and len(spec) == 2:
-        return ~F.coalesce(condition(spec[1]), F.lit(False))
+        inner = condition(spec[1])
+        # true when the inner test is false or unknown
+        return (~inner) | inner.isNull()
     if isinstance(head, str) and head.lower() in ("and", "or") and len(spec) == 2:
         parts = [condition(s) for s in spec[1]]
         if not parts:
@@ -75,7 +78,9 @@ def _columns_of(spec) -> list[str]:
 
 def filter_rows(df: DataFrame, spec) -> DataFrame:
     validate_columns(df, _columns_of(spec))
-    return df.filter(F.coalesce(condition(spec), F.lit(False)))
+    # a NULL predicate drops the row, as false does; no wrapper, so the
+    # predicate stays translatable into the scan's pushed filters
+    return df.filter(condition(spec))
 
 
 def filter_expression(df: DataFrame, text: str) -> DataFrame:

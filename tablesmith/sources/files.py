@@ -20,8 +20,13 @@ def nan_to_null(df: DataFrame) -> DataFrame:
     return df.select(*cols) if changed else df
 
 
-def read_parquet(spark: SparkSession, path: str) -> DataFrame:
-    return nan_to_null(spark.read.parquet(path))
+def read_parquet(spark: SparkSession, path: str, nan_as_null: bool = True) -> DataFrame:
+    """Parquet scan. ``nan_as_null`` rewrites float columns with ``nanvl``;
+    a predicate on a rewritten column can no longer be pushed into the scan,
+    so pass False for sources known to hold no NaN (other columns always
+    keep pushdown)."""
+    df = spark.read.parquet(path)
+    return nan_to_null(df) if nan_as_null else df
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None,
