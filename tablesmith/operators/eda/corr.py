@@ -95,6 +95,9 @@ def _tau_b(pdf: pd.DataFrame) -> pd.DataFrame:
     """Weighted tau-b over distinct (x, y) with counts ``w``: concordant minus
     discordant by a Fenwick tree over y ranks, x groups in order."""
     pair = int(pdf["pair"].iloc[0])
+    # tau is symmetric: loop over the side with fewer distinct values
+    if pdf["x"].nunique() > pdf["y"].nunique():
+        pdf = pdf.rename(columns={"x": "y", "y": "x"})
     pdf = pdf.sort_values(["x", "y"])
     x = pdf["x"].to_numpy()
     y = pdf["y"].to_numpy()
