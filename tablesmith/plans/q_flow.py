@@ -142,3 +142,32 @@ def q_stream_sessions(spark, sf):
 def q_stream_dedupe(spark, sf):
     src = streaming.activity_stream(spark, f"{sf.rstrip('/')}/events*.parquet")
     return streaming.run_to_table(streaming.dedupe_events(src), "stream_dedupe")
+
+
+@query("stream_arm_stats")
+def q_stream_arm_stats(spark, sf):
+    """L4: running per-arm n, mean and variance of the apply rate over the
+    sessions a stream closes, merged in ``foreachBatch``."""
+    ev = streaming.event_log_stream(spark, f"{sf.rstrip('/')}/events*.parquet")
+    acc = streaming.RunningArmStats("apply_rate")
+    w = streaming.session_metrics_windowed(ev).writeStream.foreachBatch(acc).trigger(availableNow=True)
+    loc = streaming.checkpoint_location(spark, "arm_stats")
+    if loc:
+        w = w.option("checkpointLocation", loc)
+    w.start().awaitTermination()
+    return spark.createDataFrame(acc.as_rows(), "ab_group string, n long, mean double, var double")
+
+
+@query("two_column_dispatch")
+def q_two_columns(spark, sf):
+    from tablesmith.operators.eda.dispatch import two_columns
+    return round_doubles(two_columns(gappy_lineitem(spark, sf), "l_returnflag", "l_extendedprice", kind="box"))
+
+
+SQL["two_column_dispatch"] = sql_round("WITH " + GL + """
+SELECT l_returnflag AS "group", CAST(count(l_extendedprice) AS BIGINT) AS count,
+       avg(l_extendedprice) AS mean, stddev_samp(l_extendedprice) AS std, min(l_extendedprice) AS min,
+       quantile_cont(l_extendedprice, 0.25) AS q1, quantile_cont(l_extendedprice, 0.5) AS median,
+       quantile_cont(l_extendedprice, 0.75) AS q3, max(l_extendedprice) AS max
+FROM g WHERE l_extendedprice IS NOT NULL AND l_returnflag IS NOT NULL GROUP BY 1""",
+                                       ["mean", "std", "min", "q1", "median", "q3", "max"])

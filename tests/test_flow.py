@@ -141,3 +141,13 @@ def test_filter_pushes_down_without_python(spark):
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
     pruned = df.select("l_quantity")._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<l_quantity:double>" in pruned
+
+
+def test_two_column_dispatch(spark):
+    from tablesmith.operators.eda.dispatch import two_columns
+    df = gappy_lineitem(spark, SF_SMALL)
+    assert "hue_value" not in two_columns(df, "l_returnflag", "l_quantity").columns   # swapped to box
+    assert set(two_columns(df, "l_returnflag", "l_linestatus").columns) == {"x_value", "y_value", "n"}
+    assert "bx" in two_columns(df, "l_quantity", "l_discount").columns
+    with pytest.raises(ValueError):
+        two_columns(df, "l_shipdate", "l_quantity")
