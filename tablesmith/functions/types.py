@@ -62,3 +62,13 @@ def require_categorical(df: DataFrame, columns) -> None:
 def resolve_columns(df: DataFrame, columns) -> list[str]:
     """``None`` or empty means every column."""
     return list(columns) if columns else list(df.columns)
+
+
+def quantiles(col, probs, approx: bool = False, accuracy: int = 100_000):
+    """Exact (linear interpolation, a value->count map per group) or
+    approximate (bounded sketch per group) quantiles as one array column."""
+    from pyspark.sql import functions as F
+
+    if approx:
+        return F.percentile_approx(col, list(probs), accuracy)
+    return F.percentile(col, F.array(*[F.lit(float(p)) for p in probs]))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablesmith.functions.types import require_categorical, require_numeric
+from tablesmith.functions.types import quantiles, require_categorical, require_numeric
 
 MISSING = "<<MISSING>>"
 
@@ -15,7 +15,8 @@ def label_missing(c: Column) -> Column:
     return F.coalesce(c.cast("string"), F.lit(MISSING))
 
 
-def group_box_stats(df: DataFrame, value: str, by: str, hue: str | None = None) -> DataFrame:
+def group_box_stats(df: DataFrame, value: str, by: str, hue: str | None = None,
+                    approx: bool = False) -> DataFrame:
     """Count, mean, sd, min, quartiles (linear interpolation), max of
     ``value`` per ``by`` (and ``hue``). Rows missing ``value`` or ``by`` are
     dropped; a missing hue is kept as its own group. Exact percentiles hold a
@@ -26,7 +27,7 @@ def group_box_stats(df: DataFrame, value: str, by: str, hue: str | None = None)
     if hue and hue != by:
         keys.append(F.col(hue).cast("string").alias("hue_value"))
     v = F.col(value).cast("double")
-    q = F.percentile(v, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
+    q = quantiles(v, [0.25, 0.5, 0.75], approx)
     g = (df.filter(F.col(value).isNotNull() & F.col(by).isNotNull())
          .groupBy(*keys)
          .agg(F.count(v).alias("count"), F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"),

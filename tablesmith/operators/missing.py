@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablesmith.functions.types import is_numeric_type, resolve_columns, validate_columns
+from tablesmith.functions.types import is_numeric_type, quantiles, resolve_columns, validate_columns
 
 
 def _q(c: str) -> str:
@@ -33,7 +33,7 @@ def dropna_cols(df: DataFrame, columns=None) -> DataFrame:
     return df.drop(*to_drop)
 
 
-def _fit(df: DataFrame, cols: list[str], how: str) -> dict:
+def _fit(df: DataFrame, cols: list[str], how: str, approx: bool = False) -> dict:
     if not cols:
         return {}
     aggs = []
@@ -42,7 +42,7 @@ def _fit(df: DataFrame, cols: list[str], how: str) -> dict:
         if how == "mean":
             aggs.append(F.avg(col).alias(f"v{i}"))
         elif how == "median":
-            aggs.append(F.median(col).alias(f"v{i}"))
+            aggs.append(quantiles(col.cast("double"), [0.5], approx)[0].alias(f"v{i}"))
         else:
             aggs.append(F.mode(col, True).alias(f"v{i}"))
     row = df.agg(*aggs).first()
@@ -66,11 +66,12 @@ def fill_mean(df: DataFrame, columns=None) -> DataFrame:
     return _apply(df, _fit(df, cols, "mean"))
 
 
-def fill_median(df: DataFrame, columns=None) -> DataFrame:
-    """M4: exact median (linear interpolation)."""
+def fill_median(df: DataFrame, columns=None, approx: bool = False) -> DataFrame:
+    """M4: exact median (linear interpolation); ``approx`` uses a bounded
+    sketch for columns with very many distinct values."""
     cols = [c for c in resolve_columns(df, columns)
             if c in df.columns and is_numeric_type(df.schema[c].dataType)]
-    return _apply(df, _fit(df, cols, "median"))
+    return _apply(df, _fit(df, cols, "median", approx))
 
 
 def fill_mode(df: DataFrame, columns=None) -> DataFrame:

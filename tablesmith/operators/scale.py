@@ -10,10 +10,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablesmith.functions.types import require_numeric
+from tablesmith.functions.types import quantiles, require_numeric
 
 
-def fit_scaler(df: DataFrame, columns, method: str = "standard") -> dict:
+def fit_scaler(df: DataFrame, columns, method: str = "standard", approx: bool = False) -> dict:
     columns = list(columns)
     require_numeric(df, columns)
     aggs = [F.count(F.col(f"`{c}`")).alias(f"n{i}") for i, c in enumerate(columns)]
@@ -24,7 +24,7 @@ def fit_scaler(df: DataFrame, columns, method: str = "standard") -> dict:
         elif method == "minmax":
             aggs += [F.min(v).alias(f"a{i}"), F.max(v).alias(f"b{i}")]
         elif method == "robust":
-            aggs += [F.percentile(v, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias(f"a{i}")]
+            aggs += [quantiles(v, [0.25, 0.5, 0.75], approx).alias(f"a{i}")]
         else:
             raise ValueError(f"Unknown method: {method}. Choose from ['standard', 'minmax', 'robust']")
     row = df.agg(*aggs).first()
@@ -44,8 +44,8 @@ def fit_scaler(df: DataFrame, columns, method: str = "standard") -> dict:
     return params
 
 
-def scale_columns(df: DataFrame, columns, method: str = "standard") -> DataFrame:
-    params = fit_scaler(df, columns, method)
+def scale_columns(df: DataFrame, columns, method: str = "standard", approx: bool = False) -> DataFrame:
+    params = fit_scaler(df, columns, method, approx)
     out = []
     for f in df.schema.fields:
         if f.name in params:

@@ -125,3 +125,13 @@ def test_expression_refuses_aggregates_and_reflect(spark):
         features.expression_feature(df, "reflect('java.lang.System', 'exit', 0)", "m")
     out, _ = features.expression_feature(df, "floor(try_divide(x, 2))", "h")
     assert [r["h"] for r in out.orderBy("x").collect()] == [0, 1]
+
+
+def test_approx_quantiles_close_to_exact(spark):
+    from tablesmith.operators import outliers
+    df = spark.range(10_000).select((F.col("id") % 997).cast("double").alias("x"))
+    exact = outliers.iqr_bounds(df, "x")
+    approx = outliers.iqr_bounds(df, "x", approx=True)
+    assert abs(exact["q1"] - approx["q1"]) <= 2 and abs(exact["q3"] - approx["q3"]) <= 2
+    filled = missing.fill_median(spark.createDataFrame([(1.0,), (None,), (3.0,)], "x double"), approx=True)
+    assert filled.filter(F.col("x").isNull()).count() == 0
