@@ -4,18 +4,43 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tablesmith.llm import cascade
+from tablesmith.llm import bpe, cascade, langid, packing, secret_scan, tiling
 
 
-def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def op4_bpe_encode_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.encode_documents(_table(spark, sf_dir, "documents"), digest=True)
+
+
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.report(_table(spark, sf_dir, "documents"))
+
+
+def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.digest(secret_scan.scan(_table(spark, sf_dir, "documents")))
+
+
+def op8_pack_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(_table(spark, sf_dir, "documents"))
+
+
+def op9_benchmark_tiling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tiling.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
 def op10_quality_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cascade.quality_report(_documents(spark, sf_dir))
+    return cascade.quality_report(_table(spark, sf_dir, "documents"))
 
 
 Q = {
+    "op4_bpe_encode_decode": op4_bpe_encode_decode,
+    "op5_language_id": op5_language_id,
+    "op6_secret_scan": op6_secret_scan,
+    "op8_pack_token_ids": op8_pack_token_ids,
+    "op9_benchmark_tiling": op9_benchmark_tiling,
     "op10_quality_cascade": op10_quality_cascade,
 }
 SQL = {

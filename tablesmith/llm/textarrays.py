@@ -70,14 +70,15 @@ def slices(batch: pa.RecordBatch, text_col: str, limit: int = SLICE_BYTES) -> It
         i = j
 
 
-def word_spans(data: np.ndarray, offsets: np.ndarray, lower: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(bytes, starts, ends, row of each word); words never cross rows."""
+def word_spans(data: np.ndarray, offsets: np.ndarray, lower: bool = True,
+               separators: np.ndarray = _SEPARATOR) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(bytes, starts, ends, row of each word); words never cross rows. ``separators`` has a flag for each byte."""
     b = _LOWER[data] if lower else data
     n = len(b)
     empty = np.zeros(0, dtype=np.int64)
     if not n:
         return b, empty, empty, empty
-    sep = _SEPARATOR[b]
+    sep = separators[b]
     before = np.empty(n, dtype=bool)
     before[0] = True
     before[1:] = sep[:-1]
@@ -95,11 +96,19 @@ def word_spans(data: np.ndarray, offsets: np.ndarray, lower: bool = True) -> tup
 
 def span_hashes(b: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """64-bit hash of each span of bytes, from prefix sums: equal bytes give equal hashes wherever they stand."""
-    up, down = _power_tables(len(b) + 1)
+    return hashes_between(prefix_sums(b), starts, ends)
+
+
+def prefix_sums(b: np.ndarray) -> np.ndarray:
+    """What ``hashes_between`` needs of some bytes."""
     sums = np.empty(len(b) + 1, dtype=np.uint64)
     sums[0] = 0
-    np.cumsum(_BYTE_CODE[b] * up[: len(b)], out=sums[1:])
-    return mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+    np.cumsum(_BYTE_CODE[b] * _power_tables(len(b) + 1)[0][: len(b)], out=sums[1:])
+    return sums
+
+
+def hashes_between(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    return mix((sums[ends] - sums[starts]) * _power_tables(len(sums))[1][starts] + (ends - starts).astype(np.uint64))
 
 
 def word_hashes(data: np.ndarray, offsets: np.ndarray, lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
