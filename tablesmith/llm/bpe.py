@@ -238,9 +238,11 @@ def read_spec(path: str | None = None) -> str:
 
 
 def encode_documents(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", vocabulary: str | None = None,
-                     memory: int = MEMORY, digest: bool = False) -> DataFrame:
+                     memory: int = MEMORY, digest: bool = False, check: bool = False) -> DataFrame:
     """One row per input row: doc_id and ids, or with ``digest`` the contract's count and hashes.
 
+    With ``check`` a column ``round_trip`` says whether the ids decode to the text.
+
     A null or empty text has no ids. Null and repeated ids and rows stay as
     they are. Empty table: no rows. A text is encoded whole, however long; a
     task holds one text's ids at a time. Only the two named columns are read.
@@ -252,14 +254,15 @@ def encode_documents(docs: DataFrame, text_col: str = "text", id_col: str = "doc
     if digest:
         schema = f"doc_id {id_type}, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
     else:
-        schema = f"doc_id {id_type}, ids array<int>"
+        schema = f"doc_id {id_type}, ids array<int>" + ", round_trip boolean" * check
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = loaded(spec.value, memory)
         for batch in batches:
             for lo in range(0, batch.num_rows, 512):
                 part = batch.slice(lo, 512)
-                rows = [v.encode(t or "") for t in part.column(1).to_pylist()]
+                texts = [t or "" for t in part.column(1).to_pylist()]
+                rows = [v.encode(t) for t in texts]
                 cols = [part.column(0)]
                 if digest:
                     cols += [pa.array([len(r) for r in rows], pa.int64()),
@@ -269,6 +272,9 @@ def encode_documents(docs: DataFrame, text_col: str = "text", id_col: str = "doc
                 else:
                     cols.append(pa.array(rows, pa.list_(pa.int32())))
                     names = ["doc_id", "ids"]
+                    if check:
+                        cols.append(pa.array([v.decode(r) == t for r, t in zip(rows, texts, strict=True)], pa.bool_()))
+                        names.append("round_trip")
                 yield pa.RecordBatch.from_arrays(cols, names)
 
     return d.mapInArrow(run, schema)

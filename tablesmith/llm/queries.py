@@ -4,13 +4,25 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tablesmith.llm import bpe, cascade, langid, packing, secret_scan, tiling
+from tablesmith.llm import bpe, cascade, hmm, jaccard, langid, packing, paragraphs, quality, secret_scan, tiling
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_paragraph_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return paragraphs.repeated(_table(spark, sf_dir, "documents"))
+
+
+def op2_attention_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.classes(_table(spark, sf_dir, "documents"))
+
+
 def op4_bpe_encode_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_documents(_table(spark, sf_dir, "documents"), digest=True)
 
@@ -23,6 +35,10 @@ def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digest(secret_scan.scan(_table(spark, sf_dir, "documents")))
 
 
+def op7_hidden_markov_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hmm.score_texts(_table(spark, sf_dir, "documents"))
+
+
 def op8_pack_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_table(spark, sf_dir, "documents"))
 
@@ -36,9 +52,13 @@ def op10_quality_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 Q = {
+    "op1_paragraph_minhash": op1_paragraph_minhash,
+    "op2_attention_quality": op2_attention_quality,
+    "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
     "op4_bpe_encode_decode": op4_bpe_encode_decode,
     "op5_language_id": op5_language_id,
     "op6_secret_scan": op6_secret_scan,
+    "op7_hidden_markov_lm": op7_hidden_markov_lm,
     "op8_pack_token_ids": op8_pack_token_ids,
     "op9_benchmark_tiling": op9_benchmark_tiling,
     "op10_quality_cascade": op10_quality_cascade,

@@ -17,6 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from tablesmith.llm.textarrays import slices, window_hashes, word_hashes
 
@@ -92,39 +93,44 @@ class Seeds:
         self.filter[self.keys >> np.uint64(48)] = True
 
 
+def found_in(rows: int, words: np.ndarray, bounds: np.ndarray, seeds: Seeds, seed: int, coverage: float) -> list[tuple[int, int, float, int, int]]:
+    """(row, item, coverage, tiles, longest tile) of the rows that hold an item."""
+    got: dict[int, set[int]] = defaultdict(set)
+    for size in seeds.sizes:
+        h = window_hashes(words, size)
+        near = np.flatnonzero(seeds.filter[h >> np.uint64(48)])
+        if not len(near) or not len(seeds.keys):
+            continue
+        place = np.minimum(np.searchsorted(seeds.keys, h[near]), len(seeds.keys) - 1)
+        near = near[seeds.keys[place] == h[near]]
+        owner = np.searchsorted(bounds, near, side="right") - 1
+        inside = near + size <= bounds[owner + 1]
+        for i, r in zip(near[inside].tolist(), owner[inside].tolist(), strict=True):
+            got[r].add(int(h[i]))
+    out: list[tuple[int, int, float, int, int]] = []
+    for r, hashes in sorted(got.items()):
+        doc = words[bounds[r]:bounds[r + 1]]
+        share: dict[int, int] = defaultdict(int)
+        for h in hashes:
+            for k in seeds.holders[h]:
+                share[k] += 1
+        for k, n in sorted(share.items()):
+            item = seeds.words[k]
+            least = min(seed, len(item))
+            # the runs hold n seeds in all, and each run of r seeds has r + least - 1 words
+            if n * least < coverage * len(item):
+                continue
+            runs = tiles(doc, item, least)
+            marked = sum(x[2] for x in runs)
+            if marked >= coverage * len(item):
+                out.append((r, k, marked / len(item), len(runs), max(x[2] for x in runs)))
+    return out
+
+
 def _match(batches: Iterator[pa.RecordBatch], seeds: Seeds, seed: int, coverage: float, id_type: pa.DataType, item_type: pa.DataType) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for rows, data, offsets in slices(batch, "text"):
-            words, bounds = word_hashes(data, offsets)
-            got: dict[int, set[int]] = defaultdict(set)
-            for size in seeds.sizes:
-                h = window_hashes(words, size)
-                near = np.flatnonzero(seeds.filter[h >> np.uint64(48)])
-                if not len(near) or not len(seeds.keys):
-                    continue
-                place = np.minimum(np.searchsorted(seeds.keys, h[near]), len(seeds.keys) - 1)
-                near = near[seeds.keys[place] == h[near]]
-                owner = np.searchsorted(bounds, near, side="right") - 1
-                inside = near + size <= bounds[owner + 1]
-                for i, r in zip(near[inside].tolist(), owner[inside].tolist(), strict=True):
-                    got[r].add(int(h[i]))
-            out: list[tuple[int, int, float, int, int]] = []
-            for r, hashes in got.items():
-                doc = words[bounds[r]:bounds[r + 1]]
-                share: dict[int, int] = defaultdict(int)
-                for h in hashes:
-                    for k in seeds.holders[h]:
-                        share[k] += 1
-                for k, n in sorted(share.items()):
-                    item = seeds.words[k]
-                    least = min(seed, len(item))
-                    # the runs hold n seeds in all, and each run of r seeds has r + least - 1 words
-                    if n * least < coverage * len(item):
-                        continue
-                    runs = tiles(doc, item, least)
-                    marked = sum(x[2] for x in runs)
-                    if marked >= coverage * len(item):
-                        out.append((r, k, marked / len(item), len(runs), max(x[2] for x in runs)))
+            out = found_in(len(rows), *word_hashes(data, offsets), seeds, seed, coverage)
             yield pa.RecordBatch.from_arrays(
                 [rows.column(0).take(pa.array([x[0] for x in out], pa.int64())),
                  pa.array([seeds.ids[x[1]] for x in out], item_type),
@@ -132,6 +138,16 @@ def _match(batches: Iterator[pa.RecordBatch], seeds: Seeds, seed: int, coverage:
                  pa.array([x[4] for x in out], pa.int64())], ["doc_id", "item_id", "coverage", "n_tiles", "longest_tile"])
 
 
+def _seed_blocks(benchmark: DataFrame, item_id_col: str, item_text_col: str, seed: int, block_words: int) -> Iterator[Seeds]:
+    """The benchmark in blocks of about ``block_words`` words; items are dealt by hash and each block is read alone."""
+    b = benchmark.select(F.col(item_id_col).alias("item_id"), F.col(item_text_col).alias("text")).where(F.col("text").isNotNull())
+    n_words = b.agg(F.sum(F.size(F.split("text", r"[\x20\x09-\x0D]+")))).first()[0] or 0
+    blocks = max(1, -(-n_words // block_words))
+    for k in range(blocks):
+        part = b if blocks == 1 else b.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k)
+        yield Seeds([(r[0], r[1]) for r in part.collect()], seed)
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", id_col: str = "doc_id",
                  item_id_col: str = "item_id", item_text_col: str = "text", seed: int = SEED_WORDS,
                  coverage: float = MIN_COVERAGE, block_words: int = BLOCK_WORDS) -> DataFrame:
@@ -146,25 +162,35 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
     reported as they are, repeated rows each. Empty tables: no rows. Only the
     named columns are read.
     """
-    spark = docs.sparkSession
+    sc = docs.sparkSession.sparkContext
     d = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    b = benchmark.select(F.col(item_id_col).alias("item_id"), F.col(item_text_col).alias("text")).where(F.col("text").isNotNull())
-    kinds = d.schema["doc_id"].dataType.simpleString(), b.schema["item_id"].dataType.simpleString()
-    schema = f"doc_id {kinds[0]}, item_id {kinds[1]}, coverage double, n_tiles bigint, longest_tile bigint"
-    from pyspark.sql.pandas.types import to_arrow_type
-
-    id_type, item_type = (to_arrow_type(f.schema[c].dataType) for f, c in ((d, "doc_id"), (b, "item_id")))
-    n_words = b.agg(F.sum(F.size(F.split("text", r"[\x20\x09-\x0D]+")))).first()[0] or 0
-    n_blocks = max(1, -(-n_words // block_words))
+    kinds = d.schema["doc_id"].dataType, benchmark.schema[item_id_col].dataType
+    id_type, item_type = map(to_arrow_type, kinds)
     out = None
-    for k in range(n_blocks):
-        # items are dealt to blocks by hash; a block is collected alone
-        part = b if n_blocks == 1 else b.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n_blocks)) == k)
-        seeds = spark.sparkContext.broadcast(Seeds([(r[0], r[1]) for r in part.collect()], seed))
+    for block in _seed_blocks(benchmark, item_id_col, item_text_col, seed, block_words):
+        seeds = sc.broadcast(block)
 
-        def run(batches, seeds=seeds):
+        def run(batches: Iterator[pa.RecordBatch], seeds=seeds) -> Iterator[pa.RecordBatch]:
             return _match(batches, seeds.value, seed, coverage, id_type, item_type)
 
-        found = d.mapInArrow(run, schema)
+        found = d.mapInArrow(run, f"doc_id {kinds[0].simpleString()}, item_id {kinds[1].simpleString()}, coverage double, n_tiles bigint, longest_tile bigint")
         out = found if out is None else out.unionByName(found)
     return out
+
+
+def clean(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_id_col: str = "item_id", item_text_col: str = "text",
+          seed: int = SEED_WORDS, coverage: float = MIN_COVERAGE, block_words: int = BLOCK_WORDS) -> DataFrame:
+    """The rows of ``docs`` that hold no benchmark item, all columns as they are: a pass for each block, no shuffle."""
+    sc = docs.sparkSession.sparkContext
+    for block in _seed_blocks(benchmark, item_id_col, item_text_col, seed, block_words):
+        seeds = sc.broadcast(block)
+
+        def run(batches: Iterator[pa.RecordBatch], seeds=seeds) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for rows, data, offsets in slices(batch, text_col):
+                    kept = np.ones(len(rows), dtype=bool)
+                    kept[[x[0] for x in found_in(len(rows), *word_hashes(data, offsets), seeds.value, seed, coverage)]] = False
+                    yield rows.filter(pa.array(kept))
+
+        docs = docs.mapInArrow(run, docs.schema)
+    return docs
