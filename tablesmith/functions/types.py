@@ -7,6 +7,7 @@ string or boolean. Timestamps are neither.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
@@ -67,8 +68,13 @@ def resolve_columns(df: DataFrame, columns) -> list[str]:
 def quantiles(col, probs, approx: bool = False, accuracy: int = 100_000):
     """Exact (linear interpolation, a value->count map per group) or
     approximate (bounded sketch per group) quantiles as one array column."""
-    from pyspark.sql import functions as F
-
     if approx:
         return F.percentile_approx(col, list(probs), accuracy)
     return F.percentile(col, F.array(*[F.lit(float(p)) for p in probs]))
+
+
+def round_half_up(c, digits: int):
+    """floor(x * 10^d + 0.5) / 10^d, in doubles at any magnitude: beyond 2^52 a
+    double has no fraction to cut, and the detour over BIGINT would saturate."""
+    y = c * F.lit(float(10 ** digits)) + F.lit(0.5)
+    return F.when(F.abs(y) < float(2 ** 52), F.floor(y).cast("double")).otherwise(y) / F.lit(float(10 ** digits))

@@ -28,30 +28,39 @@ def _pairs(columns):
     return list(itertools.combinations(columns, 2))
 
 
-def _matrix_rows(df_pairs: DataFrame, columns, value_col: str) -> DataFrame:
-    """Symmetric long matrix: (col_x, col_y, value) both ways plus diagonal."""
-    spark = df_pairs.sparkSession
-    diag = spark.createDataFrame([(c, c, 1.0) for c in columns], f"col_x string, col_y string, {value_col} double")
-    fwd = df_pairs.select("col_x", "col_y", value_col)
-    back = df_pairs.select(F.col("col_y").alias("col_x"), F.col("col_x").alias("col_y"), value_col)
-    return fwd.unionByName(back).unionByName(diag)
+def _matrix_rows(df: DataFrame, df_pairs: DataFrame, columns, value_col: str) -> DataFrame:
+    """Symmetric long matrix: (col_x, col_y, value) both ways from one pass over
+    the pairs, plus the diagonal, which is missing for a constant column."""
+    both = df_pairs.select(F.explode(F.array(
+        F.struct("col_x", "col_y", value_col),
+        F.struct(F.col("col_y").alias("col_x"), F.col("col_x").alias("col_y"), value_col))).alias("m")).select("m.*")
+    varied = df.agg(*[(F.min(_c(c)) < F.max(_c(c))).alias(f"v{i}") for i, c in enumerate(columns)])
+    diag = varied.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("col_x"), F.lit(c).alias("col_y"), F.when(F.col(f"v{i}"), F.lit(1.0)).alias(value_col))
+        for i, c in enumerate(columns)])).alias("m")).select("m.*")
+    return both.unionByName(diag)
+
+
+def guarded_corr(x, y):
+    """Pearson's r of the complete pairs; missing where a side is constant."""
+    x, y = F.when(y.isNotNull(), x), F.when(x.isNotNull(), y)
+    spread = F.stddev_pop(x) * F.stddev_pop(y)
+    return F.when(spread > 0, F.covar_pop(x, y) / spread)
 
 
 def pearson_matrix(df: DataFrame, columns=None) -> DataFrame:
-    """``corr`` per pair in one aggregate; rows missing either value are
-    skipped by the aggregate itself."""
+    """All pairs in one aggregate, each on its complete rows."""
     cols = list(columns) if columns else numeric_columns(df)
     require_numeric(df, cols)
     pairs = _pairs(cols)
     if not pairs:
-        return _matrix_rows(df.sparkSession.createDataFrame([], "col_x string, col_y string, r double"),
-                            cols, "r")
-    row = df.agg(*[F.corr(_c(a).cast("double"), _c(b).cast("double")).alias(f"p{i}")
+        return _matrix_rows(df, df.sparkSession.createDataFrame([], "col_x string, col_y string, r double"), cols, "r")
+    row = df.agg(*[guarded_corr(_c(a).cast("double"), _c(b).cast("double")).alias(f"p{i}")
                    for i, (a, b) in enumerate(pairs)])
     long = row.select(F.explode(F.array(*[
         F.struct(F.lit(a).alias("col_x"), F.lit(b).alias("col_y"), F.col(f"p{i}").alias("r"))
         for i, (a, b) in enumerate(pairs)])).alias("x")).select("x.*")
-    return _matrix_rows(long, cols, "r")
+    return _matrix_rows(df, long, cols, "r")
 
 
 def _long_pairs(df: DataFrame, pairs) -> DataFrame:
@@ -88,7 +97,7 @@ def spearman_matrix(df: DataFrame, columns=None) -> DataFrame:
     names = df.sparkSession.createDataFrame([(i, a, b) for i, (a, b) in enumerate(pairs)],
                                             "pair int, col_x string, col_y string")
     out = s.select("pair", rho.alias("rho")).join(F.broadcast(names), "pair")
-    return _matrix_rows(out, cols, "rho")
+    return _matrix_rows(df, out, cols, "rho")
 
 
 def _tau_b(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -161,7 +170,7 @@ def kendall_matrix(df: DataFrame, columns=None, max_distinct_pairs: int = MAX_DI
     names = df.sparkSession.createDataFrame([(i, a, b) for i, (a, b) in enumerate(pairs)],
                                             "pair int, col_x string, col_y string")
     out = tau.join(F.broadcast(names), "pair")
-    return _matrix_rows(out, cols, "tau")
+    return _matrix_rows(df, out, cols, "tau")
 
 
 def correlation_matrix(df: DataFrame, columns=None, method: str = "pearson") -> DataFrame:

@@ -11,6 +11,7 @@ from __future__ import annotations
 import math
 
 from pyspark.sql import Column, DataFrame
+from pyspark.errors import AnalysisException, ParseException
 from pyspark.sql import functions as F
 
 from tablesmith.functions import bins as B
@@ -107,7 +108,7 @@ def _dense_bins(spark, counts: DataFrame, n_bins: int, a: float, b: float, norma
 
 def histogram_2d(df: DataFrame, x: str, y: str, bins=40) -> DataFrame:
     """A3: counts on an nx x ny grid of left-closed bins over rows where both
-    values are present. Observed cells only (zeros implied), with edges."""
+    values are present, empty cells included, with edges."""
     require_numeric(df, [x, y])
     nx, ny = (bins, bins) if isinstance(bins, int) else bins
     both = df.filter(_c(x).isNotNull() & _c(y).isNotNull())
@@ -121,7 +122,9 @@ def histogram_2d(df: DataFrame, x: str, y: str, bins=40) -> DataFrame:
     g = both.groupBy(B.hist_bucket(_c(x).cast("double"), float(r["x0"]), float(r["x1"]), nx).alias("bx"),
                      B.hist_bucket(_c(y).cast("double"), float(r["y0"]), float(r["y1"]), ny).alias("by")
                      ).agg(F.count("*").alias("count"))
-    return g.select("bx", "by", (F.lit(ax) + F.col("bx") * sx).alias("x_lo"),
+    grid = df.sparkSession.range(nx * ny).select((F.col("id") / ny).cast("long").alias("bx"), (F.col("id") % ny).alias("by"))
+    full = grid.join(g, ["bx", "by"], "left").na.fill(0, ["count"])
+    return full.select("bx", "by", (F.lit(ax) + F.col("bx") * sx).alias("x_lo"),
                     (F.lit(ay) + F.col("by") * sy).alias("y_lo"), F.col("count").cast("long"))
 
 
@@ -155,20 +158,23 @@ def groups_by_category(df: DataFrame, group_by: str) -> DataFrame:
 def groups_by_filters(df: DataFrame, filters: list, labels: list[str] | None = None):
     """Label -> predicate (Spark SQL text or Column). Overlapping groups
     are allowed: each row is emitted once per matching label in one pass.
-    Unparseable or empty predicates are skipped and reported."""
+    Predicates that don't parse or name no column, and those that select no
+    row, are reported; one aggregate counts the rows of all of them."""
     labels = labels or [str(f) for f in filters]
     conds, warnings = [], []
     for lab, f in zip(labels, filters):
         try:
             c = F.expr(f) if isinstance(f, str) else f
             df.select(c.alias("_t")).schema
-        except Exception as exc:  # noqa: BLE001 - reported, not raised
+        except (AnalysisException, ParseException) as exc:
             warnings.append(f"Skipped filter '{lab}': {exc.__class__.__name__}")
             continue
-        conds.append(F.when(F.coalesce(c, F.lit(False)), F.lit(lab)))
+        conds.append((lab, F.coalesce(c, F.lit(False))))
     if not conds:
         raise ValueError("No valid filters")
-    exploded = df.withColumn("group", F.explode(F.array_compact(F.array(*conds))))
+    hits = df.agg(*[F.count_if(c).alias(f"h{i}") for i, (_, c) in enumerate(conds)]).first()
+    warnings += [f"Filter '{lab}' selects no row" for i, (lab, _) in enumerate(conds) if not hits[f"h{i}"]]
+    exploded = df.withColumn("group", F.explode(F.array_compact(F.array(*[F.when(c, F.lit(lab)) for lab, c in conds]))))
     return exploded, warnings
 
 

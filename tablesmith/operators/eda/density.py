@@ -2,7 +2,7 @@
 
 Scott's bandwidth with the full sample covariance (as ``gaussian_kde``):
 kernel covariance = cov * n^(-1/3) in two dimensions. The covariance is one
-aggregate; each partition then adds its rows' kernels onto the broadcast
+aggregate; each partition then adds its distinct points' kernels onto the broadcast
 grid in Arrow batches and emits one partial sum per cell, summed by cell.
 ``binned=True`` first counts rows on the grid (one groupBy) and spreads each
 occupied cell's count instead, for very large inputs.
@@ -54,7 +54,7 @@ def density_grid(df: DataFrame, x: str, y: str, gridsize: int = 60, binned: bool
             .select((F.lit(m["x0"]) + F.col("ix") * step_x).alias("x"),
                     (F.lit(m["y0"]) + F.col("iy") * step_y).alias("y"), F.col("w").cast("double"))
     else:
-        src = d.withColumn("w", F.lit(1.0))
+        src = d.groupBy("x", "y").agg(F.count("*").cast("double").alias("w"))  # equal points share a kernel
 
     def spread(batches):
         acc = np.zeros(cells_x.size)

@@ -10,6 +10,10 @@ from tablesmith.functions.types import quantiles, require_categorical, require_n
 MISSING = "<<MISSING>>"
 
 
+def _c(name: str) -> Column:
+    return F.col(f"`{name}`")
+
+
 def label_missing(c: Column) -> Column:
     """Categorical value with missing shown as its own label."""
     return F.coalesce(c.cast("string"), F.lit(MISSING))
@@ -23,12 +27,12 @@ def group_box_stats(df: DataFrame, value: str, by: str, hue: str | None = None,
     value->count map per group, so a hot group costs its distinct values,
     not its rows."""
     require_numeric(df, [value])
-    keys = [F.col(by).cast("string").alias("group")]
+    keys = [_c(by).cast("string").alias("group")]
     if hue and hue != by:
-        keys.append(F.col(hue).cast("string").alias("hue_value"))
-    v = F.col(value).cast("double")
+        keys.append(_c(hue).cast("string").alias("hue_value"))
+    v = _c(value).cast("double")
     q = quantiles(v, [0.25, 0.5, 0.75], approx)
-    g = (df.filter(F.col(value).isNotNull() & F.col(by).isNotNull())
+    g = (df.filter(_c(value).isNotNull() & _c(by).isNotNull())
          .groupBy(*keys)
          .agg(F.count(v).alias("count"), F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"),
               F.min(v).alias("min"), q.alias("_q"), F.max(v).alias("max")))
@@ -40,29 +44,28 @@ def group_box_stats(df: DataFrame, value: str, by: str, hue: str | None = None,
 def group_bar(df: DataFrame, value: str, by: str, hue: str | None = None) -> DataFrame:
     """A10: mean, count and sd of ``value`` per group."""
     require_numeric(df, [value])
-    keys = [F.col(by).cast("string").alias("group")]
+    keys = [_c(by).cast("string").alias("group")]
     if hue and hue != by:
-        keys.append(F.col(hue).cast("string").alias("hue_value"))
-    v = F.col(value).cast("double")
-    return (df.filter(F.col(value).isNotNull() & F.col(by).isNotNull()).groupBy(*keys)
+        keys.append(_c(hue).cast("string").alias("hue_value"))
+    v = _c(value).cast("double")
+    return (df.filter(_c(value).isNotNull() & _c(by).isNotNull()).groupBy(*keys)
             .agg(F.avg(v).alias("value"), F.count(v).alias("count"), F.stddev_samp(v).alias("std")))
 
 
 def contingency(df: DataFrame, x: str, y: str) -> DataFrame:
-    """Long-form contingency table; missing is its own label."""
+    """Long-form contingency table; missing is its own label, and a pair
+    of labels that never meet has a row with n = 0. The label lists are the
+    table's sides, so their product is its size."""
     require_categorical(df, [x, y])
-    counts = df.groupBy(label_missing(F.col(x)).alias("x_value"),
-                        label_missing(F.col(y)).alias("y_value")).agg(F.count("*").alias("n"))
-    # Long form keeps observed cells only; the wide form below fills zeros.
-    return counts.select("x_value", "y_value", F.col("n").cast("long").alias("n"))
-
-
-def contingency_wide(df: DataFrame, x: str, y: str, max_columns: int = 200) -> DataFrame:
-    """A11, wide: one row per y label, one column per x label; refuses more
-    than ``max_columns`` x labels (checked with a bounded distinct)."""
-    labels = [r[0] for r in df.select(label_missing(F.col(x)).alias("v")).distinct()
-              .limit(max_columns + 1).collect()]
-    if len(labels) > max_columns:
-        raise ValueError(f"{x} has more than {max_columns} categories")
-    return (df.select(label_missing(F.col(x)).alias("x_value"), label_missing(F.col(y)).alias(y))
-            .groupBy(y).pivot("x_value", sorted(labels)).count().na.fill(0))
+    counts = df.groupBy(label_missing(_c(x)).alias("x_value"),
+                        label_missing(_c(y)).alias("y_value")).agg(F.count("*").alias("n"))
+    sides = counts.select("x_value").distinct().join(counts.select("y_value").distinct(), how="inner", on=F.lit(True))
+    return sides.join(counts, ["x_value", "y_value"], "left").select(
+        "x_value", "y_value", F.coalesce("n", F.lit(0)).cast("long").alias("n"))
+
+
+def contingency_wide(df: DataFrame, x: str, y: str) -> DataFrame:
+    """A11, wide: one row per y label, one column per x label."""
+    labels = [r[0] for r in df.select(label_missing(_c(x)).alias("v")).distinct().collect()]
+    return (df.select(label_missing(_c(x)).alias("x_value"), label_missing(_c(y)).alias(y))
+            .groupBy(f"`{y}`").pivot("x_value", sorted(labels)).count().na.fill(0))

@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablesmith.functions import dist
+from tablesmith.functions.ranks import cumulative_below
+from tablesmith.operators.eda.corr import guarded_corr
 from tablesmith.functions.types import require_numeric
 
 
@@ -95,49 +97,77 @@ def linear_fit(df: DataFrame, x: str, y: str, logx: bool = False) -> DataFrame:
 def pearson_test(df: DataFrame, x: str, y: str, with_p: bool = True) -> DataFrame:
     """R, r squared, n and the two-sided t-test p-value of r."""
     d = _complete(df, x, y, False)
-    out = d.agg(F.corr("x", "y").alias("r"), F.count("*").alias("n")).select(
+    out = d.agg(guarded_corr(F.col("x"), F.col("y")).alias("r"), F.count("*").alias("n")).select(
         "r", (F.col("r") * F.col("r")).alias("r_squared"), F.col("n").cast("long").alias("n"))
     if with_p:
-        t = F.col("r") * F.sqrt((F.col("n") - 2) / (1 - F.col("r") * F.col("r")))
-        out = out.withColumn("p_value", dist.t_two_sided_p_udf(t, (F.col("n") - 2).cast("double")))
+        left = 1 - F.col("r") * F.col("r")
+        t = F.when(left > 0, F.col("r") * F.sqrt((F.col("n") - 2) / F.when(left > 0, left)))
+        p = dist.t_two_sided_p_udf(t, (F.col("n") - 2).cast("double"))
+        # a perfect line leaves no spread to test against
+        out = out.withColumn("p_value", F.when((left <= 0) & (F.col("n") > 2), F.lit(0.0)).otherwise(p))
     return out
 
 
 def robust_line(df: DataFrame, x: str, y: str, c: float = 1.345, max_iter: int = 50,
                 tol: float = 1e-8) -> DataFrame:
     """Huber M-estimate of a line by iteratively reweighted least
-    squares, scale = MAD of the residuals / 0.6745. Each round is one
-    aggregate over the cached complete rows with the last coefficients as
-    literals, so lineage never grows; the residual median uses
-    ``percentile_approx`` (bounded memory per task)."""
-    d = _complete(df, x, y, False).cache()
+    squares, scale = median of |residual| / 0.67449. Rows are counted per
+    distinct (x, y) once; each round is one weighted aggregate over that table
+    with the last coefficients as literals, so lineage never grows.
+    ``converged`` says whether the rounds ended before ``max_iter``. A constant
+    x has no slope: intercept and slope are missing."""
+    d = _complete(df, x, y, False).groupBy("x", "y").agg(F.count("*").cast("double").alias("w")).cache()
     try:
-        s = d.agg(F.regr_slope("y", "x").alias("b"), F.regr_intercept("y", "x").alias("a")).first()
-        a, b = float(s["a"]), float(s["b"])
-        for it in range(max_iter):
-            r = F.col("y") - (F.lit(a) + F.lit(b) * F.col("x"))
-            med = d.agg(F.percentile_approx(r, 0.5, 1_000_000).alias("m")).first()["m"]
-            mad = d.agg(F.percentile_approx(F.abs(r - F.lit(med)), 0.5, 1_000_000).alias("m")).first()["m"]
-            scale = (mad / 0.6745) if mad else 1.0
-            u = F.abs(r) / F.lit(scale)
-            w = F.when(u <= c, F.lit(1.0)).otherwise(F.lit(c) / u)
-            t = d.agg(F.sum(w).alias("sw"), F.sum(w * F.col("x")).alias("sx"),
-                      F.sum(w * F.col("y")).alias("sy"), F.sum(w * F.col("x") * F.col("x")).alias("sxx"),
-                      F.sum(w * F.col("x") * F.col("y")).alias("sxy")).first()
-            det = t["sw"] * t["sxx"] - t["sx"] * t["sx"]
-            if det == 0:
-                break
-            nb = (t["sw"] * t["sxy"] - t["sx"] * t["sy"]) / det
-            na = (t["sy"] - nb * t["sx"]) / t["sw"]
-            done = abs(na - a) <= tol * max(1.0, abs(a)) and abs(nb - b) <= tol * max(1.0, abs(b))
-            a, b = na, nb
-            if done:
+        s = weighted_line(d, F.col("w"))
+        if s is None:
+            return df.sparkSession.createDataFrame([(None, None, 0, True)], _ROBUST)
+        a, b = s
+        done, it = False, 0
+        while not done and it < max_iter:
+            it += 1
+            r = F.abs(F.col("y") - (F.lit(a) + F.lit(b) * F.col("x")))
+            mad = weighted_median(d.select(r.alias("v"), "w"))
+            scale = mad / 0.67449 if mad else 1.0
+            u = r / F.lit(scale)
+            nxt = weighted_line(d, F.col("w") * F.when(u <= c, F.lit(1.0)).otherwise(F.lit(c) / u))
+            if nxt is None:
                 break
-        return df.sparkSession.createDataFrame([(a, b, it + 1)], "intercept double, slope double, iterations int")
+            done = abs(nxt[0] - a) <= tol * max(1.0, abs(a)) and abs(nxt[1] - b) <= tol * max(1.0, abs(b))
+            a, b = nxt
+        return df.sparkSession.createDataFrame([(a, b, it, done)], _ROBUST)
     finally:
         d.unpersist()
 
 
+_ROBUST = "intercept double, slope double, iterations int, converged boolean"
+
+
+def weighted_line(d: DataFrame, w) -> tuple[float, float] | None:
+    """(intercept, slope) of the weighted least-squares line; None for a constant x."""
+    t = d.agg(F.sum(w).alias("sw"), F.sum(w * F.col("x")).alias("sx"), F.sum(w * F.col("y")).alias("sy"),
+              F.sum(w * F.col("x") * F.col("x")).alias("sxx"), F.sum(w * F.col("x") * F.col("y")).alias("sxy"),
+              F.min("x").alias("lo"), F.max("x").alias("hi")).first()
+    if t["sw"] is None or t["lo"] == t["hi"]:
+        return None
+    det = t["sw"] * t["sxx"] - t["sx"] * t["sx"]
+    if det <= 0:
+        return None
+    slope = (t["sw"] * t["sxy"] - t["sx"] * t["sy"]) / det
+    return (t["sy"] - slope * t["sx"]) / t["sw"], slope
+
+
+def weighted_median(d: DataFrame) -> float:
+    """Median of ``v`` where a row stands ``w`` times: the middle value, or the
+    mean of the two middle ones. Ranks are cumulative counts over distinct
+    values, by ranges."""
+    counts = d.groupBy("v").agg(F.sum("w").cast("long").alias("c"))
+    n = counts.agg(F.sum("c")).first()[0]
+    ranked = cumulative_below(counts, "v", ["c"])
+    at = [ranked.where((F.col("c_below") <= k) & (F.col("c_below") + F.col("c") > k)) for k in {(n - 1) // 2, n // 2}]
+    found = [r["v"] for f in at for r in f.select("v").collect()]
+    return sum(found) / len(found)
+
+
 def lowess_grid(df: DataFrame, x: str, y: str, frac: float = 0.66, iterations: int = 3,
                 grid_points: int = 50) -> DataFrame:
     """A23 (re-aimed): LOWESS evaluated on a fixed grid of x values. For each

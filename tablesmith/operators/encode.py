@@ -1,8 +1,9 @@
 """Categorical encoding (C4 label, C5 one-hot, F7 feature one-hot).
 
-The category list is data-dependent, so each encoder first reads the
-distinct labels with a bounded job (``limit(max + 1)``) and refuses a column
-with more; the label map is then a small broadcast table.
+Label codes are ranks of the distinct labels: the labels are cut into ranges at
+sampled bounds, ranked inside each range and moved up by the ranges before, so
+no task sees all labels. One-hot output has a column per category, so its
+category list is read by the driver.
 """
 
 from __future__ import annotations
@@ -11,8 +12,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablesmith.functions.types import require_categorical, validate_columns
+from tablesmith.session import shuffle_partitions
 
-MAX_LABELS = 1_000_000
+#: Labels that are sampled for each range.
+_PER_RANGE = 20
 
 
 def _label_text(c: str):
@@ -20,38 +23,48 @@ def _label_text(c: str):
     return F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("nan"))
 
 
-def label_map(df: DataFrame, column: str, max_labels: int = MAX_LABELS) -> DataFrame:
+def label_map(df: DataFrame, column: str) -> DataFrame:
+    """(label, code): code = rank of the label among the sorted distinct labels."""
     labels = df.select(_label_text(column).alias("label")).distinct()
-    n = labels.limit(max_labels + 1).count()
-    if n > max_labels:
-        raise ValueError(f"{column} has more than {max_labels} labels")
-    # The window sees only the distinct labels (checked above).
-    return labels.select("label", (F.dense_rank().over(Window.orderBy("label")) - 1)
-                         .cast("long").alias("code"))
-
-
-def encode_label(df: DataFrame, columns, max_labels: int = MAX_LABELS) -> DataFrame:
+    ranges = shuffle_partitions(df.sparkSession)
+    n = labels.count()
+    share = min(1.0, _PER_RANGE * ranges / max(1, n))
+    picked = sorted(r["label"] for r in labels.where(
+        F.pmod(F.xxhash64("label"), F.lit(1 << 20)) < share * (1 << 20)).collect())
+    bounds = picked[::_PER_RANGE]
+    cut = F.array(*[F.lit(b) for b in bounds]).cast("array<string>")
+    ranged = labels.withColumn("_r", F.size(F.filter(cut, lambda b: b <= F.col("label"))))
+    before = Window.orderBy("_r").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = ranged.groupBy("_r").agg(F.count("*").alias("_n"))  # one row per range
+    offsets = sizes.select("_r", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    inside = F.row_number().over(Window.partitionBy("_r").orderBy("label"))
+    return (ranged.withColumn("_i", inside).join(F.broadcast(offsets), "_r")
+            .select("label", (F.col("_before") + F.col("_i") - 1).cast("long").alias("code")))
+
+
+def encode_label(df: DataFrame, columns) -> DataFrame:
     """C4: code = rank of the label among the sorted distinct labels."""
     columns = list(columns)
     validate_columns(df, columns)
     out = df
     for i, c in enumerate(columns):
-        m = label_map(df, c, max_labels).withColumnRenamed("label", f"_l{i}")
+        m = label_map(df, c).withColumnRenamed("label", f"_l{i}")
         out = (out.withColumn(f"_l{i}", _label_text(c))
-               .join(F.broadcast(m), f"_l{i}", "left")
+               .join(m, f"_l{i}", "left")
                .withColumn(c, F.col("code")).drop(f"_l{i}", "code"))
     return out.select(*df.columns)
 
 
-def distinct_labels(df: DataFrame, column: str, max_labels: int) -> list:
-    rows = (df.select(F.col(f"`{column}`").alias("v")).filter(F.col("v").isNotNull()).distinct()
-            .limit(max_labels + 1).collect())
-    if len(rows) > max_labels:
+def distinct_labels(df: DataFrame, column: str, max_labels: int | None = None) -> list:
+    """Sorted categories, for output with a column each; more than ``max_labels`` are refused."""
+    found = df.select(F.col(f"`{column}`").alias("v")).filter(F.col("v").isNotNull()).distinct()
+    rows = (found.limit(max_labels + 1) if max_labels is not None else found).collect()
+    if max_labels is not None and len(rows) > max_labels:
         raise ValueError(f"{column} has more than {max_labels} distinct values")
     return sorted(r["v"] for r in rows)
 
 
-def encode_onehot(df: DataFrame, columns, max_labels: int = 1000) -> DataFrame:
+def encode_onehot(df: DataFrame, columns) -> DataFrame:
     """Replace each column by integer indicator columns ``col_value``;
     a missing value gives all zeros."""
     columns = list(columns)
@@ -61,7 +74,7 @@ def encode_onehot(df: DataFrame, columns, max_labels: int = 1000) -> DataFrame:
         if f.name not in columns:
             out.append(F.col(f"`{f.name}`"))
             continue
-        for v in distinct_labels(df, f.name, max_labels):
+        for v in distinct_labels(df, f.name):
             out.append(F.coalesce((F.col(f"`{f.name}`") == F.lit(v)).cast("int"), F.lit(0))
                        .alias(f"{f.name}_{v}"))
     return df.select(*out)
@@ -76,6 +89,6 @@ def onehot_feature(df: DataFrame, column: str, prefix: str | None = None,
     if drop_first:
         labels = labels[1:]
     p = prefix or column
-    new = [F.coalesce(F.col(f"`{column}`").cast("string") == F.lit(str(v)), F.lit(False))
+    new = [F.coalesce(F.col(f"`{column}`") == F.lit(v), F.lit(False))
            .alias(f"{p}_{v}") for v in labels]
     return df.select("*", *new)

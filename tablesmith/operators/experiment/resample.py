@@ -1,13 +1,10 @@
 """Resampling: bootstrap intervals (X7, X8), A/A re-randomisation (X19) and
 subgroup effects (X17).
 
-Bootstrap replicates are rows of ``spark.range(n_boot)``. Resampling n values
-with replacement is a multinomial draw over the distinct values, so each
-replicate needs only the per-arm value counts. When the number of distinct
-values is within ``max_distinct`` the counts ride to the tasks in the closure
-(checked size); beyond it every partition of the value table draws Poisson
-weights for all replicates and the partial sums are added up by replicate,
-so nothing large meets in one place.
+The bootstrap works on the value counts per metric and arm: resampling gives a
+value that stands c times a Poisson(c) weight in each replicate. Partitions of
+the count table draw the weights of their values for all replicates, and the
+partial sums are added up by replicate, so nothing large meets in one place.
 """
 
 from __future__ import annotations
@@ -24,8 +21,6 @@ from tablesmith.functions import dist
 from tablesmith.operators.experiment.sessions import METRIC_FAMILY
 from tablesmith.session import shuffle_partitions
 
-MAX_DISTINCT = 200_000
-
 
 def _stat_from_moments(stat: str, n_a, s_a, q_a, n_b, s_b, q_b):
     """Replicate statistic from weighted count, sum and sum of squares."""
@@ -48,73 +43,32 @@ def _value_counts(sessions: DataFrame, metrics) -> DataFrame:
     return long.groupBy("metric", "ab_group", "v").agg(F.count("*").alias("c"))
 
 
-def _replicates_multinomial(spark, table: dict, n_boot: int, seed: int, stat: str) -> DataFrame:
-    """``table``: metric -> (values_a, counts_a, values_b, counts_b)."""
-    metrics = sorted(table)
+def _value_seed(seed: int, metric: str, arm: str, value: float) -> list[int]:
+    return [seed, zlib.crc32(f"{metric}|{arm}".encode()), int(np.float64(value).view(np.uint64))]
 
-    def run(batches):
-        for pdf in batches:
-            reps = pdf["id"].to_numpy()
-            rows = []
-            for mi, m in enumerate(metrics):
-                va, ca, vb, cb = table[m]
-                na, nb = int(ca.sum()), int(cb.sum())
-                pa = ca / na if na else ca
-                pb = cb / nb if nb else cb
-                out = np.empty(len(reps))
-                for i, r in enumerate(reps):
-                    rng = np.random.default_rng([seed, mi, int(r)])
-                    if na == 0 or nb == 0:
-                        out[i] = np.nan
-                        continue
-                    wa = rng.multinomial(na, pa)
-                    wb = rng.multinomial(nb, pb)
-                    out[i] = _stat_from_moments(
-                        stat, float(na), float(wa @ va), float(wa @ (va * va)),
-                        float(nb), float(wb @ vb), float(wb @ (vb * vb)))
-                rows.append(pd.DataFrame({"metric": m, "rep": reps, "stat": out}))
-            yield pd.concat(rows) if rows else pd.DataFrame(
-                {"metric": [], "rep": [], "stat": []})
-
-    parts = max(1, min(shuffle_partitions(spark), n_boot // 250 or 1))
-    schema = "metric string, rep long, stat double"
-    return spark.range(0, n_boot, 1, parts).mapInPandas(run, schema)
-
-
-def _replicates_poisson(counts: DataFrame, n_boot: int, seed: int, stat: str) -> DataFrame:
-    """Poisson bootstrap over a large value table: weight of a value with
-    count c in one replicate ~ Poisson(c). Each hash bucket of values emits
-    partial (n, sum, sum of squares) per replicate and arm."""
-    spark = counts.sparkSession
-    buckets = max(1, shuffle_partitions(spark))
-    keyed = (counts.withColumn("_b", F.pmod(F.xxhash64("metric", "v"), F.lit(buckets)))
-             .repartition(buckets, "_b").sortWithinPartitions("_b", "metric", "ab_group", "v"))
-    chunk = 256
+
+def bootstrap_replicates(sessions: DataFrame, metrics=METRIC_FAMILY, n_boot: int = 10_000,
+                         seed: int = 20260418, stat: str = "mean_diff") -> DataFrame:
+    """(metric, rep, stat): a value that stands c times weighs Poisson(c) in
+    each replicate. The draws of a value come from a generator keyed by (seed,
+    metric, arm, value), so they don't depend on partitions or table size. A
+    task keeps n_boot sums per metric and arm."""
+    counts = _value_counts(sessions, list(metrics))
+    spread = counts.repartition(shuffle_partitions(counts.sparkSession), "metric", "ab_group", "v")
 
     def run(batches):
-        frames = list(batches)
-        if not frames:
-            return
-        pdf = pd.concat(frames)
-        if pdf.empty:
-            return
-        for (b, m, arm), g in pdf.groupby(["_b", "metric", "ab_group"], sort=True):
-            v = g["v"].to_numpy(dtype=float)
-            c = g["c"].to_numpy(dtype=float)
-            s0 = np.zeros(n_boot)
-            s1 = np.zeros(n_boot)
-            s2 = np.zeros(n_boot)
-            for ci in range(0, len(v), chunk):
-                rng = np.random.default_rng([seed, int(b), zlib.crc32(f"{m}|{arm}".encode()), ci])
-                w = rng.poisson(c[ci:ci + chunk, None], size=(len(v[ci:ci + chunk]), n_boot))
-                vv = v[ci:ci + chunk]
-                s0 += w.sum(axis=0)
-                s1 += vv @ w
-                s2 += (vv * vv) @ w
-            yield pd.DataFrame({"metric": m, "ab_group": arm, "rep": np.arange(n_boot),
-                                "s0": s0, "s1": s1, "s2": s2})
-
-    partial = keyed.mapInPandas(
+        sums: dict[tuple[str, str], np.ndarray] = {}
+        for pdf in batches:
+            for m, arm, v, c in zip(pdf["metric"], pdf["ab_group"], pdf["v"], pdf["c"], strict=True):
+                w = np.random.default_rng(_value_seed(seed, m, arm, v)).poisson(c, n_boot)
+                s = sums.setdefault((m, arm), np.zeros((3, n_boot)))
+                s[0] += w
+                s[1] += w * v
+                s[2] += w * (v * v)
+        for (m, arm), s in sorted(sums.items()):
+            yield pd.DataFrame({"metric": m, "ab_group": arm, "rep": np.arange(n_boot), "s0": s[0], "s1": s[1], "s2": s[2]})
+
+    partial = spread.mapInPandas(
         run, "metric string, ab_group string, rep long, s0 double, s1 double, s2 double")
     sums = partial.groupBy("metric", "rep").agg(*[
         F.sum(F.when(F.col("ab_group") == arm, F.col(c))).alias(f"{c}_{arm}")
@@ -130,31 +84,12 @@ def _replicates_poisson(counts: DataFrame, n_boot: int, seed: int, stat: str) ->
                        .alias("stat"))
 
 
-def bootstrap_replicates(sessions: DataFrame, metrics=METRIC_FAMILY, n_boot: int = 10_000,
-                         seed: int = 20260418, stat: str = "mean_diff",
-                         max_distinct: int = MAX_DISTINCT) -> DataFrame:
-    metrics = list(metrics)
-    counts = _value_counts(sessions, metrics)
-    n_distinct = counts.count()
-    if n_distinct > max_distinct:
-        return _replicates_poisson(counts, n_boot, seed, stat)
-    table = {}
-    rows = counts.collect()
-    for m in metrics:
-        ra = sorted((r["v"], r["c"]) for r in rows if r["metric"] == m and r["ab_group"] == "A")
-        rb = sorted((r["v"], r["c"]) for r in rows if r["metric"] == m and r["ab_group"] == "B")
-        table[m] = (np.array([x[0] for x in ra], dtype=float), np.array([x[1] for x in ra], dtype=float),
-                    np.array([x[0] for x in rb], dtype=float), np.array([x[1] for x in rb], dtype=float))
-    return _replicates_multinomial(sessions.sparkSession, table, n_boot, seed, stat)
-
-
 def bootstrap_diff_ci(sessions: DataFrame, metrics=METRIC_FAMILY, n_boot: int = 10_000,
-                      seed: int = 20260418, level: float = 0.95, stat: str = "mean_diff",
-                      max_distinct: int = MAX_DISTINCT) -> DataFrame:
+                      seed: int = 20260418, level: float = 0.95, stat: str = "mean_diff") -> DataFrame:
     """X7 (``stat='mean_diff'``) / X8 (``stat='cohens_d'``): percentile
     interval of the replicate statistic, linear interpolation."""
     lo, hi = (1 - level) / 2, 1 - (1 - level) / 2
-    reps = bootstrap_replicates(sessions, metrics, n_boot, seed, stat, max_distinct)
+    reps = bootstrap_replicates(sessions, metrics, n_boot, seed, stat)
     q = F.percentile(F.col("stat"), F.array(F.lit(lo), F.lit(hi)))
     return (reps.filter(~F.isnan("stat") & F.col("stat").isNotNull())
             .groupBy("metric").agg(q.alias("_q"), F.count("*").alias("n_boot"))

@@ -21,16 +21,21 @@ def _div(a: Column, b: Column) -> Column:
     return F.try_divide(a, b)
 
 
+def _capped(p: Column) -> Column:
+    """At most 1; a missing p stays missing (``least`` would skip it)."""
+    return F.when(p.isNotNull(), F.least(F.lit(1.0), p))
+
+
 def arm_moments(sessions: DataFrame, metrics=METRIC_FAMILY, arm_col: str = "ab_group") -> DataFrame:
     """One row per metric: n, sum, mean and sample variance for arms A and B."""
-    aggs = [F.count("*").alias("n")]
+    aggs = []
     for m in metrics:
-        aggs += [F.sum(F.col(m).cast("double")).alias(f"{m}__sum"),
+        aggs += [F.count(F.col(m)).alias(f"{m}__n"), F.sum(F.col(m).cast("double")).alias(f"{m}__sum"),
                  F.avg(F.col(m).cast("double")).alias(f"{m}__mean"),
                  F.var_samp(F.col(m).cast("double")).alias(f"{m}__var")]
     wide = sessions.groupBy(arm_col).agg(*aggs)
-    long = wide.select(arm_col, "n", F.explode(F.array(*[
-        F.struct(F.lit(i).alias("metric_order"), F.lit(m).alias("metric"),
+    long = wide.select(arm_col, F.explode(F.array(*[
+        F.struct(F.lit(i).alias("metric_order"), F.lit(m).alias("metric"), F.col(f"{m}__n").alias("n"),
                  F.col(f"{m}__sum").alias("s"), F.col(f"{m}__mean").alias("mean"),
                  F.col(f"{m}__var").alias("var"))
         for i, m in enumerate(metrics)])).alias("x"))
@@ -40,8 +45,8 @@ def arm_moments(sessions: DataFrame, metrics=METRIC_FAMILY, arm_col: str = "ab_g
 
     return long.groupBy(F.col("x.metric_order").alias("metric_order"),
                         F.col("x.metric").alias("metric")).agg(
-        F.coalesce(pick("A", "n"), F.lit(0)).cast("long").alias("n_a"),
-        F.coalesce(pick("B", "n"), F.lit(0)).cast("long").alias("n_b"),
+        F.coalesce(pick("A", "x.n"), F.lit(0)).cast("long").alias("n_a"),
+        F.coalesce(pick("B", "x.n"), F.lit(0)).cast("long").alias("n_b"),
         pick("A", "x.s").alias("sum_a"), pick("B", "x.s").alias("sum_b"),
         pick("A", "x.mean").alias("mean_a"), pick("B", "x.mean").alias("mean_b"),
         pick("A", "x.var").alias("var_a"), pick("B", "x.var").alias("var_b"),
@@ -133,20 +138,21 @@ def mann_whitney_u(sessions: DataFrame, metrics=METRIC_FAMILY, with_p: bool = Tr
     per_metric = ranked.groupBy("metric").agg(
         F.sum("c_a").alias("n_a"), F.sum("c_b").alias("n_b"),
         F.sum(F.col("c_a") * avg_rank).alias("rank_sum_a"),
-        F.sum(F.col("c") * F.col("c") * F.col("c") - F.col("c")).cast("double").alias("tie_term"))
-    na, nb = F.col("n_a"), F.col("n_b")
+        F.sum(F.pow(F.col("c").cast("double"), 3) - F.col("c")).alias("tie_term"))
+    na, nb = F.col("n_a").cast("double"), F.col("n_b").cast("double")
     u_a = F.col("rank_sum_a") - na * (na + 1) / 2.0
     out = per_metric.select("metric", na.cast("long").alias("n_a"), nb.cast("long").alias("n_b"),
                             u_a.alias("u_a"), "tie_term")
     if with_p:
-        n = F.col("n_a") + F.col("n_b")
-        mu = F.col("n_a") * F.col("n_b") / 2.0
-        sigma = F.sqrt(F.col("n_a") * F.col("n_b") / 12.0
+        na, nb = F.col("n_a").cast("double"), F.col("n_b").cast("double")
+        n = na + nb
+        mu = na * nb / 2.0
+        sigma = F.sqrt(na * nb / 12.0
                        * ((n + 1) - F.col("tie_term") / (n * (n - 1))))
-        u_big = F.greatest(F.col("u_a"), F.col("n_a") * F.col("n_b") - F.col("u_a"))
+        u_big = F.greatest(F.col("u_a"), na * nb - F.col("u_a"))
         z = _div(u_big - mu - 0.5, sigma)
         out = out.withColumn("z", z).withColumn(
-            "p_value", F.least(F.lit(1.0), dist.norm_two_sided_p_udf(F.col("z"))))
+            "p_value", _capped(dist.norm_two_sided_p_udf(F.col("z"))))
     return out
 
 
@@ -164,7 +170,7 @@ def bh_adjust(df: DataFrame, p_col: str = "p_value", family: list[str] | None =
     raw = F.col(p_col) * F.col("_m") / F.col("_r")
     w_tail = (Window.partitionBy(*fam).orderBy(F.col("_r").desc())
               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return (ranked.withColumn(out_col, F.least(F.lit(1.0), F.min(raw).over(w_tail)))
+    return (ranked.withColumn(out_col, F.when(F.col(p_col).isNotNull(), F.least(F.lit(1.0), F.min(raw).over(w_tail))))
             .drop("_m", "_r"))
 
 
@@ -271,13 +277,6 @@ def power_table(sessions: DataFrame, metrics=METRIC_FAMILY, alpha: float = 0.05,
                     dist.power_welch_udf(F.col("d"), F.col("n_a"), F.col("n_b")).alias("power"))
 
 
-# Test choice per metric, as in the report family.
-_TEST_FOR = {
-    "preview_to_apply_conversion": "two-proportion z-test",
-    "successful_actions_per_session": "Mann-Whitney U",
-}
-
-
 def metric_report(sessions: DataFrame, metrics=METRIC_FAMILY, n_boot: int = 10_000,
                   seed: int = 20260418, with_ci: bool = True) -> DataFrame:
     """One 13-column result row per metric with Bonferroni over the
@@ -314,7 +313,7 @@ def metric_report(sessions: DataFrame, metrics=METRIC_FAMILY, n_boot: int = 10_0
         .alias("effect_label"),
         F.when(is_z, F.lit("two-proportion z-test")).when(is_mw, F.lit("Mann-Whitney U"))
         .otherwise(F.lit("Welch's t-test")).alias("test_name"))
-    out = out.withColumn("p_value_bonferroni", F.least(F.lit(1.0), F.col("p_value") * n_tests))
+    out = out.withColumn("p_value_bonferroni", _capped(F.col("p_value") * n_tests))
     out = bh_adjust(out, "p_value", out_col="p_value_fdr")
     if with_ci:
         ci = bootstrap_diff_ci(sessions, metrics, n_boot=n_boot, seed=seed)

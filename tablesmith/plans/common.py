@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tablesmith.functions.types import round_half_up
+
 DIGITS = 7
 
 
@@ -13,8 +15,7 @@ def arith_round(c, digits: int = DIGITS):
     """floor(x * 10^d + 0.5) / 10^d: the same IEEE steps in Spark and in the
     oracle, so equal inputs round equally (Spark's ``round`` is decimal-based
     and breaks ties differently from DuckDB's)."""
-    scale = float(10 ** digits)
-    return F.floor(c.cast("double") * F.lit(scale) + F.lit(0.5)).cast("double") / F.lit(scale)
+    return round_half_up(c.cast("double"), digits)
 
 
 def round_doubles(df: DataFrame, digits: int = DIGITS, only: list[str] | None = None) -> DataFrame:

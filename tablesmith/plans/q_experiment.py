@@ -56,8 +56,8 @@ def long_sql(metrics=METRIC_FAMILY, src="sess"):
 
 MOM = """mom AS (
   SELECT metric_order, metric,
-         CAST(count(*) FILTER (WHERE ab_group = 'A') AS BIGINT) AS n_a,
-         CAST(count(*) FILTER (WHERE ab_group = 'B') AS BIGINT) AS n_b,
+         CAST(count(v) FILTER (WHERE ab_group = 'A') AS BIGINT) AS n_a,
+         CAST(count(v) FILTER (WHERE ab_group = 'B') AS BIGINT) AS n_b,
          sum(v) FILTER (WHERE ab_group = 'A') AS sum_a, sum(v) FILTER (WHERE ab_group = 'B') AS sum_b,
          avg(v) FILTER (WHERE ab_group = 'A') AS mean_a, avg(v) FILTER (WHERE ab_group = 'B') AS mean_b,
          var_samp(v) FILTER (WHERE ab_group = 'A') AS var_a,
@@ -226,7 +226,7 @@ SQL["sensitivity_report"] = _report_sql(ERROR_ONLY)
 @query("metric_report_full")
 def q_report_full(spark, sf):
     """Full 13-field rows with p-values, Bonferroni, FDR and bootstrap CIs."""
-    return stats.metric_report(sessions(spark, sf), n_boot=2000)
+    return stats.metric_report(sessions(spark, sf))
 
 
 @query("bh_fdr")
@@ -456,12 +456,12 @@ FROM ev"""
 
 @query("bootstrap_diff_ci")
 def q_boot(spark, sf):
-    return resample.bootstrap_diff_ci(sessions(spark, sf), n_boot=2000)
+    return resample.bootstrap_diff_ci(sessions(spark, sf))
 
 
 @query("bootstrap_d_ci")
 def q_boot_d(spark, sf):
-    return resample.bootstrap_d_ci(sessions(spark, sf), n_boot=2000)
+    return resample.bootstrap_d_ci(sessions(spark, sf))
 
 
 @query("aa_check")
@@ -477,4 +477,4 @@ def q_assign(spark, sf):
 
 @query("decision_row")
 def q_decision(spark, sf):
-    return stats.decision_row(stats.metric_report(sessions(spark, sf), n_boot=1000))
+    return stats.decision_row(stats.metric_report(sessions(spark, sf)))

@@ -258,10 +258,10 @@ _AX, _BX = _ab("l_quantity")
 _AY, _BY = _ab("l_discount")
 SQL["histogram_2d"] = sql_round(f"""
 SELECT bx, by_ AS "by", {_AX} + bx * (({_BX} - {_AX}) / 40) AS x_lo, {_AY} + by_ * (({_BY} - {_AY}) / 40) AS y_lo,
-       CAST(count AS BIGINT) AS count
-FROM (SELECT {B.sql_hist_bucket('l_quantity', _AX, _BX, 40)} AS bx,
+       CAST(coalesce(count, 0) AS BIGINT) AS count
+FROM (SELECT unnest(range(40)) AS bx) CROSS JOIN (SELECT unnest(range(40)) AS by_) LEFT JOIN (SELECT {B.sql_hist_bucket('l_quantity', _AX, _BX, 40)} AS bx,
              {B.sql_hist_bucket('l_discount', _AY, _BY, 40)} AS by_, count(*) AS count
-      FROM lineitem WHERE l_quantity IS NOT NULL AND l_discount IS NOT NULL GROUP BY 1, 2)""",
+      FROM lineitem WHERE l_quantity IS NOT NULL AND l_discount IS NOT NULL GROUP BY 1, 2) USING (bx, by_)""",
                                 ["x_lo", "y_lo"])
 
 
@@ -342,8 +342,10 @@ def q_contingency(spark, sf):
 
 
 SQL["contingency"] = """
-SELECT coalesce(o_orderstatus, '<<MISSING>>') AS x_value, coalesce(o_orderpriority, '<<MISSING>>') AS y_value,
-       CAST(count(*) AS BIGINT) AS n FROM orders GROUP BY 1, 2"""
+WITH o AS (SELECT coalesce(o_orderstatus, '<<MISSING>>') AS x_value, coalesce(o_orderpriority, '<<MISSING>>') AS y_value FROM orders)
+SELECT x_value, y_value, CAST(coalesce(n, 0) AS BIGINT) AS n
+FROM (SELECT DISTINCT x_value FROM o) CROSS JOIN (SELECT DISTINCT y_value FROM o)
+LEFT JOIN (SELECT x_value, y_value, count(*) AS n FROM o GROUP BY 1, 2) USING (x_value, y_value)"""
 
 
 @query("lines_hist_by_group")
@@ -530,12 +532,12 @@ def q_robust(spark, sf):
 
 @query("regress_lowess")
 def q_lowess(spark, sf):
-    return regress.lowess_grid(li(spark, sf), "l_quantity", "l_extendedprice", grid_points=25)
+    return regress.lowess_grid(li(spark, sf), "l_quantity", "l_extendedprice")
 
 
 @query("density_grid")
 def q_density(spark, sf):
-    return density.density_grid(li(spark, sf), "l_quantity", "l_discount", gridsize=30)
+    return density.density_grid(li(spark, sf), "l_quantity", "l_discount")
 
 
 # --- before / after ---------------------------------------------------------------------------

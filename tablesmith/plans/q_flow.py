@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from tablesmith import streaming
@@ -9,7 +11,9 @@ from tablesmith.operators import knn
 from tablesmith.plans import steps
 from tablesmith.plans.common import round_doubles, sql_round
 from tablesmith.plans.q_clean import GL
+from tablesmith.plans.q_experiment import SESS
 from tablesmith.plans.tables import event_log, gappy_lineitem, table
+from tablesmith.sources.events import EVENT_LOG_SQL
 
 Q = {}
 SQL = {}
@@ -113,7 +117,7 @@ def q_hourly(spark, sf):
 
 
 SQL["events_hourly"] = sql_round("""
-WITH ev AS (""" + __import__("tablesmith.sources.events", fromlist=["EVENT_LOG_SQL"]).EVENT_LOG_SQL + """)
+WITH ev AS (""" + EVENT_LOG_SQL + """)
 SELECT time_bucket(INTERVAL 1 HOUR, "timestamp") AS window_start,
        time_bucket(INTERVAL 1 HOUR, "timestamp") + INTERVAL 1 HOUR AS window_end, ab_group,
        CAST(count(*) AS BIGINT) AS n_events, CAST(count(*) FILTER (WHERE event_type = 'apply_clean') AS BIGINT) AS n_apply,
@@ -123,25 +127,55 @@ FROM ev GROUP BY 1, 2, 3""", ["apply_rate"])
 
 @query("events_sliding")
 def q_sliding(spark, sf):
-    return streaming.arm_rates_windowed(event_log(spark, sf), "1 hour", "15 minutes")
+    return round_doubles(streaming.arm_rates_windowed(event_log(spark, sf), "1 hour", "15 minutes"))
+
+
+SQL["events_sliding"] = sql_round("""
+WITH ev AS (""" + EVENT_LOG_SQL + """)
+SELECT w AS window_start, w + INTERVAL 1 HOUR AS window_end, ab_group, CAST(count(*) AS BIGINT) AS n_events,
+       CAST(count(*) FILTER (WHERE event_type = 'apply_clean') AS BIGINT) AS n_apply,
+       count(*) FILTER (WHERE event_type = 'apply_clean') / count(*) AS apply_rate
+FROM (SELECT ab_group, event_type, time_bucket(INTERVAL 15 MINUTE, "timestamp") - k * INTERVAL 15 MINUTE AS w
+      FROM ev, (SELECT unnest(range(4)) AS k))
+GROUP BY 1, 2, 3""", ["apply_rate"])
+
+
+def _run_name(query_name: str) -> str:
+    """A registered query reads its tables anew each time; a service would keep one name and go on."""
+    return f"{query_name}-{uuid.uuid4().hex}"
 
 
 @query("stream_event_log")
 def q_stream_ingest(spark, sf):
     return streaming.run_to_table(streaming.event_log_stream(spark, f"{sf.rstrip('/')}/events*.parquet"),
-                                  "stream_event_log")
+                                  _run_name("stream_event_log"))
+
+
+SQL["stream_event_log"] = EVENT_LOG_SQL
 
 
 @query("stream_session_metrics")
 def q_stream_sessions(spark, sf):
+    """The sessions that the stream has closed: those whose day ended an hour before the newest event."""
     ev = streaming.event_log_stream(spark, f"{sf.rstrip('/')}/events*.parquet")
-    return streaming.run_to_table(streaming.session_metrics_windowed(ev), "stream_session_metrics")
+    return streaming.run_to_table(streaming.session_metrics_windowed(ev), _run_name("stream_session_metrics"))
+
+
+_CLOSED = """(SELECT * FROM (""" + EVENT_LOG_SQL + """) AS _e
+  WHERE date_trunc('day', "timestamp") + INTERVAL 1 DAY <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR)"""
+SQL["stream_session_metrics"] = f"WITH ev AS {_CLOSED},\n{SESS}\nSELECT * FROM sess"
 
 
 @query("stream_dedupe")
 def q_stream_dedupe(spark, sf):
-    src = streaming.activity_stream(spark, f"{sf.rstrip('/')}/events*.parquet")
-    return streaming.run_to_table(streaming.dedupe_events(src), "stream_dedupe")
+    """Every event arrives twice and is kept once."""
+    path = f"{sf.rstrip('/')}/events*.parquet"
+    twice = streaming.activity_stream(spark, path).unionByName(streaming.activity_stream(spark, path))
+    return streaming.run_to_table(
+        streaming.dedupe_events(twice).withColumn("ts", F.col("ts").cast("timestamp_ntz")), _run_name("stream_dedupe"))
+
+
+SQL["stream_dedupe"] = "SELECT event_id, ts, user_id, event_type, value, props FROM events"
 
 
 @query("stream_arm_stats")
@@ -149,13 +183,17 @@ def q_stream_arm_stats(spark, sf):
     """L4: running per-arm n, mean and variance of the apply rate over the
     sessions a stream closes, merged in ``foreachBatch``."""
     ev = streaming.event_log_stream(spark, f"{sf.rstrip('/')}/events*.parquet")
-    acc = streaming.RunningArmStats("apply_rate")
-    w = streaming.session_metrics_windowed(ev).writeStream.foreachBatch(acc).trigger(availableNow=True)
-    loc = streaming.checkpoint_location(spark, "arm_stats")
-    if loc:
-        w = w.option("checkpointLocation", loc)
-    w.start().awaitTermination()
-    return spark.createDataFrame(acc.as_rows(), "ab_group string, n long, mean double, var double")
+    folder = streaming.stream_folder(spark, _run_name("stream_arm_stats"))
+    acc = streaming.RunningArmStats(f"{folder}/sums", "apply_rate")
+    (streaming.session_metrics_windowed(ev).writeStream.foreachBatch(acc).trigger(availableNow=True)
+     .option("checkpointLocation", f"{folder}/checkpoint").start().awaitTermination())
+    return round_doubles(acc.totals(spark))
+
+
+SQL["stream_arm_stats"] = sql_round(f"""WITH ev AS {_CLOSED},
+{SESS}
+SELECT ab_group, CAST(count(*) AS BIGINT) AS n, avg(apply_rate) AS mean, var_samp(apply_rate) AS var
+FROM sess GROUP BY ab_group""", ["mean", "var"])
 
 
 @query("two_column_dispatch")

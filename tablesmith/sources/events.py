@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tablesmith.sources.files import CSV_DIALECT
+
 # The event-log columns, in order.
 EVENT_COLUMNS = [
     "timestamp", "session_id", "ab_group", "event_type", "clean_action",
@@ -76,13 +78,15 @@ def normalise_events(df: DataFrame) -> DataFrame:
     ).filter(F.col("ab_group").isin("A", "B")))
 
 
-EVENT_CSV_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in EVENT_COLUMNS])
+def append_events(events: DataFrame, path: str) -> None:
+    """Normalised events added to a Parquet log folder, written by the tasks that hold them."""
+    normalise_events(events).write.mode("append").parquet(path)
 
 
-def load_event_log(spark: SparkSession, path: str) -> DataFrame:
+def load_event_log(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """Read a CSV log with every column as text, then normalise. The header
     is checked against the ten required columns before any job runs."""
-    raw = spark.read.option("header", True).option("mode", "FAILFAST").csv(path)
+    raw = spark.read.options(**CSV_DIALECT).option("multiLine", multi_line).option("header", True).option("mode", "FAILFAST").csv(path)
     return normalise_events(raw)
 
 
@@ -94,22 +98,23 @@ def event_log_from_activity(events: DataFrame, preview_types=("click", "view"),
     Session = (user, calendar day); arm = parity of user id + day of month,
     so a session never switches arm; success = apply with ``k >= threshold``
     from the ``props`` JSON; action = ``k % 7``; seconds are counted from the
-    start of the session day.
+    start of the session day. Rows of other types stay in the log under their
+    own type, with no action.
     """
     k = F.get_json_object(F.col("props"), "$.k").cast("int")
     action = F.element_at(F.array(*[F.lit(a) for a in CLEAN_ACTIONS]),
                           (F.pmod(k, F.lit(len(CLEAN_ACTIONS))) + 1).cast("int"))
     is_apply = F.col("event_type").isin(*apply_types)
+    is_preview = F.col("event_type").isin(*preview_types)
     raw = (events
-           .filter(F.col("event_type").isin(*preview_types, *apply_types))
            .select(
                F.col("ts").alias("timestamp"),
                F.concat(F.col("user_id").cast("string"), F.lit("-"),
                         F.date_format(F.col("ts"), "yyyy-MM-dd")).alias("session_id"),
                F.when(F.pmod(F.col("user_id") + F.dayofmonth(F.col("ts")), F.lit(2)) == 0,
                       F.lit("A")).otherwise(F.lit("B")).alias("ab_group"),
-               F.when(is_apply, F.lit(APPLY)).otherwise(F.lit(PREVIEW)).alias("event_type"),
-               action.alias("clean_action"),
+               F.when(is_apply, F.lit(APPLY)).when(is_preview, F.lit(PREVIEW)).otherwise(F.col("event_type")).alias("event_type"),
+               F.when(is_apply | is_preview, action).otherwise(F.lit("")).alias("clean_action"),
                F.lit("activity").alias("dataset_key"),
                F.pmod(k, F.lit(10)).alias("columns_count"),
                F.when(is_apply, F.when(k >= success_threshold, F.lit("True"))
@@ -126,10 +131,11 @@ EVENT_LOG_SQL = """
 SELECT ts AS "timestamp",
        CAST(user_id AS VARCHAR) || '-' || strftime(ts, '%Y-%m-%d') AS session_id,
        CASE WHEN (user_id + day(ts)) % 2 = 0 THEN 'A' ELSE 'B' END AS ab_group,
-       CASE WHEN event_type = 'purchase' THEN 'apply_clean' ELSE 'preview_clean' END AS event_type,
-       (['handle_missing','remove_duplicates','scale_columns','encode_columns',
+       CASE WHEN event_type = 'purchase' THEN 'apply_clean' WHEN event_type IN ('click', 'view') THEN 'preview_clean'
+            ELSE event_type END AS event_type,
+       CASE WHEN event_type NOT IN ('click', 'view', 'purchase') THEN '' ELSE (['handle_missing','remove_duplicates','scale_columns','encode_columns',
          'handle_outliers','standardize_text','coerce_types'])
-         [CAST(json_extract_string(props, '$.k') AS INTEGER) % 7 + 1] AS clean_action,
+         [CAST(json_extract_string(props, '$.k') AS INTEGER) % 7 + 1] END AS clean_action,
        'activity' AS dataset_key,
        CAST(json_extract_string(props, '$.k') AS INTEGER) % 10 AS columns_count,
        CASE WHEN event_type = 'purchase' THEN
@@ -140,5 +146,4 @@ SELECT ts AS "timestamp",
        CASE WHEN event_type = 'purchase' THEN CAST(json_extract_string(props, '$.k') AS INTEGER) >= 50
             ELSE NULL END AS success_bool
 FROM events
-WHERE event_type IN ('click', 'view', 'purchase')
 """

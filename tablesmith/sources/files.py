@@ -7,16 +7,21 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+#: Quotes inside a quoted field are doubled. Fields with line ends need ``multiLine``, which reads each file in one task.
+CSV_DIALECT = {"quote": '"', "escape": '"'}
+
+
 def nan_to_null(df: DataFrame) -> DataFrame:
     """Float/double NaN becomes NULL so every operator sees one missing value."""
     cols = []
     changed = False
     for f in df.schema.fields:
         if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
-            cols.append(F.nanvl(F.col(f.name), F.lit(None).cast(f.dataType)).alias(f.name))
+            c = F.col(f"`{f.name}`")
+            cols.append(F.nanvl(c, F.lit(None).cast(f.dataType)).alias(f.name))
             changed = True
         else:
-            cols.append(F.col(f.name))
+            cols.append(F.col(f"`{f.name}`"))
     return df.select(*cols) if changed else df
 
 
@@ -33,7 +38,7 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None =
              header: bool = True, infer_schema: bool = True, **options) -> DataFrame:
     """CSV scan; a malformed file fails the job (FAILFAST) instead of
     silently dropping rows."""
-    reader = spark.read.option("header", header).option("mode", "FAILFAST")
+    reader = spark.read.options(**CSV_DIALECT).option("header", header).option("mode", "FAILFAST")
     for k, v in options.items():
         reader = reader.option(k, v)
     if schema is not None:
@@ -88,4 +93,4 @@ def read_table(spark: SparkSession, path: str, **options) -> DataFrame:
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """CSV export with a header and no index column (S3). Spark writes one
     part file per partition; the folder is the table."""
-    df.write.mode(mode).option("header", True).csv(path)
+    df.write.mode(mode).options(**CSV_DIALECT).option("header", True).csv(path)

@@ -1,16 +1,13 @@
 """Structured Streaming versions of the event-log half.
 
-The same mapping and aggregates as the batch operators, on
-``readStream`` sources. Checkpoints live under the cluster's shared
-``spark.checkpoint.dir``; only a local-mode session without one falls back
-to Spark's own temporary checkpoint.
+The same mapping and aggregates as the batch operators, on ``readStream``
+sources. A stream's progress and output live below the cluster's shared
+``spark.checkpoint.dir``, under the stream's name.
 """
 
 from __future__ import annotations
 
-import uuid
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tablesmith.sources.events import APPLY, PREVIEW, event_log_from_activity
@@ -24,13 +21,13 @@ def _event_time(df: DataFrame, col: str, watermark: str) -> DataFrame:
     return df.withColumn(col, F.col(col).cast("timestamp")).withWatermark(col, watermark)
 
 
-def checkpoint_location(spark: SparkSession, name: str) -> str | None:
+def stream_folder(spark: SparkSession, name: str) -> str:
+    """The folder of a stream below the shared checkpoint root: its progress and its output. A stream that is
+    started again under its name goes on where it stopped."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if base:
-        return f"{base.rstrip('/')}/streams/{name}-{uuid.uuid4().hex[:8]}"
-    if spark.sparkContext.master.startswith("local"):
-        return None
-    raise RuntimeError("spark.checkpoint.dir is not set; streams need a shared checkpoint folder")
+    if not base:
+        raise RuntimeError("spark.checkpoint.dir is not set; streams need a shared checkpoint folder")
+    return f"{base.rstrip('/')}/streams/{name}"
 
 
 def activity_stream(spark: SparkSession, path: str, max_files_per_trigger: int = 1) -> DataFrame:
@@ -103,57 +100,50 @@ def dedupe_events(events: DataFrame, key: str = "event_id", watermark: str = "1
     return _event_time(events, "ts", watermark).dropDuplicatesWithinWatermark([key])
 
 
-def run_to_table(df: DataFrame, name: str, output_mode: str = "append") -> DataFrame:
-    """Drive a stream over everything available (``availableNow``) into an
-    in-memory table and return it as a batch DataFrame."""
-    spark = df.sparkSession
-    w = df.writeStream.format("memory").queryName(name).outputMode(output_mode).trigger(availableNow=True)
-    loc = checkpoint_location(spark, name)
-    if loc:
-        w = w.option("checkpointLocation", loc)
-    q = w.start()
-    q.awaitTermination()
-    return spark.table(name)
+def run_to_table(df: DataFrame, name: str) -> DataFrame:
+    """Run a stream over everything available (``availableNow``) into a
+    Parquet table of its own and return that table. Tasks write their rows and
+    a batch counts when its files are committed, so a restart under the same
+    name neither loses nor repeats rows, and no row passes the driver."""
+    folder = stream_folder(df.sparkSession, name)
+    (df.writeStream.format("parquet").queryName(name).outputMode("append").trigger(availableNow=True)
+     .option("checkpointLocation", f"{folder}/checkpoint").start(f"{folder}/table").awaitTermination())
+    return df.sparkSession.read.schema(df.schema).parquet(f"{folder}/table")
 
 
 class RunningArmStats:
-    """L4: running n, sum and sum of squares of a session metric per arm,
-    merged batch by batch in ``foreachBatch``; a batch id seen twice (a
-    replay after failure) is skipped, so totals are repeatable. ``alerts``
-    lists batches where the running SRM chi-square p fell below 0.01."""
+    """L4: running n, sum and sum of squares of a session metric per arm, for
+    ``foreachBatch``. Each batch's sums are a folder of their own named by its
+    id; a batch that runs again after a failure overwrites its folder, so
+    totals count it once, also after a restart."""
 
-    def __init__(self, metric: str = "apply_rate"):
-        self.metric = metric
-        self.seen: set[int] = set()
-        self.totals = {"A": [0, 0.0, 0.0], "B": [0, 0.0, 0.0]}
-        self.alerts: list[tuple[int, float]] = []
+    def __init__(self, path: str, metric: str = "apply_rate"):
+        self.path, self.metric = path.rstrip("/"), metric
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        from tablesmith.functions.dist import chi2_sf_df1
-
-        if batch_id in self.seen:
-            return
-        rows = batch.groupBy("ab_group").agg(
-            F.count("*").alias("n"), F.sum(self.metric).alias("s"),
-            F.sum(F.col(self.metric) * F.col(self.metric)).alias("q")).collect()
-        for r in rows:
-            t = self.totals.setdefault(r["ab_group"], [0, 0.0, 0.0])
-            t[0] += r["n"]
-            t[1] += r["s"] or 0.0
-            t[2] += r["q"] or 0.0
-        self.seen.add(batch_id)
-        na, nb = self.totals["A"][0], self.totals["B"][0]
-        n = na + nb
-        if n:
-            chi2 = (na - n / 2) ** 2 / (n / 2) + (nb - n / 2) ** 2 / (n / 2)
-            p = chi2_sf_df1(chi2)
-            if p < 0.01:
-                self.alerts.append((batch_id, p))
-
-    def as_rows(self):
-        out = []
-        for arm, (n, s, q) in sorted(self.totals.items()):
-            mean = s / n if n else None
-            var = (q - n * mean * mean) / (n - 1) if n > 1 else None
-            out.append((arm, n, mean, var))
-        return out
+        m = F.col(self.metric)
+        (batch.groupBy("ab_group").agg(F.count("*").alias("n"), F.sum(m).alias("s"), F.sum(m * m).alias("q"))
+         .write.mode("overwrite").parquet(f"{self.path}/batch_id={batch_id}"))
+
+    def _sums(self, spark: SparkSession) -> DataFrame:
+        return spark.read.schema("ab_group string, n long, s double, q double, batch_id long").parquet(self.path)
+
+    def totals(self, spark: SparkSession) -> DataFrame:
+        """(ab_group, n, mean, var) over all batches so far."""
+        g = self._sums(spark).groupBy("ab_group").agg(F.sum("n").alias("n"), F.sum("s").alias("s"), F.sum("q").alias("q"))
+        mean = F.col("s") / F.col("n")
+        return g.select("ab_group", "n", mean.alias("mean"), F.when(
+            F.col("n") > 1, (F.col("q") - F.col("n") * mean * mean) / (F.col("n") - 1)).alias("var"))
+
+    def alerts(self, spark: SparkSession, alpha: float = 0.01) -> DataFrame:
+        """(batch_id, p_value) of the batches after which the arms' sizes differ too much from one half each."""
+        from tablesmith.functions import dist
+
+        upto = Window.orderBy("batch_id")  # one row per batch
+        sizes = self._sums(spark).groupBy("batch_id").agg(
+            F.sum(F.when(F.col("ab_group") == "A", F.col("n")).otherwise(0)).alias("a"),
+            F.sum(F.when(F.col("ab_group") == "B", F.col("n")).otherwise(0)).alias("b"))
+        run = sizes.select("batch_id", F.sum("a").over(upto).alias("a"), F.sum("b").over(upto).alias("b"))
+        chi2 = F.try_divide((F.col("a") - F.col("b")) * (F.col("a") - F.col("b")), F.col("a") + F.col("b"))
+        return (run.select("batch_id", dist.chi2_df1_sf_udf(chi2.cast("double")).alias("p_value"))
+                .where(F.col("p_value") < alpha))

@@ -121,12 +121,27 @@ def test_stream_matches_batch_sessions(spark):
     assert closed.exceptAll(batch.select("session_id", "ab_group", "n_apply", "apply_rate")).count() == 0
 
 
-def test_running_arm_stats_idempotent(spark):
+def test_running_arm_stats_idempotent(spark, scratch_dir):
     sess = spark.createDataFrame([("a", "A", 0.5), ("b", "B", 1.0)], "session_id string, ab_group string, apply_rate double")
-    acc = streaming.RunningArmStats()
+    acc = streaming.RunningArmStats(f"{scratch_dir}/sums")
     acc(sess, 0)
     acc(sess, 0)
-    assert acc.as_rows()[0][1] == 1 and acc.as_rows()[1][1] == 1
+    again = streaming.RunningArmStats(f"{scratch_dir}/sums")  # as after a restart
+    again(sess, 1)
+    assert {r["ab_group"]: r["n"] for r in again.totals(spark).collect()} == {"A": 2, "B": 2}
+    assert again.alerts(spark).count() == 0
+
+
+def test_stream_goes_on_after_a_restart(spark, scratch_dir):
+    events = table(spark, SF_SMALL, "events")
+    half = events.where("event_id % 2 = 0")
+    half.write.parquet(f"{scratch_dir}/events/a")
+    name = f"restart-{os.path.basename(scratch_dir)}"
+    first = streaming.run_to_table(streaming.event_log_stream(spark, f"{scratch_dir}/events/*"), name)
+    assert first.count() == half.count()
+    events.where("event_id % 2 = 1").write.parquet(f"{scratch_dir}/events/b")
+    both = streaming.run_to_table(streaming.event_log_stream(spark, f"{scratch_dir}/events/*"), name)
+    assert both.count() == events.count()
 
 
 def test_filter_pushes_down_without_python(spark):
