@@ -21,8 +21,7 @@ from tablesmith.session import shuffle_partitions
 def _bucket_expr(value: Column, bounds: list[float]) -> Column:
     if not bounds:
         return F.lit(0).cast("int")
-    terms = [F.when(value >= F.lit(b), 1).otherwise(0) for b in bounds]
-    return sum(terms[1:], terms[0]).cast("int")
+    return F.size(F.filter(F.array(*[F.lit(b) for b in bounds]), lambda b: b <= value))
 
 
 def cumulative_below(df: DataFrame, value: str, weights: list[str], keys: list[str] | None = None,
@@ -45,7 +44,10 @@ def cumulative_below(df: DataFrame, value: str, weights: list[str], keys: list[s
     inner = d.select("*", *[F.coalesce(F.sum(w).over(w_in), F.lit(0)).alias(f"_in_{w}")
                             for w in weights])
     # offsets has at most (#keys x n_buckets) rows: a bounded broadcast.
-    joined = inner.join(F.broadcast(offsets), on=[*keys, "_bk"], how="inner")
-    return joined.select(
-        *[F.col(c) for c in df.columns],
+    off = F.broadcast(offsets)
+    same = inner["_bk"] == off["_bk"]
+    for k in keys:  # a missing key is a key of its own
+        same = same & inner[k].eqNullSafe(off[k])
+    return inner.join(off, same, "inner").select(
+        *[inner[c] for c in df.columns],
         *[(F.col(f"_off_{w}") + F.col(f"_in_{w}")).alias(f"{w}_below") for w in weights])

@@ -65,14 +65,6 @@ def resolve_columns(df: DataFrame, columns) -> list[str]:
     return list(columns) if columns else list(df.columns)
 
 
-def quantiles(col, probs, approx: bool = False, accuracy: int = 100_000):
-    """Exact (linear interpolation, a value->count map per group) or
-    approximate (bounded sketch per group) quantiles as one array column."""
-    if approx:
-        return F.percentile_approx(col, list(probs), accuracy)
-    return F.percentile(col, F.array(*[F.lit(float(p)) for p in probs]))
-
-
 def round_half_up(c, digits: int):
     """floor(x * 10^d + 0.5) / 10^d, in doubles at any magnitude: beyond 2^52 a
     double has no fraction to cut, and the detour over BIGINT would saturate."""

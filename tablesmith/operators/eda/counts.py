@@ -15,6 +15,7 @@ from pyspark.errors import AnalysisException, ParseException
 from pyspark.sql import functions as F
 
 from tablesmith.functions import bins as B
+from tablesmith.functions.quantile import column_quantiles
 from tablesmith.functions.types import require_numeric, validate_columns
 from tablesmith.operators.eda.groups import MISSING, label_missing
 
@@ -56,13 +57,13 @@ def auto_bins(df: DataFrame, column: str) -> int:
     """numpy's ``"auto"``: the smaller of the Sturges and Freedman-Diaconis
     widths (more bins), Sturges when the IQR is zero."""
     v = _c(column).cast("double")
-    r = df.agg(F.min(v).alias("lo"), F.max(v).alias("hi"), F.count(v).alias("n"),
-               F.percentile(v, F.array(F.lit(0.25), F.lit(0.75))).alias("q")).first()
+    r = df.agg(F.min(v).alias("lo"), F.max(v).alias("hi"), F.count(v).alias("n")).first()
     n, lo, hi = int(r["n"]), float(r["lo"]), float(r["hi"])
     if hi == lo or n == 0:
         return 1
     width = (hi - lo) / (math.log2(n) + 1.0)
-    iqr = float(r["q"][1] - r["q"][0])
+    q1, q3 = column_quantiles(df, [column], [0.25, 0.75])[column]
+    iqr = q3 - q1
     if iqr > 0:
         width = min(width, 2.0 * iqr * n ** (-1.0 / 3.0))
     return max(1, int(math.ceil((hi - lo) / width)))

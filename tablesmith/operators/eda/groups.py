@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablesmith.functions.types import quantiles, require_categorical, require_numeric
+from tablesmith.functions.quantile import quantiles_by
+from tablesmith.functions.types import require_categorical, require_numeric
 
 MISSING = "<<MISSING>>"
 
@@ -19,26 +20,25 @@ def label_missing(c: Column) -> Column:
     return F.coalesce(c.cast("string"), F.lit(MISSING))
 
 
-def group_box_stats(df: DataFrame, value: str, by: str, hue: str | None = None,
-                    approx: bool = False) -> DataFrame:
+def group_box_stats(df: DataFrame, value: str, by: str, hue: str | None = None) -> DataFrame:
     """Count, mean, sd, min, quartiles (linear interpolation), max of
     ``value`` per ``by`` (and ``hue``). Rows missing ``value`` or ``by`` are
-    dropped; a missing hue is kept as its own group. Exact percentiles hold a
-    value->count map per group, so a hot group costs its distinct values,
-    not its rows."""
+    dropped; a missing hue is kept as its own group. Quartiles are read from
+    counts of distinct values by ranges, so no task holds a whole group."""
     require_numeric(df, [value])
     keys = [_c(by).cast("string").alias("group")]
     if hue and hue != by:
         keys.append(_c(hue).cast("string").alias("hue_value"))
     v = _c(value).cast("double")
-    q = quantiles(v, [0.25, 0.5, 0.75], approx)
-    g = (df.filter(_c(value).isNotNull() & _c(by).isNotNull())
-         .groupBy(*keys)
-         .agg(F.count(v).alias("count"), F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"),
-              F.min(v).alias("min"), q.alias("_q"), F.max(v).alias("max")))
-    names = [k for k in ("group", "hue_value") if k in g.columns]
-    return g.select(*names, "count", "mean", "std", "min", F.col("_q")[0].alias("q1"),
-                    F.col("_q")[1].alias("median"), F.col("_q")[2].alias("q3"), "max")
+    rows = df.filter(_c(value).isNotNull() & _c(by).isNotNull()).select(*keys, v.alias("v"))
+    names = [k for k in ("group", "hue_value") if k in rows.columns]
+    g = rows.groupBy(*names).agg(F.count("v").alias("count"), F.avg("v").alias("mean"),
+                                 F.stddev_samp("v").alias("std"), F.min("v").alias("min"), F.max("v").alias("max"))
+    q = quantiles_by(rows, F.col("v"), [0.25, 0.5, 0.75], {n: F.col(n) for n in names})
+    on = [g[n].eqNullSafe(q[n]) for n in names]
+    return g.join(q, on[0] if len(on) == 1 else on[0] & on[1]).select(
+        *[g[n] for n in names], "count", "mean", "std", "min", F.col("q")[0].alias("q1"),
+        F.col("q")[1].alias("median"), F.col("q")[2].alias("q3"), "max")
 
 
 def group_bar(df: DataFrame, value: str, by: str, hue: str | None = None) -> DataFrame:

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablesmith.functions import dist
+from tablesmith.functions.quantile import quantiles_by
 from tablesmith.functions.ranks import cumulative_below
 from tablesmith.operators.experiment.sessions import METRIC_FAMILY
 
@@ -229,7 +230,7 @@ def arm_balance(events: DataFrame, with_p: bool = True) -> DataFrame:
 def levene_median(sessions: DataFrame, metric: str = "apply_rate", with_p: bool = True) -> DataFrame:
     """Levene's test about the arm median (Brown-Forsythe). Arm medians
     are a two-row table joined back by broadcast."""
-    med = sessions.groupBy("ab_group").agg(F.median(F.col(metric).cast("double")).alias("med"))
+    med = quantiles_by(sessions, F.col(metric), [0.5], {"ab_group": F.col("ab_group")}).select("ab_group", F.col("q")[0].alias("med"))
     z = (sessions.select("ab_group", F.col(metric).cast("double").alias("v"))
          .join(F.broadcast(med), "ab_group")
          .select("ab_group", F.abs(F.col("v") - F.col("med")).alias("z")))

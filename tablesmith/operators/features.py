@@ -6,11 +6,11 @@ outputs and fitted values, the provenance a saved version keeps.
 
 from __future__ import annotations
 
-import re
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tablesmith.functions.expressions import require_plain
 from tablesmith.functions import bins as B
 from tablesmith.functions.types import require_numeric, validate_columns
 from tablesmith.operators import encode, missing
@@ -136,21 +136,16 @@ def dropna_feature(df, col1=None):
     return res, {"feature_type": "dropna", "input_columns": [col1] if col1 else list(df.columns)}
 
 
-_REFUSED = re.compile(r"\b(reflect|try_reflect|java_method|select)\b", re.IGNORECASE)
-
-
 def expression_feature(df, expr: str, new_column: str):
-    """a named column from Spark SQL text. One value per row: aggregate
-    functions fail analysis inside ``withColumn``; subqueries and the
-    JVM-reaching reflect functions are refused."""
+    """a named column from Spark SQL text, one value per row: aggregates
+    fail analysis; generators, windows, subqueries and the JVM-reaching reflect
+    functions are refused by what the analysed plan holds."""
     if not new_column or not new_column.strip():
         raise ValueError("A column name is required for a custom expression.")
     if not expr or not expr.strip():
         raise ValueError("Enter an expression to evaluate.")
-    if _REFUSED.search(expr):
-        raise ValueError("Subqueries and reflect functions are not allowed in expressions.")
-    out = df.withColumn(new_column.strip(), F.expr(expr))
-    out.schema  # analyse now: unknown columns and aggregates fail here
+    out = df.withColumn(new_column.strip(), F.expr(expr))  # unknown columns and aggregates fail here
+    require_plain(df, out)
     return out, {"feature_type": "custom_expr", "output_columns": [new_column.strip()],
                  "expression": expr}
 

@@ -7,7 +7,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablesmith.functions.types import is_numeric_type, quantiles, resolve_columns, validate_columns
+from tablesmith.functions.quantile import column_modes, column_quantiles
+from tablesmith.functions.types import is_numeric_type, resolve_columns, validate_columns
 
 
 def _q(c: str) -> str:
@@ -33,19 +34,14 @@ def dropna_cols(df: DataFrame, columns=None) -> DataFrame:
     return df.drop(*to_drop)
 
 
-def _fit(df: DataFrame, cols: list[str], how: str, approx: bool = False) -> dict:
+def _fit(df: DataFrame, cols: list[str], how: str) -> dict:
     if not cols:
         return {}
-    aggs = []
-    for i, c in enumerate(cols):
-        col = F.col(_q(c))
-        if how == "mean":
-            aggs.append(F.avg(col).alias(f"v{i}"))
-        elif how == "median":
-            aggs.append(quantiles(col.cast("double"), [0.5], approx)[0].alias(f"v{i}"))
-        else:
-            aggs.append(F.mode(col, True).alias(f"v{i}"))
-    row = df.agg(*aggs).first()
+    if how == "median":
+        return {c: q and q[0] for c, q in column_quantiles(df, cols, [0.5]).items()}
+    if how == "mode":
+        return column_modes(df, cols)
+    row = df.agg(*[F.avg(F.col(_q(c))).alias(f"v{i}") for i, c in enumerate(cols)]).first()
     return {c: row[f"v{i}"] for i, c in enumerate(cols)}
 
 
@@ -66,12 +62,11 @@ def fill_mean(df: DataFrame, columns=None) -> DataFrame:
     return _apply(df, _fit(df, cols, "mean"))
 
 
-def fill_median(df: DataFrame, columns=None, approx: bool = False) -> DataFrame:
-    """M4: exact median (linear interpolation); ``approx`` uses a bounded
-    sketch for columns with very many distinct values."""
+def fill_median(df: DataFrame, columns=None) -> DataFrame:
+    """M4: exact median (linear interpolation)."""
     cols = [c for c in resolve_columns(df, columns)
             if c in df.columns and is_numeric_type(df.schema[c].dataType)]
-    return _apply(df, _fit(df, cols, "median", approx))
+    return _apply(df, _fit(df, cols, "median"))
 
 
 def fill_mode(df: DataFrame, columns=None) -> DataFrame:

@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablesmith.functions.types import quantiles, require_numeric
+from tablesmith.functions.quantile import column_quantiles
+from tablesmith.functions.types import require_numeric
 
 
-def iqr_bounds(df: DataFrame, column: str, iqr_multiplier: float = 1.5, approx: bool = False) -> dict:
+def iqr_bounds(df: DataFrame, column: str, iqr_multiplier: float = 1.5) -> dict:
     require_numeric(df, [column])
-    q = df.agg(quantiles(F.col(f"`{column}`").cast("double"), [0.25, 0.75], approx).alias("q")).first()["q"]
+    q = column_quantiles(df, [column], [0.25, 0.75])[column]
     if q is None:
         raise ValueError(f"Column '{column}' has no values")
     q1, q3 = float(q[0]), float(q[1])
@@ -49,10 +50,10 @@ def detect_outliers_lazy(df: DataFrame, column: str, iqr_multiplier: float = 1.5
 
 
 def handle_outliers(df: DataFrame, column: str, action: str = "remove",
-                    iqr_multiplier: float = 1.5, approx: bool = False) -> DataFrame:
+                    iqr_multiplier: float = 1.5) -> DataFrame:
     """C7 ``remove`` keeps rows inside the fences (missing rows go too);
     C8 ``cap`` clips to the fences and keeps missing values (trap T21)."""
-    b = iqr_bounds(df, column, iqr_multiplier, approx)
+    b = iqr_bounds(df, column, iqr_multiplier)
     c = F.col(f"`{column}`")
     if action == "remove":
         return df.filter((c >= b["lower_bound"]) & (c <= b["upper_bound"]))

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tablesmith.functions.quantile import column_quantiles
 from tablesmith.functions.types import (categorical_columns, is_numeric_type, non_numeric_columns,
                                         numeric_columns, round_half_up, validate_columns)
 
@@ -78,25 +79,26 @@ def missing_summary(df: DataFrame) -> DataFrame:
             .orderBy(F.col("missing").desc(), F.col("column")))
 
 
-def describe_numeric(df: DataFrame, columns=None, approx: bool = False) -> DataFrame:
-    """P3/P4 numeric half: count, mean, sd, min, quartiles, max per column.
-    Exact percentiles by default (linear interpolation); ``approx`` uses
-    ``percentile_approx`` for very wide value ranges."""
+def describe_numeric(df: DataFrame, columns=None) -> DataFrame:
+    """P3/P4 numeric half: count, mean, sd, min, quartiles (linear
+    interpolation), max per column."""
     cols = list(columns) if columns else numeric_columns(df)
     aggs = []
     for i, c in enumerate(cols):
         v = F.col(_q(c)).cast("double")
-        q = (F.percentile_approx(v, [0.25, 0.5, 0.75], 10000) if approx
-             else F.percentile(v, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))))
         aggs += [F.count(v).alias(f"n{i}"), F.avg(v).alias(f"m{i}"), F.stddev_samp(v).alias(f"s{i}"),
-                 F.min(v).alias(f"lo{i}"), q.alias(f"q{i}"), F.max(v).alias(f"hi{i}")]
+                 F.min(v).alias(f"lo{i}"), F.max(v).alias(f"hi{i}")]
     wide = df.agg(*aggs)
+    parts = column_quantiles(df, cols, [0.25, 0.5, 0.75])
+
+    def part(c: str, k: int):
+        return F.lit(parts[c][k] if parts[c] else None).cast("double")
+
     rows = F.explode(F.array(*[
         F.struct(F.lit(i).alias("position"), F.lit(c).alias("column"),
                  F.col(f"n{i}").alias("count"), F.col(f"m{i}").alias("mean"),
                  F.col(f"s{i}").alias("std"), F.col(f"lo{i}").alias("min"),
-                 F.col(f"q{i}")[0].alias("p25"), F.col(f"q{i}")[1].alias("p50"),
-                 F.col(f"q{i}")[2].alias("p75"), F.col(f"hi{i}").alias("max"))
+                 part(c, 0).alias("p25"), part(c, 1).alias("p50"), part(c, 2).alias("p75"), F.col(f"hi{i}").alias("max"))
         for i, c in enumerate(cols)]))
     return wide.select(rows.alias("x")).select("x.*")
 
@@ -171,7 +173,8 @@ def column_moments(df: DataFrame, column: str) -> DataFrame:
     if not is_numeric_type(df.schema[column].dataType):
         return describe_categorical(df, [column]).drop("position")
     v = F.col(_q(column)).cast("double")
-    m = df.agg(F.count(v).alias("n"), F.avg(v).alias("mean"), F.median(v).alias("median"),
+    middle = column_quantiles(df, [column], [0.5])[column]
+    m = df.agg(F.count(v).alias("n"), F.avg(v).alias("mean"), F.lit(middle[0] if middle else None).cast("double").alias("median"),
                F.stddev_samp(v).alias("std"), F.skewness(v).alias("g1"),
                F.kurtosis(v).alias("g2"))
     n = F.col("n")

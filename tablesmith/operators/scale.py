@@ -10,10 +10,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablesmith.functions.types import quantiles, require_numeric
+from tablesmith.functions.quantile import column_quantiles
+from tablesmith.functions.types import require_numeric
 
 
-def fit_scaler(df: DataFrame, columns, method: str = "standard", approx: bool = False) -> dict:
+def fit_scaler(df: DataFrame, columns, method: str = "standard") -> dict:
     columns = list(columns)
     require_numeric(df, columns)
     aggs = [F.count(F.col(f"`{c}`")).alias(f"n{i}") for i, c in enumerate(columns)]
@@ -23,14 +24,13 @@ def fit_scaler(df: DataFrame, columns, method: str = "standard", approx: bool =
             aggs += [F.avg(v).alias(f"a{i}"), F.stddev_pop(v).alias(f"b{i}")]
         elif method == "minmax":
             aggs += [F.min(v).alias(f"a{i}"), F.max(v).alias(f"b{i}")]
-        elif method == "robust":
-            aggs += [quantiles(v, [0.25, 0.5, 0.75], approx).alias(f"a{i}")]
-        else:
+        elif method != "robust":
             raise ValueError(f"Unknown method: {method}. Choose from ['standard', 'minmax', 'robust']")
     row = df.agg(*aggs).first()
     empty = [c for i, c in enumerate(columns) if row[f"n{i}"] == 0]
     if empty:
         raise ValueError(f"Cannot scale all-null columns: {empty}.")
+    parts = column_quantiles(df, columns, [0.25, 0.5, 0.75]) if method == "robust" else {}
     params = {}
     for i, c in enumerate(columns):
         if method == "standard":
@@ -38,14 +38,14 @@ def fit_scaler(df: DataFrame, columns, method: str = "standard", approx: bool =
         elif method == "minmax":
             center, scale = row[f"a{i}"], row[f"b{i}"] - row[f"a{i}"]
         else:
-            q1, med, q3 = row[f"a{i}"]
+            q1, med, q3 = parts[c]
             center, scale = med, q3 - q1
         params[c] = (float(center), float(scale) if scale else 1.0)
     return params
 
 
-def scale_columns(df: DataFrame, columns, method: str = "standard", approx: bool = False) -> DataFrame:
-    params = fit_scaler(df, columns, method, approx)
+def scale_columns(df: DataFrame, columns, method: str = "standard") -> DataFrame:
+    params = fit_scaler(df, columns, method)
     out = []
     for f in df.schema.fields:
         if f.name in params:

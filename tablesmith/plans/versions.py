@@ -11,6 +11,7 @@ from __future__ import annotations
 import datetime as _dt
 import re
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,11 +34,30 @@ class VersionStore:
         self.lineage_path = f"{self.root}/_lineage"
 
     def history(self) -> DataFrame:
-        try:
-            df = self.spark.read.parquet(self.lineage_path)
-        except Exception:  # noqa: BLE001 - no lineage yet
+        """All lineage rows; none only where the lineage folder doesn't exist yet. Any other failure to read is raised."""
+        if not self._exists(self.lineage_path):
             return self.spark.createDataFrame([], LINEAGE_SCHEMA)
-        return df.orderBy("seq")
+        return self.spark.read.parquet(self.lineage_path).orderBy("seq")
+
+    def _exists(self, path: str) -> bool:
+        p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return p.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(p)
+
+    def _claim(self) -> int:
+        """A sequence number of this writer's own: the folder that marks it is created, and creating it fails for all but one."""
+        seq = self._next_seq()
+        path = self.spark._jvm.org.apache.hadoop.fs.Path
+        fs = path(self.root).getFileSystem(self.spark._jsc.hadoopConfiguration())
+        fs.mkdirs(path(f"{self.root}/_claims"))
+        while True:
+            mark = path(f"{self.root}/_claims/{seq}")
+            try:
+                fs.create(mark, False).close()
+                return seq
+            except Py4JJavaError:
+                if not fs.exists(mark):
+                    raise
+                seq += 1
 
     def current(self) -> DataFrame:
         """Latest row per key (an overwrite repoints a key)."""
@@ -65,7 +85,7 @@ class VersionStore:
                  transform: str | None = None) -> str:
         """V3 save as a new derived version; returns its key."""
         key = self.next_key(stem)
-        seq = self._next_seq()
+        seq = self._claim()
         path = f"{self.root}/{key}@{seq}"
         df.write.mode("errorifexists").parquet(path)
         self._append(key, label, path, df, source_key, transform, seq)
@@ -76,7 +96,7 @@ class VersionStore:
         cur = self.current().filter(F.col("key") == key).first()
         if cur is None:
             raise KeyError(key)
-        seq = self._next_seq()
+        seq = self._claim()
         path = f"{self.root}/{key}@{seq}"
         df.write.mode("errorifexists").parquet(path)
         self._append(key, cur["label"], path, df, cur["source_key"], transform, seq)
