@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 from tablesmith.functions.ranks import cumulative_below
 from tablesmith.functions.types import numeric_columns, require_numeric
 
-MAX_DISTINCT_PAIRS = 5_000_000
+#: Distinct points of one strip of a column pair, about.
+STRIP_POINTS = 50_000
 
 
 def _c(name: str):
@@ -100,76 +101,105 @@ def spearman_matrix(df: DataFrame, columns=None) -> DataFrame:
     return _matrix_rows(df, out, cols, "rho")
 
 
-def _tau_b(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Weighted tau-b over distinct (x, y) with counts ``w``: concordant minus
-    discordant by a Fenwick tree over y ranks, x groups in order."""
-    pair = int(pdf["pair"].iloc[0])
-    # tau is symmetric: loop over the side with fewer distinct values
-    if pdf["x"].nunique() > pdf["y"].nunique():
-        pdf = pdf.rename(columns={"x": "y", "y": "x"})
-    pdf = pdf.sort_values(["x", "y"])
-    x = pdf["x"].to_numpy()
-    y = pdf["y"].to_numpy()
-    w = pdf["w"].to_numpy(dtype=np.float64)
+def _order_score(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> float:
+    """Weight of concordant minus discordant pairs of distinct points: x groups
+    in order, a Fenwick tree over the ranks of y holding the groups before."""
+    if len(x) < 2:
+        return 0.0
+    if len(np.unique(x)) > len(np.unique(y)):  # symmetric: loop over the side with fewer values
+        x, y = y, x
+    order = np.lexsort((y, x))
+    x, y, w = x[order], y[order], w[order]
+    if x[0] == x[-1]:
+        return 0.0
     ys, yr = np.unique(y, return_inverse=True)
     m = len(ys)
     tree = np.zeros(m + 1)
-    total = 0.0
-    s = 0.0
+
+    def below(j: np.ndarray) -> np.ndarray:
+        out, j = np.zeros(len(j)), j.copy()
+        while (live := j > 0).any():
+            out[live] += tree[j[live]]
+            j[live] -= j[live] & -j[live]
+        return out
+
+    total = score = 0.0
     starts = np.flatnonzero(np.r_[True, x[1:] != x[:-1]])
-    ends = np.r_[starts[1:], len(x)]
-    for a, b in zip(starts, ends):
-        idx = yr[a:b] + 1
-        ww = w[a:b]
-        # weight of earlier rows with y strictly below / strictly above
-        below = np.zeros(len(idx))
-        j = idx - 1
-        while np.any(j > 0):
-            mask = j > 0
-            below[mask] += tree[j[mask]]
-            j[mask] -= j[mask] & -j[mask]
-        upto = np.zeros(len(idx))
-        j = idx.copy()
-        while np.any(j > 0):
-            mask = j > 0
-            upto[mask] += tree[j[mask]]
-            j[mask] -= j[mask] & -j[mask]
-        above = total - upto
-        s += float(np.sum(ww * (below - above)))
-        j = idx.copy()
-        while np.any(j <= m):
-            mask = j <= m
-            np.add.at(tree, j[mask], ww[mask])
-            j[mask] += j[mask] & -j[mask]
+    for a, b in zip(starts, np.r_[starts[1:], len(x)], strict=True):
+        at, ww = yr[a:b] + 1, w[a:b]
+        score += float(np.sum(ww * (below(at - 1) - (total - below(at)))))
+        while (live := at <= m).any():
+            np.add.at(tree, at[live], ww[live])
+            at[live] += at[live] & -at[live]
         total += float(ww.sum())
-    n = w.sum()
-    n0 = n * (n - 1) / 2.0
-    tx = pdf.groupby("x")["w"].sum().to_numpy(dtype=np.float64)
-    ty = pdf.groupby("y")["w"].sum().to_numpy(dtype=np.float64)
-    n1 = float(np.sum(tx * (tx - 1) / 2.0))
-    n2 = float(np.sum(ty * (ty - 1) / 2.0))
-    denom = np.sqrt((n0 - n1) * (n0 - n2))
-    tau = s / denom if denom > 0 else np.nan
-    return pd.DataFrame({"pair": [pair], "tau": [tau], "n": [int(n)]})
-
-
-def kendall_matrix(df: DataFrame, columns=None, max_distinct_pairs: int = MAX_DISTINCT_PAIRS) -> DataFrame:
-    """Tau-b per pair. Rows are counted per distinct (x, y) first, then
-    each pair's distinct-value table is scored in one pandas task in
-    O(d log d). The per-pair table size is checked; beyond the limit the
-    caller must bin the columns explicitly (no silent sampling)."""
+    return score
+
+
+def _strip_score(own: str, other: str):
+    """Score of one strip; the cells of x strips are taken off once, as y strips count them too."""
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        x, y, w = pdf["x"].to_numpy(), pdf["y"].to_numpy(), pdf["w"].to_numpy(dtype=np.float64)
+        s = _order_score(x, y, w)
+        if own == "bx":
+            for _, cell in pdf.groupby(other):
+                s -= _order_score(cell["x"].to_numpy(), cell["y"].to_numpy(), cell["w"].to_numpy(dtype=np.float64))
+        return pd.DataFrame({"pair": [int(pdf["pair"].iloc[0])], "s": [s]})
+
+    return run
+
+
+def _grid_score(pdf: pd.DataFrame) -> pd.DataFrame:
+    """Score between points that share neither strip, from the cells' weights."""
+    grid = np.zeros((int(pdf["bx"].max()) + 1, int(pdf["by"].max()) + 1))
+    grid[pdf["bx"], pdf["by"]] = pdf["w"]
+    before = np.vstack([np.zeros((1, grid.shape[1])), grid.cumsum(axis=0)[:-1]])
+    upto = before.cumsum(axis=1)
+    lower, higher = upto - before, upto[:, -1:] - upto
+    return pd.DataFrame({"pair": [int(pdf["pair"].iloc[0])], "s": [float((grid * (lower - higher)).sum())]})
+
+
+def kendall_matrix(df: DataFrame, columns=None, strip_points: int = STRIP_POINTS) -> DataFrame:
+    """Tau-b per pair, exact at any size.
+
+    Rows are counted per distinct (x, y). Both axes are cut into strips of
+    about ``strip_points`` points by cumulative counts, equal values in one
+    strip. Pairs of points in different x and different y strips are scored
+    from the grid of cell weights; pairs in one x strip or one y strip each in
+    that strip's task, and pairs in one cell, which both would count, are taken
+    off once. A strip of a single value scores 0 whatever its size.
+    """
     cols = list(columns) if columns else numeric_columns(df)
     require_numeric(df, cols)
     pairs = _pairs(cols)
     pc = _long_pairs(df, pairs).groupBy("pair", "x", "y").agg(F.count("*").alias("w"))
-    sizes = pc.groupBy("pair").count().agg(F.max("count").alias("m")).first()["m"] or 0
-    if sizes > max_distinct_pairs:
-        raise ValueError(f"A column pair has {sizes} distinct value pairs (limit {max_distinct_pairs}); "
-                         "bin the columns first")
-    tau = pc.groupBy("pair").applyInPandas(_tau_b, "pair int, tau double, n long")
+    points = {r["pair"]: r["count"] for r in pc.groupBy("pair").count().collect()}  # a row per column pair
+    strips = F.create_map(*[F.lit(v) for p, n in points.items() for v in (p, -(-n // strip_points))]) if points else None
+    many = F.create_map(*[F.lit(v) for p, n in points.items() for v in (p, n)]) if points else None
+    cells, ties = pc, []
+    for axis, strip in (("x", "bx"), ("y", "by")):
+        values = pc.groupBy("pair", axis).agg(F.sum("w").alias("t"), F.count("*").alias("m"))
+        t = F.col("t").cast("double")
+        ties.append(values.groupBy("pair").agg(F.sum(t).alias("n"), F.sum(t * (t - 1) / 2).alias("ties")))
+        if not points:
+            continue
+        cut = F.floor(F.col("m_below") * F.element_at(strips, F.col("pair")) / F.element_at(many, F.col("pair"))).cast("int")
+        ranked = cumulative_below(values.select("pair", axis, "m"), axis, ["m"], ["pair"]).select("pair", axis, cut.alias(strip))
+        cells = cells.join(ranked, ["pair", axis])
     names = df.sparkSession.createDataFrame([(i, a, b) for i, (a, b) in enumerate(pairs)],
                                             "pair int, col_x string, col_y string")
-    out = tau.join(F.broadcast(names), "pair")
+    if not points:
+        empty = names.select("col_x", "col_y", F.lit(None).cast("double").alias("tau"))
+        return _matrix_rows(df, empty, cols, "tau")
+    schema = "pair int, s double"
+    scores = (cells.groupBy("pair", "bx", "by").agg(F.sum("w").cast("double").alias("w")).groupBy("pair").applyInPandas(_grid_score, schema)
+              .unionByName(cells.groupBy("pair", "bx").applyInPandas(_strip_score("bx", "by"), schema))
+              .unionByName(cells.groupBy("pair", "by").applyInPandas(_strip_score("by", "bx"), schema)))
+    s = scores.groupBy("pair").agg(F.sum("s").alias("s"))
+    tx, ty = ties[0].withColumnRenamed("ties", "tx"), ties[1].select("pair", F.col("ties").alias("ty"))
+    all_pairs = F.col("n") * (F.col("n") - 1) / 2
+    scale = F.sqrt((all_pairs - F.col("tx")) * (all_pairs - F.col("ty")))
+    out = (names.join(s, "pair", "left").join(tx, "pair", "left").join(ty, "pair", "left")
+           .select("col_x", "col_y", F.when(scale > 0, F.col("s") / scale).alias("tau")))
     return _matrix_rows(df, out, cols, "tau")
 
 

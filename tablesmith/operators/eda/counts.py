@@ -49,7 +49,7 @@ def numeric_range(df: DataFrame, column: str) -> tuple[float, float, int]:
     r = df.agg(F.min(_c(column)).alias("lo"), F.max(_c(column)).alias("hi"),
                F.count(_c(column)).alias("n")).first()
     if r["n"] == 0:
-        raise ValueError(f"Column '{column}' has no valid numeric values.")
+        raise ValueError(f"{column}: no number to bin")
     return float(r["lo"]), float(r["hi"]), int(r["n"])
 
 
@@ -116,7 +116,7 @@ def histogram_2d(df: DataFrame, x: str, y: str, bins=40) -> DataFrame:
     r = both.agg(F.min(_c(x)).alias("x0"), F.max(_c(x)).alias("x1"),
                  F.min(_c(y)).alias("y0"), F.max(_c(y)).alias("y1")).first()
     if r["x0"] is None:
-        raise ValueError("No valid numeric pairs remain after dropping missing values.")
+        raise ValueError(f"No row has both {x} and {y}")
     ax, bx = B.hist_range(float(r["x0"]), float(r["x1"]))
     ay, by = B.hist_range(float(r["y0"]), float(r["y1"]))
     sx, sy = (bx - ax) / nx, (by - ay) / ny

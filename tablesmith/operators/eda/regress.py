@@ -30,7 +30,7 @@ def _complete(df: DataFrame, x: str, y: str, logx: bool) -> DataFrame:
     if logx:
         bad = d.filter(F.col("x") <= 0).limit(1).count()
         if bad:
-            raise ValueError(f"logx=True is invalid because column '{x}' contains non-positive values.")
+            raise ValueError(f"{x} reaches 0 or below, so it has no logarithm")
         d = d.withColumn("x", F.log(F.col("x")))
     return d
 
@@ -45,7 +45,7 @@ def poly_fit(df: DataFrame, x: str, y: str, order: int = 1, logx: bool = False)
     m = d.agg(F.avg("x").alias("m"), F.stddev_pop("x").alias("s"), F.count("*").alias("n"),
               F.min("x").alias("lo"), F.max("x").alias("hi")).first()
     if m["n"] == 0:
-        raise ValueError("No valid numeric pairs remain after dropping missing values.")
+        raise ValueError(f"No row has both {x} and {y}")
     mean, sd = float(m["m"]), float(m["s"]) or 1.0
     z = (F.col("x") - F.lit(mean)) / F.lit(sd)
     aggs = [F.sum(F.pow(z, k)).alias(f"z{k}") for k in range(0, 2 * order + 1)]

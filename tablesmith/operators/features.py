@@ -25,7 +25,7 @@ def log_feature(df, col1, new_column=None):
     require_numeric(df, [col1])
     lo = df.agg(F.min(_c(col1)).alias("m")).first()["m"]
     if lo is not None and lo < -1:
-        raise ValueError(f"Column '{col1}' has values below -1; log1p is undefined there.")
+        raise ValueError(f"{col1} goes below -1, where log1p has no value")
     out = new_column or f"log_{col1}"
     return df.withColumn(out, F.log1p(_c(col1).cast("double"))), {
         "feature_type": "log", "input_columns": [col1], "output_columns": [out]}
@@ -103,7 +103,7 @@ def zscore_feature(df, col1, new_column=None):
     require_numeric(df, [col1])
     r = df.agg(F.avg(_c(col1)).alias("m"), F.stddev_samp(_c(col1)).alias("s")).first()
     if r["s"] is None or r["s"] == 0:
-        raise ValueError(f"Column '{col1}' has zero or undefined standard deviation.")
+        raise ValueError(f"{col1} has no spread to standardise by")
     out = new_column or f"{col1}_zscore"
     return df.withColumn(out, (_c(col1).cast("double") - F.lit(r["m"])) / F.lit(r["s"])), {
         "feature_type": "standardize", "input_columns": [col1], "output_columns": [out],
@@ -115,7 +115,7 @@ def normalise_feature(df, col1, new_column=None):
     require_numeric(df, [col1])
     r = df.agg(F.min(_c(col1)).alias("lo"), F.max(_c(col1)).alias("hi")).first()
     if r["lo"] is None or r["lo"] == r["hi"]:
-        raise ValueError(f"Column '{col1}' is constant; cannot normalise.")
+        raise ValueError(f"{col1} has one value only, so no range")
     out = new_column or f"{col1}_normalized"
     lo, hi = float(r["lo"]), float(r["hi"])
     return df.withColumn(out, (_c(col1).cast("double") - F.lit(lo)) / F.lit(hi - lo)), {
@@ -141,9 +141,9 @@ def expression_feature(df, expr: str, new_column: str):
     fail analysis; generators, windows, subqueries and the JVM-reaching reflect
     functions are refused by what the analysed plan holds."""
     if not new_column or not new_column.strip():
-        raise ValueError("A column name is required for a custom expression.")
+        raise ValueError("The new column needs a name")
     if not expr or not expr.strip():
-        raise ValueError("Enter an expression to evaluate.")
+        raise ValueError("The expression is empty")
     out = df.withColumn(new_column.strip(), F.expr(expr))  # unknown columns and aggregates fail here
     require_plain(df, out)
     return out, {"feature_type": "custom_expr", "output_columns": [new_column.strip()],

@@ -6,13 +6,13 @@ features are standardised with the reference rows' mean and population sd;
 distance is Euclidean; a gap is filled with the plain mean of its k nearest
 references' values (equal distances: smallest tie key first).
 
-Plan: the query rows (rows with a gap, de-duplicated by content) are a
-checked, bounded set shipped to every task; the reference rows stay
-partitioned where they are. Each task scans its references in Arrow batches
-and keeps a running top-k per query, so it emits at most queries x k rows;
-a groupBy on the query merges the per-task candidates (partitions x k per
-query) and averages the best k. The filled values join back by a content
-hash with a broadcast of the bounded query table.
+Plan: the query rows (rows with a gap, de-duplicated by content) are a query
+set against all rows: they are broadcast in blocks of ``BLOCK_QUERIES``, each
+with one pass over the reference rows, which stay partitioned where they are.
+Each task scans its references in Arrow batches and keeps a running top-k per
+query, so it emits at most queries x k rows; a groupBy on the query merges the
+per-task candidates (partitions x k per query) and averages the best k. The
+filled values join back by a content hash.
 """
 
 from __future__ import annotations
@@ -24,7 +24,8 @@ from pyspark.sql import functions as F
 
 from tablesmith.functions.types import is_numeric_type, require_numeric
 
-MAX_QUERIES = 200_000
+#: Query rows that one pass over the references serves.
+BLOCK_QUERIES = 50_000
 
 
 def _row_hash(df: DataFrame):
@@ -32,14 +33,13 @@ def _row_hash(df: DataFrame):
 
 
 def knn_impute(df: DataFrame, columns, k: int = 5, tie_key: str | None = None,
-               max_queries: int = MAX_QUERIES):
+               block_queries: int = BLOCK_QUERIES):
     """Returns ``(DataFrame, warning or None)``."""
     columns = list(columns)
     require_numeric(df, columns)
     others = [f.name for f in df.schema.fields if f.name not in columns and is_numeric_type(f.dataType)]
     if not others:
-        raise ValueError(f"k-NN imputation cannot be performed for column(s) {columns}: "
-                         "no other numeric-valued columns exist in the dataset.")
+        raise ValueError(f"Nothing to measure distances on: {columns} are the only numeric columns.")
     need = F.lit(False)
     for c in columns:
         need = need | F.col(f"`{c}`").isNull()
@@ -50,9 +50,7 @@ def knn_impute(df: DataFrame, columns, k: int = 5, tie_key: str | None = None,
         return df, None
     feats = [c for i, c in enumerate(others) if stats[f"v{i}"] / n_need >= 0.80]
     if not feats:
-        raise ValueError(f"k-NN imputation cannot be performed for column(s) {columns}: no other "
-                         f"numeric-valued columns contain valid values for >= 80 % of the {n_need} "
-                         f"entries where {columns} has missing values.")
+        raise ValueError(f"No numeric column is filled in at least 80 % of the {n_need} rows that lack {columns}.")
     feat_ok = F.lit(True)
     for c in feats:
         feat_ok = feat_ok & F.col(f"`{c}`").isNotNull()
@@ -62,9 +60,8 @@ def knn_impute(df: DataFrame, columns, k: int = 5, tie_key: str | None = None,
     n_can = df.filter(need & feat_ok).count()
     warning = None
     if n_can / n_need < 0.5:
-        warning = (f"Warning: For column(s) {columns} imputed using {feats}, only {n_can}/{n_need} "
-                   f"({n_can / n_need:.1%}) of rows requiring imputation have valid values in all feature "
-                   f"columns. The {n_need - n_can} rows that cannot be k-NN imputed will be dropped.")
+        warning = (f"{n_need - n_can} of {n_need} rows without {columns} also lack one of {feats}; "
+                   f"they are dropped, and {n_can} ({n_can / n_need:.1%}) are filled.")
     kept = df.filter(~need | feat_ok)
     if n_can == 0:
         return kept, warning
@@ -75,27 +72,21 @@ def knn_impute(df: DataFrame, columns, k: int = 5, tie_key: str | None = None,
                    *[F.stddev_pop(F.col(f"`{c}`").cast("double")).alias(f"s{i}")
                      for i, c in enumerate(feats)]).first()
     if mom["n"] == 0:
-        raise ValueError("No reference rows with valid values in both target and feature columns.")
+        raise ValueError(f"No complete row to learn {columns} from.")
     mean = np.array([mom[f"m{i}"] for i in range(len(feats))], dtype=float)
     sd = np.array([mom[f"s{i}"] or 1.0 for i in range(len(feats))], dtype=float)
     k_eff = int(min(k, mom["n"]))
 
     qrows = kept.filter(need).withColumn("_h", _row_hash(kept)).select("_h", *[F.col(f"`{c}`") for c in feats]) \
         .dropDuplicates(["_h"])
-    n_q = qrows.limit(max_queries + 1).count()
-    if n_q > max_queries:
-        raise ValueError(f"{n_q}+ distinct rows need imputation (limit {max_queries}); "
-                         "impute in batches by a key range")
-    qpdf = qrows.toPandas()
-    qid = qpdf["_h"].to_numpy()
-    qz = (qpdf[feats].to_numpy(dtype=float) - mean) / sd
+    n_blocks = max(1, -(-qrows.count() // block_queries))
     key_col = F.col(f"`{tie_key}`").cast("long") if tie_key else _row_hash(df)
     ref_in = refs.select(key_col.alias("_key"), *[F.col(f"`{c}`").cast("double").alias(f"_f{i}")
                                                   for i, c in enumerate(feats)],
                          *[F.col(f"`{c}`").cast("double").alias(f"_t{j}") for j, c in enumerate(columns)])
     nf, nt = len(feats), len(columns)
 
-    def local_topk(batches):
+    def local_topk(batches, qid, qz):
         best_d = np.full((len(qz), k_eff), np.inf)
         best_k = np.full((len(qz), k_eff), np.iinfo(np.int64).max, dtype=np.int64)
         best_t = np.zeros((len(qz), k_eff, nt))
@@ -124,7 +115,14 @@ def knn_impute(df: DataFrame, columns, k: int = 5, tie_key: str | None = None,
         yield pd.DataFrame(out)
 
     schema = "_h long, d2 double, _key long, " + ", ".join(f"_t{j} double" for j in range(nt))
-    cand = ref_in.mapInPandas(local_topk, schema)
+    cand = None
+    for block in range(n_blocks):  # queries are dealt to blocks by their hash; one block at a time is read
+        part = qrows if n_blocks == 1 else qrows.where(F.pmod(F.xxhash64("_h"), F.lit(n_blocks)) == block)
+        qpdf = part.toPandas()
+        qid, qz = qpdf["_h"].to_numpy(), (qpdf[feats].to_numpy(dtype=float) - mean) / sd
+        given = df.sparkSession.sparkContext.broadcast((qid, qz))
+        found = ref_in.mapInPandas(lambda batches, given=given: local_topk(batches, *given.value), schema)
+        cand = found if cand is None else cand.unionByName(found)
     # per query: partitions x k candidates, keep the best k by (distance, key)
     best = cand.groupBy("_h").agg(F.slice(F.array_sort(F.collect_list(F.struct(
         "d2", "_key", *[f"_t{j}" for j in range(nt)]))), 1, k_eff).alias("nn"))
@@ -135,7 +133,7 @@ def knn_impute(df: DataFrame, columns, k: int = 5, tie_key: str | None = None,
                                  for j in range(nt)], F.size("nn").alias("_m"))
     filled = filled.select("_h", *[(F.col(f"_fill{j}") / F.col("_m")).alias(f"_fill{j}") for j in range(nt)])
     with_h = kept.withColumn("_h", F.when(need, _row_hash(kept)))
-    joined = with_h.join(F.broadcast(filled), "_h", "left")
+    joined = with_h.join(filled, "_h", "left")
     out_cols = []
     for c in kept.columns:
         if c in columns:

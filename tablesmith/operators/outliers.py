@@ -60,4 +60,4 @@ def handle_outliers(df: DataFrame, column: str, action: str = "remove",
     if action == "cap":
         capped = F.least(F.greatest(c.cast("double"), F.lit(b["lower_bound"])), F.lit(b["upper_bound"]))
         return df.withColumn(column, F.when(c.isNull(), F.lit(None).cast("double")).otherwise(capped))
-    raise ValueError(f"Unknown action: {action}. Choose 'remove' or 'cap'.")
+    raise ValueError(f"{action!r} is no outlier action: remove or cap")

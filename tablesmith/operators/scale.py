@@ -25,11 +25,11 @@ def fit_scaler(df: DataFrame, columns, method: str = "standard") -> dict:
         elif method == "minmax":
             aggs += [F.min(v).alias(f"a{i}"), F.max(v).alias(f"b{i}")]
         elif method != "robust":
-            raise ValueError(f"Unknown method: {method}. Choose from ['standard', 'minmax', 'robust']")
+            raise ValueError(f"{method!r} is no scaler: standard, minmax or robust")
     row = df.agg(*aggs).first()
     empty = [c for i, c in enumerate(columns) if row[f"n{i}"] == 0]
     if empty:
-        raise ValueError(f"Cannot scale all-null columns: {empty}.")
+        raise ValueError(f"No values to fit a scale on: {empty}")
     parts = column_quantiles(df, columns, [0.25, 0.5, 0.75]) if method == "robust" else {}
     params = {}
     for i, c in enumerate(columns):

@@ -39,7 +39,7 @@ def coerce_types(df: DataFrame, columns=None, target: str = "numeric") -> DataFr
     T15); numeric columns stay. N3 ``string``: cast to text, missing stays
     missing (trap T11)."""
     if target not in ("numeric", "string"):
-        raise ValueError(f"Unknown target type: {target}. Use 'numeric' or 'string'.")
+        raise ValueError(f"{target!r} is no target type: numeric or string")
     cols = set(resolve_columns(df, columns))
     out = []
     for f in df.schema.fields:

@@ -19,7 +19,7 @@ def _encode(df, columns, method="label"):
         return encode.encode_label(df, columns)
     if method == "onehot":
         return encode.encode_onehot(df, columns)
-    raise ValueError(f"Unknown method: {method}. Choose 'label' or 'onehot'.")
+    raise ValueError(f"{method!r} is no encoder: label or onehot")
 
 
 def _outliers(df, column, action_type="remove", iqr_multiplier=1.5):

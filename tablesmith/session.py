@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import os
+import shutil
+import tempfile
+
 from pyspark.sql import SparkSession
 
 # Defaults a user would set for these workloads; anything passed in ``conf``
@@ -48,3 +52,16 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the session's Python workers, where it isn't
+    installed there. Once a session; Spark's own file server carries it, so no
+    shared folder is needed."""
+    sc = spark.sparkContext
+    if getattr(sc, "_tablesmith_shipped", False):
+        return
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    archive = shutil.make_archive(os.path.join(tempfile.mkdtemp(prefix="tablesmith-"), "tablesmith"), "zip", root, "tablesmith")
+    sc.addPyFile(archive)
+    sc._tablesmith_shipped = True

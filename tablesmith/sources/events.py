@@ -50,7 +50,7 @@ def success_flag(c: Column) -> Column:
 def normalise_events(df: DataFrame) -> DataFrame:
     missing = [c for c in EVENT_COLUMNS if c not in df.columns]
     if missing:
-        raise ValueError(f"Log file is missing required columns: {missing}")
+        raise ValueError(f"The event log lacks the column(s) {missing}")
     ts_type = df.schema["timestamp"].dataType
     ts = (F.col("timestamp") if isinstance(ts_type, (T.TimestampType, T.TimestampNTZType))
           else F.try_to_timestamp(F.col("timestamp").cast("string"),

@@ -60,14 +60,17 @@ def test_event_normalisation_rules(spark):
     assert out["y"]["seconds_since_session_start"] is None
 
 
-def test_published_numbers():
+def test_published_numbers(spark):
     assert dist.chi2_sf_df1(1.376) == pytest.approx(0.2408, abs=1e-4)
     assert dist.binom_test_two_sided(453, 942) == pytest.approx(0.2541, abs=1e-4)
     assert 2 * dist.norm_sf(3.2555) == pytest.approx(0.0011, abs=1e-4)
     lo, hi = dist.wilson_interval(1, 10)
     assert (round(lo, 3), round(hi, 3)) == (0.018, 0.404)
-    assert [dist.required_n_per_arm(d) for d in (0.2, 0.4, 0.5)] == [393, 99, 63]
-    assert dist.minimum_detectable_effect(453) == pytest.approx(0.186, abs=1e-3)
+    spread = spark.createDataFrame([(f"{a}{i}", a, float(i % 11) + (0.4 if a == "B" else 0.0)) for a in "AB" for i in range(453)],
+                                   "session_id string, ab_group string, v double")
+    row = stats.power_table(spread, ["v"]).first()
+    assert row["mde"] == pytest.approx(0.186, abs=1e-3)
+    assert row["required_n_per_arm"] == math.ceil(2 * (1.959964 + 0.841621) ** 2 / row["d"] ** 2)
     assert dist.f_sf(12.657, 1, 940) == pytest.approx(0.0004, abs=5e-5)
 
 

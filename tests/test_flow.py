@@ -101,7 +101,9 @@ def test_kendall_matches_brute_force(spark):
     x = rng.integers(0, 5, 60).astype(float)
     y = (x + rng.integers(0, 3, 60)).astype(float)
     df = spark.createDataFrame([(float(a), float(b)) for a, b in zip(x, y)], "x double, y double")
-    tau = {(r["col_x"], r["col_y"]): r["tau"] for r in corr.kendall_matrix(df, ["x", "y"]).collect()}[("x", "y")]
+    tau, cut = ({(r["col_x"], r["col_y"]): r["tau"] for r in corr.kendall_matrix(df, ["x", "y"], n).collect()}[("x", "y")]
+                for n in (50_000, 4))  # one strip, and several that end inside the data
+    assert cut == pytest.approx(tau)
     s = sum(np.sign(x[i] - x[j]) * np.sign(y[i] - y[j]) for i in range(60) for j in range(i + 1, 60))
     n0 = 60 * 59 / 2
     _, tx = np.unique(x, return_counts=True)
