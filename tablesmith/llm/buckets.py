@@ -15,7 +15,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Entries that one task sorts, about.
-RANGE_ENTRIES = 1 << 20
+RANGE_ENTRIES = 1 << 19
+#: Pairs that a task adds up at once.
+PAIRS_AT_ONCE = 1 << 20
 #: The signature's 32 bits after the range, and the node. Chance agreement of 32 bits only adds candidates.
 ENTRY = np.dtype([("sig", "<u4"), ("node", "<i8")])
 SCHEMA = "range bigint, entries binary"
@@ -86,13 +88,118 @@ def pair_table(a: np.ndarray, b: np.ndarray, n: np.ndarray) -> pa.Table:
     return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64()), "n": pa.array(n, pa.int64())})
 
 
-def stars(packed_rows: DataFrame) -> DataFrame:
-    """(a, b, shared): for every signature its smallest node with each other one, and how many signatures pair the two so."""
-    def pair(table: pa.Table) -> pa.Table:
-        _, node, first = shared(table)
+def _best(x: np.ndarray, y: np.ndarray, n: np.ndarray, node: np.ndarray, cls: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Of pairs between classes, for each node of the smaller class the pair of most weight."""
+    known, at = np.unique(node, return_index=True)
+    i, j = at[np.searchsorted(known, x)], at[np.searchsorted(known, y)]
+    turn = (size[i] > size[j]) | ((size[i] == size[j]) & (cls[i] < cls[j]))
+    x, y = np.where(turn, y, x), np.where(turn, x, y)
+    order = np.lexsort((y, -n, x))
+    x, y, n = x[order], y[order], n[order]
+    kept = _fresh(x)
+    return x[kept], y[kept], n[kept]
+
+
+def meet(index: DataFrame) -> DataFrame:
+    """What an index (range, single, entries) of two kinds of signature joins.
+
+    (range, single, sig, node) rows of the signatures with two nodes or more.
+    Beside them, with ``single`` null, the stars: ``node`` is the smallest node
+    of ``sig`` signatures, each of which ``other`` has too.
+    """
+    def run(table: pa.Table) -> pa.Table:
+        sig, node, first = shared(table)
         hub = node[first]
         other = hub != node
-        return pair_table(*counted(hub[other], node[other]))
-
-    return (packed_rows.groupBy("range").applyInArrow(pair, "a bigint, b bigint, n bigint")
-            .groupBy("a", "b").agg(F.sum("n").alias("shared")))
+        a, b, n = counted(hub[other], node[other])
+        r, kind = table.column("range")[0].as_py(), table.column("single")[0].as_py()
+        return pa.table({
+            "range": pa.array([r] * (len(sig) + len(a)), pa.int64()), "single": pa.array([kind] * len(sig) + [None] * len(a), pa.bool_()),
+            "sig": pa.array(np.concatenate([sig.astype(np.int64), n])), "node": pa.array(np.concatenate([node, a])),
+            "other": pa.array(np.concatenate([node, b]))})
+
+    return index.where("range >= 0").groupBy("range", "single").applyInArrow(run, "range bigint, single boolean, sig bigint, node bigint, other bigint")
+
+
+class Sketches:
+    """Nodes' set sizes and parity sketches: bit k of a sketch is the parity of
+    the node's shingles that fall to k. Every bit in which two sketches differ
+    is a shingle that only one set has, so a pair with too many is no link."""
+
+    def __init__(self, node: np.ndarray, n: np.ndarray, bits: np.ndarray, percent: int):
+        order = np.argsort(node)
+        self.node, self.n, self.bits, self.percent = node[order], n[order], bits[order], percent
+
+    def possible(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        """Flags of the pairs that may reach ``percent``; sizes tell first."""
+        i, j = np.searchsorted(self.node, x), np.searchsorted(self.node, y)
+        a, b = self.n[i], self.n[j]
+        out = 100 * np.minimum(a, b) >= self.percent * np.maximum(a, b)
+        every = np.flatnonzero(out)
+        for lo in range(0, len(every), 1 << 15):
+            at = every[lo: lo + (1 << 15)]
+            differ = np.bitwise_count(self.bits[i[at]] ^ self.bits[j[at]]).sum(axis=1, dtype=np.int64)
+            out[at] = (100 + self.percent) * differ <= (100 - self.percent) * (a[at] + b[at])
+        return out
+
+
+def across(members: DataFrame, best: bool = False, sketches=None) -> DataFrame:
+    """(a, b, shared) of nodes of different classes that share a signature; ``shared`` counts single ones.
+
+    With ``best`` (members then have a ``size``, of their class) only one pair
+    a node: with the member of a larger class that shares the most with it.
+
+    ``sketches``, a broadcast of ``Sketches``, drops pairs that can't be links
+    before they are added up.
+
+    A task adds its pairs up whenever it holds ``PAIRS_AT_ONCE``; it keeps the different ones.
+    """
+    def run(table: pa.Table) -> pa.Table:
+        sig, node, cls = (table.column(c).to_numpy() for c in ("sig", "node", "class"))
+        single = int(table.column("single")[0].as_py())
+        order = np.lexsort((cls, sig))
+        sig, node, cls = sig[order], node[order], cls[order]
+        cuts = np.concatenate([[0], np.flatnonzero(np.diff(sig)) + 1, [len(sig)]])
+        mixed = np.flatnonzero(cls[cuts[:-1]] != cls[cuts[1:] - 1])
+        done, left, right, held = [], [], [], 0
+
+        def add_up() -> None:
+            x, y = np.concatenate(left), np.concatenate(right)
+            if sketches is not None:
+                kept = sketches.value.possible(x, y)
+                x, y = x[kept], y[kept]
+            done.append(counted(np.minimum(x, y), np.maximum(x, y), np.full(len(x), single)))
+            left.clear()
+            right.clear()
+            if len(done) > 1 and sum(len(d[0]) for d in done[1:]) > len(done[0][0]):
+                done[:] = [counted(*[np.concatenate([d[k] for d in done]) for k in range(3)])]
+
+        size = cuts[mixed + 1] - cuts[mixed]
+        pairs = cuts[mixed[size == 2]]
+        for lo in range(0, len(pairs), PAIRS_AT_ONCE):
+            left.append(node[pairs[lo: lo + PAIRS_AT_ONCE]])
+            right.append(node[pairs[lo: lo + PAIRS_AT_ONCE] + 1])
+            add_up()
+        for g in mixed[size > 2].tolist():
+            a, b = int(cuts[g]), int(cuts[g + 1])
+            ends = np.searchsorted(cls[a:b], cls[a:b], side="right")  # where each member's class ends
+            more = (b - a) - ends
+            left.append(np.repeat(node[a:b], more))
+            right.append(node[a + np.repeat(ends, more) + np.arange(int(more.sum())) - np.repeat(np.cumsum(more) - more, more)])
+            held += len(left[-1])
+            if held >= PAIRS_AT_ONCE or len(left) >= PAIRS_AT_ONCE >> 5:
+                add_up()
+                held = 0
+        if left:
+            add_up()
+        if not done:
+            return pair_table(node[:0], node[:0], node[:0])
+        x, y, n = counted(*[np.concatenate([d[k] for d in done]) for k in range(3)])
+        return pair_table(*(_best(x, y, n, node, cls, table.column("size").to_numpy()[order]) if best else (x, y, n)))
+
+    pairs = (members.groupBy("range", "single").applyInArrow(run, "a bigint, b bigint, n bigint")
+             .groupBy("a", "b").agg(F.sum("n").alias("shared")))
+    if not best:
+        return pairs
+    return (pairs.groupBy("a").agg(F.max_by("b", F.struct("shared", F.negate("b"))).alias("b"), F.max("shared").alias("shared"))
+            .select("a", "b", "shared"))

@@ -78,7 +78,6 @@ class Counts:
     class_words: np.ndarray
     ends: int
     blocks: DataFrame
-    shift: int
 
 
 def _distinct(hashes: np.ndarray, kinds: np.ndarray, learn: np.ndarray) -> np.ndarray:
@@ -160,7 +159,7 @@ def count_words(blocked: DataFrame, size: int, top_words: int = TOP_WORDS, range
     hashes = np.array([r["top_hash"] for r in top], dtype=np.int64).view(np.uint64)
     order = np.argsort(hashes)
     return Counts(int(sums[0] or 0), int(sums[1] or 0), hashes[order], np.array([r["top_count"] for r in top], dtype=np.int64)[order],
-                  per_class["class_tokens"], per_class["class_words"], int(sums[2] or 0), totals.where("block >= 0").select("block", "range", "totals"), shift)
+                  per_class["class_tokens"], per_class["class_words"], int(sums[2] or 0), totals.where("block >= 0").select("block", "range", "totals"))
 
 
 _TOTALS = pa.schema([("block", pa.int64()), ("range", pa.int64()), ("totals", pa.binary()), ("stats", pa.struct(
@@ -293,7 +292,7 @@ def score_texts(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id",
     counts = count_words(blocked, size)
     model = train(blocked, counts, states)
     sc = docs.sparkSession.sparkContext
-    shift, n_all, v_all = counts.shift, counts.n, counts.v
+    n_all, v_all = counts.n, counts.v
     given = sc.broadcast((model, np.log10(counts.class_tokens + counts.class_words + 1.0)))
     id_type = blocked.schema["doc_id"].dataType.simpleString()
 
@@ -322,6 +321,5 @@ def score_texts(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id",
                          "train_tokens": pa.array([n_all] * len(texts), pa.int64()),
                          "base_score": pa.array(out["base"], pa.float64()), "score": pa.array(out["score"], pa.float64())})
 
-    assert shift >= 0
     return (blocked.select("block", "doc_id", "held", "text").groupBy("block").cogroup(counts.blocks.groupBy("block"))
             .applyInArrow(finish, f"doc_id {id_type}, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double"))

@@ -64,5 +64,6 @@ Q = {
     "op10_quality_cascade": op10_quality_cascade,
 }
 SQL = {
+    "op3_ngram_jaccard_join": jaccard.CLASSES_SQL,
     "op10_quality_cascade": cascade.REPORT_SQL,
 }

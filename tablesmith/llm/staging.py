@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -20,8 +21,15 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` as a Parquet table in the shared folder: computed once, and safe from lost executors."""
+    """``df`` as a Parquet table in the shared folder: computed once, and safe from lost executors.
+
+    What earlier steps shuffled and no one can read any more is given up first:
+    Spark deletes such files when the driver collects its garbage, which an
+    idle driver may not do for half an hour.
+    """
     spark = df.sparkSession
+    gc.collect()
+    spark._jvm.System.gc()
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -141,9 +141,3 @@ def shingle_set(words: np.ndarray, windows: np.ndarray, start: int, end: int, si
             h = h * _STEP + w
     return mix(np.array([h], dtype=np.uint64))
 
-
-def crc_split(ids: pa.Array, parts: int) -> np.ndarray:
-    """crc32(id as text) mod parts, -1 where the id is null."""
-    import zlib
-
-    return np.array([-1 if x is None else zlib.crc32(str(x).encode()) % parts for x in ids.to_pylist()], dtype=np.int64)

@@ -239,3 +239,28 @@ def test_pipeline_stages(spark):
     ids = stage["bpe_encoding"](spark, safe, sf)
     assert ids.where("NOT round_trip").count() == 0 and ids.count() == safe.count()
     assert tiling.contaminated(clean, spark.read.parquet(f"{sf}/benchmark.parquet")).count() == 0
+
+
+def test_pairs_across_classes(spark):
+    rng = random.Random(6)
+    rows = [(0, True, rng.randrange(40), rng.randrange(30)) for _ in range(200)]
+    rows = sorted({(r, s, g, n, n % 11) for r, s, g, n in rows})
+    want = collections.Counter()
+    for x, y in itertools.combinations(rows, 2):
+        if x[2] == y[2] and x[4] != y[4]:
+            want[min(x[3], y[3]), max(x[3], y[3])] += 1
+    members = spark.createDataFrame(rows, "range long, single boolean, sig long, node long, class long")
+    got = {(r.a, r.b): r.shared for r in buckets.across(members).collect()}
+    assert got == dict(want)
+
+
+def test_sketches_keep_every_link():
+    rng = np.random.default_rng(7)
+    for _ in range(200):
+        pool = rng.integers(0, 2**64 - 1, 400, dtype=np.uint64)
+        a = np.unique(rng.choice(pool, int(rng.integers(1, 300)), replace=False))
+        b = np.unique(np.concatenate([rng.choice(a, max(1, int(len(a) * rng.uniform(0.6, 1))), replace=False), rng.choice(pool, int(rng.integers(0, 40)))]))
+        both = len(np.intersect1d(a, b))
+        s = buckets.Sketches(np.array([1, 2]), np.array([len(a), len(b)]), np.stack([jaccard.sketch_of(a), jaccard.sketch_of(b)]), 75)
+        link = 100 * both >= 75 * (len(a) + len(b) - both)
+        assert s.possible(np.array([1]), np.array([2]))[0] or not link
