@@ -4,7 +4,7 @@ Paragraphs are cut by content, so that a passage falls into the same
 paragraphs wherever it is pasted: a word whose hash is the least among its
 neighbours opens one, and each runs to the second next opening. Paragraphs
 whose MinHash bands collide are verified by the Jaccard similarity of their
-three-word shingles and joined to components; all but a component's first
+five-word shingles and joined to components; all but a component's first
 paragraph are marked for removal.
 """
 
@@ -28,12 +28,12 @@ NEIGHBOURS = 4
 MIN_WORDS = 12
 #: Repeated paragraphs that overlap or touch make a passage; it is reported from this many words on.
 PASSAGE_WORDS = 20
-SHINGLE_WORDS = 3
+SHINGLE_WORDS = 5
 PERCENT = 75
-#: Four bands of two rows meet a pair of similarity 0.75 with probability 0.96, of 0.85 with 0.994, equal ones always.
-BANDS, ROWS = 4, 2
-#: A key list of at most this many rows is broadcast; a longer one is joined by shuffle.
-BROADCAST_ROWS = 200_000
+#: Six bands of three rows meet a pair of similarity 0.75 with probability 0.96, of 0.85 with 0.997, equal ones always.
+BANDS, ROWS = 6, 3
+#: A list of at most this many nodes (8 bytes each) is broadcast; a longer one is joined by shuffle.
+LISTED_NODES = 4_000_000
 
 
 def openings(words: np.ndarray, bounds: np.ndarray) -> np.ndarray:
@@ -64,7 +64,7 @@ def spans(words: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 
 def _paragraphs(rows: pa.RecordBatch, data: np.ndarray, offsets: np.ndarray):
-    """(row, start byte, end byte, words, node, band keys) of the paragraphs of some rows, and their shingle ranges."""
+    """(bytes, starts and ends of the words, first word, end and row of each paragraph, hashes of the word windows)."""
     b, starts, ends, owner = word_spans(data, offsets)
     words = span_hashes(b, starts, ends)
     bounds = np.searchsorted(owner, np.arange(len(offsets)))
@@ -116,7 +116,7 @@ def _index(docs: DataFrame, bits: int) -> DataFrame:
     """The packed band keys of all paragraphs."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for rows, data, offsets in slices(batch, "text", 4 << 20):
+            for rows, data, offsets in slices(batch, "text"):
                 *_, first, end, _, grams = _paragraphs(rows, data, offsets)
                 if len(first):
                     node = _node(grams, first, end)
@@ -125,23 +125,69 @@ def _index(docs: DataFrame, bits: int) -> DataFrame:
     return docs.mapInArrow(run, buckets.SCHEMA)
 
 
-def _shingles(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(node, shingles) of the nodes in ``wanted`` (node, doc_id)."""
-    few = wanted.count() <= BROADCAST_ROWS
+def _listed(nodes: DataFrame):
+    """The nodes as a sorted array, broadcast; None where the list is longer than ``LISTED_NODES``."""
+    if nodes.count() > LISTED_NODES:
+        return None
+    found = np.sort(nodes.toArrow().column("node").to_numpy())
+    return nodes.sparkSession.sparkContext.broadcast(found)
+
+
+def _in(listed: np.ndarray, node: np.ndarray) -> np.ndarray:
+    if not len(listed):
+        return np.zeros(len(node), dtype=bool)
+    return listed[np.minimum(np.searchsorted(listed, node), len(listed) - 1)] == node
+
+
+def _only(rows: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The rows of the given nodes."""
+    nodes = written(nodes, "paragraph-nodes")
+    listed = _listed(nodes)
+    if listed is None:
+        return rows.join(nodes, "node", "left_semi")
+    at = rows.columns.index("node")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(_in(listed.value, batch.column(at).to_numpy())))
 
-    def keys(column: str) -> DataFrame:
-        k = wanted.select(column).distinct()
-        return F.broadcast(k) if few else k
+    return rows.mapInArrow(run, rows.schema)
+
+
+def _shingles(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(node, shingles) of the nodes in ``wanted`` (node, doc_id). A listed node's shingles are all that leaves the
+    tasks that read the texts; beyond the list's bound, texts and nodes are joined."""
+    listed = _listed(wanted.select("node"))
+    chosen = docs if listed is not None else docs.join(wanted.select("doc_id").distinct(), "doc_id", "left_semi")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for rows, data, offsets in slices(batch, "text"):
                 *_, first, end, _, grams = _paragraphs(rows, data, offsets)
-                sets = [np.unique(grams[a: e - SHINGLE_WORDS + 1]).view(np.int64) for a, e in zip(first.tolist(), end.tolist(), strict=True)]
-                yield pa.RecordBatch.from_arrays([pa.array(_node(grams, first, end)), pa.array(sets, pa.list_(pa.int64()))], ["node", "shingles"])
-
-    chosen = docs.join(keys("doc_id"), "doc_id", "left_semi")
-    return chosen.mapInArrow(run, "node bigint, shingles array<bigint>").join(keys("node"), "node", "left_semi").dropDuplicates(["node"])
+                node = _node(grams, first, end)
+                if listed is not None:
+                    kept = _in(listed.value, node)
+                    first, end, node = first[kept], end[kept], node[kept]
+                node, one = np.unique(node, return_index=True)
+                sets = [np.unique(grams[a: e - SHINGLE_WORDS + 1]).view(np.int64) for a, e in zip(first[one].tolist(), end[one].tolist(), strict=True)]
+                yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(sets, pa.list_(pa.int64()))], ["node", "shingles"])
+
+    found = chosen.mapInArrow(run, "node bigint, shingles array<bigint>")
+    if listed is None:
+        found = found.join(wanted.select("node"), "node", "left_semi")
+    return found.dropDuplicates(["node"])
+
+
+def _verified(pairs: DataFrame, docs: DataFrame, found: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) of nodes whose shingles reach the threshold."""
+    pairs = written(pairs.select("a", "b"), "paragraph-pairs")
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    at = written(_only(found, ends).groupBy("node").agg(F.min("doc_id").alias("doc_id")), "paragraph-places")
+    sets = written(_shingles(docs, at), "paragraph-shingles")
+    one = pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa")), "a")
+    two = one.join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb")), "b")
+    inter = F.size(F.array_intersect("sa", "sb"))
+    return two.where(100 * inter >= percent * (F.size("sa") + F.size("sb") - inter)).select("a", "b")
 
 
 def repeated(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", percent: int = PERCENT) -> DataFrame:
@@ -150,43 +196,44 @@ def repeated(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", pe
     doc_id, start and end (bytes of the UTF-8 text), n_words, passage_words
     (the run of repeated paragraphs around it, ``PASSAGE_WORDS`` at least),
     component_id (a number of the component), n_copies, and ``removed``, false
-    for the component's first paragraph by (doc_id, start) only.
+    for the component's first paragraph (by doc_id, then place) only.
 
     Nearly: similarity of ``percent`` or more with a paragraph that shares a
-    band. In every band's bucket all members are held against the smallest
-    one, and the classes' own smallest members again against each other, until
-    no pair is new; equal paragraphs are one node, so a passage that a third of
-    the corpus holds is one entry.
-
-    Null, empty and short texts have no paragraphs. Null ids hold paragraphs
-    too, after all others. Repeated rows and ids are copies like any others.
+    band. In every band's bucket the members are held against the smallest one;
+    after these links have made classes, members of different classes are held
+    against each other. Equal paragraphs are one node, so a passage that a third
+    of the corpus holds is one entry.
+
+    Null, empty and short texts have no paragraphs. Rows with a null id come
+    after all others; a paragraph that only they hold joins equal ones, not near
+    ones. Repeated rows and ids are copies like any others.
     Empty table: no rows. Texts are read whole; only the two named columns are
     read.
     """
     d = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     found = written(paragraphs(d), "paragraphs")
     total = found.count()
-    index = written(_index(d, buckets.range_bits(total * BANDS)), "paragraph-bands")
-    met = written(buckets.stars(index).select("a", "b"), "paragraph-stars")
-    ends = met.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    at = written(found.join(ends, "node", "left_semi").groupBy("node").agg(F.min("doc_id").alias("doc_id")), "paragraph-places")
-    sets = written(_shingles(d, at), "paragraph-shingles")
-    one = met.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa")), "a")
-    two = one.join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb")), "b")
-    inter = F.size(F.array_intersect("sa", "sb"))
-    links = two.where(100 * inter >= percent * (F.size("sa") + F.size("sb") - inter)).select("a", "b")
-    tied = components(links)
-    counted = found.groupBy("node").agg(F.count("*").alias("n"), F.min(F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", "start")).alias("first"))
-    named = counted.join(tied, "node", "left").select("node", "n", "first", F.coalesce("component", "node").alias("component_id"))
-    groups = named.groupBy("component_id").agg(F.sum("n").alias("n_copies"), F.min("first").alias("first")).where("n_copies > 1")
-    several = written(named.select("node", "component_id").join(groups, "component_id"), "paragraph-groups")
-    out = found.join(several, "node")
+    index = _index(d, buckets.range_bits(total * BANDS)).withColumn("single", F.lit(True))
+    met = written(buckets.meet(index), "paragraph-bands")
+    first = written(_verified(met.where("single IS NULL").select(F.col("node").alias("a"), F.col("other").alias("b")).distinct(), d, found, percent), "paragraph-links")
+    members = (met.where("single").join(components(first).withColumnRenamed("component", "class"), "node", "left")
+               .select("range", "single", "sig", "node", F.coalesce("class", "node").alias("class")))
+    rest = _verified(buckets.across(members), d, found, percent)
+    tied = components(first.unionByName(rest))
+
+    # only nodes that stand twice or have a link matter from here on
+    several = found.groupBy("node").agg(F.count("*").alias("n")).where("n > 1").select("node").union(tied.select("node")).distinct()
+    copies = written(_only(found, several).join(tied, "node", "left").withColumn("component_id", F.coalesce("component", "node")).drop("component"),
+                     "paragraph-copies")
+    groups = copies.groupBy("component_id").agg(
+        F.count("*").alias("n_copies"), F.min(F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", "row", "at")).alias("first")).where("n_copies > 1")
+    out = copies.join(groups, "component_id")
     # paragraphs that overlap or touch are one passage
     before = Window.partitionBy("row").orderBy("at")
     opens = F.coalesce(F.col("at") > F.max(F.col("at") + F.col("n_words")).over(before.rowsBetween(Window.unboundedPreceding, -1)), F.lit(True))
     passages = out.withColumn("opens", opens.cast("int")).withColumn("passage", F.sum("opens").over(before))
     whole = Window.partitionBy("row", "passage")
     size = F.max(F.col("at") + F.col("n_words")).over(whole) - F.min("at").over(whole)
-    is_first = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("start") == F.col("first.start"))
+    is_first = (F.col("row") == F.col("first.row")) & (F.col("at") == F.col("first.at"))
     return (passages.withColumn("passage_words", size).where(F.col("passage_words") >= PASSAGE_WORDS)
             .select("doc_id", "start", "end", "n_words", "passage_words", "component_id", "n_copies", (~is_first).alias("removed")))
