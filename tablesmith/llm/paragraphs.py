@@ -1,10 +1,12 @@
 """Repeated passages by MinHash banding of paragraphs.
 
-Paragraphs are cut by content, so that a passage falls into the same
-paragraphs wherever it is pasted: a word whose hash is the least among its
-neighbours opens one, and each runs to the second next opening. Paragraphs
-whose MinHash bands collide are verified by the Jaccard similarity of their
-five-word shingles and joined to components; all but a component's first
+Paragraphs are a text's lines and its blocks between blank lines, whole. So that
+a passage is also found inside longer ones, the words of a text are cut by
+content into pieces of some 50 words and chunks of some 18, which fall alike
+wherever a passage is pasted: a word whose hash is the least among its
+neighbours opens one, and each runs to the second next opening. Paragraphs of
+one kind whose MinHash bands collide are verified by the Jaccard similarity of
+their five-word shingles and joined to components; all but a component's first
 paragraph are marked for removal.
 """
 
@@ -22,12 +24,16 @@ from tablesmith.llm.components import components
 from tablesmith.llm.staging import written
 from tablesmith.llm.textarrays import mix, slices, span_hashes, window_hashes, word_spans
 
-#: Words on each side that a word must undercut to open a paragraph: openings lie 5 words or more apart, 9 on average.
+#: Words on each side that a word must undercut to open a chunk: openings lie 5 words or more apart, 9 on average.
 NEIGHBOURS = 4
+#: And to open a piece: 13 words or more apart, 25 on average. Only texts with more words than a piece has are cut to pieces.
+PIECE_NEIGHBOURS = 12
+PIECE_WORDS = 50
 #: Shorter paragraphs are no passages.
 MIN_WORDS = 12
-#: Repeated paragraphs that overlap or touch make a passage; it is reported from this many words on.
+#: Repeated paragraphs that overlap or touch make a passage; chunks are reported in passages of this many words on.
 PASSAGE_WORDS = 20
+CHUNK, PIECE, WHOLE = 0, 1, 2
 SHINGLE_WORDS = 5
 PERCENT = 75
 #: Six bands of three rows meet a pair of similarity 0.75 with probability 0.96, of 0.85 with 0.997, equal ones always.
@@ -36,13 +42,13 @@ BANDS, ROWS = 6, 3
 LISTED_NODES = 4_000_000
 
 
-def openings(words: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-    """Flags of the words that open a paragraph; the first word of every row does."""
+def openings(words: np.ndarray, bounds: np.ndarray, neighbours: int = NEIGHBOURS) -> np.ndarray:
+    """Flags of the words that open a chunk or piece; the first word of every row does."""
     n = len(words)
     out = np.ones(n, dtype=bool)
     row = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
     key = mix(words)
-    for k in range(1, NEIGHBOURS + 1):
+    for k in range(1, neighbours + 1):
         same = row[k:] == row[:-k] if n > k else np.zeros(0, bool)
         if len(same):
             out[k:] &= ~same | (key[k:] < key[:-k])  # less than the word k before
@@ -52,9 +58,9 @@ def openings(words: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return out
 
 
-def spans(words: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(first word, end, row) of the paragraphs with enough words."""
-    opens = np.flatnonzero(openings(words, bounds))
+def spans(words: np.ndarray, bounds: np.ndarray, neighbours: int = NEIGHBOURS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(first word, end, row) of the chunks or pieces with enough words."""
+    opens = np.flatnonzero(openings(words, bounds, neighbours))
     row = np.searchsorted(bounds, opens, side="right") - 1
     second = np.full(len(opens), len(words), dtype=np.int64)
     second[:-2] = opens[2:]
@@ -63,32 +69,55 @@ def spans(words: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return opens[kept], end[kept], row[kept]
 
 
+def whole_spans(b: np.ndarray, starts: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(first word, end, row) of the lines and of the blocks between blank lines, each span once."""
+    breaks = np.cumsum(b == 10)[starts]  # line feeds before each word
+    step = np.diff(breaks)
+    inner = bounds[1:-1]
+    inner = inner[(inner > 0) & (inner < len(starts))] - 1
+    found = []
+    for least in (1, 2):
+        cut = step >= least
+        cut[inner] = True
+        at = np.concatenate([[0], np.flatnonzero(cut) + 1, [len(starts)]])
+        found.append(np.stack([at[:-1], at[1:]], axis=1))
+    span = np.unique(np.concatenate(found), axis=0)
+    span = span[span[:, 1] - span[:, 0] >= MIN_WORDS]
+    return span[:, 0], span[:, 1], np.searchsorted(bounds, span[:, 0], side="right") - 1
+
+
 def _paragraphs(rows: pa.RecordBatch, data: np.ndarray, offsets: np.ndarray):
-    """(bytes, starts and ends of the words, first word, end and row of each paragraph, hashes of the word windows)."""
+    """(bytes, starts and ends of the words, kind, first word, end and row of each paragraph, hashes of the word windows)."""
     b, starts, ends, owner = word_spans(data, offsets)
     words = span_hashes(b, starts, ends)
     bounds = np.searchsorted(owner, np.arange(len(offsets)))
-    first, end, row = spans(words, bounds)
+    found = [spans(words, bounds), spans(words, bounds, PIECE_NEIGHBOURS)]
+    long = found[1][1] - found[1][0] >= PIECE_WORDS // 2
+    found[1] = tuple(x[long & (np.diff(bounds)[found[1][2]] > PIECE_WORDS)] for x in found[1])
+    found.append(whole_spans(b, starts, bounds))
+    kind = np.repeat(np.array([CHUNK, PIECE, WHOLE]), [len(x[0]) for x in found])
+    first, end, row = (np.concatenate([x[k] for x in found]).astype(np.int64) for k in range(3))
     grams = window_hashes(words, SHINGLE_WORDS)
-    return b, starts, ends, first, end, row, grams
+    return b, starts, ends, kind, first, end, row, grams
 
 
-def _node(grams: np.ndarray, first: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """One number for equal runs of shingles."""
+def _node(grams: np.ndarray, first: np.ndarray, end: np.ndarray, kind: np.ndarray | int = CHUNK) -> np.ndarray:
+    """One number for equal runs of shingles of one kind."""
     sums = np.concatenate([[np.uint64(0)], np.cumsum(mix(grams), dtype=np.uint64)])
     power = np.concatenate([[np.uint64(0)], np.cumsum(mix(grams ^ np.uint64(0x5BD1E995)) * np.uint64(3), dtype=np.uint64)])
     stop = end - SHINGLE_WORDS + 1
-    return (mix((sums[stop] - sums[first]) ^ mix(power[stop] - power[first]) + (stop - first).astype(np.uint64)) >> np.uint64(1)).astype(np.int64)
+    length = (stop - first).astype(np.uint64) + (np.asarray(kind).astype(np.uint64) << np.uint64(48))
+    return (mix((sums[stop] - sums[first]) ^ mix(power[stop] - power[first]) + length) >> np.uint64(1)).astype(np.int64)
 
 
-def _bands(grams: np.ndarray, first: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """(paragraph x band) keys."""
+def _bands(grams: np.ndarray, first: np.ndarray, end: np.ndarray, kind: np.ndarray) -> np.ndarray:
+    """(paragraph x band) keys; those of two kinds never meet."""
     stop = end - SHINGLE_WORDS + 1
     edges = np.stack([first, stop], axis=1).ravel()
     out = np.empty((len(first), BANDS), dtype=np.uint64)
     padded = np.concatenate([grams, [np.uint64(2**64 - 1)]])
     for band in range(BANDS):
-        key = np.full(len(first), np.uint64(band + 1))
+        key = (band + 1 + BANDS * kind).astype(np.uint64)
         for r in range(ROWS):
             least = np.minimum.reduceat(mix(padded ^ np.uint64((band * ROWS + r + 1) * 0x9E3779B97F4A7C1)), edges)[::2]
             key = mix(key ^ least)
@@ -103,13 +132,13 @@ def paragraphs(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for rows, data, offsets in slices(batch, "text"):
-                _, starts, ends, first, end, row, grams = _paragraphs(rows, data, offsets)
+                _, starts, ends, kind, first, end, row, grams = _paragraphs(rows, data, offsets)
                 yield pa.RecordBatch.from_arrays(
                     [rows.column(2).take(pa.array(row)), rows.column(0).take(pa.array(row)), pa.array(starts[first] - offsets[row]), pa.array(ends[end - 1] - offsets[row]),
-                     pa.array(first - np.searchsorted(starts, offsets)[row]), pa.array(end - first), pa.array(_node(grams, first, end))],
-                    ["row", "doc_id", "start", "end", "at", "n_words", "node"])
+                     pa.array(first - np.searchsorted(starts, offsets)[row]), pa.array(end - first), pa.array(_node(grams, first, end, kind)), pa.array(kind == WHOLE)],
+                    ["row", "doc_id", "start", "end", "at", "n_words", "node", "whole"])
 
-    return numbered.mapInArrow(run, f"row bigint, doc_id {docs.schema['doc_id'].dataType.simpleString()}, start bigint, end bigint, at bigint, n_words bigint, node bigint")
+    return numbered.mapInArrow(run, f"row bigint, doc_id {docs.schema['doc_id'].dataType.simpleString()}, start bigint, end bigint, at bigint, n_words bigint, node bigint, whole boolean")
 
 
 def _index(docs: DataFrame, bits: int) -> DataFrame:
@@ -117,10 +146,10 @@ def _index(docs: DataFrame, bits: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for rows, data, offsets in slices(batch, "text"):
-                *_, first, end, _, grams = _paragraphs(rows, data, offsets)
+                *_, kind, first, end, _, grams = _paragraphs(rows, data, offsets)
                 if len(first):
-                    node = _node(grams, first, end)
-                    yield buckets.batch(list(buckets.packed(_bands(grams, first, end).ravel(), np.repeat(node, BANDS), bits)))
+                    node = _node(grams, first, end, kind)
+                    yield buckets.batch(list(buckets.packed(_bands(grams, first, end, kind).ravel(), np.repeat(node, BANDS), bits)))
 
     return docs.mapInArrow(run, buckets.SCHEMA)
 
@@ -163,8 +192,8 @@ def _shingles(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for rows, data, offsets in slices(batch, "text"):
-                *_, first, end, _, grams = _paragraphs(rows, data, offsets)
-                node = _node(grams, first, end)
+                *_, kind, first, end, _, grams = _paragraphs(rows, data, offsets)
+                node = _node(grams, first, end, kind)
                 if listed is not None:
                     kept = _in(listed.value, node)
                     first, end, node = first[kept], end[kept], node[kept]
@@ -194,12 +223,14 @@ def repeated(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", pe
     """One row per paragraph that stands elsewhere too, as it is or nearly.
 
     doc_id, start and end (bytes of the UTF-8 text), n_words, passage_words
-    (the run of repeated paragraphs around it, ``PASSAGE_WORDS`` at least),
-    component_id (a number of the component), n_copies, and ``removed``, false
-    for the component's first paragraph (by doc_id, then place) only.
-
-    Nearly: similarity of ``percent`` or more with a paragraph that shares a
-    band. In every band's bucket the members are held against the smallest one;
+    (the run of repeated paragraphs around it, ``PASSAGE_WORDS`` at least for
+    chunks and pieces), component_id (a number of the component), n_copies, and
+    ``removed``, false for the component's first paragraph (by doc_id, then
+    place) only. A line in its block, or a chunk in the next one, is no copy:
+    paragraphs of one component that overlap count as one.
+
+    Nearly: similarity of ``percent`` or more with a paragraph of the same kind
+    that shares a band. In every band's bucket the members are held against the smallest one;
     after these links have made classes, members of different classes are held
     against each other. Equal paragraphs are one node, so a passage that a third
     of the corpus holds is one entry.
@@ -225,8 +256,13 @@ def repeated(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", pe
     several = found.groupBy("node").agg(F.count("*").alias("n")).where("n > 1").select("node").union(tied.select("node")).distinct()
     copies = written(_only(found, several).join(tied, "node", "left").withColumn("component_id", F.coalesce("component", "node")).drop("component"),
                      "paragraph-copies")
+    # paragraphs of a component that overlap are one occurrence, known by its first word
+    along = Window.partitionBy("component_id", "row").orderBy("at", F.desc("n_words"))
+    reach = F.max(F.col("at") + F.col("n_words")).over(along.rowsBetween(Window.unboundedPreceding, -1))
+    copies = (copies.withColumn("apart", F.coalesce(F.col("at") >= reach, F.lit(True)))
+              .withColumn("place", F.max(F.when(F.col("apart"), F.col("at"))).over(along)))
     groups = copies.groupBy("component_id").agg(
-        F.count("*").alias("n_copies"), F.min(F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", "row", "at")).alias("first")).where("n_copies > 1")
+        F.count_if("apart").alias("n_copies"), F.min(F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", "row", "place")).alias("first")).where("n_copies > 1")
     out = copies.join(groups, "component_id")
     # paragraphs that overlap or touch are one passage
     before = Window.partitionBy("row").orderBy("at")
@@ -234,6 +270,6 @@ def repeated(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", pe
     passages = out.withColumn("opens", opens.cast("int")).withColumn("passage", F.sum("opens").over(before))
     whole = Window.partitionBy("row", "passage")
     size = F.max(F.col("at") + F.col("n_words")).over(whole) - F.min("at").over(whole)
-    is_first = (F.col("row") == F.col("first.row")) & (F.col("at") == F.col("first.at"))
-    return (passages.withColumn("passage_words", size).where(F.col("passage_words") >= PASSAGE_WORDS)
+    is_first = (F.col("row") == F.col("first.row")) & (F.col("place") == F.col("first.place"))
+    return (passages.withColumn("passage_words", size).where(F.col("whole") | (F.col("passage_words") >= PASSAGE_WORDS))
             .select("doc_id", "start", "end", "n_words", "passage_words", "component_id", "n_copies", (~is_first).alias("removed")))
