@@ -30,9 +30,8 @@ STATES = 8
 #: Words with a symbol of their own; all others are emitted through their class.
 TOP_WORDS = 4096
 CLASSES = 512
-#: Documents that the first rounds of training use, about; the last round uses all.
-WARM_ROWS = 1500
-WARM_ROUNDS = 2
+#: Baum-Welch rounds, each over all training documents.
+ROUNDS = 3
 BLOCK_BYTES = 4 << 20
 #: Word entries that one task adds up, about.
 RANGE_ENTRIES = 1 << 20
@@ -244,21 +243,19 @@ def _updated(model: Model, counts: np.ndarray, background: np.ndarray) -> Model:
     return Model(start / start.sum(), move / move.sum(axis=1, keepdims=True), emit / emit.sum(axis=0), model.top)
 
 
-def train(blocked: DataFrame, counts: Counts, states: int = STATES, warm_rows: int = WARM_ROWS, warm_rounds: int = WARM_ROUNDS, seed: int = 5) -> Model:
-    """``warm_rounds`` rounds on about ``warm_rows`` training documents (by a hash of the id), then one on all of them."""
+def train(blocked: DataFrame, counts: Counts, states: int = STATES, rounds: int = ROUNDS, seed: int = 5) -> Model:
+    """``rounds`` Baum-Welch rounds, each over all training documents."""
     rng = np.random.default_rng(seed)
     background = np.concatenate([counts.top_counts, counts.class_tokens, [counts.ends]]) + 1.0
     background /= background.sum()
     emit = background[:, None] * np.exp(0.5 * rng.normal(size=(len(background), states)))
     move = rng.dirichlet(np.full(states, 4.0), states)
     model = Model(np.full(states, 1 / states), move, emit / emit.sum(axis=0), counts.top)
-    learn = blocked.where("learn").select("doc_id", "text")
-    n = counts.ends
-    if not n:
+    learn = blocked.where("learn").select("text")
+    if not counts.ends:
         return model
     sc = blocked.sparkSession.sparkContext
-    few = written(learn.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < min(1.0, warm_rows / n) * (1 << 20)).select("text").repartition(16), "warm-texts")
-    for rows in [few] * warm_rounds + [learn.select("text")]:
+    for _ in range(rounds):
         now = sc.broadcast(model)
 
         def count(batches: Iterator[pa.RecordBatch], now=now) -> Iterator[pa.RecordBatch]:
@@ -271,7 +268,7 @@ def train(blocked: DataFrame, counts: Counts, states: int = STATES, warm_rows: i
                 used = np.flatnonzero(sums)
                 yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array(sums[used])], ["i", "x"])
 
-        got = rows.mapInArrow(count, "i int, x double").groupBy("i").agg(F.sum("x").alias("x")).toPandas()
+        got = learn.mapInArrow(count, "i int, x double").groupBy("i").agg(F.sum("x").alias("x")).toPandas()
         flat = np.zeros(states + states * states + emit.size)
         flat[got["i"].to_numpy()] = got["x"].to_numpy()
         model = _updated(model, flat, background)
