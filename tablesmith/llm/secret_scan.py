@@ -145,9 +145,12 @@ def digest(scanned: DataFrame) -> DataFrame:
     def count(test):
         return F.size(F.filter("spans", test)).cast("long")
 
+    def of_kind(k):
+        return count(lambda s: s["kind"] == k).alias(f"n_{KINDS[k]}")
+
     base = F.filter("spans", lambda s: s["kind"] < 3)
     return scanned.select(
-        F.col("repo").alias("doc_id"), *[count(lambda s, k=k: s["kind"] == k).alias(f"n_{KINDS[k]}") for k in range(3)],
+        F.col("repo").alias("doc_id"), *[of_kind(k) for k in range(3)],
         F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"),
         count(lambda s: s["verdict"] == "live").alias("n_live"), count(lambda s: s["verdict"] == "example").alias("n_example"))
 
