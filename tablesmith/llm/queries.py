@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tablesmith.llm import bpe, cascade, hmm, jaccard, langid, packing, paragraphs, quality, secret_scan, tiling
+from tablesmith.llm import (
+    alignment, bpe, cascade, hmm, jaccard, langid, packing, paragraphs, quality, runs, secret_scan, tiling, warc,
+)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -51,6 +53,18 @@ def op10_quality_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cascade.quality_report(_table(spark, sf_dir, "documents"))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runs.digest(runs.find_runs(_table(spark, sf_dir, "documents"), rewrite=runs.made_periodic))
+
+
+def op12_warc_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.report(_table(spark, sf_dir, "pages"))
+
+
+def op13_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.report(_table(spark, sf_dir, "documents"))
+
+
 Q = {
     "op1_paragraph_minhash": op1_paragraph_minhash,
     "op2_attention_quality": op2_attention_quality,
@@ -62,8 +76,12 @@ Q = {
     "op8_pack_token_ids": op8_pack_token_ids,
     "op9_benchmark_tiling": op9_benchmark_tiling,
     "op10_quality_cascade": op10_quality_cascade,
+    "op11_periodic_runs": op11_periodic_runs,
+    "op12_warc_transactions": op12_warc_transactions,
+    "op13_tokenizer_alignment": op13_tokenizer_alignment,
 }
 SQL = {
     "op3_ngram_jaccard_join": jaccard.CLASSES_SQL,
     "op10_quality_cascade": cascade.REPORT_SQL,
+    "op12_warc_transactions": warc.REPORT_SQL,
 }
