@@ -139,14 +139,16 @@ class _Bytes:
         while len(self.have) < n:
             if not self._more():
                 return None
-        out = bytes(self.have[:n])
+        out = bytes(memoryview(self.have)[:n])
         del self.have[:n]
         self.start += n
         return out
 
     def skip_line_ends(self) -> None:
         while True:
-            n = len(self.have) - len(self.have.lstrip(b"\r\n"))
+            n, size = 0, len(self.have)
+            while n < size and self.have[n] in b"\r\n":
+                n += 1
             del self.have[:n]
             self.start += n
             if self.have or not self._more():
