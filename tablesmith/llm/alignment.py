@@ -13,9 +13,10 @@ from __future__ import annotations
 
 import hashlib
 import io
+import json
 import re
-from collections.abc import Iterator
-from itertools import chain
+from collections.abc import Callable, Iterator
+from typing import NamedTuple
 
 import numpy as np
 import public_tokenizers
@@ -35,92 +36,181 @@ B_BITS = 15
 SEGMENT_ROWS = 1 << 16
 SEGMENT_BYTES = 8 << 20
 #: Bytes of text whose links a task sorts at once.
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 #: Words whose alignment a task remembers.
-MEMORY = 100_000
-#: Longer words are aligned anew each time.
-WORD_CHARS = 64
+MEMORY = 200_000
+#: Words that are encoded as one text.
+LEARN_WORDS = 5_000
 #: A text is cut before blanks that follow something else; no token of either vocabulary spans such a place.
 UNIT = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
 #: White space for which that doesn't hold; such texts are encoded at once.
 OTHER_BLANK = re.compile(r"[^\S \n]")
 
-Aligned = tuple[int, int, int, str, list[int]]
+
+
+class Aligned(NamedTuple):
+    """Texts held against both vocabularies: per text its counts and groups, and the links of all texts one after another."""
+
+    counts: np.ndarray  #: a row a text: A tokens, B tokens, groups, links; all 0 where a text has no tokens
+    groups: list[bytes]
+    keys: np.ndarray  #: of links, ``a << B_BITS | b``
+    owner: np.ndarray  #: place of each link's text
 
 
 class Aligner:
-    """Aligned tokens of whole texts; words that came before are looked up."""
+    """Aligns whole texts; words that came before are looked up, new ones are encoded together."""
 
     def __init__(self, a_spec: bytes, b_model: bytes, memory: int = MEMORY):
         import sentencepiece
-        from tokenizers import Tokenizer
 
-        self.a = Tokenizer.from_str(a_spec.decode())
-        self.a.encode_special_tokens = True
         self.b = sentencepiece.SentencePieceProcessor(model_proto=b_model)
-        names = [self.a.id_to_token(i) or "" for i in range(self.a.get_vocab_size())]
-        byte_of = _char_bytes()
-        self.a_bytes = [bytes(byte_of[c] for c in t) if all(c in byte_of for c in t) else t.encode() for t in names]
+        self.encode_a, a_bytes = _byte_level(a_spec)
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
-        self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
-        if len(pieces) > 1 << B_BITS or len(names) > 1 << 16:
+        b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
+        if len(b_bytes) > 1 << B_BITS or len(a_bytes) > 1 << 16:
             raise ValueError("a vocabulary has more ids than a pair's key has room for")
         # words may be encoded apart if no piece has a blank after something else
         self.by_word = len(self.b.encode("x")) == 1 and not any(re.search("[^▁\n][▁\n]", p) for p in pieces)
-        self.words: dict[str, Aligned | None] = {}
+        self.a_bytes, self.b_bytes = pa.array(a_bytes, pa.large_binary()), pa.array(b_bytes, pa.large_binary())
+        self.a_length, self.b_length = (np.array([len(t) for t in x], dtype=np.int64) for x in (a_bytes, b_bytes))
+        self.numbers = pa.array([f"{i}{c}" for n, last in ((len(a_bytes), "|"), (len(b_bytes), ";")) for i in range(n) for c in (",", last)], pa.large_string())
         self.memory = memory
-
-    def _aligned(self, text: str, a: list[int], b: list[int]) -> Aligned | None:
-        """(A tokens, B tokens, groups, groups as text, keys of the links in order); None where the bytes aren't the text's."""
-        whole = text.encode()
-        ab, bb = [self.a_bytes[i] for i in a], [self.b_bytes[i] for i in b]
-        if b"".join(ab) != whole or b"".join(bb) != whole:
+        self._forget()
+
+    def _forget(self) -> None:
+        self.words: dict[str, int] = {}
+        self.sound = np.zeros(0, dtype=bool)
+        self.counts = np.zeros((0, 4), dtype=np.int64)
+        self.links = np.zeros(0, dtype=np.int32)
+        self.texts = pa.array([], pa.large_binary())
+
+    def _cut(self, whole: bytes, a: np.ndarray, b: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, pa.Array] | None:
+        """(counts, keys of links, groups as text) of each part of ``whole`` that ends at ``ends``; None where the bytes or ends don't fit."""
+        if _joined(self.a_bytes, a) != whole or _joined(self.b_bytes, b) != whole:
+            return None
+        end_a, end_b = np.cumsum(self.a_length[a]), np.cumsum(self.b_length[b])
+        common = np.intersect1d(end_a, end_b, assume_unique=True)
+        if not np.isin(ends, common).all():
             return None
-        i = j = i0 = j0 = 0
-        end_a, end_b = len(ab[0]), len(bb[0])
-        groups, links = [], []
-        while True:
-            links.append(a[i] << B_BITS | b[j])
-            step_a, step_b = end_a <= end_b, end_b <= end_a
-            if step_a and step_b:
-                groups.append(",".join(map(str, a[i0: i + 1])) + "|" + ",".join(map(str, b[j0: j + 1])))
-                i0, j0 = i + 1, j + 1
-            if step_a:
-                i += 1
-                if i < len(a):
-                    end_a += len(ab[i])
-            if step_b:
-                j += 1
-                if j < len(b):
-                    end_b += len(bb[j])
-            if i == len(a) or j == len(b):
-                break
-        return len(a), len(b), len(groups), ";".join(groups), links
-
-    def _word(self, unit: str) -> Aligned | None:
-        if unit in self.words:
-            return self.words[unit]
-        found = self._aligned(unit, self.a.encode(unit, add_special_tokens=False).ids, self.b.encode("x" + unit)[1:])
-        if len(unit) <= WORD_CHARS:
-            if len(self.words) >= self.memory:
-                self.words.clear()
-            self.words[unit] = found
-        return found
-
-    def align(self, text: str | None) -> list[Aligned]:
-        """Aligned parts of blank + text, in order; none where either vocabulary doesn't give the text's bytes back."""
-        if not text:
-            return []
-        spaced = " " + text
-        if self.by_word and not OTHER_BLANK.search(text):
-            units = UNIT.findall(spaced)
-            parts = list(map(self.words.get, units))
-            if None in parts:
-                parts = [self._word(u) if p is None else p for u, p in zip(units, parts, strict=True)]
-            if None not in parts:
-                return parts
-        whole = self._aligned(spaced, self.a.encode(spaced, add_special_tokens=False).ids, self.b.encode(text))
-        return [] if whole is None else [whole]
+        group_a, group_b = np.searchsorted(common, end_a), np.searchsorted(common, end_b)
+        first = np.searchsorted(end_b, end_a - self.a_length[a], side="right")
+        reach = np.searchsorted(end_b - self.b_length[b], end_a) - first
+        keys = np.repeat(a << B_BITS, reach) | b[_ranges(first, reach)]
+        part_a = np.searchsorted(ends, end_a)
+        counts = np.stack([np.bincount(part_a, minlength=len(ends)), np.bincount(np.searchsorted(ends, end_b), minlength=len(ends)),
+                           np.bincount(np.searchsorted(ends, common), minlength=len(ends)),
+                           np.bincount(part_a, weights=reach, minlength=len(ends)).astype(np.int64)], axis=1)
+        order = np.empty(len(a) + len(b), dtype=np.int64)
+        order[np.arange(len(a)) + np.searchsorted(group_b, group_a)] = 2 * a + np.append(group_a[1:] != group_a[:-1], True)
+        order[np.arange(len(b)) + np.searchsorted(group_a, group_b, side="right")] = 2 * (len(self.a_length) + b) + np.append(group_b[1:] != group_b[:-1], True)
+        spelled = self.numbers.take(pa.array(order))
+        offsets = np.frombuffer(spelled.buffers()[1], dtype=np.int64)[: len(order) + 1]
+        bounds = offsets[np.concatenate([[0], np.cumsum(counts[:, 0] + counts[:, 1])])]
+        return counts, keys.astype(np.int32), pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(ends), [None, pa.py_buffer(bounds), spelled.buffers()[2]])
+
+    def _learn(self, units: list[str]) -> None:
+        """Remember new words. They are encoded as one text, halved where that text doesn't come apart at their ends."""
+        spelled = [u.encode() for u in units]
+        joined = "".join(units)
+        a, b = self.encode_a(joined), np.array(self.b.encode("x" + joined)[1:], dtype=np.int64)
+        found = self._cut(b"".join(spelled), a, b, np.cumsum([len(u) for u in spelled]))
+        if found is None and len(units) > 1:
+            self._learn(units[: len(units) // 2])
+            self._learn(units[len(units) // 2:])
+            return
+        counts, keys, texts = found or (np.zeros((1, 4), dtype=np.int64), np.zeros(0, dtype=np.int32), pa.array([b""], pa.large_binary()))
+        self.words.update(zip(units, range(len(self.words), len(self.words) + len(units)), strict=True))
+        self.fresh.append((np.full(len(units), found is not None), counts, keys, texts))
+
+    def align(self, texts: list[str | None]) -> Aligned:
+        """Blank + text of each text; no tokens for a null or empty text, or where either vocabulary doesn't give the bytes back."""
+        if len(self.words) > self.memory:
+            self._forget()
+        units: list[str] = []
+        bounds, apart = [0], []
+        for k, text in enumerate(texts):
+            if text and self.by_word and not OTHER_BLANK.search(text):
+                units += UNIT.findall(" " + text)
+            elif text:
+                apart.append(k)
+            bounds.append(len(units))
+        new = list(set(units).difference(self.words))
+        self.fresh: list[tuple] = []
+        solid = [u for u in new if u[-1] not in " \n"]
+        for k in range(0, len(solid), LEARN_WORDS):
+            self._learn(solid[k: k + LEARN_WORDS])
+        for u in new:
+            if u[-1] in " \n":
+                self._learn([u])
+        if self.fresh:
+            sound, counts, links, spelled = zip(*self.fresh, strict=True)
+            self.sound, self.counts = np.concatenate([self.sound, *sound]), np.concatenate([self.counts, *counts])
+            self.links, self.texts = np.concatenate([self.links, *links]), pa.concat_arrays([self.texts, *spelled])
+        codes = np.fromiter(map(self.words.__getitem__, units), dtype=np.int64, count=len(units))
+        ends = np.array(bounds)
+        owner = np.repeat(np.arange(len(texts)), np.diff(ends))
+        wrong = np.unique(owner[~self.sound[codes]])
+        if len(wrong):
+            keep = ~np.isin(owner, wrong)
+            codes, owner = codes[keep], owner[keep]
+            ends = np.searchsorted(owner, np.arange(len(texts) + 1))
+        sums = np.concatenate([np.zeros((1, 4), dtype=np.int64), np.cumsum(self.counts[codes], axis=0)])
+        counts = sums[ends[1:]] - sums[ends[:-1]]
+        starts = np.cumsum(self.counts[:, 3]) - self.counts[:, 3]
+        n = self.counts[codes, 3]
+        keys, owners = [self.links[_ranges(starts[codes], n)]], [np.repeat(owner, n)]
+        spelled = self.texts.take(pa.array(codes))
+        data, at = spelled.buffers()[2], np.frombuffer(spelled.buffers()[1], dtype=np.int64)[: len(codes) + 1][ends].tolist() if len(codes) else [0] * len(ends)
+        data = memoryview(data) if data is not None else b""
+        groups = [bytes(data[x: y - 1]) if y > x else b"" for x, y in zip(at[:-1], at[1:], strict=True)]
+        for k in [*apart, *wrong.tolist()]:
+            spaced = " " + texts[k]
+            whole = spaced.encode()
+            found = self._cut(whole, self.encode_a(spaced), np.array(self.b.encode(texts[k]), dtype=np.int64), np.array([len(whole)]))
+            if found is not None:
+                counts[k], groups[k] = found[0][0], found[2][0].as_py()[:-1]
+                keys.append(found[1])
+                owners.append(np.full(len(found[1]), k))
+        return Aligned(counts, groups, np.concatenate(keys), np.concatenate(owners))
+
+
+def _byte_level(spec: bytes) -> tuple[Callable[[str], np.ndarray], list[bytes]]:
+    """(encoder, bytes of each token) of a byte-level tokenizer file; special tokens' strings are plain text.
+
+    Where every merge makes the next id, ids are ranks, and the faster library
+    for ranks gives the same ids; else the file's own library encodes.
+    """
+    read = json.loads(spec)
+    byte_of, vocabulary = _char_bytes(), read["model"]["vocab"]
+    tokens = {bytes(byte_of[c] for c in t): i for t, i in vocabulary.items() if all(c in byte_of for c in t)}
+    spelled = [b""] * (max([*vocabulary.values(), *(t["id"] for t in read.get("added_tokens", []))]) + 1)
+    for t in read.get("added_tokens", []):
+        spelled[t["id"]] = t["content"].encode()
+    special = {t["content"] for t in read.get("added_tokens", [])}
+    for t, i in tokens.items():
+        spelled[i] = t
+    merged = [vocabulary["".join(m if isinstance(m, list) else m.split(" "))] for m in read["model"]["merges"]]
+    if merged == list(range(256, 256 + len(merged))):
+        import tiktoken
+
+        ranks = {t: i for t, i in tokens.items() if t.decode("utf-8", "replace") not in special}
+        coder = tiktoken.Encoding("given", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+        return lambda text: np.array(coder.encode_ordinary(text), dtype=np.int64), spelled
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_str(spec.decode())
+    tokenizer.encode_special_tokens = True
+    return lambda text: np.array(tokenizer.encode(text, add_special_tokens=False).ids, dtype=np.int64), spelled
+
+
+def _joined(spelled: pa.Array, ids: np.ndarray) -> bytes:
+    data = spelled.take(pa.array(ids)).buffers()[2]
+    return data.to_pybytes() if data is not None else b""
+
+
+def _ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """start, start + 1, ... of each length, one after another."""
+    return np.repeat(starts - (np.cumsum(lengths) - lengths), lengths) + np.arange(int(lengths.sum()))
 
 
 class Bitmaps:
@@ -192,11 +282,9 @@ def _unpacked(data: bytes) -> list[Bitmaps]:
     return [Bitmaps(int(flat[k][0]), *flat[k + 1: k + 6]) for k in range(0, len(flat), 6)]
 
 
-def posted(links: list[tuple[int, list[Aligned]]], size: int) -> list[Bitmaps]:
-    """Of (place, aligned parts): first the bitmaps of all documents with a pair, then planes of the further occurrences, lowest bit first."""
-    keys = np.fromiter(chain.from_iterable(p[4] for _, parts in links for p in parts), dtype=np.int64)
-    places = np.repeat([place for place, _ in links], [sum(len(p[4]) for p in parts) for _, parts in links]).astype(np.int64)
-    keyed, times = np.unique(keys << 16 | places, return_counts=True)
+def posted(keys: np.ndarray, places: np.ndarray, size: int) -> list[Bitmaps]:
+    """Of links' keys and documents' places: the bitmaps of all documents with a pair, then planes of the further occurrences, lowest bit first."""
+    keyed, times = np.unique(keys.astype(np.int64) << 16 | places, return_counts=True)
     out, more = [Bitmaps.of(size, keyed >> 16, keyed & 0xFFFF)], times - 1
     while more.any():
         odd = keyed[(more & 1).astype(bool)]
@@ -208,32 +296,36 @@ def posted(links: list[tuple[int, list[Aligned]]], size: int) -> list[Bitmaps]:
 class _Segment:
     """Documents that share bitmaps; their digests and chunks' postings until the segment ends."""
 
-    def __init__(self, number: int):
-        self.number, self.bytes, self.pending = number, 0, 0
+    def __init__(self, number: int, aligner: Aligner, keep_groups: bool = False):
+        self.number, self.aligner, self.keep_groups = number, aligner, keep_groups
+        self.bytes = self.pending = 0
+        self.ids: list[object] = []
+        self.texts: list[str | None] = []
         self.rows: list[tuple] = []
-        self.chunk: list[tuple[int, list[Aligned]]] = []
         self.chunks: list[list[Bitmaps]] = []
 
-    def add(self, doc_id: object, text: str | None, parts: list[Aligned], keep_groups: bool) -> None:
-        n_a, n_b, n_groups, texts, links = zip(*parts, strict=True) if parts else ((),) * 5
-        groups = ";".join(texts)
-        self.rows.append((doc_id, sum(n_a), sum(n_b), sum(n_groups), sum(map(len, links)),
-                          hashlib.sha256(groups.encode()).hexdigest() if parts else "", groups if keep_groups else None))
-        self.chunk.append((len(self.rows) - 1, parts))
+    def add(self, doc_id: object, text: str | None) -> None:
         n = len(text or "")
+        if self.pending + n > CHUNK_BYTES:
+            self.close_chunk()
+        self.ids.append(doc_id)
+        self.texts.append(text)
         self.bytes, self.pending = self.bytes + n, self.pending + n
-        if self.pending >= CHUNK_BYTES:
-            self._close_chunk()
 
-    def _close_chunk(self) -> None:
-        self.chunks.append(posted(self.chunk, len(self.rows)))
-        self.chunk, self.pending = [], 0
+    def close_chunk(self) -> None:
+        """Align the texts at hand and keep what the segment's record needs of them."""
+        first = len(self.rows)
+        found = self.aligner.align(self.texts)
+        for doc_id, counts, groups in zip(self.ids, found.counts.tolist(), found.groups, strict=True):
+            self.rows.append((doc_id, *counts, hashlib.sha256(groups).hexdigest() if counts[0] else "", groups.decode() if self.keep_groups else None))
+        self.chunks.append(posted(found.keys, found.owner + first, len(self.rows)))
+        self.ids, self.texts, self.pending = [], [], 0
 
     def full(self) -> bool:
-        return len(self.rows) >= SEGMENT_ROWS or self.bytes >= SEGMENT_BYTES
+        return len(self.rows) + len(self.ids) >= SEGMENT_ROWS or self.bytes >= SEGMENT_BYTES
 
     def record(self, id_type: pa.DataType, names: list[str]) -> pa.RecordBatch:
-        self._close_chunk()
+        self.close_chunk()
         planes = [Bitmaps.merged([c[k] for c in self.chunks if k < len(c)]) for k in range(max(map(len, self.chunks)))]
         kinds = [id_type, *[pa.int64()] * 4, pa.string(), pa.string()]
         columns = [pa.array([list(c)], pa.list_(t)) for c, t in zip(zip(*self.rows, strict=True), kinds, strict=True)]
@@ -281,18 +373,18 @@ def index(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", vocab
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         aligner = _aligner(a_spec.value, b_model.value)
         number = TaskContext.get().partitionId() << 32
-        segment, id_type = _Segment(number), pa.null()
+        segment, id_type = _Segment(number, aligner, keep_groups), pa.null()
         for batch in batches:
             id_type = batch.schema.field(0).type
             for lo in range(0, batch.num_rows, 256):
                 part = batch.slice(lo, 256)
                 for doc_id, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
-                    segment.add(doc_id, text, aligner.align(text), keep_groups)
+                    segment.add(doc_id, text)
                     if segment.full():
                         yield segment.record(id_type, list(fields))
                         number += 1
-                        segment = _Segment(number)
-        if segment.rows:
+                        segment = _Segment(number, aligner, keep_groups)
+        if segment.ids or segment.rows:
             yield segment.record(id_type, list(fields))
 
     return written(d.mapInArrow(run, ", ".join(f"{k} {v}" for k, v in fields.items())), "pair-postings")

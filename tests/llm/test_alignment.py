@@ -97,13 +97,29 @@ PARTS = ["a", "ther", "Token", " ", "  ", "\n", "\n\n", "\t", "\x1c", "\x85", "
 @settings(max_examples=300, deadline=None)
 @given(st.one_of(st.lists(st.sampled_from(PARTS), max_size=25).map("".join), st.text(max_size=40)))
 def test_alignment_of_texts(aligner, libraries, text):
-    got, want = aligner.align(text), brute(libraries, text)
-    if want is None:
-        assert got == []
-    else:
-        assert [sum(p[k] for p in got) for k in range(3)] == [len(w) for w in want[:3]]
-        assert ";".join(p[3] for p in got) == ";".join(want[2])
-        assert Counter(k for p in got for k in p[4]) == Counter(a << alignment.B_BITS | b for a, b in want[3])
+    check(aligner, libraries, [text])
+
+
+def check(aligner, libraries, texts):
+    got = aligner.align(texts)
+    for k, text in enumerate(texts):
+        want, keys = brute(libraries, text), got.keys[got.owner == k]
+        if want is None:
+            assert got.counts[k].tolist() == [0] * 4 and got.groups[k] == b"" and not len(keys)
+        else:
+            assert got.counts[k].tolist() == [len(w) for w in want]
+            assert got.groups[k].decode() == ";".join(want[2])
+            assert Counter(keys.tolist()) == Counter(a << alignment.B_BITS | b for a, b in want[3])
+
+
+def test_texts_together(libraries):
+    """Words of one batch, some that need a whole text, in a small memory."""
+    small = alignment.Aligner(alignment._read(public_tokenizers.path(alignment.VOCABULARY_A)), alignment._read(public_tokenizers.path(alignment.VOCABULARY_B)), memory=5)
+    texts = ["the token there", None, "", "a▁b the", "tab\there", "x " * 40, "  ends in blanks \n", "\n\nfirst", "漢字 と かな", "▁", " ", "the▁ other", "good words"]
+    for _ in range(2):
+        check(small, libraries, texts)
+    check(small, libraries, [None, ""])
+    check(small, libraries, [])
 
 
 BITS = st.lists(st.tuples(st.integers(0, 5), st.integers(0, 99)), max_size=300)
@@ -137,7 +153,7 @@ def test_report_on_the_table(spark, libraries):
     assert rows_of(queries.op13_tokenizer_alignment(spark, SF)) == brute_rows(libraries, rows)
 
 
-def test_counts_and_small_segments(spark, libraries, monkeypatch):
+def test_counts_and_groups(spark, libraries):
     rows = [(k, " ".join(["the token", "therefore", "the"] * (k % 4 + 1))) for k in range(40)] + [(None, "the"), (1, "the"), (1, None)]
     docs = frame(spark, rows)
     segments = alignment.index(docs, keep_groups=True)
@@ -151,14 +167,15 @@ def test_counts_and_small_segments(spark, libraries, monkeypatch):
 
 def test_merged_chunks_equal_one(aligner):
     texts = ["a b c the the", "the a", "", "b " * 50, "the " * 9] * 30
-    whole, cut = alignment._Segment(0), alignment._Segment(0)
+    whole, cut = alignment._Segment(0, aligner), alignment._Segment(0, aligner)
     for k, t in enumerate(texts):
-        for s in (whole, cut):
-            s.add(k, t, aligner.align(t), False)
+        whole.add(k, t)
+        cut.add(k, t)
         if k % 7 == 3:
-            cut._close_chunk()
-    whole._close_chunk()
-    cut._close_chunk()
+            cut.close_chunk()
+    whole.close_chunk()
+    cut.close_chunk()
+    assert whole.rows == cut.rows
     for k, plane in enumerate(whole.chunks[0]):
         merged = alignment.Bitmaps.merged([c[k] for c in cut.chunks if k < len(c)])
         assert sorted(zip(*[x.tolist() for x in merged.pairs()], strict=True)) == sorted(zip(*[x.tolist() for x in plane.pairs()], strict=True))
