@@ -79,7 +79,7 @@ def q_preview(spark, sf):
     return head
 
 
-# --- M8: k-NN imputation (checked against brute force in tests) ------------------
+# --- M8: k-NN imputation ---------------------------------------------------------
 
 def gappy_part(spark, sf):
     p = table(spark, sf, "part")
@@ -89,7 +89,20 @@ def gappy_part(spark, sf):
 
 @query("knn_impute")
 def q_knn(spark, sf):
-    return knn.knn_impute(gappy_part(spark, sf), ["p_retailprice"], k=5, tie_key="p_partkey")[0]
+    return round_doubles(knn.knn_impute(gappy_part(spark, sf), ["p_retailprice"], k=5, tie_key="p_partkey")[0])
+
+
+SQL["knn_impute"] = sql_round("""
+WITH g AS (SELECT * REPLACE (CASE WHEN p_partkey % 10 = 0 THEN NULL ELSE p_retailprice END AS p_retailprice) FROM part),
+refs AS (SELECT * FROM g WHERE p_retailprice IS NOT NULL),
+w AS (SELECT 1.0 / var_pop(p_partkey) AS wk, 1.0 / var_pop(p_size) AS ws FROM refs),
+near AS (SELECT q.p_partkey AS qk, r.p_retailprice AS v, row_number() OVER (PARTITION BY q.p_partkey ORDER BY
+             CAST((q.p_partkey - r.p_partkey) * (q.p_partkey - r.p_partkey) AS DOUBLE) * wk
+             + CAST((q.p_size - r.p_size) * (q.p_size - r.p_size) AS DOUBLE) * ws, r.p_partkey) AS place
+         FROM g q, refs r, w WHERE q.p_retailprice IS NULL),
+fill AS (SELECT qk, avg(v) AS v FROM near WHERE place <= 5 GROUP BY qk)
+SELECT g.* REPLACE (coalesce(p_retailprice, fill.v) AS p_retailprice) FROM g LEFT JOIN fill ON qk = p_partkey
+""", ["p_retailprice"])
 
 
 # --- streams and their batch twins ---------------------------------------------------

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import os
+import re
 import shutil
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Defaults a user would set for these workloads; anything passed in ``conf``
 # wins, and an existing session keeps its own settings.
@@ -50,6 +52,31 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return configured
 
 
+#: Scratch root of a plain local session that names none; one process, so one folder serves all.
+_local_root: list[str] = []
+
+
+def staging_root(spark: SparkSession) -> str:
+    """The shared folder for intermediate tables: ``spark.checkpoint.dir``, or the checkpoint folder the session set."""
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if named:
+        return named.rstrip("/")
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        raise RuntimeError("spark.checkpoint.dir is not set; point it at a shared folder")
+    if not _local_root:
+        _local_root.append(tempfile.mkdtemp(prefix="tablesmith-"))
+    return _local_root[0]
+
+
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once as Parquet below the shared folder and read back: what several jobs read is computed once,
+    and a lost executor costs no more than rereading it."""
+    spark = df.sparkSession
+    path = f"{staging_root(spark)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
