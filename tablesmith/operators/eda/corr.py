@@ -11,14 +11,15 @@ import itertools
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablesmith.functions.ranks import cumulative_below
+from tablesmith.functions.strips import STRIP_ROWS, Strips, number
 from tablesmith.functions.types import numeric_columns, require_numeric
+from tablesmith.session import staged
 
-#: Distinct points of one strip of a column pair, about.
-STRIP_POINTS = 50_000
+#: Strips a side of one block of cells.
+GRID_BLOCK = 512
 
 
 def _c(name: str):
@@ -64,141 +65,229 @@ def pearson_matrix(df: DataFrame, columns=None) -> DataFrame:
     return _matrix_rows(df, long, cols, "r")
 
 
-def _long_pairs(df: DataFrame, pairs) -> DataFrame:
-    return df.select(F.explode(F.array(*[
-        F.struct(F.lit(i).alias("pair"), _c(a).cast("double").alias("x"), _c(b).cast("double").alias("y"))
-        for i, (a, b) in enumerate(pairs)])).alias("p")).select("p.*").filter(
-        F.col("x").isNotNull() & F.col("y").isNotNull())
+def _named(df: DataFrame, pairs) -> DataFrame:
+    return F.broadcast(df.sparkSession.createDataFrame([(i, a, b) for i, (a, b) in enumerate(pairs)], "pair int, col_x string, col_y string"))
 
 
-def spearman_matrix(df: DataFrame, columns=None) -> DataFrame:
+def _striped(df: DataFrame, cols: list[str], strip_rows: int) -> tuple[DataFrame, Strips]:
+    """(rid, v0..., s0...) written once: the columns as doubles, and the strip of each value."""
+    table = df.select(*[number(c).alias(f"v{k}") for k, c in enumerate(cols)])
+    names = [f"v{k}" for k in range(len(cols))]
+    rows = table.agg(*[F.count(c) for c in names]).first()
+    strips = Strips.plan(table, names, max(rows), strip_rows)
+    return staged(strips.added(table.withColumn("rid", F.monotonically_increasing_id()), names), "strips"), strips
+
+
+def _by_strip(table: DataFrame, n: int, carried: list[str]) -> DataFrame:
+    """(a, strip, carried...): every row once for each of its columns ``a`` whose value lies in an open interval."""
+    at = F.explode(F.array(*[F.struct(F.lit(k).alias("a"), F.col(f"s{k}").alias("strip")) for k in range(n)])).alias("at")
+    return table.select(at, *carried).select("at.a", "at.strip", *carried).where("strip >= 0 AND strip % 2 = 0")
+
+
+def spearman_matrix(df: DataFrame, columns=None, strip_rows: int = STRIP_ROWS) -> DataFrame:
     """Pearson correlation of average ranks, ranked per pair on that
-    pair's complete rows (trap T17). Rows are first counted per distinct
-    (x, y); ranks come from bucketed cumulative counts of distinct values, and
-    the weighted Pearson is one more aggregate."""
+    pair's complete rows (trap T17).
+
+    A column's ranks differ between its partners only where a partner has
+    gaps, so each value gets one rank for all complete partners and one for
+    each partner with gaps. Ranks are counted within strips of values and
+    raised by the totals of the strips below; a value that is a strip of its
+    own has its rank from the totals alone. One regrouping by row then adds up
+    the products of all pairs.
+    """
     cols = list(columns) if columns else numeric_columns(df)
     require_numeric(df, cols)
     pairs = _pairs(cols)
-    long = _long_pairs(df, pairs)
-    pc = long.groupBy("pair", "x", "y").agg(F.count("*").alias("w"))
-    rx = cumulative_below(pc.groupBy("pair", "x").agg(F.sum("w").alias("c")), "x", ["c"], ["pair"])
-    ry = cumulative_below(pc.groupBy("pair", "y").agg(F.sum("w").alias("c")), "y", ["c"], ["pair"])
-    rx = rx.select("pair", "x", (F.col("c_below") + (F.col("c") + 1) / 2.0).alias("rx"))
-    ry = ry.select("pair", "y", (F.col("c_below") + (F.col("c") + 1) / 2.0).alias("ry"))
-    j = pc.join(rx, ["pair", "x"]).join(ry, ["pair", "y"])
-    w = F.col("w").cast("double")
-    s = j.groupBy("pair").agg(
-        F.sum(w).alias("n"), F.sum(w * F.col("rx")).alias("sx"), F.sum(w * F.col("ry")).alias("sy"),
-        F.sum(w * F.col("rx") * F.col("rx")).alias("sxx"), F.sum(w * F.col("ry") * F.col("ry")).alias("syy"),
-        F.sum(w * F.col("rx") * F.col("ry")).alias("sxy"))
-    cov = F.col("sxy") - F.col("sx") * F.col("sy") / F.col("n")
-    vx = F.col("sxx") - F.col("sx") * F.col("sx") / F.col("n")
-    vy = F.col("syy") - F.col("sy") * F.col("sy") / F.col("n")
-    rho = F.when((vx > 0) & (vy > 0), cov / F.sqrt(vx * vy))
-    names = df.sparkSession.createDataFrame([(i, a, b) for i, (a, b) in enumerate(pairs)],
-                                            "pair int, col_x string, col_y string")
-    out = s.select("pair", rho.alias("rho")).join(F.broadcast(names), "pair")
-    return _matrix_rows(df, out, cols, "rho")
-
-
-def _order_score(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> float:
-    """Weight of concordant minus discordant pairs of distinct points: x groups
-    in order, a Fenwick tree over the ranks of y holding the groups before."""
-    if len(x) < 2:
-        return 0.0
-    if len(np.unique(x)) > len(np.unique(y)):  # symmetric: loop over the side with fewer values
-        x, y = y, x
+    m = len(cols)
+    if not pairs:
+        return _matrix_rows(df, df.sparkSession.createDataFrame([], "col_x string, col_y string, rho double"), cols, "rho")
+    table, _ = _striped(df, cols, strip_rows)
+    gappy = table.agg(*[F.max(F.col(f"s{k}") < 0).alias(f"g{k}") for k in range(m)]).first()
+    partial = [k for k in range(m) if gappy[k]]
+    kinds = [F.lit(True), *[F.col(f"s{k}") >= 0 for k in partial]]  # partners: those without gaps, then each with gaps
+    kind_of = [1 + partial.index(k) if k in partial else 0 for k in range(m)]
+    at = F.explode(F.array(*[F.struct(F.lit(k).alias("a"), F.col(f"s{k}").alias("strip")) for k in range(m)])).alias("at")
+    sizes = (table.select(at, *[c.alias(f"k{i}") for i, c in enumerate(kinds)]).where("at.strip >= 0").groupBy("at.a", "at.strip")
+             .agg(*[F.count_if(f"k{i}").alias(f"n{i}") for i in range(len(kinds))]).collect())  # a row a column and strip
+    totals: dict[int, list] = {k: [] for k in range(m)}
+    for r in sizes:
+        totals[r["a"]].append(list(r)[1:])
+    below = {}
+    for k, rows in totals.items():
+        t = np.array(sorted(rows), dtype=float).reshape(-1, 1 + len(kinds))
+        below[k] = (t[:, 0].astype(np.int64), np.cumsum(t[:, 1:], axis=0) - t[:, 1:], t[:, 1:])
+    shared = df.sparkSession.sparkContext.broadcast(below)
+    middle = {k: (b[2].sum(axis=0) + 1) / 2 for k, b in below.items()}
+    present = [f"k{i}" for i in range(len(kinds))]
+    schema = "rid long, a int, ranks array<double>"
+
+    def leaf(pdf: pd.DataFrame) -> pd.DataFrame:
+        """Centred ranks of one strip's rows."""
+        k = int(pdf["a"].iloc[0])
+        strips, lower, _ = shared.value[k]
+        start = lower[np.searchsorted(strips, int(pdf["strip"].iloc[0]))]
+        order = np.argsort(pdf["v"].to_numpy(), kind="stable")
+        v = pdf["v"].to_numpy()[order]
+        first = np.flatnonzero(np.append(True, v[1:] != v[:-1]))
+        size = np.diff(np.append(first, len(v)))
+        out = np.empty((len(v), len(present)))
+        for i, name in enumerate(present):
+            here = pdf[name].to_numpy()[order].astype(np.int64)
+            t = np.add.reduceat(here, first)
+            out[:, i] = np.repeat(start[i] + np.cumsum(t) - t + (t + 1) / 2, size) - middle[k][i]
+        return pd.DataFrame({"rid": pdf["rid"].to_numpy()[order], "a": np.int32(k), "ranks": list(out)})
+
+    def single(batches):
+        """Centred ranks of values that are strips of their own."""
+        for pdf in batches:
+            for k, rows in pdf.groupby("a"):
+                strips, lower, size = shared.value[k]
+                at = np.searchsorted(strips, rows["strip"].to_numpy())
+                yield pd.DataFrame({"rid": rows["rid"], "a": rows["a"], "ranks": list(lower[at] + (size[at] + 1) / 2 - middle[k])})
+
+    value = F.element_at(F.array(*[F.col(f"v{k}") for k in range(m)]), F.col("a") + 1)
+    flags = [c.alias(f"k{i}") for i, c in enumerate(kinds)]
+    open_rows = _by_strip(table.select("rid", *[f"v{k}" for k in range(m)], *[f"s{k}" for k in range(m)], *flags), m, ["rid", *[f"v{k}" for k in range(m)], *present])
+    ranked = open_rows.select("a", "strip", "rid", value.alias("v"), *present).groupBy("a", "strip").applyInPandas(leaf, schema)
+    alone = table.select(at, "rid").select("at.a", "at.strip", "rid").where("strip % 2 = 1").mapInPandas(single, schema)
+    rows = ranked.unionByName(alone).groupBy("rid").agg(*[F.any_value(F.when(F.col("a") == k, F.col("ranks")), True).alias(f"r{k}") for k in range(m)])
+    x = [[F.get(f"r{k}", F.lit(kind_of[j])) for j in range(m)] for k in range(m)]  # rank of column k against partner j
+    place = {c: k for k, c in enumerate(cols)}
+    both = [(place[a], place[b]) for a, b in pairs]
+
+    def product(i: int, j: int) -> Column:
+        return F.struct(F.sum(x[i][j] * x[j][i]).alias("xy"), F.sum(F.when(F.col(f"r{j}").isNotNull(), x[i][j] * x[i][j])).alias("xx"),
+                        F.sum(F.when(F.col(f"r{i}").isNotNull(), x[j][i] * x[j][i])).alias("yy"))
+
+    sums = rows.agg(*[product(i, j).alias(f"p{p}") for p, (i, j) in enumerate(both)])
+    long = sums.select(F.explode(F.array(*[F.struct(F.lit(p).alias("pair"), f"p{p}.*") for p in range(len(pairs))])).alias("p")).select("p.*")
+    rho = F.when((F.col("xx") > 0) & (F.col("yy") > 0), F.col("xy") / F.sqrt(F.col("xx") * F.col("yy")))
+    return _matrix_rows(df, long.select("pair", rho.alias("rho")).join(_named(df, pairs), "pair").select("col_x", "col_y", "rho"), cols, "rho")
+
+
+def inversions(ranks: np.ndarray) -> int:
+    """Pairs of places whose later value is smaller, by merging ever longer sorted blocks."""
+    n, width = len(ranks), 32
+    size = width
+    while size < n:
+        size *= 2
+    a = np.full(size, np.iinfo(np.int64).max >> 24, dtype=np.int64)
+    a[:n] = ranks
+    a = a.reshape(-1, width)
+    count = sum(int((a[:, :-d] > a[:, d:]).sum()) for d in range(1, width))
+    a = np.sort(a, axis=1)
+    while len(a) > 1:
+        rows = np.arange(len(a) // 2)[:, None] * (int(a.max()) + 1)
+        left, right = a[::2] + rows, (a[1::2] + rows).ravel()
+        count += int((np.searchsorted(right, left.ravel()) - np.repeat(np.arange(len(rows)) * a.shape[1], a.shape[1])).sum())
+        a = np.sort(a.reshape(len(rows), -1), axis=1)
+    return count
+
+
+def _ties(values: np.ndarray) -> int:
+    """Pairs of equal values."""
+    n = np.unique(values, return_counts=True)[1]
+    return int((n * (n - 1) // 2).sum())
+
+
+def order_score(x: np.ndarray, y: np.ndarray) -> int:
+    """Concordant minus discordant pairs; a pair that ties in either counts nothing."""
+    n = len(x)
+    if n < 2:
+        return 0
+    y = np.unique(y, return_inverse=True)[1]
     order = np.lexsort((y, x))
-    x, y, w = x[order], y[order], w[order]
-    if x[0] == x[-1]:
-        return 0.0
-    ys, yr = np.unique(y, return_inverse=True)
-    m = len(ys)
-    tree = np.zeros(m + 1)
-
-    def below(j: np.ndarray) -> np.ndarray:
-        out, j = np.zeros(len(j)), j.copy()
-        while (live := j > 0).any():
-            out[live] += tree[j[live]]
-            j[live] -= j[live] & -j[live]
-        return out
-
-    total = score = 0.0
-    starts = np.flatnonzero(np.r_[True, x[1:] != x[:-1]])
-    for a, b in zip(starts, np.r_[starts[1:], len(x)], strict=True):
-        at, ww = yr[a:b] + 1, w[a:b]
-        score += float(np.sum(ww * (below(at - 1) - (total - below(at)))))
-        while (live := at <= m).any():
-            np.add.at(tree, at[live], ww[live])
-            at[live] += at[live] & -at[live]
-        total += float(ww.sum())
-    return score
-
-
-def _strip_score(own: str, other: str):
-    """Score of one strip; the cells of x strips are taken off once, as y strips count them too."""
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        x, y, w = pdf["x"].to_numpy(), pdf["y"].to_numpy(), pdf["w"].to_numpy(dtype=np.float64)
-        s = _order_score(x, y, w)
-        if own == "bx":
-            for _, cell in pdf.groupby(other):
-                s -= _order_score(cell["x"].to_numpy(), cell["y"].to_numpy(), cell["w"].to_numpy(dtype=np.float64))
-        return pd.DataFrame({"pair": [int(pdf["pair"].iloc[0])], "s": [s]})
-
-    return run
+    x, y = x[order], y[order]
+    alike = np.flatnonzero(np.concatenate([[True], (x[1:] != x[:-1]) | (y[1:] != y[:-1]), [True]]))
+    both = np.diff(alike)
+    tied_x, tied_both = _ties(x), int((both * (both - 1) // 2).sum())
+    differ = n * (n - 1) // 2 - _ties(y)
+    return differ - (tied_x - tied_both) - 2 * inversions(y)  # within equal x the order is that of y: no inversions there
 
 
 def _grid_score(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Score between points that share neither strip, from the cells' weights."""
-    grid = np.zeros((int(pdf["bx"].max()) + 1, int(pdf["by"].max()) + 1))
-    grid[pdf["bx"], pdf["by"]] = pdf["w"]
+    """Score between rows of one block of cells that share neither strip."""
+    grid = np.zeros((int(pdf["dx"].max()) + 1, int(pdf["dy"].max()) + 1))
+    grid[pdf["dx"], pdf["dy"]] = pdf["w"]
     before = np.vstack([np.zeros((1, grid.shape[1])), grid.cumsum(axis=0)[:-1]])
     upto = before.cumsum(axis=1)
     lower, higher = upto - before, upto[:, -1:] - upto
-    return pd.DataFrame({"pair": [int(pdf["pair"].iloc[0])], "s": [float((grid * (lower - higher)).sum())]})
+    return pd.DataFrame({"pair": [int(pdf["pair"].iloc[0])], "s": [float((grid * (lower - higher)).sum())], "tx": [0.0], "ty": [0.0]})
 
 
-def kendall_matrix(df: DataFrame, columns=None, strip_points: int = STRIP_POINTS) -> DataFrame:
+def kendall_matrix(df: DataFrame, columns=None, strip_rows: int = STRIP_ROWS, block: int = GRID_BLOCK) -> DataFrame:
     """Tau-b per pair, exact at any size.
 
-    Rows are counted per distinct (x, y). Both axes are cut into strips of
-    about ``strip_points`` points by cumulative counts, equal values in one
-    strip. Pairs of points in different x and different y strips are scored
-    from the grid of cell weights; pairs in one x strip or one y strip each in
-    that strip's task, and pairs in one cell, which both would count, are taken
-    off once. A strip of a single value scores 0 whatever its size.
+    Every column is cut into strips once. Rows are counted per pair of strips
+    (map-side first); pairs of rows in different strips of both columns are
+    scored from these cells, in blocks: the strips' numbers are written as
+    digits, and the digits at which two rows first differ in x and in y name
+    the one block of at most ``block`` squared cells that compares them. Pairs
+    within one strip are scored in that strip's group, which serves all
+    partners of its column: within an x strip by the values of both columns,
+    within a y strip by the strips of x, so that none is counted twice. A
+    value that is a strip of its own ties there and needs no group.
+
+    Groups hold one block of cells or one open interval, about ``strip_rows``
+    rows, or a 65,536th of all rows if that is more.
     """
     cols = list(columns) if columns else numeric_columns(df)
     require_numeric(df, cols)
     pairs = _pairs(cols)
-    pc = _long_pairs(df, pairs).groupBy("pair", "x", "y").agg(F.count("*").alias("w"))
-    points = {r["pair"]: r["count"] for r in pc.groupBy("pair").count().collect()}  # a row per column pair
-    strips = F.create_map(*[F.lit(v) for p, n in points.items() for v in (p, -(-n // strip_points))]) if points else None
-    many = F.create_map(*[F.lit(v) for p, n in points.items() for v in (p, n)]) if points else None
-    cells, ties = pc, []
-    for axis, strip in (("x", "bx"), ("y", "by")):
-        values = pc.groupBy("pair", axis).agg(F.sum("w").alias("t"), F.count("*").alias("m"))
-        t = F.col("t").cast("double")
-        ties.append(values.groupBy("pair").agg(F.sum(t).alias("n"), F.sum(t * (t - 1) / 2).alias("ties")))
-        if not points:
-            continue
-        cut = F.floor(F.col("m_below") * F.element_at(strips, F.col("pair")) / F.element_at(many, F.col("pair"))).cast("int")
-        ranked = cumulative_below(values.select("pair", axis, "m"), axis, ["m"], ["pair"]).select("pair", axis, cut.alias(strip))
-        cells = cells.join(ranked, ["pair", axis])
-    names = df.sparkSession.createDataFrame([(i, a, b) for i, (a, b) in enumerate(pairs)],
-                                            "pair int, col_x string, col_y string")
-    if not points:
-        empty = names.select("col_x", "col_y", F.lit(None).cast("double").alias("tau"))
+    m = len(cols)
+    empty = df.sparkSession.createDataFrame([], "col_x string, col_y string, tau double")
+    if not pairs:
         return _matrix_rows(df, empty, cols, "tau")
-    schema = "pair int, s double"
-    scores = (cells.groupBy("pair", "bx", "by").agg(F.sum("w").cast("double").alias("w")).groupBy("pair").applyInPandas(_grid_score, schema)
-              .unionByName(cells.groupBy("pair", "bx").applyInPandas(_strip_score("bx", "by"), schema))
-              .unionByName(cells.groupBy("pair", "by").applyInPandas(_strip_score("by", "bx"), schema)))
-    s = scores.groupBy("pair").agg(F.sum("s").alias("s"))
-    tx, ty = ties[0].withColumnRenamed("ties", "tx"), ties[1].select("pair", F.col("ties").alias("ty"))
+    table, strips = _striped(df, cols, strip_rows)
+    place = {c: k for k, c in enumerate(cols)}
+    number_of = {(place[a], place[b]): p for p, (a, b) in enumerate(pairs)}
+    named = F.explode(F.array(*[F.struct(F.lit(p).alias("pair"), F.col(f"s{i}").alias("x"), F.col(f"s{j}").alias("y"))
+                                for (i, j), p in number_of.items()])).alias("c")
+    cells = staged(table.select(named).select("c.*").where("x >= 0 AND y >= 0").groupBy("pair", "x", "y").agg(F.count("*").cast("double").alias("w")), "cells")
+
+    levels = 1
+    while block ** levels < strips.width:
+        levels += 1
+    schema = "pair int, s double, tx double, ty double"
+    scores = None
+    for i in range(levels):
+        for j in range(levels):
+            ux, uy = block ** (levels - 1 - i), block ** (levels - 1 - j)
+            digit = cells.select("pair", F.expr(f"x div {ux * block}").alias("px"), F.expr(f"(x div {ux}) % {block}").alias("dx"),
+                                 F.expr(f"y div {uy * block}").alias("py"), F.expr(f"(y div {uy}) % {block}").alias("dy"), "w")
+            if levels > 1:
+                digit = digit.groupBy("pair", "px", "dx", "py", "dy").agg(F.sum("w").alias("w"))
+            part = digit.groupBy("pair", "px", "py").applyInPandas(_grid_score, schema)
+            scores = part if scores is None else scores.unionByName(part)
+
+    shared = df.sparkSession.sparkContext.broadcast(strips)
+
+    def leaf(pdf: pd.DataFrame) -> pd.DataFrame:
+        a = int(pdf["a"].iloc[0])
+        values, out = pdf[f"v{a}"].to_numpy(), []
+        for b in range(m):
+            if b == a:
+                continue
+            other = pdf[f"v{b}"].to_numpy(dtype=float)
+            here = ~np.isnan(other)
+            own, other = values[here], other[here]
+            ties = float(_ties(own))
+            if a < b:
+                out.append((number_of[a, b], float(order_score(own, other)), ties, 0.0))
+            else:
+                out.append((number_of[b, a], float(order_score(shared.value.of(b, other), own)), 0.0, ties))
+        return pd.DataFrame(out, columns=["pair", "s", "tx", "ty"]).astype({"pair": np.int32})
+
+    scores = scores.unionByName(_by_strip(table, m, [f"v{k}" for k in range(m)]).groupBy("a", "strip").applyInPandas(leaf, schema))
+    for axis, s, other in (("x", "tx", "ty"), ("y", "ty", "tx")):  # values that are strips of their own
+        t = F.col("t")
+        alone = cells.where(f"{axis} % 2 = 1").groupBy("pair", axis).agg(F.sum("w").alias("t"))
+        scores = scores.unionByName(alone.select("pair", F.lit(0.0).alias("s"), (t * (t - 1) / 2).alias(s), F.lit(0.0).alias(other)))
+    total = cells.groupBy("pair").agg(F.sum("w").alias("n"))
+    s = scores.groupBy("pair").agg(F.sum("s").alias("s"), F.sum("tx").alias("tx"), F.sum("ty").alias("ty"))
     all_pairs = F.col("n") * (F.col("n") - 1) / 2
     scale = F.sqrt((all_pairs - F.col("tx")) * (all_pairs - F.col("ty")))
-    out = (names.join(s, "pair", "left").join(tx, "pair", "left").join(ty, "pair", "left")
+    out = (_named(df, pairs).join(s, "pair", "left").join(total, "pair", "left")
            .select("col_x", "col_y", F.when(scale > 0, F.col("s") / scale).alias("tau")))
     return _matrix_rows(df, out, cols, "tau")
 

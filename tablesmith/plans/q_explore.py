@@ -407,7 +407,7 @@ SQL["lines_by_filters"] = sql_round(
 
 # --- correlation -----------------------------------------------------------------------------
 
-CORR_COLS = ["l_quantity", "l_extendedprice", "l_discount"]
+CORR_COLS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
 
 def _pairs_sql(body_fn, value: str) -> str:
@@ -451,22 +451,16 @@ def q_kendall(spark, sf):
 
 
 def _kendall(a, b):
+    """Inversions of y in the order of x, counted bit by bit of y's rank: behind a common prefix, ones that stand before zeros."""
     return f"""SELECT '{a}' AS col_x, '{b}' AS col_y,
-  (SELECT sum(p.w * q.w * sign(p.x - q.x) * sign(p.y - q.y)) / 2.0 FROM d p, d q)
-  / sqrt(((SELECT sum(w) FROM d) * ((SELECT sum(w) FROM d) - 1) / 2.0
-          - (SELECT sum(t * (t - 1) / 2.0) FROM (SELECT sum(w) AS t FROM d GROUP BY x)))
-       * ((SELECT sum(w) FROM d) * ((SELECT sum(w) FROM d) - 1) / 2.0
-          - (SELECT sum(t * (t - 1) / 2.0) FROM (SELECT sum(w) AS t FROM d GROUP BY y)))) AS tau
-  FROM (SELECT 1) one, LATERAL (SELECT 1) l
-  -- d: distinct (x, y) with counts for this pair
-  """.replace("FROM (SELECT 1) one, LATERAL (SELECT 1) l\n  -- d: distinct (x, y) with counts for this pair\n  ",
-              "").replace(" d ", f" (SELECT {a} AS x, {b} AS y, count(*) AS w FROM g WHERE {a} IS NOT NULL "
-                                 f"AND {b} IS NOT NULL GROUP BY 1, 2) ").replace(
-        " d)", f" (SELECT {a} AS x, {b} AS y, count(*) AS w FROM g WHERE {a} IS NOT NULL AND {b} IS NOT NULL "
-               f"GROUP BY 1, 2))").replace(
-        " d p, d q", f" (SELECT {a} AS x, {b} AS y, count(*) AS w FROM g WHERE {a} IS NOT NULL AND {b} IS NOT NULL "
-                     f"GROUP BY 1, 2) p, (SELECT {a} AS x, {b} AS y, count(*) AS w FROM g WHERE {a} IS NOT NULL "
-                     f"AND {b} IS NOT NULL GROUP BY 1, 2) q")
+  (n0 - ty - (tx - txy) - 2 * inv) / sqrt((n0 - tx) * (n0 - ty)) AS tau FROM (
+  WITH d AS (SELECT CAST({a} AS DOUBLE) AS x, CAST({b} AS DOUBLE) AS y FROM g WHERE {a} IS NOT NULL AND {b} IS NOT NULL),
+  r AS (SELECT row_number() OVER (ORDER BY x, y) AS p, dense_rank() OVER (ORDER BY y) - 1 AS r FROM d),
+  bits AS (SELECT (r >> k) & 1 AS bit, sum((r >> k) & 1) OVER (PARTITION BY k, r >> (k + 1) ORDER BY p) AS ones FROM r, range(21) AS t(k))
+  SELECT (SELECT count(*) * (count(*) - 1.0) / 2 FROM d) AS n0, (SELECT sum(ones) FROM bits WHERE bit = 0)::DOUBLE AS inv,
+         (SELECT sum(t * (t - 1.0) / 2) FROM (SELECT count(*) AS t FROM d GROUP BY x)) AS tx,
+         (SELECT sum(t * (t - 1.0) / 2) FROM (SELECT count(*) AS t FROM d GROUP BY y)) AS ty,
+         (SELECT sum(t * (t - 1.0) / 2) FROM (SELECT count(*) AS t FROM d GROUP BY x, y)) AS txy)"""
 
 
 SQL["corr_kendall"] = sql_round(_pairs_sql(_kendall, "tau"), ["tau"])
