@@ -10,13 +10,14 @@ from __future__ import annotations
 import math
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablesmith.functions import dist
-from tablesmith.functions.ranks import cumulative_below
-from tablesmith.operators.eda.corr import guarded_corr
 from tablesmith.functions.types import require_numeric
+from tablesmith.operators.eda.corr import guarded_corr
+from tablesmith.session import staged
 
 
 def _c(name: str) -> Column:
@@ -108,40 +109,94 @@ def pearson_test(df: DataFrame, x: str, y: str, with_p: bool = True) -> DataFram
     return out
 
 
-def robust_line(df: DataFrame, x: str, y: str, c: float = 1.345, max_iter: int = 50,
-                tol: float = 1e-8) -> DataFrame:
-    """Huber M-estimate of a line by iteratively reweighted least
-    squares, scale = median of |residual| / 0.67449. Rows are counted per
-    distinct (x, y) once; each round is one weighted aggregate over that table
-    with the last coefficients as literals, so lineage never grows.
-    ``converged`` says whether the rounds ended before ``max_iter``. A constant
-    x has no slope: intercept and slope are missing."""
-    d = _complete(df, x, y, False).groupBy("x", "y").agg(F.count("*").cast("double").alias("w")).cache()
-    try:
-        s = weighted_line(d, F.col("w"))
-        if s is None:
-            return df.sparkSession.createDataFrame([(None, None, 0, True)], _ROBUST)
-        a, b = s
-        done, it = False, 0
-        while not done and it < max_iter:
-            it += 1
-            r = F.abs(F.col("y") - (F.lit(a) + F.lit(b) * F.col("x")))
-            mad = weighted_median(d.select(r.alias("v"), "w"))
-            scale = mad / 0.67449 if mad else 1.0
-            u = r / F.lit(scale)
-            nxt = weighted_line(d, F.col("w") * F.when(u <= c, F.lit(1.0)).otherwise(F.lit(c) / u))
-            if nxt is None:
-                break
-            done = abs(nxt[0] - a) <= tol * max(1.0, abs(a)) and abs(nxt[1] - b) <= tol * max(1.0, abs(b))
-            a, b = nxt
-        return df.sparkSession.createDataFrame([(a, b, it, done)], _ROBUST)
-    finally:
-        d.unpersist()
+#: Buckets that one pass of a rank search counts.
+BUCKETS = 4096
+
+
+def values_at_ranks(df: DataFrame, value: Column, ranks: list[int], near: tuple[float, float] | None = None) -> list[float]:
+    """The exact values at some ranks (from 0) of ``value``, which must not be null.
+
+    Each pass counts the rows of ``BUCKETS`` equal buckets of a bracket in one
+    aggregate, with each bucket's least and greatest value, and the bracket
+    narrows to the bucket that holds the rank. ``near`` is a first guess of the
+    bracket; values outside it have a bucket of their own on either side.
+    """
+    found: dict[int, float] = {}
+    brackets = {r: near for r in ranks}
+    while todo := [r for r in ranks if r not in found]:
+        at = brackets[todo[0]]
+        if at is None:
+            edges = df.agg(F.min(value).alias("lo"), F.max(value).alias("hi")).first()
+            at = (float(edges["lo"]), float(edges["hi"]))
+        lo, hi = at
+        width = (hi - lo) / BUCKETS
+        place = F.floor((value - F.lit(lo)) / F.lit(width)) if width > 0 else F.when(value < lo, -1).when(value > lo, BUCKETS).otherwise(0)
+        bucket = F.greatest(F.least(place, F.lit(BUCKETS)), F.lit(-1))
+        rows = (df.groupBy(bucket.cast("int").alias("bucket")).agg(F.count("*").alias("n"), F.min(value).alias("lo"), F.max(value).alias("hi")).collect())
+        below = 0
+        for row in sorted(rows, key=lambda r: r["bucket"]):
+            for r in todo:
+                if below <= r < below + row["n"]:
+                    if row["lo"] == row["hi"] or r == below:
+                        found[r] = float(row["lo"])
+                    elif r == below + row["n"] - 1:
+                        found[r] = float(row["hi"])
+                    else:
+                        brackets[r] = (float(row["lo"]), float(row["hi"]))
+            below += row["n"]
+    return [found[r] for r in ranks]
+
+
+def median_of(df: DataFrame, value: Column, n: int, near: tuple[float, float] | None = None) -> float:
+    """The middle value of ``n`` rows, or the mean of the two middle ones."""
+    low, high = values_at_ranks(df, value, [(n - 1) // 2, n // 2], near)
+    return (low + high) / 2
 
 
 _ROBUST = "intercept double, slope double, iterations int, converged boolean"
 
 
+def robust_fit(df: DataFrame, x: str, y: str, c: float = 1.345, max_iter: int = 50, tol: float = 1e-8, logx: bool = False) -> dict:
+    """Huber M-estimate of a line by iteratively reweighted least squares,
+    scale = median of |residual| / 0.67449, on the logarithm of x if ``logx``.
+
+    The two columns are written once. A round is one aggregate for the line
+    and one or two for the exact median, searched near the last round's.
+    ``converged`` says whether the rounds ended before ``max_iter``. A constant
+    x has no slope: the coefficients are None.
+    """
+    d = staged(_complete(df, x, y, logx), "robust-line")
+    m = d.agg(F.count("*").alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi")).first()
+    out = {"x_min": m["lo"], "x_max": m["hi"], "n": m["n"], "order": 1, "logx": logx, "coefficients": None, "iterations": 0, "converged": True}
+    line = weighted_line(d, F.lit(1.0))
+    if line is None:
+        return out
+    a, b = line
+    done, it, mad, moved = False, 0, None, None
+    while not done and it < max_iter:
+        it += 1
+        r = F.abs(F.col("y") - (F.lit(a) + F.lit(b) * F.col("x")))
+        last = mad
+        mad = median_of(d, r, m["n"], None if moved is None else (max(last - 2 * moved, 0.0), last + 2 * moved))
+        # the median can't move further than the line did anywhere
+        scale = mad / 0.67449 if mad else 1.0
+        u = r / F.lit(scale)
+        after = weighted_line(d, F.when(u <= c, F.lit(1.0)).otherwise(F.lit(c) / u))
+        if after is None:
+            break
+        done = abs(after[0] - a) <= tol * max(1.0, abs(a)) and abs(after[1] - b) <= tol * max(1.0, abs(b))
+        moved = max(abs(after[0] - a + (after[1] - b) * end) for end in (m["lo"], m["hi"]))
+        a, b = after
+    return {**out, "coefficients": [b, a], "iterations": it, "converged": done}
+
+
+def robust_line(df: DataFrame, x: str, y: str, c: float = 1.345, max_iter: int = 50, tol: float = 1e-8, logx: bool = False) -> DataFrame:
+    """``robust_fit`` as a row (intercept, slope, iterations, converged)."""
+    fit = robust_fit(df, x, y, c, max_iter, tol, logx)
+    b, a = fit["coefficients"] or (None, None)
+    return df.sparkSession.createDataFrame([(a, b, fit["iterations"], fit["converged"])], _ROBUST)
+
+
 def weighted_line(d: DataFrame, w) -> tuple[float, float] | None:
     """(intercept, slope) of the weighted least-squares line; None for a constant x."""
     t = d.agg(F.sum(w).alias("sw"), F.sum(w * F.col("x")).alias("sx"), F.sum(w * F.col("y")).alias("sy"),
@@ -156,75 +211,117 @@ def weighted_line(d: DataFrame, w) -> tuple[float, float] | None:
     return (t["sy"] - slope * t["sx"]) / t["sw"], slope
 
 
-def weighted_median(d: DataFrame) -> float:
-    """Median of ``v`` where a row stands ``w`` times: the middle value, or the
-    mean of the two middle ones. Ranks are cumulative counts over distinct
-    values, by ranges."""
-    counts = d.groupBy("v").agg(F.sum("w").cast("long").alias("c"))
-    n = counts.agg(F.sum("c")).first()[0]
-    ranked = cumulative_below(counts, "v", ["c"])
-    at = [ranked.where((F.col("c_below") <= k) & (F.col("c_below") + F.col("c") > k)) for k in {(n - 1) // 2, n // 2}]
-    found = [r["v"] for f in at for r in f.select("v").collect()]
-    return sum(found) / len(found)
-
-
-def lowess_grid(df: DataFrame, x: str, y: str, frac: float = 0.66, iterations: int = 3,
-                grid_points: int = 50) -> DataFrame:
-    """A23 (re-aimed): LOWESS evaluated on a fixed grid of x values. For each
-    grid point the bandwidth is the distance to its ceil(frac * n)-th nearest
-    x (an approximate percentile of |x - g|); tricube weights give a local
-    weighted line. Robustness rounds reweight rows by the bisquare of their
-    residual from the grid fit (linear interpolation between grid points).
-    Every round is aggregates over rows x grid points, grouped by grid point."""
-    d = _complete(df, x, y, False).cache()
-    try:
-        m = d.agg(F.min("x").alias("lo"), F.max("x").alias("hi"), F.count("*").alias("n")).first()
-        lo, hi, n = float(m["lo"]), float(m["hi"]), int(m["n"])
-        step = (hi - lo) / max(grid_points - 1, 1)
-        grid = d.sparkSession.range(grid_points).select(
-            F.col("id").alias("g"), (F.lit(lo) + F.col("id") * F.lit(step)).alias("gx"))
-        q = min(1.0, math.ceil(frac * n) / n)
-        # every row meets every grid point: rows x grid_points (a fixed size)
-        rows = d.join(F.broadcast(grid), how="inner", on=F.lit(True))
-        dist_ = F.abs(F.col("x") - F.col("gx"))
-        bw = rows.groupBy("g").agg(F.percentile_approx(dist_, q, 100_000).alias("h"))
-        base = rows.join(F.broadcast(bw), "g")
-        robust = F.lit(1.0)
-        xs = [lo + i * step for i in range(grid_points)]
-        fitted = None
-        for it in range(iterations + 1):
-            u = F.abs(F.col("x") - F.col("gx")) / F.greatest(F.col("h"), F.lit(1e-300))
-            tri = F.when(u < 1, F.pow(1 - F.pow(u, 3), 3)).otherwise(F.lit(0.0))
-            w = tri * robust
-            s = base.groupBy("g").agg(
-                F.sum(w).alias("sw"), F.sum(w * F.col("x")).alias("sx"), F.sum(w * F.col("y")).alias("sy"),
-                F.sum(w * F.col("x") * F.col("x")).alias("sxx"),
-                F.sum(w * F.col("x") * F.col("y")).alias("sxy")).orderBy("g").collect()
-            fitted = []
-            for r in s:
-                gx = xs[r["g"]]
-                det = r["sw"] * r["sxx"] - r["sx"] * r["sx"]
-                if r["sw"] and abs(det) > 1e-12 * max(1.0, r["sw"] * r["sxx"]):
-                    bb = (r["sw"] * r["sxy"] - r["sx"] * r["sy"]) / det
-                    aa = (r["sy"] - bb * r["sx"]) / r["sw"]
-                    fitted.append(aa + bb * gx)
+def _bandwidths(d: DataFrame, grid: np.ndarray, rank: int, span: float) -> np.ndarray:
+    """Distance from each grid point to its rank-th nearest row (from 1), all in the same passes.
+
+    A task counts, per batch and grid point, its distinct x by buckets of their
+    distance; the bracket of every grid point narrows to one bucket a pass.
+    """
+    buckets, m = 1024, len(grid)
+    lo, hi, found = np.zeros(m), np.full(m, span), np.full(m, np.nan)
+    sc = d.sparkSession.sparkContext
+    while (todo := np.flatnonzero(np.isnan(found))).size:
+        given = sc.broadcast((todo, grid[todo], lo[todo], (hi - lo)[todo] / buckets))
+
+        def count(batches, given=given):
+            which, at, low, width = given.value
+            for batch in batches:
+                xs, n = np.unique(batch.column(0).to_numpy(), return_counts=True)
+                for i, g, a, w in zip(which, at, low, width, strict=True):
+                    far = np.abs(xs - g)
+                    place = np.clip(np.floor((far - a) / w) if w > 0 else np.sign(far - a) * buckets, -1, buckets).astype(np.int64)
+                    order = np.lexsort((far, place))
+                    first = np.flatnonzero(np.append(True, np.diff(place[order]) != 0))
+                    last = np.append(first[1:], len(xs)) - 1
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.full(len(first), i)), pa.array(place[order][first]), pa.array(np.add.reduceat(n[order], first)),
+                         pa.array(far[order][first]), pa.array(far[order][last])], ["g", "bucket", "n", "lo", "hi"])
+
+        rows = (d.select("x").mapInArrow(count, "g long, bucket long, n long, lo double, hi double").groupBy("g", "bucket")
+                .agg(F.sum("n").alias("n"), F.min("lo").alias("lo"), F.max("hi").alias("hi")).orderBy("g", "bucket").collect())
+        below: dict[int, int] = {}
+        for r in rows:
+            g, before = r["g"], below.get(r["g"], 0)
+            if before < rank <= before + r["n"]:
+                if r["lo"] == r["hi"] or rank == before + 1:
+                    found[g] = r["lo"]
+                elif rank == before + r["n"]:
+                    found[g] = r["hi"]
                 else:
-                    fitted.append(r["sy"] / r["sw"] if r["sw"] else float("nan"))
-            if it == iterations:
-                break
-            # residual of each row against the interpolated grid fit
-            idx = F.least(F.greatest(F.floor((F.col("x") - F.lit(lo)) / F.lit(step or 1.0)), F.lit(0)),
-                          F.lit(grid_points - 2)).cast("int")
-            fa = F.element_at(F.array(*[F.lit(v) for v in fitted]), idx + 1)
-            fb = F.element_at(F.array(*[F.lit(v) for v in fitted]), idx + 2)
-            t = (F.col("x") - (F.lit(lo) + idx * F.lit(step))) / F.lit(step or 1.0)
-            resid = F.abs(F.col("y") - (fa + (fb - fa) * t))
-            med = d.agg(F.percentile_approx(resid, 0.5, 1_000_000).alias("m")).first()["m"] or 0.0
-            if med == 0:
-                break
-            v = resid / F.lit(6.0 * med)
-            robust = F.when(v < 1, F.pow(1 - v * v, 2)).otherwise(F.lit(0.0))
-        return d.sparkSession.createDataFrame([(i, xs[i], float(fitted[i])) for i in range(grid_points)],
-                                              "point int, x double, y_fit double")
-    finally:
-        d.unpersist()
+                    lo[g], hi[g] = r["lo"], r["hi"]
+            below[g] = before + r["n"]
+    return found
+
+
+def lowess_grid(df: DataFrame, x: str, y: str, frac: float = 0.66, iterations: int = 3, grid_points: int = 50, logx: bool = False) -> DataFrame:
+    """A23 (re-aimed): LOWESS evaluated on an even grid of x values (of log x if ``logx``; x is then given back in its own scale).
+
+    A grid point's bandwidth is its exact distance to the ceil(frac * n)-th
+    nearest x; tricube weights give a local line. Robustness rounds weight rows
+    by the bisquare of their residual from the grid fit (straight between grid
+    points) over six times the exact median residual. Each task adds up its
+    rows' weights per distinct x, then per grid point, so nothing but
+    ``grid_points`` rows a task leaves it.
+    """
+    d = staged(_complete(df, x, y, logx), "lowess")
+    m = d.agg(F.min("x").alias("lo"), F.max("x").alias("hi"), F.count("*").alias("n")).first()
+    if not m["n"]:
+        raise ValueError(f"No row has both {x} and {y}")
+    lo, hi, n = float(m["lo"]), float(m["hi"]), int(m["n"])
+    step = (hi - lo) / max(grid_points - 1, 1)
+    grid = lo + np.arange(grid_points) * step
+    width = np.maximum(_bandwidths(d, grid, math.ceil(frac * n), hi - lo), 1e-300)
+    sc = d.sparkSession.sparkContext
+    fitted = scale = None
+    for it in range(iterations + 1):
+        given = sc.broadcast((fitted, scale))
+
+        def sums(batches, given=given):
+            fit, six = given.value
+            for batch in batches:
+                xs, ys = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+                kept = np.ones(len(xs))
+                if fit is not None:
+                    off = np.abs(ys - _between(xs, fit, lo, step)) / six
+                    kept = np.where(off < 1, (1 - off * off) ** 2, 0.0)
+                at, where = np.unique(xs, return_inverse=True)
+                w0, wy = np.bincount(where, kept), np.bincount(where, kept * ys)
+                for g in range(grid_points):
+                    u = np.abs(at - grid[g]) / width[g]
+                    t = np.where(u < 1, (1 - u ** 3) ** 3, 0.0)
+                    c = at - grid[g]
+                    yield pa.RecordBatch.from_arrays([pa.array([g]), *[pa.array([float(v.sum())]) for v in (t * w0, t * w0 * c, t * w0 * c * c, t * wy, t * wy * c)]],
+                                                     ["g", "w", "wc", "wcc", "wy", "wcy"])
+
+        rows = {r["g"]: r for r in d.mapInArrow(sums, "g long, w double, wc double, wcc double, wy double, wcy double").groupBy("g")
+                .agg(*[F.sum(c).alias(c) for c in ("w", "wc", "wcc", "wy", "wcy")]).collect()}
+        fitted = np.array([_local(rows[g]) for g in range(grid_points)])
+        if it == iterations:
+            break
+        k = F.least(F.greatest(F.floor((F.col("x") - F.lit(lo)) / F.lit(step or 1.0)), F.lit(0)), F.lit(max(grid_points - 2, 0))).cast("int")
+        curve = F.array(*[F.lit(float(v)) for v in np.append(fitted, fitted[-1])])
+        a, b = F.element_at(curve, k + 1), F.element_at(curve, k + 2)
+        t = (F.col("x") - (F.lit(lo) + k * F.lit(step))) / F.lit(step or 1.0)
+        middle = median_of(d, F.abs(F.col("y") - (a + (b - a) * t)), n)
+        if middle == 0:
+            break
+        scale = 6.0 * middle
+    shown = np.exp(grid) if logx else grid
+    return d.sparkSession.createDataFrame([(i, float(shown[i]), float(fitted[i])) for i in range(grid_points)], "point int, x double, y_fit double")
+
+
+def _between(x: np.ndarray, fitted: np.ndarray, lo: float, step: float) -> np.ndarray:
+    """The grid fit at ``x``, straight between grid points."""
+    k = np.clip(np.floor((x - lo) / (step or 1.0)), 0, max(len(fitted) - 2, 0)).astype(np.int64)
+    curve = np.append(fitted, fitted[-1])
+    return curve[k] + (curve[k + 1] - curve[k]) * ((x - (lo + k * step)) / (step or 1.0))
+
+
+def _local(s) -> float:
+    """The local line at its own grid point, from sums over x less the point; the local mean where x doesn't vary."""
+    if not s["w"]:
+        return float("nan")
+    det = s["w"] * s["wcc"] - s["wc"] * s["wc"]
+    if det > 1e-12 * max(1.0, s["w"] * s["wcc"]):
+        return (s["wcc"] * s["wy"] - s["wc"] * s["wcy"]) / det
+    return s["wy"] / s["w"]

@@ -505,7 +505,16 @@ FROM f, range(200)""", ["x", "y_fit"])
 
 @query("regress_poly2")
 def q_reg_poly2(spark, sf):
-    return regress.regression_coefficients(li(spark, sf), "l_quantity", "l_extendedprice", 2)
+    return round_doubles(regress.regression_coefficients(li(spark, sf), "l_quantity", "l_extendedprice", 2), 4)
+
+
+# the quadratic through its residual on the line: z = x^2 less its own line in x
+SQL["regress_poly2"] = sql_round("""
+WITH d AS (SELECT l_quantity AS x, l_extendedprice AS y, l_quantity * l_quantity AS q FROM lineitem),
+s AS (SELECT regr_slope(q, x) AS qb, regr_intercept(q, x) AS qa FROM d),
+c AS (SELECT sum((q - qa - qb * x) * y) / sum((q - qa - qb * x) * (q - qa - qb * x)) AS c2 FROM d, s),
+l AS (SELECT c2, regr_slope(y - c2 * q, x) AS c1, regr_intercept(y - c2 * q, x) AS c0 FROM d, c GROUP BY c2)
+SELECT CAST(unnest([2, 1, 0]) AS INTEGER) AS power, unnest([c2, c1, c0]) AS coefficient FROM l""", ["coefficient"], 4)
 
 
 @query("pearson_test")
@@ -519,14 +528,77 @@ SELECT corr(l_quantity, l_extendedprice) AS r, corr(l_quantity, l_extendedprice)
 FROM lineitem WHERE l_quantity IS NOT NULL AND l_extendedprice IS NOT NULL""", ["r", "r_squared"])
 
 
+def _robust_sql(x: str, y: str, rounds: int, tail: str) -> str:
+    """Huber's line by ``rounds`` reweighted fits, written out; ``tail`` reads them as f, of (a, b)."""
+    line = """SELECT (sy - b * sx) / sw AS a, b FROM (SELECT *, (sw * sxy - sx * sy) / (sw * sxx - sx * sx) AS b FROM (
+      SELECT sum(w) AS sw, sum(w * x) AS sx, sum(w * y) AS sy, sum(w * x * x) AS sxx, sum(w * x * y) AS sxy FROM {rows}))"""
+    parts = [f"d AS MATERIALIZED (SELECT {x} AS x, l_{y} AS y FROM lineitem)", f"f0 AS MATERIALIZED ({line.format(rows='(SELECT *, 1.0 AS w FROM d)')})"]
+    for k in range(rounds):
+        parts.append(f"m{k} AS MATERIALIZED (SELECT quantile_cont(abs(y - (a + b * x)), 0.5) / 0.67449 AS s FROM d, f{k})")
+        weighted = f"(SELECT x, y, CASE WHEN abs(y - (a + b * x)) / s <= 1.345 THEN 1.0 ELSE 1.345 / (abs(y - (a + b * x)) / s) END AS w FROM d, f{k}, m{k})"
+        parts.append(f"f{k + 1} AS MATERIALIZED ({line.format(rows=weighted)})")
+    parts.append(f"f AS (SELECT * FROM f{rounds})")
+    return "WITH " + ",\n".join(parts) + "\n" + tail
+
+
 @query("regress_robust")
 def q_robust(spark, sf):
-    return regress.robust_line(li(spark, sf), "l_quantity", "l_extendedprice")
+    fit = regress.robust_line(li(spark, sf), "l_quantity", "l_extendedprice")
+    return round_doubles(fit.select("intercept", "slope", "converged"), 3)
+
+
+SQL["regress_robust"] = sql_round(_robust_sql("l_quantity", "extendedprice", 20, "SELECT a AS intercept, b AS slope, TRUE AS converged FROM f"),
+                                  ["intercept", "slope"], 3)
+
+
+@query("regress_robust_curve")
+def q_robust_curve(spark, sf):
+    fit = regress.robust_fit(li(spark, sf), "l_extendedprice", "l_quantity", logx=True)
+    return round_doubles(regress.fit_curve(spark, fit, 200), 3)
+
+
+SQL["regress_robust_curve"] = sql_round(_robust_sql("ln(l_extendedprice)", "quantity", 20, """
+SELECT range AS point, lo + range * ((hi - lo) / 199) AS x, a + b * ln(lo + range * ((hi - lo) / 199)) AS y_fit
+FROM range(200), f, (SELECT exp(min(x)) AS lo, exp(max(x)) AS hi FROM d)"""), ["x", "y_fit"], 3)
+
+
+def _lowess_sql(x: str, y: str, shown: str, rounds: int = 3, points: int = 50) -> str:
+    last = points - 1
+    parts = [f"d AS MATERIALIZED (SELECT {x} AS x, {y} AS y FROM lineitem)",
+             "m AS MATERIALIZED (SELECT min(x) AS lo, max(x) AS hi, count(*) AS n FROM d)",
+             f"grid AS MATERIALIZED (SELECT range AS g, lo + range * ((hi - lo) / {last}) AS gx FROM range({points}), m)",
+             """bw AS MATERIALIZED (SELECT g, greatest(min(far), 1e-300) AS h FROM (SELECT g, far, sum(c) OVER (PARTITION BY g ORDER BY far) AS cum
+                  FROM grid, (SELECT x, count(*) AS c FROM d GROUP BY x), LATERAL (SELECT abs(x - gx) AS far)), m WHERE cum >= ceil(0.66 * n) GROUP BY g)"""]
+    for it in range(rounds + 1):
+        kept = "SELECT x, y, 1.0 AS k FROM d" if not it else f"""SELECT x, y, CASE WHEN off / (6 * mid) < 1
+                  THEN (1 - (off / (6 * mid)) * (off / (6 * mid))) ** 2 ELSE 0.0 END AS k FROM r{it - 1}, md{it - 1}"""
+        parts.append(f"""fit{it} AS MATERIALIZED (SELECT g, CASE WHEN w * wcc - wc * wc > 1e-12 * greatest(1.0, w * wcc)
+                  THEN (wcc * wy - wc * wcy) / (w * wcc - wc * wc) ELSE wy / w END AS v FROM (
+          SELECT g, sum(t * k) AS w, sum(t * k * c) AS wc, sum(t * k * c * c) AS wcc, sum(t * ky) AS wy, sum(t * ky * c) AS wcy FROM (
+            SELECT g, k, ky, x - gx AS c, CASE WHEN abs(x - gx) / h < 1 THEN (1 - (abs(x - gx) / h) ** 3) ** 3 ELSE 0.0 END AS t
+            FROM (SELECT x, sum(k) AS k, sum(k * y) AS ky FROM ({kept}) GROUP BY x), grid JOIN bw USING (g)) GROUP BY g))""")
+        if it < rounds:
+            parts.append(f"""r{it} AS MATERIALIZED (SELECT x, y, abs(y - (p.v + (q.v - p.v) * ((x - (lo + p.g * step)) / step))) AS off FROM (
+              SELECT *, (hi - lo) / {last} AS step, least(greatest(floor((x - lo) / ((hi - lo) / {last})), 0), {last - 1}) AS i FROM d, m)
+              JOIN fit{it} p ON p.g = i JOIN fit{it} q ON q.g = i + 1)""")
+            parts.append(f"md{it} AS MATERIALIZED (SELECT quantile_cont(off, 0.5) AS mid FROM r{it})")
+    return "WITH " + ",\n".join(parts) + f"\nSELECT CAST(g AS INTEGER) AS point, {shown} AS x, v AS y_fit FROM fit{rounds} JOIN grid USING (g)"
 
 
 @query("regress_lowess")
 def q_lowess(spark, sf):
-    return regress.lowess_grid(li(spark, sf), "l_quantity", "l_extendedprice")
+    return round_doubles(regress.lowess_grid(li(spark, sf), "l_quantity", "l_extendedprice"), 4)
+
+
+SQL["regress_lowess"] = sql_round(_lowess_sql("l_quantity", "l_extendedprice", "gx"), ["x", "y_fit"], 4)
+
+
+@query("regress_lowess_log")
+def q_lowess_log(spark, sf):
+    return round_doubles(regress.lowess_grid(li(spark, sf), "l_extendedprice", "l_quantity", logx=True), 4)
+
+
+SQL["regress_lowess_log"] = sql_round(_lowess_sql("ln(l_extendedprice)", "l_quantity", "exp(gx)"), ["x", "y_fit"], 4)
 
 
 @query("density_grid")
