@@ -9,7 +9,9 @@ partial sums are added up by replicate, so nothing large meets in one place.
 
 from __future__ import annotations
 
+import math
 import zlib
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -36,31 +38,61 @@ def _stat_from_moments(stat: str, n_a, s_a, q_a, n_b, s_b, q_b):
         return np.where((n_a < 2) | (n_b < 2), np.nan, d)
 
 
-def _value_counts(sessions: DataFrame, metrics) -> DataFrame:
+def value_counts(sessions: DataFrame, metrics=METRIC_FAMILY) -> DataFrame:
+    """(metric, ab_group, v, c): how often each value stands, from one scan; missing values don't count."""
     long = sessions.select("ab_group", F.explode(F.array(*[
         F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("v")) for m in metrics
     ])).alias("x")).select("ab_group", "x.metric", "x.v").filter(F.col("v").isNotNull())
     return long.groupBy("metric", "ab_group", "v").agg(F.count("*").alias("c"))
 
 
-def _value_seed(seed: int, metric: str, arm: str, value: float) -> list[int]:
-    return [seed, zlib.crc32(f"{metric}|{arm}".encode()), int(np.float64(value).view(np.uint64))]
+#: Fixed values of the draws, which SQL repeats: a 32-bit mask, multiplier and step, and how finely values are told apart.
+MASK, MULTIPLIER, STEP, VALUE_SCALE = 0xFFFFFFFF, 0x45D9F3B, 0x9E3779B9, 1e9
 
 
-def bootstrap_replicates(sessions: DataFrame, metrics=METRIC_FAMILY, n_boot: int = 10_000,
-                         seed: int = 20260418, stat: str = "mean_diff") -> DataFrame:
+def mix32(x: np.ndarray) -> np.ndarray:
+    """A bijective scramble of 32-bit numbers, in arithmetic that fits 63 bits."""
+    for _ in range(2):
+        x = ((x ^ (x >> 16)) * MULTIPLIER) & MASK
+    return x ^ (x >> 16)
+
+
+def arm_key(seed: int, metric: str, arm: str) -> int:
+    return int(mix32((zlib.crc32(f"{metric}|{arm}".encode()) ^ seed) & MASK))
+
+
+def uniforms(seed: int, metric: str, arm: str, value: float, n: int) -> np.ndarray:
+    """Draw r of a value is a function of (seed, metric, arm, value, r) alone; in (0, 1), 32 bits."""
+    q = math.floor(value * VALUE_SCALE + 0.5)
+    h = mix32(arm_key(seed, metric, arm) ^ (q & MASK))
+    h = mix32(h ^ ((q >> 32) & MASK))
+    return (mix32((h + np.arange(n, dtype=np.int64) * STEP) & MASK) + 0.5) / 2.0 ** 32
+
+
+@lru_cache(maxsize=256)
+def poisson_table(c: int) -> tuple[int, np.ndarray]:
+    """(first k, P(K <= k) from there on) of a Poisson number with mean ``c``, nine standard deviations wide."""
+    first = max(0, math.floor(c - 9 * math.sqrt(c) - 9))
+    k = np.arange(first, math.ceil(c + 9 * math.sqrt(c) + 20))
+    return first, np.cumsum(np.exp(k * math.log(c) - c - np.array([math.lgamma(x + 1) for x in k.tolist()])))
+
+
+def bootstrap_replicates(sessions: DataFrame | None, metrics=METRIC_FAMILY, n_boot: int = 10_000,
+                         seed: int = 20260418, stat: str = "mean_diff", counts: DataFrame | None = None) -> DataFrame:
     """(metric, rep, stat): a value that stands c times weighs Poisson(c) in
-    each replicate. The draws of a value come from a generator keyed by (seed,
-    metric, arm, value), so they don't depend on partitions or table size. A
-    task keeps n_boot sums per metric and arm."""
-    counts = _value_counts(sessions, list(metrics))
+    each replicate. The draws come from a counter-based generator and the
+    inverse of the Poisson table, so they depend on nothing but (seed, metric,
+    arm, value, replicate). A task keeps n_boot sums per metric and arm.
+    ``counts`` gives ready ``value_counts``."""
+    counts = value_counts(sessions, list(metrics)) if counts is None else counts
     spread = counts.repartition(shuffle_partitions(counts.sparkSession), "metric", "ab_group", "v")
 
     def run(batches):
         sums: dict[tuple[str, str], np.ndarray] = {}
         for pdf in batches:
             for m, arm, v, c in zip(pdf["metric"], pdf["ab_group"], pdf["v"], pdf["c"], strict=True):
-                w = np.random.default_rng(_value_seed(seed, m, arm, v)).poisson(c, n_boot)
+                first, cdf = poisson_table(int(c))
+                w = first + np.minimum(np.searchsorted(cdf, uniforms(seed, m, arm, v, n_boot), side="right"), len(cdf) - 1)
                 s = sums.setdefault((m, arm), np.zeros((3, n_boot)))
                 s[0] += w
                 s[1] += w * v
@@ -84,12 +116,12 @@ def bootstrap_replicates(sessions: DataFrame, metrics=METRIC_FAMILY, n_boot: int
                        .alias("stat"))
 
 
-def bootstrap_diff_ci(sessions: DataFrame, metrics=METRIC_FAMILY, n_boot: int = 10_000,
-                      seed: int = 20260418, level: float = 0.95, stat: str = "mean_diff") -> DataFrame:
+def bootstrap_diff_ci(sessions: DataFrame | None, metrics=METRIC_FAMILY, n_boot: int = 10_000,
+                      seed: int = 20260418, level: float = 0.95, stat: str = "mean_diff", counts: DataFrame | None = None) -> DataFrame:
     """X7 (``stat='mean_diff'``) / X8 (``stat='cohens_d'``): percentile
     interval of the replicate statistic, linear interpolation."""
     lo, hi = (1 - level) / 2, 1 - (1 - level) / 2
-    reps = bootstrap_replicates(sessions, metrics, n_boot, seed, stat)
+    reps = bootstrap_replicates(sessions, metrics, n_boot, seed, stat, counts)
     q = F.percentile(F.col("stat"), F.array(F.lit(lo), F.lit(hi)))
     return (reps.filter(~F.isnan("stat") & F.col("stat").isNotNull())
             .groupBy("metric").agg(q.alias("_q"), F.count("*").alias("n_boot"))

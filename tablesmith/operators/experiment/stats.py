@@ -15,7 +15,9 @@ from pyspark.sql import functions as F
 from tablesmith.functions import dist
 from tablesmith.functions.quantile import quantiles_by
 from tablesmith.functions.ranks import cumulative_below
+from tablesmith.operators.experiment.resample import bootstrap_diff_ci, value_counts
 from tablesmith.operators.experiment.sessions import METRIC_FAMILY
+from tablesmith.session import staged
 
 
 def _div(a: Column, b: Column) -> Column:
@@ -54,6 +56,27 @@ def arm_moments(sessions: DataFrame, metrics=METRIC_FAMILY, arm_col: str = "ab_g
     )
 
 
+def counted_moments(counts: DataFrame, metrics=METRIC_FAMILY) -> DataFrame:
+    """``arm_moments`` from ``value_counts``; squares are taken about each arm's mean."""
+    c, v = F.col("c"), F.col("v")
+    means = counts.groupBy("metric", "ab_group").agg(F.sum("c").alias("n"), F.sum(c * v).alias("s"))
+    means = means.withColumn("mean", F.col("s") / F.col("n"))
+    about = counts.join(F.broadcast(means.select("metric", "ab_group", "mean")), ["metric", "ab_group"])
+    off = F.col("v") - F.col("mean")
+    squares = about.groupBy("metric", "ab_group").agg(F.sum(c * off * off).alias("q"))
+    each = means.join(squares, ["metric", "ab_group"]).withColumn("var", F.when(F.col("n") > 1, F.col("q") / (F.col("n") - 1)))
+
+    def pick(arm: str, name: str) -> Column:
+        return F.max(F.when(F.col("ab_group") == arm, F.col(name)))
+
+    wide = each.groupBy("metric").agg(*[pick(arm, name).alias(f"{out}_{arm.lower()}") for name, out in
+                                        (("n", "n"), ("s", "sum"), ("mean", "mean"), ("var", "var")) for arm in ("A", "B")])
+    names = counts.sparkSession.createDataFrame([(i, m) for i, m in enumerate(metrics)], "metric_order int, metric string")
+    return names.join(wide, "metric", "left").select(
+        "metric_order", "metric", *[F.coalesce(n, F.lit(0)).cast("long").alias(n) for n in ("n_a", "n_b")],
+        "sum_a", "sum_b", "mean_a", "mean_b", "var_a", "var_b")
+
+
 def arm_descriptives(sessions: DataFrame, metrics=METRIC_FAMILY) -> DataFrame:
     """N, mean, sd per arm, difference B - A and lift %."""
     m = arm_moments(sessions, metrics)
@@ -120,19 +143,17 @@ def two_prop_z(sessions: DataFrame, metric: str = "preview_to_apply_conversion",
     return out
 
 
-def mann_whitney_u(sessions: DataFrame, metrics=METRIC_FAMILY, with_p: bool = True) -> DataFrame:
+def mann_whitney_u(sessions: DataFrame | None, metrics=METRIC_FAMILY, with_p: bool = True, counts: DataFrame | None = None) -> DataFrame:
     """Mann-Whitney U of arm A with tie correction.
 
     Values are first counted per (metric, value, arm), so the rank step sees
     distinct values only; average ranks come from the bucketed cumulative
     count, never from a window over raw rows.
     """
-    long = sessions.select("ab_group", F.explode(F.array(*[
-        F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("v")) for m in metrics
-    ])).alias("x")).select("ab_group", "x.metric", "x.v").filter(F.col("v").isNotNull())
-    counts = long.groupBy("metric", "v").agg(
-        F.count_if(F.col("ab_group") == "A").alias("c_a"),
-        F.count_if(F.col("ab_group") == "B").alias("c_b"),
+    counts = value_counts(sessions, metrics) if counts is None else counts
+    counts = counts.groupBy("metric", "v").agg(
+        F.coalesce(F.sum(F.when(F.col("ab_group") == "A", F.col("c"))), F.lit(0)).alias("c_a"),
+        F.coalesce(F.sum(F.when(F.col("ab_group") == "B", F.col("c"))), F.lit(0)).alias("c_b"),
     ).withColumn("c", F.col("c_a") + F.col("c_b"))
     ranked = cumulative_below(counts, "v", ["c"], keys=["metric"])
     avg_rank = F.col("c_below") + (F.col("c") + 1) / 2.0
@@ -281,12 +302,13 @@ def power_table(sessions: DataFrame, metrics=METRIC_FAMILY, alpha: float = 0.05,
 def metric_report(sessions: DataFrame, metrics=METRIC_FAMILY, n_boot: int = 10_000,
                   seed: int = 20260418, with_ci: bool = True) -> DataFrame:
     """One 13-column result row per metric with Bonferroni over the
-    family; X23's effect table and X11's FDR column ride along."""
-    from tablesmith.operators.experiment.resample import bootstrap_diff_ci
-
+    family; X23's effect table and X11's FDR column ride along. The sessions
+    are counted once by (metric, arm, value); moments, ranks and bootstrap all
+    read that written table."""
     metrics = list(metrics)
     n_tests = len(metrics)
-    mom = arm_moments(sessions, metrics)
+    counts = staged(value_counts(sessions, metrics), "value-counts")
+    mom = counted_moments(counts, metrics)
     w = _welch_cols()
     welch = mom.select("metric", w["t"].alias("t_w"), w["df"].alias("df_w"),
                        _cohen_col().alias("d"))
@@ -295,7 +317,7 @@ def metric_report(sessions: DataFrame, metrics=METRIC_FAMILY, n_boot: int = 10_0
     pool = (F.col("sum_a") + F.col("sum_b")) / (F.col("n_a") + F.col("n_b"))
     se = F.sqrt(pool * (1 - pool) * (F.lit(1.0) / F.col("n_a") + F.lit(1.0) / F.col("n_b")))
     zt = mom.select("metric", F.when(se == 0, 0.0).otherwise((pb - pa) / se).alias("z"))
-    mw = mann_whitney_u(sessions, metrics, with_p=True).select(
+    mw = mann_whitney_u(None, metrics, with_p=True, counts=counts).select(
         "metric", "u_a", F.col("p_value").alias("p_mw"))
     base = (mom.join(welch, "metric").join(zt, "metric").join(mw, "metric"))
     is_z = F.col("metric") == "preview_to_apply_conversion"
@@ -317,7 +339,7 @@ def metric_report(sessions: DataFrame, metrics=METRIC_FAMILY, n_boot: int = 10_0
     out = out.withColumn("p_value_bonferroni", _capped(F.col("p_value") * n_tests))
     out = bh_adjust(out, "p_value", out_col="p_value_fdr")
     if with_ci:
-        ci = bootstrap_diff_ci(sessions, metrics, n_boot=n_boot, seed=seed)
+        ci = bootstrap_diff_ci(None, metrics, n_boot=n_boot, seed=seed, counts=counts)
         out = out.join(ci, "metric", "left")
     else:
         out = out.withColumn("ci_low", F.lit(None).cast("double")).withColumn(

@@ -454,14 +454,48 @@ FROM ev"""
 
 # --- rows-only (random or iterative) ----------------------------------------
 
+def _mixed(rows: str) -> str:
+    """The scramble of column x, a step a level."""
+    for step in (f"(xor(x, x >> 16) * {resample.MULTIPLIER}) & {resample.MASK}",) * 2 + ("xor(x, x >> 16)",):
+        rows = f"(SELECT * REPLACE ({step} AS x) FROM {rows})"
+    return rows
+
+
+def _bootstrap_sql(metrics, stat: str, n_boot: int = 10_000, seed: int = 20260418) -> str:
+    mask = resample.MASK
+    keys = ", ".join(f"('{m}', '{arm}', {resample.arm_key(seed, m, arm)}::BIGINT)" for m in metrics for arm in ("A", "B"))
+    low = _mixed("(SELECT metric, ab_group, v, c, q, xor(key, q & " + str(mask) + ") AS x FROM vc JOIN keys USING (metric, ab_group))")
+    high = _mixed(f"(SELECT * REPLACE (xor(x, (q >> 32) & {mask}) AS x) FROM {low})")
+    draws = _mixed(f"(SELECT metric, ab_group, v, c, r, (x + r * {resample.STEP}) & {mask} AS x FROM {high}, range({n_boot}) AS t(r))")
+    pooled = "sqrt(((n_a - 1) * (q_a - s_a * s_a / n_a) / (n_a - 1) + (n_b - 1) * (q_b - s_b * s_b / n_b) / (n_b - 1)) / greatest(n_a + n_b - 2, 1))"
+    value = {"mean_diff": "s_b / n_b - s_a / n_a",
+             "cohens_d": f"CASE WHEN n_a < 2 OR n_b < 2 THEN NULL WHEN {pooled} = 0 THEN 0 ELSE (s_b / n_b - s_a / n_a) / {pooled} END"}[stat]
+    return with_(EV, SESS, long_sql(metrics)) + f"""
+, vc AS (SELECT metric, ab_group, v, count(*) AS c, CAST(floor(v * {resample.VALUE_SCALE} + 0.5) AS BIGINT) AS q FROM lng WHERE v IS NOT NULL GROUP BY 1, 2, 3),
+keys(metric, ab_group, key) AS (VALUES {keys}),
+table_of AS (SELECT c, k, coalesce(sum(exp(k * ln(c) - c - lgamma(k + 1))) OVER (PARTITION BY c ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below
+  FROM (SELECT c, unnest(range(CAST(greatest(0, floor(c - 9 * sqrt(c) - 9)) AS BIGINT), CAST(ceil(c + 9 * sqrt(c) + 20) AS BIGINT))) AS k FROM (SELECT DISTINCT c FROM vc))),
+draws AS (SELECT metric, ab_group, v, c, r, (x + 0.5) / 4294967296.0 AS u FROM {draws}),
+sums AS (SELECT metric, r, {", ".join(f"sum({e}) FILTER (WHERE ab_group = '{arm}') AS {n}_{arm.lower()}" for n, e in (("n", "k"), ("s", "k * v"), ("q", "k * v * v")) for arm in ("A", "B"))}
+  FROM draws ASOF JOIN table_of ON draws.c = table_of.c AND draws.u >= table_of.below GROUP BY metric, r),
+reps AS (SELECT metric, {value} AS s FROM sums WHERE n_a > 0 AND n_b > 0)
+SELECT metric, quantile_cont(s, 0.025) AS ci_low, quantile_cont(s, 0.975) AS ci_high, CAST(count(s) AS BIGINT) AS n_boot FROM reps WHERE s IS NOT NULL GROUP BY metric"""
+
+
 @query("bootstrap_diff_ci")
 def q_boot(spark, sf):
-    return resample.bootstrap_diff_ci(sessions(spark, sf))
+    return round_doubles(resample.bootstrap_diff_ci(sessions(spark, sf)))
+
+
+SQL["bootstrap_diff_ci"] = sql_round(_bootstrap_sql(METRIC_FAMILY, "mean_diff"), ["ci_low", "ci_high"])
 
 
 @query("bootstrap_d_ci")
 def q_boot_d(spark, sf):
-    return resample.bootstrap_d_ci(sessions(spark, sf))
+    return round_doubles(resample.bootstrap_d_ci(sessions(spark, sf)))
+
+
+SQL["bootstrap_d_ci"] = sql_round(_bootstrap_sql(["apply_rate"], "cohens_d"), ["ci_low", "ci_high"])
 
 
 @query("aa_check")

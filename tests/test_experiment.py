@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tablesmith.functions import dist
+from tablesmith.operators.experiment.sessions import METRIC_FAMILY
 from tablesmith.operators.experiment import resample, stats
 from tablesmith.operators.experiment.sessions import session_metrics
 from tablesmith.sources.events import normalise_events
@@ -181,3 +182,26 @@ def test_aa_check_rates(spark):
     assert r["n_replicates"] == 10 and 0 <= r["n_rejected"] <= 10
     assert r["ci_low"] <= r["rejection_rate"] <= r["ci_high"]
     assert not math.isnan(r["ci_high"])
+
+
+def test_draws_are_poisson_and_independent():
+    for c in (1, 3, 50, 5000):
+        first, cdf = resample.poisson_table(c)
+        k = first + np.minimum(np.searchsorted(cdf, resample.uniforms(1, "m", "A", 0.25, 40_000), side="right"), len(cdf) - 1)
+        assert abs(k.mean() - c) < 5 * (c / 40_000) ** 0.5 and k.var() == pytest.approx(c, rel=0.06)
+    one, two = (resample.uniforms(1, "m", "A", v, 40_000) for v in (0.25, 0.5))
+    assert abs(np.corrcoef(one, two)[0, 1]) < 0.03 and abs(np.corrcoef(one[1:], one[:-1])[0, 1]) < 0.03
+    assert len({float(resample.uniforms(s, m, a, v, 1)[0]) for s in (1, 2) for m in "mn" for a in "AB" for v in (0.0, 1.0, 5e9)}) == 24
+
+
+def test_report_reads_one_table_of_counts(spark):
+    rows = [(f"s{i}", "AB"[i % 2], float(i * i % 7), float(i % 2), None if i % 5 == 0 else float(i % 3), 1.0) for i in range(200)]
+    df = spark.createDataFrame(rows, "session_id string, ab_group string, " + ", ".join(f"{m} double" for m in METRIC_FAMILY))
+    counts = resample.value_counts(df, METRIC_FAMILY)
+    one = {r.metric: r for r in stats.counted_moments(counts).collect()}
+    for r in stats.arm_moments(df).collect():
+        got = one[r.metric].asDict()
+        for name, v in r.asDict().items():
+            assert got[name] == (pytest.approx(v, abs=1e-12) if isinstance(v, float) else v)
+    empty = stats.counted_moments(counts.where("false")).collect()
+    assert len(empty) == len(METRIC_FAMILY) and all(r.n_a == 0 and r.mean_a is None for r in empty)
