@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablesmith.functions.ranks import cumulative_below
+from tablesmith.session import staged
 
 
 def quantiles_by(df: DataFrame, value: Column, probs: list[float], keys: dict[str, Column] | None = None) -> DataFrame:
@@ -20,6 +21,7 @@ def quantiles_by(df: DataFrame, value: Column, probs: list[float], keys: dict[st
     names = list(keys)
     counts = (df.select(*[c.alias(n) for n, c in keys.items()], value.cast("double").alias("_v")).where("_v IS NOT NULL")
               .groupBy(*names, "_v").agg(F.count("*").alias("_c")))
+    counts = staged(counts, "value-counts")  # bounds, totals, ranks and sizes all read it
     ranked = cumulative_below(counts, "_v", ["_c"], names)
     sizes = counts.groupBy(*names).agg((F.sum("_c") - 1).alias("_last"))
     same = [ranked[n].eqNullSafe(sizes[n]) for n in names]

@@ -18,10 +18,23 @@ from pyspark.sql import functions as F
 from tablesmith.session import shuffle_partitions
 
 
-def _bucket_expr(value: Column, bounds: list[float]) -> Column:
-    if not bounds:
-        return F.lit(0).cast("int")
-    return F.size(F.filter(F.array(*[F.lit(b) for b in bounds]), lambda b: b <= value))
+def bucket_of(value: Column, bounds: list[float]) -> Column:
+    """How many of the ascending ``bounds`` are at or below ``value``, by halving: log2 comparisons a row."""
+    def part(lo: int, hi: int) -> Column:
+        if lo == hi:
+            return F.lit(lo)
+        mid = (lo + hi) // 2
+        return F.when(value < F.lit(bounds[mid]), part(lo, mid)).otherwise(part(mid + 1, hi))
+
+    return part(0, len(bounds)).cast("int")
+
+
+def _bounds(df: DataFrame, value: str, n_buckets: int | None) -> list[float]:
+    n = n_buckets or max(1, shuffle_partitions(df.sparkSession))
+    if n == 1:
+        return []
+    found = df.approxQuantile(value, [i / n for i in range(1, n)], 1.0 / (4 * n))
+    return sorted({float(q) for q in found if q is not None})
 
 
 def cumulative_below(df: DataFrame, value: str, weights: list[str], keys: list[str] | None = None,
@@ -29,13 +42,7 @@ def cumulative_below(df: DataFrame, value: str, weights: list[str], keys: list[s
     """Add ``<w>_below`` = sum of ``w`` over rows of the same ``keys`` whose
     ``value`` is smaller. ``(keys, value)`` must be unique in ``df``."""
     keys = list(keys or [])
-    n_buckets = n_buckets or max(1, shuffle_partitions(df.sparkSession))
-    bounds: list[float] = []
-    if n_buckets > 1:
-        probs = [i / n_buckets for i in range(1, n_buckets)]
-        qs = df.approxQuantile(value, probs, 1.0 / (4 * n_buckets))
-        bounds = sorted({float(q) for q in qs if q is not None})
-    d = df.withColumn("_bk", _bucket_expr(F.col(value), bounds))
+    d = df.withColumn("_bk", bucket_of(F.col(value), _bounds(df, value, n_buckets)))
     totals = d.groupBy(*keys, "_bk").agg(*[F.sum(w).alias(w) for w in weights])
     w_off = Window.partitionBy(*keys).orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(*keys, "_bk", *[
@@ -51,3 +58,20 @@ def cumulative_below(df: DataFrame, value: str, weights: list[str], keys: list[s
     return inner.join(off, same, "inner").select(
         *[inner[c] for c in df.columns],
         *[(F.col(f"_off_{w}") + F.col(f"_in_{w}")).alias(f"{w}_below") for w in weights])
+
+
+def least_from(df: DataFrame, value: str, measure: str, keys: list[str] | None = None, n_buckets: int | None = None) -> DataFrame:
+    """Add ``<measure>_least``: the least ``measure`` of the rows of the same
+    ``keys`` whose ``value`` is the row's or greater, by the same buckets as
+    ``cumulative_below``."""
+    keys = list(keys or [])
+    d = df.withColumn("_bk", bucket_of(F.col(value), _bounds(df, value, n_buckets)))
+    later = Window.partitionBy(*keys).orderBy(F.col("_bk").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    totals = d.groupBy(*keys, "_bk").agg(F.min(measure).alias("_m")).select(*keys, "_bk", F.min("_m").over(later).alias("_after"))
+    own = Window.partitionBy(*keys, "_bk").orderBy(F.col(value).desc()).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    inner = d.withColumn("_own", F.min(measure).over(own))
+    same = inner["_bk"] == totals["_bk"]
+    for k in keys:
+        same = same & inner[k].eqNullSafe(totals[k])
+    # (#keys x buckets) rows at most; a plain join where there are many keys
+    return inner.join(totals, same, "inner").select(*[inner[c] for c in df.columns], F.least("_own", "_after").alias(f"{measure}_least"))

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tablesmith.functions import dist
 from tablesmith.functions.quantile import quantiles_by
-from tablesmith.functions.ranks import cumulative_below
+from tablesmith.functions.ranks import cumulative_below, least_from
 from tablesmith.operators.experiment.resample import bootstrap_diff_ci, value_counts
 from tablesmith.operators.experiment.sessions import METRIC_FAMILY
 from tablesmith.session import staged
@@ -182,18 +182,38 @@ def bh_adjust(df: DataFrame, p_col: str = "p_value", family: list[str] | None =
               out_col: str = "p_fdr") -> DataFrame:
     """X11: Benjamini-Hochberg step-up adjustment within each family.
 
-    The window is partitioned by family; a family is a list of tests (a few
-    metrics or subgroups), never raw rows."""
-    fam = [F.col(c) for c in (family or [])]
-    w_rank = Window.partitionBy(*fam).orderBy(F.col(p_col).asc_nulls_last())
-    w_all = Window.partitionBy(*fam)
-    ranked = (df.withColumn("_m", F.count(F.col(p_col)).over(w_all))
-              .withColumn("_r", F.row_number().over(w_rank)))
+    Tests are counted per family and p; ranks and the least later value of
+    p * tests / rank come from ranges of p, so a family of any size is spread
+    over tasks. A missing p stays missing and isn't counted as a test. Other
+    columns keep their values.
+    """
+    names = [f"_f{i}" for i in range(len(family or []))]
+    keyed = df.select("*", *[F.col(f"`{c}`").alias(n) for c, n in zip(family or [], names, strict=True)], F.col(f"`{p_col}`").cast("double").alias("_p"))
+    counts = staged(keyed.where("_p IS NOT NULL").groupBy(*names, "_p").agg(F.count("*").alias("_c")), "p-values")
+    sizes = counts.groupBy(*names).agg(F.sum("_c").alias("_m"))
+    ranked = cumulative_below(counts, "_p", ["_c"], names)
+
+    def alike(left: DataFrame, right: DataFrame) -> Column:
+        out = F.lit(True)
+        for n in names:
+            out = out & left[n].eqNullSafe(right[n])
+        return out
+
+    sized = ranked.join(sizes, alike(ranked, sizes)).select(*[ranked[n] for n in names], "_p", "_c", "_c_below", "_m")
+    raw = sized.withColumn("_raw", F.col("_p") * F.col("_m") / (F.col("_c_below") + F.col("_c")))
+    found = least_from(staged(raw.select(*names, "_p", "_raw"), "p-ranks"), "_p", "_raw", names)
+    adjusted = found.select(*names, F.col("_p").alias("_at"), F.least(F.lit(1.0), F.col("_raw_least")).alias(out_col))
+    same = alike(keyed, adjusted) & (keyed["_p"] == adjusted["_at"])
+    return keyed.join(adjusted, same, "left").select(*[keyed[f"`{c}`"] for c in df.columns], out_col)
+
+
+def bh_few(df: DataFrame, p_col: str = "p_value", out_col: str = "p_fdr") -> DataFrame:
+    """``bh_adjust`` of one family of a report's metrics: few rows, so one window."""
+    ranked = (df.withColumn("_m", F.count(F.col(p_col)).over(Window.partitionBy()))
+              .withColumn("_r", F.row_number().over(Window.orderBy(F.col(p_col).asc_nulls_last()))))
+    tail = Window.orderBy(F.col("_r").desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     raw = F.col(p_col) * F.col("_m") / F.col("_r")
-    w_tail = (Window.partitionBy(*fam).orderBy(F.col("_r").desc())
-              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return (ranked.withColumn(out_col, F.when(F.col(p_col).isNotNull(), F.least(F.lit(1.0), F.min(raw).over(w_tail))))
-            .drop("_m", "_r"))
+    return (ranked.withColumn(out_col, F.when(F.col(p_col).isNotNull(), F.least(F.lit(1.0), F.min(raw).over(tail)))).drop("_m", "_r"))
 
 
 def tost(sessions: DataFrame, metric: str, bound: float, alpha: float = 0.05,
@@ -337,7 +357,7 @@ def metric_report(sessions: DataFrame, metrics=METRIC_FAMILY, n_boot: int = 10_0
         F.when(is_z, F.lit("two-proportion z-test")).when(is_mw, F.lit("Mann-Whitney U"))
         .otherwise(F.lit("Welch's t-test")).alias("test_name"))
     out = out.withColumn("p_value_bonferroni", _capped(F.col("p_value") * n_tests))
-    out = bh_adjust(out, "p_value", out_col="p_value_fdr")
+    out = bh_few(out, "p_value", out_col="p_value_fdr")
     if with_ci:
         ci = bootstrap_diff_ci(None, metrics, n_boot=n_boot, seed=seed, counts=counts)
         out = out.join(ci, "metric", "left")

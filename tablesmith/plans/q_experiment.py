@@ -9,7 +9,7 @@ from tablesmith.operators.eda.groups import group_box_stats
 from tablesmith.operators.experiment import resample, sessions as sess_ops, stats
 from tablesmith.operators.experiment.sessions import METRIC_FAMILY
 from tablesmith.plans.common import round_doubles, sql_round
-from tablesmith.plans.tables import event_log, sessions
+from tablesmith.plans.tables import event_log, sessions, table
 from tablesmith.sources.events import EVENT_LOG_SQL
 
 Q = {}
@@ -78,6 +78,29 @@ def with_(*ctes):
     return "WITH " + ",\n".join(ctes) + "\n"
 
 
+def t_p_sql(t: str, df: str, steps: int = 20000) -> str:
+    """Two-sided p of Student's t by Simpson's rule over the angle atan(t / sqrt(df)) to a right angle."""
+    a = f"atan(abs({t}) / sqrt({df}))"
+    h = f"((pi() / 2 - {a}) / {steps})"
+    weight = f"CASE WHEN i IN (0, {steps}) THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END"
+    total = f"list_sum([({weight}) * pow(greatest(cos({a} + i * {h}), 0), {df} - 1) for i in range({steps + 1})])"
+    return f"(2 * exp(lgamma(({df} + 1) / 2) - lgamma({df} / 2)) / sqrt(pi()) * {h} / 3 * {total})"
+
+
+def norm_p_sql(z: str, steps: int = 20000, reach: int = 14) -> str:
+    """Two-sided p of a normal z by Simpson's rule over its tail."""
+    h = reach / steps
+    weight = f"CASE WHEN i IN (0, {steps}) THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END"
+    return f"(2 / sqrt(2 * pi()) * {h} / 3 * list_sum([({weight}) * exp(-(abs({z}) + i * {h}) * (abs({z}) + i * {h}) / 2) for i in range({steps + 1})]))"
+
+
+def bh_sql(rows: str, family: str, p: str = "p_value", out: str = "p_fdr") -> str:
+    """``rows`` with the step-up adjustment of p within each family."""
+    by = f"PARTITION BY {family} " if family else ""
+    return f"""SELECT * EXCLUDE (_m, _r, _raw), CASE WHEN {p} IS NOT NULL THEN least(1.0, min(_raw) OVER ({by}ORDER BY _r DESC)) END AS {out}
+FROM (SELECT *, {p} * _m / _r AS _raw FROM (SELECT *, count({p}) OVER ({by}) AS _m, row_number() OVER ({by}ORDER BY {p} NULLS LAST) AS _r FROM ({rows})))"""
+
+
 # --- queries ----------------------------------------------------------------
 
 @query("events_normalised")
@@ -226,7 +249,32 @@ SQL["sensitivity_report"] = _report_sql(ERROR_ONLY)
 @query("metric_report_full")
 def q_report_full(spark, sf):
     """Full 13-field rows with p-values, Bonferroni, FDR and bootstrap CIs."""
-    return stats.metric_report(sessions(spark, sf))
+    return round_doubles(stats.metric_report(sessions(spark, sf)), 6)
+
+
+def _full_sql() -> str:
+    """The whole report: test statistics, their p-values, both corrections and the bootstrap's interval."""
+    z_of_u = "(greatest(u_a, n_a * n_b - u_a) - n_a * n_b / 2.0 - 0.5) / nullif(sqrt(n_a * n_b / 12.0 * ((n_a + n_b + 1) - tie_term / ((n_a + n_b) * (n_a + n_b - 1.0)))), 0)"
+    rows = with_(EV, SESS, "sf AS (SELECT * FROM sess)", long_sql(src="sf"), MOM, MW_SQL) + f"""
+, mw AS (SELECT metric, sum(c_a * (c_below + (c + 1) / 2.0)) - sum(c_a) * (sum(c_a) + 1) / 2.0 AS u_a,
+                sum(c * 1.0 * c * c - c) AS tie_term FROM rk GROUP BY metric),
+w AS ({WELCH_SQL}),
+e AS (SELECT *, {COHEN_SQL} AS d FROM mom),
+j AS (SELECT m.*, mw.u_a, mw.tie_term, w.t, w.df, (m.sum_a + m.sum_b) / (m.n_a + m.n_b) AS p
+      FROM e m JOIN mw ON mw.metric = m.metric JOIN w ON w.metric = m.metric),
+k AS (SELECT *, sqrt(p * (1 - p) * (1.0 / n_a + 1.0 / n_b)) AS se, {z_of_u} AS zu FROM j)
+SELECT metric_order, metric, mean_a AS group_a_mean, mean_b AS group_b_mean, n_a AS group_a_n, n_b AS group_b_n,
+       CASE metric WHEN 'preview_to_apply_conversion' THEN CASE WHEN se = 0 THEN 0.0 ELSE (mean_b - mean_a) / se END
+                   WHEN 'successful_actions_per_session' THEN u_a ELSE t END AS statistic,
+       CASE metric WHEN 'preview_to_apply_conversion' THEN {norm_p_sql("CASE WHEN se = 0 THEN 0.0 ELSE (mean_b - mean_a) / se END")}
+                   WHEN 'successful_actions_per_session' THEN least(1.0, {norm_p_sql("zu")}) ELSE {t_p_sql("t", "df")} END AS p_value,
+       CASE WHEN metric = 'preview_to_apply_conversion' THEN mean_b - mean_a ELSE d END AS effect,
+       CASE WHEN metric = 'preview_to_apply_conversion' THEN 'proportion diff (B - A)' ELSE 'Cohen''s d' END AS effect_label,
+       CASE metric WHEN 'preview_to_apply_conversion' THEN 'two-proportion z-test'
+                   WHEN 'successful_actions_per_session' THEN 'Mann-Whitney U' ELSE 'Welch''s t-test' END AS test_name
+FROM k"""
+    return f"""SELECT r.*, least(1.0, p_value * {len(METRIC_FAMILY)}) AS p_value_bonferroni, ci_low, ci_high, (ci_low > 0 OR ci_high < 0) AS ci_excludes_zero
+FROM ({bh_sql(rows, "", out="p_value_fdr")}) r LEFT JOIN ({_bootstrap_sql(METRIC_FAMILY, "mean_diff")}) ci USING (metric)"""
 
 
 @query("bh_fdr")
@@ -239,7 +287,34 @@ def q_bh(spark, sf):
         sub = resample.subgroup_effects(ev, s, metric=m, min_sessions_per_cell=2).select(
             F.lit(m).alias("metric"), "subgroup", "p_value")
         parts = sub if parts is None else parts.unionByName(sub)
-    return stats.bh_adjust(parts, "p_value", family=["metric"])
+    return round_doubles(stats.bh_adjust(parts, "p_value", family=["metric"]), 6)
+
+
+@query("bh_fdr_many")
+def q_bh_many(spark, sf):
+    """One test a part: do its ordered quantities look normal? p = exp(-JB / 2), adjusted within the sizes of parts."""
+    x = F.col("l_quantity")
+    sums = [F.sum(x).alias("s1"), F.sum(x * x).alias("s2"), F.sum(x * x * x).alias("s3"), F.sum(x * x * x * x).alias("s4")]
+    d = (table(spark, sf, "lineitem").groupBy("l_partkey").agg(F.count("*").alias("n"), *sums)
+         .join(table(spark, sf, "part").select("p_partkey", "p_size"), F.col("l_partkey") == F.col("p_partkey"), "left"))
+    n, m = F.col("n"), F.col("s1") / F.col("n")
+    m2 = F.col("s2") / n - m * m
+    m3 = F.col("s3") / n - 3 * m * F.col("s2") / n + 2 * m * m * m
+    m4 = F.col("s4") / n - 4 * m * F.col("s3") / n + 6 * m * m * F.col("s2") / n - 3 * m * m * m * m
+    jb = n / 6.0 * (m3 * m3 / (m2 * m2 * m2) + (m4 / (m2 * m2) - 3) * (m4 / (m2 * m2) - 3) / 4)
+    tests = d.select("l_partkey", "p_size", F.when((n > 3) & (m2 > 1e-9), F.exp(-jb / 2)).alias("p_value"))
+    return round_doubles(stats.bh_adjust(tests, "p_value", family=["p_size"]), 6)
+
+
+_JB_PARTS = """SELECT l_partkey, p_size, CASE WHEN n > 3 AND m2 > 1e-9 THEN
+    exp(-(n / 6.0 * (m3 * m3 / (m2 * m2 * m2) + (m4 / (m2 * m2) - 3) * (m4 / (m2 * m2) - 3) / 4)) / 2) END AS p_value FROM (
+  SELECT l_partkey, p_size, n, s2 / n - m * m AS m2, s3 / n - 3 * m * s2 / n + 2 * m * m * m AS m3,
+         s4 / n - 4 * m * s3 / n + 6 * m * m * s2 / n - 3 * m * m * m * m AS m4 FROM (
+    SELECT l_partkey, p_size, n, s1 / n AS m, s2, s3, s4 FROM (
+      SELECT l_partkey, count(*) AS n, sum(l_quantity) AS s1, sum(l_quantity * l_quantity) AS s2,
+             sum(l_quantity * l_quantity * l_quantity) AS s3, sum(l_quantity * l_quantity * l_quantity * l_quantity) AS s4
+      FROM lineitem GROUP BY l_partkey) LEFT JOIN part ON p_partkey = l_partkey))"""
+SQL["bh_fdr_many"] = sql_round(bh_sql(_JB_PARTS, "p_size"), ["p_value", "p_fdr"], 6)
 
 
 @query("tost")
@@ -333,7 +408,8 @@ def q_subgroup(spark, sf):
     return round_doubles(r)
 
 
-SQL["subgroup_effects"] = sql_round(with_(EV, SESS) + """
+def _subgroup_sql(metric: str, least: int) -> str:
+    return (with_(EV, SESS) + """
 , ac AS (SELECT session_id, clean_action, count(*) AS c FROM ev WHERE clean_action IS NOT NULL
          GROUP BY session_id, clean_action),
 modal AS (SELECT session_id, clean_action AS subgroup FROM (
@@ -353,7 +429,13 @@ SELECT subgroup, CAST(n_a AS BIGINT) AS n_a, CAST(n_b AS BIGINT) AS n_b, mean_a,
        CASE WHEN n_a >= 30 AND n_b >= 30 THEN (var_a / n_a + var_b / n_b) * (var_a / n_a + var_b / n_b)
             / nullif((var_a / n_a) * (var_a / n_a) / (n_a - 1) + (var_b / n_b) * (var_b / n_b) / (n_b - 1), 0) END AS df,
        CASE WHEN n_a >= 30 AND n_b >= 30 THEN '' ELSE 'insufficient N' END AS note
-FROM p""", ["mean_a", "mean_b", "cohens_d", "t", "df"])
+FROM p""").replace("apply_rate) AS", f"{metric}) AS").replace(">= 30", f">= {least}")
+
+
+SQL["subgroup_effects"] = sql_round(_subgroup_sql("apply_rate", 30), ["mean_a", "mean_b", "cohens_d", "t", "df"])
+_SUBGROUP_P = "\nUNION ALL\n".join(
+    f"SELECT '{m}' AS metric, subgroup, {t_p_sql('t', 'df')} AS p_value FROM ({_subgroup_sql(m, 2)})" for m in METRIC_FAMILY)
+SQL["bh_fdr"] = sql_round(bh_sql(_SUBGROUP_P, "metric"), ["p_value", "p_fdr"], 6)
 
 
 @query("power_table")
@@ -511,4 +593,13 @@ def q_assign(spark, sf):
 
 @query("decision_row")
 def q_decision(spark, sf):
-    return stats.decision_row(stats.metric_report(sessions(spark, sf)))
+    return round_doubles(stats.decision_row(stats.metric_report(sessions(spark, sf))), 6)
+
+
+SQL["metric_report_full"] = sql_round(_full_sql(), ["group_a_mean", "group_b_mean", "statistic", "p_value", "p_value_bonferroni",
+                                                    "p_value_fdr", "effect", "ci_low", "ci_high"], 6)
+SQL["decision_row"] = sql_round(f"""
+SELECT metric, p_value_bonferroni, effect, ci_low, ci_high,
+       CASE WHEN p_value_bonferroni < 0.05 AND effect < 0 AND ci_high < 0 THEN 'ship'
+            WHEN p_value_bonferroni >= 0.05 THEN 'do not ship' ELSE 'hold' END AS decision
+FROM ({_full_sql()}) WHERE metric = 'apply_rate'""", ["p_value_bonferroni", "effect", "ci_low", "ci_high"], 6)
