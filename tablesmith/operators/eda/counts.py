@@ -10,10 +10,11 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.errors import AnalysisException, ParseException
 from pyspark.sql import functions as F
 
+from tablesmith.functions.sampling import sample_rows
 from tablesmith.functions import bins as B
 from tablesmith.functions.quantile import column_quantiles
 from tablesmith.functions.types import require_numeric, validate_columns
@@ -205,22 +206,30 @@ def lines_mean_by_group(grouped: DataFrame, x: str, y: str, nbins: int = 30) ->
 
 
 def scatter_sample(df: DataFrame, x: str, y: str, hue: str | None = None,
-                   max_points: int = 5000, seed: int = 0) -> DataFrame:
-    """A4: up to ``max_points`` complete (x, y) rows, chosen by a seeded hash
-    of the row (repeatable; a distributed top-k keeps ``max_points`` per
-    task). Display only: statistics always use every row."""
-    cols = [x, y] + ([hue] if hue else [])
+                   max_points: int | None = 5000, seed: int = 0) -> DataFrame:
+    """A4: up to ``max_points`` complete (x, y) rows, those with the smallest
+    hashes (``functions.sampling``). Display only: statistics always use every row."""
+    cols = [x, y] + ([hue] if hue and hue not in (x, y) else [])
     validate_columns(df, cols)
-    both = df.select(*[_c(c) for c in cols]).filter(_c(x).isNotNull() & _c(y).isNotNull())
-    key = F.xxhash64(*[_c(c) for c in cols], F.lit(seed))
-    return both.withColumn("_k", key).orderBy("_k").limit(max_points).drop("_k")
+    return sample_rows(df.filter(_c(x).isNotNull() & _c(y).isNotNull()), cols, max_points, None, seed)
 
 
-def raw_line(df: DataFrame, x: str, y: str, max_points: int = 5000, seed: int = 0) -> DataFrame:
+def raw_line(df: DataFrame, x: str, y: str, max_points: int | None = 5000, seed: int = 0) -> DataFrame:
     """Sampled points sorted by x."""
     return scatter_sample(df, x, y, None, max_points, seed).orderBy(_c(x), _c(y))
 
 
+def lines_raw_by_group(grouped: DataFrame, x: str, y: str, max_points_per_line: int | None = 5000, seed: int = 0) -> DataFrame:
+    """A14 unbinned: up to ``max_points_per_line`` complete points of each
+    group, numbered by x, and how many the line has."""
+    require_numeric(grouped, [x, y])
+    both = grouped.filter(_c(x).isNotNull() & _c(y).isNotNull())
+    points = sample_rows(both, ["group", x, y], max_points_per_line, "group", seed)
+    line = Window.partitionBy("group")
+    return points.select("group", (F.row_number().over(line.orderBy(_c(x), _c(y))) - 1).cast("long").alias("point"),
+                         _c(x).cast("double").alias("x"), _c(y).cast("double").alias("y"), F.count("*").over(line).alias("n_points"))
+
+
 __all__ = ["MISSING", "category_counts", "histogram", "histogram_2d", "trend_line",
            "joint_marginals", "groups_by_category", "groups_by_filters", "lines_hist_by_group",
-           "lines_mean_by_group", "scatter_sample", "raw_line", "auto_bins"]
+           "lines_mean_by_group", "lines_raw_by_group", "scatter_sample", "raw_line", "auto_bins"]

@@ -64,8 +64,10 @@ def contingency(df: DataFrame, x: str, y: str) -> DataFrame:
         "x_value", "y_value", F.coalesce("n", F.lit(0)).cast("long").alias("n"))
 
 
-def contingency_wide(df: DataFrame, x: str, y: str) -> DataFrame:
-    """A11, wide: one row per y label, one column per x label."""
-    labels = [r[0] for r in df.select(label_missing(_c(x)).alias("v")).distinct().collect()]
+def contingency_wide(df: DataFrame, x: str, y: str, max_labels: int = 1000) -> DataFrame:
+    """A11, wide: one row per y label, one column per x label; more than ``max_labels`` columns are refused."""
+    labels = [r[0] for r in df.select(label_missing(_c(x)).alias("v")).distinct().limit(max_labels + 1).collect()]
+    if len(labels) > max_labels:
+        raise ValueError(f"{x} has more than {max_labels} distinct values")
     return (df.select(label_missing(_c(x)).alias("x_value"), label_missing(_c(y)).alias(y))
             .groupBy(f"`{y}`").pivot("x_value", sorted(labels)).count().na.fill(0))

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tablesmith.functions.ranks import bucket_of
 from tablesmith.functions.types import require_categorical, validate_columns
 from tablesmith.session import shuffle_partitions
 
@@ -32,8 +33,7 @@ def label_map(df: DataFrame, column: str) -> DataFrame:
     picked = sorted(r["label"] for r in labels.where(
         F.pmod(F.xxhash64("label"), F.lit(1 << 20)) < share * (1 << 20)).collect())
     bounds = picked[::_PER_RANGE]
-    cut = F.array(*[F.lit(b) for b in bounds]).cast("array<string>")
-    ranged = labels.withColumn("_r", F.size(F.filter(cut, lambda b: b <= F.col("label"))))
+    ranged = labels.withColumn("_r", bucket_of(F.col("label"), bounds))
     before = Window.orderBy("_r").rowsBetween(Window.unboundedPreceding, -1)
     sizes = ranged.groupBy("_r").agg(F.count("*").alias("_n"))  # one row per range
     offsets = sizes.select("_r", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
@@ -64,9 +64,10 @@ def distinct_labels(df: DataFrame, column: str, max_labels: int | None = None) -
     return sorted(r["v"] for r in rows)
 
 
-def encode_onehot(df: DataFrame, columns) -> DataFrame:
+def encode_onehot(df: DataFrame, columns, max_labels: int = 1000) -> DataFrame:
     """Replace each column by integer indicator columns ``col_value``;
-    a missing value gives all zeros."""
+    a missing value gives all zeros. A column with more than ``max_labels``
+    categories is refused, as each becomes a column."""
     columns = list(columns)
     validate_columns(df, columns)
     out = []
@@ -74,7 +75,7 @@ def encode_onehot(df: DataFrame, columns) -> DataFrame:
         if f.name not in columns:
             out.append(F.col(f"`{f.name}`"))
             continue
-        for v in distinct_labels(df, f.name):
+        for v in distinct_labels(df, f.name, max_labels):
             out.append(F.coalesce((F.col(f"`{f.name}`") == F.lit(v)).cast("int"), F.lit(0))
                        .alias(f"{f.name}_{v}"))
     return df.select(*out)

@@ -46,9 +46,10 @@ def session_metrics(events: DataFrame) -> DataFrame:
 
 def assign_arm(df: DataFrame, key: str = "session_id", salt: str = "arm",
                arms: tuple[str, str] = ("A", "B")) -> DataFrame:
-    """Repeatable 50/50 assignment from a hash of the key."""
-    bit = F.pmod(F.xxhash64(F.col(key).cast("string"), F.lit(salt)), F.lit(2))
-    return df.withColumn("ab_group", F.when(bit == 0, F.lit(arms[0])).otherwise(F.lit(arms[1])))
+    """Repeatable 50/50 assignment from the last bit of an MD5 of salt and key (X25), which any engine can repeat;
+    a missing key has no arm."""
+    last = F.substring(F.md5(F.concat(F.lit(f"{salt}|"), F.col(f"`{key}`").cast("string"))), 32, 1)
+    return df.withColumn("ab_group", F.when(last.isin(*"02468ace"), F.lit(arms[0])).when(last.isNotNull(), F.lit(arms[1])))
 
 
 def funnel_by_arm(sessions: DataFrame) -> DataFrame:

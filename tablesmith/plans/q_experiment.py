@@ -591,6 +591,10 @@ def q_assign(spark, sf):
     return sess_ops.assign_arm(s, "session_id", salt="rollout-2")
 
 
+SQL["assign_arm"] = with_(EV, SESS) + """SELECT session_id, CASE WHEN contains('02468ace', substr(md5('rollout-2|' || session_id), 32, 1)) THEN 'A' ELSE 'B' END AS ab_group
+FROM (SELECT DISTINCT session_id FROM sess)"""
+
+
 @query("decision_row")
 def q_decision(spark, sf):
     return round_doubles(stats.decision_row(stats.metric_report(sessions(spark, sf))), 6)

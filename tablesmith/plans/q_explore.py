@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tablesmith.functions import bins as B
 from tablesmith.operators import features, filters, missing
-from tablesmith.operators.eda import compare, corr, counts, density, groups, regress
+from tablesmith.operators.eda import compare, corr, counts, density, dispatch, groups, regress
 from tablesmith.plans.common import round_doubles, sql_round
 from tablesmith.plans.q_clean import GL, GL_COLS
 from tablesmith.plans.tables import gappy_lineitem, table
@@ -303,11 +303,51 @@ def q_scatter(spark, sf):
     return counts.scatter_sample(li(spark, sf), "l_quantity", "l_extendedprice", "l_returnflag", 5000)
 
 
+def _hash_sql(cols: list[str], texts: tuple[str, ...] = ()) -> str:
+    """The sampling hash of ``functions.sampling`` with seed 0; ``texts`` are columns that aren't numbers."""
+    parts = [f"coalesce({c}, '~')" if c in texts else f"coalesce(CAST(CAST(floor({c} * 1e6 + 0.5) AS BIGINT) AS VARCHAR), '~')" for c in cols]
+    return f"md5(concat_ws('|', {', '.join(parts)}, '0'))"
+
+
+def _sample_sql(src: str, cols: list[str], texts: tuple[str, ...], k: int, group: str | None = None) -> str:
+    by = f"PARTITION BY {group} " if group else ""
+    return (f"SELECT {', '.join(cols)} FROM (SELECT *, row_number() OVER ({by}ORDER BY {_hash_sql(cols, texts)}, {', '.join(cols)}) AS _i FROM ({src})) WHERE _i <= {k}")
+
+
+SQL["scatter_sample"] = _sample_sql("SELECT * FROM lineitem", ["l_quantity", "l_extendedprice", "l_returnflag"], ("l_returnflag",), 5000)
+
+
 @query("raw_line")
 def q_raw_line(spark, sf):
     return counts.raw_line(li(spark, sf), "l_quantity", "l_extendedprice", 2000)
 
 
+SQL["raw_line"] = _sample_sql("SELECT * FROM lineitem", ["l_quantity", "l_extendedprice"], (), 2000)
+
+
+@query("group_points")
+def q_group_points(spark, sf):
+    """Points behind a violin plot with a hue."""
+    return dispatch.two_column_points(gappy_lineitem(spark, sf), "l_returnflag", "l_extendedprice", "l_linestatus", "violin", 3000)
+
+
+SQL["group_points"] = w(GL) + _sample_sql("SELECT * FROM g WHERE l_returnflag IS NOT NULL AND l_extendedprice IS NOT NULL",
+                                          ["l_extendedprice", "l_returnflag", "l_linestatus"], ("l_returnflag", "l_linestatus"), 3000)
+
+
+@query("lines_raw_by_group")
+def q_lines_raw(spark, sf):
+    by_flag = counts.groups_by_category(gappy_lineitem(spark, sf), "l_returnflag")
+    return counts.lines_raw_by_group(by_flag, "l_quantity", "l_extendedprice", 500)
+
+
+SQL["lines_raw_by_group"] = w(GL) + f"""
+SELECT "group", CAST(row_number() OVER (PARTITION BY "group" ORDER BY l_quantity, l_extendedprice) - 1 AS BIGINT) AS point,
+       l_quantity AS x, l_extendedprice AS y, CAST(count(*) OVER (PARTITION BY "group") AS BIGINT) AS n_points
+FROM ({_sample_sql("SELECT *, coalesce(l_returnflag, '<<MISSING>>') AS grp FROM g WHERE l_quantity IS NOT NULL AND l_extendedprice IS NOT NULL",
+                   ["grp", "l_quantity", "l_extendedprice"], ("grp",), 500, "grp")}) AS _s("group", l_quantity, l_extendedprice)"""
+
+
 # --- grouped ------------------------------------------------------------------------------
 
 @query("group_box_stats")
@@ -603,7 +643,19 @@ SQL["regress_lowess_log"] = sql_round(_lowess_sql("ln(l_extendedprice)", "l_quan
 
 @query("density_grid")
 def q_density(spark, sf):
-    return density.density_grid(li(spark, sf), "l_quantity", "l_discount")
+    return round_doubles(density.density_grid(li(spark, sf), "l_quantity", "l_discount"))
+
+
+SQL["density_grid"] = sql_round("""
+WITH m AS (SELECT min(l_quantity) AS x0, (max(l_quantity) - min(l_quantity)) / 59 AS sx, min(l_discount) AS y0, (max(l_discount) - min(l_discount)) / 59 AS sy,
+                  var_samp(l_quantity) * pow(count(*), -2.0 / 6) AS vx, var_samp(l_discount) * pow(count(*), -2.0 / 6) AS vy,
+                  covar_samp(l_quantity, l_discount) * pow(count(*), -2.0 / 6) AS cxy, count(*) AS n FROM lineitem),
+k AS (SELECT *, vx * vy - cxy * cxy AS det FROM m),
+p AS (SELECT l_quantity AS px, l_discount AS py, count(*) AS w FROM lineitem GROUP BY 1, 2)
+SELECT ix, iy, x0 + ix * sx AS x, y0 + iy * sy AS y,
+       sum(w * exp(-0.5 * (vy * (x0 + ix * sx - px) * (x0 + ix * sx - px) - 2 * cxy * (x0 + ix * sx - px) * (y0 + iy * sy - py)
+                           + vx * (y0 + iy * sy - py) * (y0 + iy * sy - py)) / det)) / (2 * pi() * sqrt(det) * n) AS density
+FROM p, k, range(60) AS a(ix), range(60) AS b(iy) GROUP BY ix, iy, x0, sx, y0, sy, det, n""", ["x", "y", "density"])
 
 
 # --- before / after ---------------------------------------------------------------------------

@@ -13,7 +13,10 @@ from tablesmith.plans.common import round_doubles, sql_round
 from tablesmith.plans.q_clean import GL
 from tablesmith.plans.q_experiment import SESS
 from tablesmith.plans.tables import event_log, gappy_lineitem, table
-from tablesmith.sources.events import EVENT_LOG_SQL
+from tablesmith.plans.versions import VersionStore
+from tablesmith.session import staging_root
+from tablesmith.sources import files
+from tablesmith.sources.events import EVENT_LOG_SQL, append_events, read_appended
 
 Q = {}
 SQL = {}
@@ -38,6 +41,83 @@ def q_json(spark, sf):
 SQL["scan_json_props"] = "SELECT event_id, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events"
 
 
+# --- S1-S3, S5: files and the appended log -----------------------------------------
+
+def _scratch(spark, name):
+    """A folder of this run's own below the shared one."""
+    return f"{staging_root(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+@query("scan_csv_roundtrip")
+def q_csv(spark, sf):
+    """Orders exported as CSV and scanned again under their own schema."""
+    orders, path = table(spark, sf, "orders"), _scratch(spark, "csv")
+    files.write_csv(orders, path)
+    return files.read_csv(spark, path, orders.schema)
+
+
+SQL["scan_csv_roundtrip"] = "SELECT * FROM orders"
+
+
+@query("scan_json_table")
+def q_json_table(spark, sf):
+    """Customers written as nested JSON lines; the reader flattens them."""
+    customers, path = table(spark, sf, "customer"), _scratch(spark, "json")
+    keys = [c for c in customers.columns if c.endswith("key")]
+    rest = [c for c in customers.columns if c not in keys]
+    customers.select(*keys, F.struct(*rest).alias("about")).write.json(path)
+    schema = f"{', '.join(f'{c} {customers.schema[c].dataType.simpleString()}' for c in keys)}, about struct<{','.join(f'{c}:{customers.schema[c].dataType.simpleString()}' for c in rest)}>"
+    return files.read_json(spark, path, schema, multi_line=False)
+
+
+SQL["scan_json_table"] = "SELECT c_custkey, c_name AS about_c_name, c_nationkey, c_acctbal AS about_c_acctbal, c_mktsegment AS about_c_mktsegment FROM customer"
+
+
+@query("append_events")
+def q_append(spark, sf):
+    """The log appended in two batches, each twice, as a writer does that lost the answer; every event stands once."""
+    log, path = event_log(spark, sf), _scratch(spark, "log")
+    half = F.pmod(F.crc32(F.col("session_id").cast("binary")), F.lit(2)) == 0
+    for part, batch_id in ((log.where(half), "even"), (log.where(~half), "odd")):
+        if not append_events(part, path, batch_id) or append_events(part, path, batch_id):
+            raise RuntimeError("a batch was not added exactly once")
+    return read_appended(spark, path).drop("batch")
+
+
+SQL["append_events"] = EVENT_LOG_SQL
+
+
+# --- V3, V4: versions ---------------------------------------------------------------
+
+@query("versions_lineage")
+def q_versions(spark, sf):
+    """Lineage of four saves of customers, and the rows each key holds now and as of each save."""
+    store, customers = VersionStore(spark, _scratch(spark, "versions")), table(spark, sf, "customer")
+    first = store.register(customers, "customers", "all")
+    few = store.register(customers.where("c_nationkey < 10"), "few", "ten nations", first, "c_nationkey < 10")
+    store.overwrite(few, customers.where("c_nationkey < 5"), "c_nationkey < 5")
+    store.overwrite(first, customers.drop("c_acctbal"), "drop c_acctbal")
+    lines = store.history().select("seq", "key", "label", "n_rows", "n_cols", "source_key", "transform")
+    held = None
+    for seq in range(4):
+        for key in (first, few) if seq else (first,):
+            one = store.load(key, seq).agg(F.lit(seq).cast("long").alias("as_of"), F.lit(key).alias("held_key"), F.count("*").alias("held_rows"))
+            held = one if held is None else held.unionByName(one)
+    return held.join(lines, (held["as_of"] == lines["seq"]), "left")
+
+
+SQL["versions_lineage"] = """
+WITH n AS (SELECT count(*) AS a, count(*) FILTER (WHERE c_nationkey < 10) AS t, count(*) FILTER (WHERE c_nationkey < 5) AS f FROM customer),
+w AS (SELECT CAST(count(*) AS INTEGER) AS c FROM (DESCRIBE customer)),
+l AS (SELECT unnest([0, 1, 2, 3])::BIGINT AS seq, unnest(['customers_1', 'few_1', 'few_1', 'customers_1']) AS key,
+             unnest(['all', 'ten nations', 'ten nations', 'all']) AS label, unnest([a, t, f, a]) AS n_rows, unnest([c, c, c, c - 1]) AS n_cols,
+             unnest([NULL, 'customers_1', 'customers_1', NULL]) AS source_key,
+             unnest([NULL, 'c_nationkey < 10', 'c_nationkey < 5', 'drop c_acctbal']) AS transform FROM n, w),
+h AS (SELECT unnest([0, 1, 1, 2, 2, 3, 3])::BIGINT AS as_of, unnest(['customers_1', 'customers_1', 'few_1', 'customers_1', 'few_1', 'customers_1', 'few_1']) AS held_key,
+             unnest([a, a, t, a, f, a, f]) AS held_rows FROM n)
+SELECT * FROM h JOIN l ON as_of = seq"""
+
+
 # --- V1: declarative step list ----------------------------------------------------
 
 CLEAN_STEPS = [
@@ -55,7 +135,7 @@ def q_steps(spark, sf):
                          only=["l_quantity", "l_extendedprice"])
 
 
-SQL["clean_steps"] = sql_round("WITH " + GL[:-0 or None] + """,
+SQL["clean_steps"] = sql_round("WITH " + GL + """,
 f AS (SELECT * REPLACE (coalesce(l_quantity, (SELECT avg(l_quantity) FROM g)) AS l_quantity,
                        coalesce(l_extendedprice, (SELECT avg(l_extendedprice) FROM g)) AS l_extendedprice) FROM g),
 qb AS (SELECT quantile_cont(l_extendedprice, 0.25) AS q1, quantile_cont(l_extendedprice, 0.75) AS q3 FROM f),
@@ -76,7 +156,11 @@ def q_preview(spark, sf):
     head, _summary = steps.preview(gappy_lineitem(spark, sf), CLEAN_STEPS, 20,
                                    ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity",
                                     "l_extendedprice", "l_discount", "l_tax", "l_returnflag"])
-    return head
+    return round_doubles(head, only=["l_quantity", "l_extendedprice"])
+
+
+SQL["preview_steps"] = "SELECT * FROM (" + SQL["clean_steps"] + """) ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity,
+l_extendedprice, l_discount, l_tax, l_returnflag LIMIT 20"""
 
 
 # --- M8: k-NN imputation ---------------------------------------------------------

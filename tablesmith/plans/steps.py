@@ -42,9 +42,22 @@ ACTIONS = {
 }
 
 
+def columns_after(columns: list[str], step: dict) -> list[str]:
+    """The columns a step leaves; one-hot columns, whose names the data decide, as ``name_*``."""
+    if step["action"] != "encode_columns" or step.get("method", "label") != "onehot":
+        return columns
+    return [f"{c}_*" if c in step["columns"] else c for c in columns]
+
+
+def _known(name: str, columns: list[str]) -> bool:
+    return name in columns or any(c.endswith("_*") and name.startswith(c[:-1]) for c in columns)
+
+
 def validate_steps(df: DataFrame, steps: list[dict]) -> None:
     """Refuse an unknown action, unknown or missing parameters, or a column
-    the input does not have, before anything runs."""
+    that a step won't find, before anything runs. The columns are carried
+    through the steps."""
+    columns = list(df.columns)
     for i, step in enumerate(steps):
         if "action" not in step:
             raise ValueError(f"Step {i}: no action")
@@ -65,10 +78,10 @@ def validate_steps(df: DataFrame, steps: list[dict]) -> None:
                 named.append(v)
             elif v:
                 named.extend(v)
-        if i == 0:
-            missing_cols = [c for c in named if c not in df.columns]
-            if missing_cols:
-                raise ValueError(f"Step {i} ({action}): unknown column(s) {missing_cols}")
+        missing_cols = [c for c in named if not _known(c, columns)]
+        if missing_cols:
+            raise ValueError(f"Step {i} ({action}): unknown column(s) {missing_cols}")
+        columns = columns_after(columns, step)
 
 
 def run_steps(df: DataFrame, steps: list[dict]) -> DataFrame:

@@ -59,9 +59,11 @@ class VersionStore:
                     raise
                 seq += 1
 
-    def current(self) -> DataFrame:
-        """Latest row per key (an overwrite repoints a key)."""
+    def current(self, seq: int | None = None) -> DataFrame:
+        """Latest row per key (an overwrite repoints a key), as of sequence number ``seq`` if given."""
         h = self.history()
+        if seq is not None:
+            h = h.where(F.col("seq") <= seq)
         return h.groupBy("key").agg(F.max_by(F.struct(*h.columns), "seq").alias("r")).select("r.*")
 
     def _next_seq(self) -> int:
@@ -102,8 +104,9 @@ class VersionStore:
         self._append(key, cur["label"], path, df, cur["source_key"], transform, seq)
         return key
 
-    def load(self, key: str) -> DataFrame:
-        cur = self.current().filter(F.col("key") == key).first()
+    def load(self, key: str, seq: int | None = None) -> DataFrame:
+        """The key's table, or what it was as of ``seq``; overwritten folders stay, so every state can be read."""
+        cur = self.current(seq).filter(F.col("key") == key).first()
         if cur is None:
-            raise KeyError(key)
+            raise KeyError(key if seq is None else f"{key} as of {seq}")
         return self.spark.read.parquet(cur["path"])

@@ -7,6 +7,8 @@ keeps arms A and B only.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -78,9 +80,38 @@ def normalise_events(df: DataFrame) -> DataFrame:
     ).filter(F.col("ab_group").isin("A", "B")))
 
 
-def append_events(events: DataFrame, path: str) -> None:
-    """Normalised events added to a Parquet log folder, written by the tasks that hold them."""
-    normalise_events(events).write.mode("append").parquet(path)
+def append_events(events: DataFrame, path: str, batch_id: str) -> bool:
+    """Normalised events added to a log folder as one batch; True if this call added it.
+
+    The batch id claims a folder of its own: a batch that stands there whole is
+    left alone, so a writer may repeat an append after any failure. What a
+    crashed writer left without Spark's mark of success is written anew;
+    readers never see it.
+    """
+    if not re.fullmatch(r"[A-Za-z0-9._-]+", batch_id):
+        raise ValueError(f"{batch_id!r} is no batch id: letters, digits, dots, dashes and underscores only")
+    spark = events.sparkSession
+    folder = f"{path.rstrip('/')}/batch={batch_id}"
+    if _whole(spark, folder):
+        return False
+    normalise_events(events).write.mode("overwrite").parquet(folder)
+    return True
+
+
+def _whole(spark: SparkSession, folder: str) -> bool:
+    mark = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/_SUCCESS")
+    return mark.getFileSystem(spark._jsc.hadoopConfiguration()).exists(mark)
+
+
+def read_appended(spark: SparkSession, path: str) -> DataFrame:
+    """All whole batches of an appended log, with their ``batch`` ids."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    folders = [s.getPath().toString() for s in fs.listStatus(root)] if fs.exists(root) else []
+    whole = sorted(f for f in folders if f.rpartition("/")[2].startswith("batch=") and _whole(spark, f))
+    if not whole:
+        raise ValueError(f"{path} holds no whole batch")
+    return spark.read.option("basePath", path).parquet(*whole).withColumn("batch", F.col("batch").cast("string"))
 
 
 def load_event_log(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
