@@ -1,0 +1,38 @@
+"""Ids of the packing encoder against the library, and packing of null and repeated ids."""
+
+import public_tokenizers
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from llm_data import frame, words
+from tablesmith.llm import packing
+
+
+@pytest.fixture(scope="module")
+def encoder():
+    with open(public_tokenizers.path(packing.VOCABULARY), "rb") as f:
+        return packing.Encoder(f.read(), memory=20)
+
+
+PARTS = ["a", "ther", " ", "  ", "\n", "\n\n", "\t", "\x1c", "\x85", " ", "é", "漢", "😀", "'s", "12", "_", "\x00", "don't", "ing", " the"]
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.one_of(st.none(), st.lists(st.sampled_from(PARTS), max_size=15).map("".join), st.text(max_size=20)), max_size=8))
+def test_ids_of_texts_together(encoder, texts):
+    for text, ids in zip(texts, encoder.encode_all(texts), strict=True):
+        assert ids.tolist() == encoder.encoding.encode_ordinary(text or "")
+
+
+def test_null_and_repeated_ids(spark, encoder):
+    rows = [(None, "one two"), (None, "one two"), (1, None), (1, "three " * 3000), (2, ""), (2, " ".join(words(1, 50)))]
+    got = {}
+    for r in packing.pack_documents(frame(spark, rows).coalesce(1), width=256, block_tokens=1000).collect():
+        for doc, at, a, b in zip(r.doc_ids, r.doc_offsets, r.cu_seqlens, r.cu_seqlens[1:], strict=False):
+            got.setdefault(doc, []).append((at, r.ids[a:b]))
+    want = {}
+    for doc, text in rows:
+        ids = encoder.encoding.encode_ordinary(text or "")
+        want.setdefault(doc, []).extend((a, ids[a: a + 256]) for a in range(0, max(len(ids), 1), 256))
+    assert {k: sorted(v) for k, v in got.items()} == {k: sorted(v) for k, v in want.items()}
