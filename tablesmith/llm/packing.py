@@ -9,7 +9,6 @@ the amounts of room finds that row in log2(width) steps.
 from __future__ import annotations
 
 import base64
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,12 +23,6 @@ WIDTH = 2048
 PAD = 50256
 #: Tokens that a task packs at once.
 BLOCK_TOKENS = 1 << 20
-MEMORY = 400_000
-#: Words that are encoded as one text.
-LEARN_WORDS = 5_000
-#: A text's parts: blanks and what follows them.
-UNIT = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
-OTHER_BLANK = re.compile(r"[^\S \n]")
 
 
 class Rooms:
@@ -87,47 +80,17 @@ def best_fit_decreasing(sizes: list[int], width: int) -> list[list[int]]:
 
 
 class Encoder:
-    """Ids by a public byte-level vocabulary; words that came before are looked up, as the bytes of their ids."""
+    """Ids by a public byte-level vocabulary. Whole texts go to the library: with many different words that is faster than a memory of words."""
 
-    def __init__(self, ranks: bytes, memory: int = MEMORY):
+    def __init__(self, ranks: bytes):
         import tiktoken
 
         table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, ranks.splitlines()) if a}
         self.encoding = tiktoken.Encoding("given", pat_str=public_tokenizers.PATTERN, mergeable_ranks=table, special_tokens={})
-        self.length = np.zeros(max(table.values()) + 1, dtype=np.int64)
-        for token, i in table.items():
-            self.length[i] = len(token)
-        self.words: dict[str, bytes] = {}
-        self.memory = memory
-
-    def _ids(self, text: str) -> np.ndarray:
-        return np.array(self.encoding.encode_ordinary(text), dtype=np.int32)
-
-    def _learn(self, words: list[str]) -> None:
-        """Words that begin with a blank and end otherwise are encoded as one text, which comes apart at their ends."""
-        together = [w for w in words if w[0] in " \n" and w[-1] not in " \n"]
-        for k in range(0, len(together), LEARN_WORDS):
-            some = together[k: k + LEARN_WORDS]
-            ids = self._ids("".join(some))
-            at = np.searchsorted(np.cumsum(self.length[ids]), np.cumsum([len(w.encode()) for w in some])) + 1
-            data, ends = ids.tobytes(), (4 * at).tolist()
-            self.words.update(zip(some, map(data.__getitem__, map(slice, [0, *ends[:-1]], ends)), strict=True))
-        for w in words:
-            if w not in self.words:
-                self.words[w] = self._ids(w).tobytes()
-
-    def encode_all(self, texts: list[str | None]) -> list[np.ndarray]:
-        """Ids of whole texts. No token spans a place before blanks that follow something else, so a text is looked up
-        in parts; one with white space of other kinds is encoded at once. A null text has none."""
-        parts = [UNIT.findall(t) if t and not OTHER_BLANK.search(t) else None for t in texts]
-        if len(self.words) >= self.memory:
-            self.words.clear()
-        self._learn(list(set().union(*filter(None, parts)).difference(self.words)))
-        get = self.words.__getitem__
-        return [self._ids(t or "") if p is None else np.frombuffer(b"".join(map(get, p)), dtype=np.int32) for t, p in zip(texts, parts, strict=True)]
-
-    def encode(self, text: str) -> np.ndarray:
-        return self.encode_all([text])[0]
+
+    def encode(self, text: str | None) -> np.ndarray:
+        """A null text has no ids."""
+        return np.array(self.encoding.encode_ordinary(text or ""), dtype=np.int32)
 
 
 _loaded: dict[int, Encoder] = {}
@@ -193,7 +156,8 @@ def pack_documents(docs: DataFrame, text_col: str = "text", id_col: str = "doc_i
             id_type = batch.schema.field(0).type
             for lo in range(0, batch.num_rows, 256):
                 part = batch.slice(lo, 256)
-                for doc, x in zip(part.column(0).to_pylist(), encoder.encode_all(part.column(1).to_pylist()), strict=True):
+                for doc, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
+                    x = encoder.encode(text)
                     ids.append(x)
                     held.append(doc)
                     n += len(x)
