@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablesmith.llm.staging import written
+from tablesmith.llm.staging import dropped, written
 from tablesmith.llm.textarrays import mix, slices, span_hashes, word_spans
 
 STATES = 8
@@ -243,6 +243,20 @@ def _updated(model: Model, counts: np.ndarray, background: np.ndarray) -> Model:
     return Model(start / start.sum(), move / move.sum(axis=1, keepdims=True), emit / emit.sum(axis=0), model.top)
 
 
+def _coded(learn: DataFrame, model: Model) -> DataFrame:
+    """(symbols, sizes): the texts' symbols, 16 bits each, and their lengths, a row for a slice of texts; written once for all rounds."""
+    given = learn.sparkSession.sparkContext.broadcast(model)
+
+    def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, data, offsets in slices(batch, "text", 4 << 20):
+                h, k, bounds = tokens(data, offsets)
+                yield pa.RecordBatch.from_arrays([pa.array([given.value.symbols(h, k).astype("<u2").tobytes()]), pa.array([np.diff(bounds).astype("<i8").tobytes()])],
+                                                 ["symbols", "sizes"])
+
+    return written(learn.mapInArrow(code, "symbols binary, sizes binary"), "hmm-symbols")
+
+
 def train(blocked: DataFrame, counts: Counts, states: int = STATES, rounds: int = ROUNDS, seed: int = 5) -> Model:
     """``rounds`` Baum-Welch rounds, each over all training documents."""
     rng = np.random.default_rng(seed)
@@ -255,23 +269,25 @@ def train(blocked: DataFrame, counts: Counts, states: int = STATES, rounds: int
     if not counts.ends:
         return model
     sc = blocked.sparkSession.sparkContext
+    coded = _coded(learn, model)
     for _ in range(rounds):
         now = sc.broadcast(model)
 
         def count(batches: Iterator[pa.RecordBatch], now=now) -> Iterator[pa.RecordBatch]:
             m, sums = now.value, 0.0
             for batch in batches:
-                for _, data, offsets in slices(batch, "text", 4 << 20):
-                    h, k, bounds = tokens(data, offsets)
-                    sums = sums + expected(m, m.symbols(h, k), bounds)
+                for symbols, sizes in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                    bounds = np.concatenate([[0], np.cumsum(np.frombuffer(sizes, dtype="<i8"))])
+                    sums = sums + expected(m, np.frombuffer(symbols, dtype="<u2").astype(np.int64), bounds)
             if isinstance(sums, np.ndarray):
                 used = np.flatnonzero(sums)
                 yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array(sums[used])], ["i", "x"])
 
-        got = learn.mapInArrow(count, "i int, x double").groupBy("i").agg(F.sum("x").alias("x")).toPandas()
+        got = coded.mapInArrow(count, "i int, x double").groupBy("i").agg(F.sum("x").alias("x")).toPandas()
         flat = np.zeros(states + states * states + emit.size)
         flat[got["i"].to_numpy()] = got["x"].to_numpy()
         model = _updated(model, flat, background)
+    dropped(coded)
     return model
 
 
