@@ -23,9 +23,7 @@ from tablesmith.llm.staging import written
 from tablesmith.llm.textarrays import hashes_between, prefix_sums, slices, span_hashes, word_spans
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
-#: Longest piece in bytes; the byte pieces among the rest spell everything.
-PIECE_BYTES = 6
-#: A longer word is cut into words of this many bytes.
+#: A longer run of letters is cut, between characters, into words of about this many bytes.
 WORD_BYTES = 64
 #: Rows of each language that the probabilities are learned from, about: a hash of the id picks them.
 FIT_ROWS = 500
@@ -34,7 +32,7 @@ SMOOTHING = 0.05
 UNDETERMINED = "und"
 #: Each byte's weight is scaled by this, so that products over a word stay within a double.
 _SCALE = 2.0 ** 10
-_CELLS = 1 << 19
+_CELLS = 1 << 18
 
 
 _ASCII_LETTER = np.zeros(256, dtype=bool)
@@ -44,16 +42,17 @@ _NO_LETTER = ~_ASCII_LETTER & (np.arange(256) < 128)
 
 
 class Pieces:
-    """The vocabulary's pieces of up to ``PIECE_BYTES`` bytes, found by hash."""
+    """The vocabulary's pieces that can stand in a word, found by hash; the byte pieces among them spell everything."""
 
     def __init__(self, ranks: bytes):
         tokens = {base64.b64decode(line.split()[0]) for line in ranks.splitlines() if line.strip()}
         tokens |= {bytes([b]) for b in range(256)}
-        kept = sorted(t for t in tokens if len(t) <= PIECE_BYTES and not any(c in b" \t\n\x0b\x0c\r" for c in t[1:]))
+        kept = sorted(t for t in tokens if not any(c in b" \t\n\x0b\x0c\r" for c in t[1:]))
         ends = np.cumsum([len(t) for t in kept])
         keys = span_hashes(np.frombuffer(b"".join(kept), dtype=np.uint8), ends - [len(t) for t in kept], ends)
         order = np.argsort(keys)
         self.keys, self.ids, self.count = keys[order], order.astype(np.int32), len(kept)
+        self.longest = max(map(len, kept))
         self.filter = np.zeros(1 << 20, dtype=bool)
         self.filter[self.keys >> np.uint64(44)] = True
 
@@ -91,7 +90,7 @@ def lattice(b: np.ndarray, starts: np.ndarray, ends: np.ndarray, pieces: Pieces)
     at = np.flatnonzero(inside.ravel())
     row_end = (at // max(top, 1)) * top + size[at // max(top, 1)]
     found, sums = [], prefix_sums(flat)
-    for k in range(1, PIECE_BYTES + 1):
+    for k in range(1, min(pieces.longest, top) + 1):
         table = np.full(flat.shape, pieces.count, dtype=np.int32)
         ok = at[at + k <= row_end]
         if len(ok):
@@ -108,7 +107,7 @@ def forward(words: Words, weights: np.ndarray) -> np.ndarray:
         alpha[:, 0] = 1.0
     for a in range(1, top + 1):
         live = int(np.searchsorted(-words.size, -a, side="right"))
-        for k in range(1, min(a, PIECE_BYTES) + 1):
+        for k in range(1, min(a, len(words.pieces)) + 1):
             alpha[:live, a] += alpha[:live, a - k] * (weights[words.pieces[k - 1][:live, a - k]] * _SCALE ** k)
     return alpha
 
@@ -128,13 +127,13 @@ def expected_counts(words: Words, weights: np.ndarray, count: np.ndarray) -> np.
         return out[:-1]
     alpha = forward(words, weights[:, None])[:, :, 0]
     n, top = words.pieces[0].shape
-    beta = np.zeros((n, top + 1 + PIECE_BYTES))
+    beta = np.zeros((n, top + 1 + len(words.pieces)))
     rows = np.arange(n)
     beta[rows, words.size] = 1.0
     total = alpha[rows, words.size]
     for a in range(top - 1, -1, -1):
         live = int(np.searchsorted(-words.size, -(a + 1), side="right"))
-        for k in range(1, PIECE_BYTES + 1):
+        for k in range(1, min(len(words.pieces), top - a) + 1):
             piece = words.pieces[k - 1][:live, a]
             step = weights[piece] * _SCALE ** k * beta[:live, a + k]
             beta[:live, a] += step
@@ -142,16 +141,18 @@ def expected_counts(words: Words, weights: np.ndarray, count: np.ndarray) -> np.
     return out[:-1]
 
 
-def _cut(starts: np.ndarray, ends: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Words longer than ``WORD_BYTES`` in parts."""
+def _cut(b: np.ndarray, starts: np.ndarray, ends: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Words longer than ``WORD_BYTES`` in parts, cut where a character begins."""
     parts = np.maximum(1, -(-(ends - starts) // WORD_BYTES))
     if not len(parts) or parts.max() == 1:
         return starts, ends, rows
     first = np.repeat(np.concatenate([[0], np.cumsum(parts)[:-1]]), parts)
-    begin = np.repeat(starts, parts) + (np.arange(int(parts.sum())) - first) * WORD_BYTES
-    return begin, np.minimum(begin + WORD_BYTES, np.repeat(ends, parts)), np.repeat(rows, parts)
-
-
+    nth = np.arange(int(parts.sum())) - first
+    begin = np.repeat(starts, parts) + nth * WORD_BYTES
+    for _ in range(3):
+        begin -= (nth > 0) & (b[begin] & 0xC0 == 0x80)
+    after = np.append(begin[1:], 0)
+    return begin, np.where(nth + 1 < np.repeat(parts, parts), after, np.repeat(ends, parts)), np.repeat(rows, parts)
 
 
 def _has_letter(rows: pa.RecordBatch, data: np.ndarray, offsets: np.ndarray, text_at: int) -> np.ndarray:
@@ -208,56 +209,6 @@ class Scorer:
         return out[inverse]
 
 
-def _cut(starts: np.ndarray, ends: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Words longer than ``WORD_BYTES`` in parts."""
-    parts = np.maximum(1, -(-(ends - starts) // WORD_BYTES))
-    if not len(parts) or parts.max() == 1:
-        return starts, ends, rows
-    first = np.repeat(np.concatenate([[0], np.cumsum(parts)[:-1]]), parts)
-    begin = np.repeat(starts, parts) + (np.arange(int(parts.sum())) - first) * WORD_BYTES
-    return begin, np.minimum(begin + WORD_BYTES, np.repeat(ends, parts)), np.repeat(rows, parts)
-
-
-
-
-def _has_letter(rows: pa.RecordBatch, data: np.ndarray, offsets: np.ndarray, text_at: int) -> np.ndarray:
-    sums = np.concatenate([[0], np.cumsum(_ASCII_LETTER[data])])
-    out = sums[offsets[1:]] > sums[offsets[:-1]]
-    for i in np.flatnonzero(~out & (offsets[1:] > offsets[:-1])):
-        out[i] = any(c.isalpha() for c in rows.column(text_at)[int(i)].as_py())
-    return out
-
-
-_pieces: dict[int, Pieces] = {}
-
-
-def _loaded(ranks: bytes) -> Pieces:
-    key = hash(ranks)
-    if key not in _pieces:
-        _pieces[key] = Pieces(ranks)
-    return _pieces[key]
-
-
-def _blocks(size: np.ndarray) -> Iterator[slice]:
-    """Runs of words, longest first, whose lattices have about ``_CELLS`` places."""
-    i = 0
-    while i < len(size):
-        j = min(len(size), i + max(1, _CELLS // (int(size[i]) + 1)))
-        yield slice(i, j)
-        i = j
-
-
-def word_scores(b: np.ndarray, starts: np.ndarray, ends: np.ndarray, pieces: Pieces, weights: np.ndarray) -> np.ndarray:
-    """Log-likelihoods of the words b[starts:ends]; equal words are computed once."""
-    _, first, inverse = np.unique(span_hashes(b, starts, ends), return_index=True, return_inverse=True)
-    order = np.argsort(starts[first] - ends[first], kind="stable")
-    begin, end = starts[first][order], ends[first][order]
-    each = np.empty((len(order), weights.shape[1]))
-    for part in _blocks(end - begin):
-        each[order[part]] = log_likelihoods(lattice(b, begin[part], end[part], pieces), weights)
-    return each[inverse]
-
-
 @dataclass
 class Model:
     languages: list[str]
@@ -289,7 +240,7 @@ def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col:
         for batch in batches:
             for rows, data, offsets in slices(batch, "text"):
                 b, starts, ends, owner = word_spans(data, offsets, separators=_NO_LETTER)
-                starts, ends, owner = _cut(starts, ends, owner)
+                starts, ends, owner = _cut(b, starts, ends, owner)
                 raw = b.tobytes()
                 yield pa.RecordBatch.from_arrays(
                     [rows.column(0).take(pa.array(owner)), pa.array([raw[s:e] for s, e in zip(starts.tolist(), ends.tolist(), strict=True)], pa.binary())],
@@ -354,7 +305,7 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text", id_col: str
                 letters = _has_letter(rows, data, offsets, 1)
                 if m.languages and letters.any():
                     b, starts, ends, owner = word_spans(data, offsets, separators=_NO_LETTER)
-                    starts, ends, owner = _cut(starts, ends, owner)
+                    starts, ends, owner = _cut(b, starts, ends, owner)
                     each = scorer(b, starts, ends)
                     total = np.stack([np.bincount(owner, each[:, k], minlength=len(rows)) for k in range(len(m.languages))], axis=1)
                     best = total.argmax(axis=1)
