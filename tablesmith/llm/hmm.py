@@ -33,6 +33,8 @@ CLASSES = 512
 #: Baum-Welch rounds, each over all training documents.
 ROUNDS = 3
 BLOCK_BYTES = 4 << 20
+#: Text whose rows step through a round together: a step costs about the same for many rows as for few.
+ROUND_BYTES = 8 << 20
 #: Word entries that one task adds up, about.
 RANGE_ENTRIES = 1 << 20
 _ENTRY = np.dtype([("hash", "<u8"), ("class", "<u2"), ("count", "<u4")])
@@ -249,7 +251,7 @@ def _coded(learn: DataFrame, model: Model) -> DataFrame:
 
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for _, data, offsets in slices(batch, "text", 4 << 20):
+            for _, data, offsets in slices(batch, "text", ROUND_BYTES):
                 h, k, bounds = tokens(data, offsets)
                 yield pa.RecordBatch.from_arrays([pa.array([given.value.symbols(h, k).astype("<u2").tobytes()]), pa.array([np.diff(bounds).astype("<i8").tobytes()])],
                                                  ["symbols", "sizes"])
