@@ -3,21 +3,16 @@
 from __future__ import annotations
 
 import gc
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tablesmith.session import staging_root
+
 
 def shared_dir(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir`` of the session; a local session without one gets its own folder."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if not named:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("spark.checkpoint.dir is not set; point it at a folder that all executors share")
-        named = tempfile.mkdtemp(prefix="tablesmith-")
-        spark.conf.set("spark.checkpoint.dir", named)
-    return named.rstrip("/")
+    """``spark.checkpoint.dir`` of the session; a plain local session without one gets a folder of its own."""
+    return staging_root(spark)
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
