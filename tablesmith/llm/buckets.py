@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 #: Entries that one task sorts, about.
 RANGE_ENTRIES = 1 << 19
 #: Pairs that a task adds up at once.
-PAIRS_AT_ONCE = 1 << 20
+PAIRS_AT_ONCE = 1 << 18
 #: The signature's 32 bits after the range, and the node. Chance agreement of 32 bits only adds candidates.
 ENTRY = np.dtype([("sig", "<u4"), ("node", "<i8")])
 SCHEMA = "range bigint, entries binary"
