@@ -34,7 +34,7 @@ CLASSES = 512
 ROUNDS = 3
 BLOCK_BYTES = 4 << 20
 #: Text whose rows step through a round together: a step costs about the same for many rows as for few.
-ROUND_BYTES = 8 << 20
+ROUND_BYTES = 6 << 20
 #: Word entries that one task adds up, about.
 RANGE_ENTRIES = 1 << 20
 _ENTRY = np.dtype([("hash", "<u8"), ("class", "<u2"), ("count", "<u4")])
