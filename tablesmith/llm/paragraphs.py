@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from tablesmith.llm import buckets
 from tablesmith.llm.components import components
-from tablesmith.llm.staging import written
+from tablesmith.llm.staging import dropped, written
 from tablesmith.llm.textarrays import mix, slices, span_hashes, window_hashes, word_spans
 
 #: Words on each side that a word must undercut to open a chunk: openings lie 5 words or more apart, 9 on average.
@@ -36,10 +36,10 @@ PASSAGE_WORDS = 20
 CHUNK, PIECE, WHOLE = 0, 1, 2
 SHINGLE_WORDS = 5
 PERCENT = 75
-#: Six bands of three rows meet a pair of similarity 0.75 with probability 0.96, of 0.85 with 0.997, equal ones always.
-BANDS, ROWS = 6, 3
-#: A list of at most this many nodes (8 bytes each) is broadcast; a longer one is joined by shuffle.
-LISTED_NODES = 4_000_000
+#: Four bands of two rows meet a pair of similarity 0.75 with probability 0.963, of 0.85 with 0.994, equal ones always.
+BANDS, ROWS = 4, 2
+#: A node table of at most this many rows is broadcast; a longer one is joined by shuffle, with the same rows.
+BROADCAST_NODES = 1_000_000
 
 
 def openings(words: np.ndarray, bounds: np.ndarray, neighbours: int = NEIGHBOURS) -> np.ndarray:
@@ -126,19 +126,21 @@ def _bands(grams: np.ndarray, first: np.ndarray, end: np.ndarray, kind: np.ndarr
 
 
 def paragraphs(docs: DataFrame) -> DataFrame:
-    """Every paragraph of (doc_id, text): a number of its row, bytes of the UTF-8 text, its first word's place, and its node."""
-    numbered = docs.select("doc_id", "text", F.monotonically_increasing_id().alias("row"))
+    """Every paragraph of (doc_id, text): a number of its row, a hash of its text, bytes of the UTF-8 text, its first word's place, kind and node."""
+    numbered = docs.select("doc_id", "text", F.monotonically_increasing_id().alias("row"), F.xxhash64("text").alias("key"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for rows, data, offsets in slices(batch, "text"):
                 _, starts, ends, kind, first, end, row, grams = _paragraphs(rows, data, offsets)
+                held = rows.select(["row", "key", "doc_id"]).take(pa.array(row))
                 yield pa.RecordBatch.from_arrays(
-                    [rows.column(2).take(pa.array(row)), rows.column(0).take(pa.array(row)), pa.array(starts[first] - offsets[row]), pa.array(ends[end - 1] - offsets[row]),
-                     pa.array(first - np.searchsorted(starts, offsets)[row]), pa.array(end - first), pa.array(_node(grams, first, end, kind)), pa.array(kind == WHOLE)],
-                    ["row", "doc_id", "start", "end", "at", "n_words", "node", "whole"])
+                    [*held.columns, pa.array(starts[first] - offsets[row]), pa.array(ends[end - 1] - offsets[row]),
+                     pa.array(first - np.searchsorted(starts, offsets)[row]), pa.array(end - first), pa.array(kind.astype(np.int8)), pa.array(_node(grams, first, end, kind))],
+                    ["row", "key", "doc_id", "start", "end", "at", "n_words", "kind", "node"])
 
-    return numbered.mapInArrow(run, f"row bigint, doc_id {docs.schema['doc_id'].dataType.simpleString()}, start bigint, end bigint, at bigint, n_words bigint, node bigint, whole boolean")
+    return numbered.mapInArrow(run, f"row bigint, key bigint, doc_id {docs.schema['doc_id'].dataType.simpleString()}, "
+                                    "start bigint, end bigint, at bigint, n_words bigint, kind tinyint, node bigint")
 
 
 def _index(docs: DataFrame, bits: int) -> DataFrame:
@@ -154,69 +156,55 @@ def _index(docs: DataFrame, bits: int) -> DataFrame:
     return docs.mapInArrow(run, buckets.SCHEMA)
 
 
-def _listed(nodes: DataFrame):
-    """The nodes as a sorted array, broadcast; None where the list is longer than ``LISTED_NODES``."""
-    if nodes.count() > LISTED_NODES:
-        return None
-    found = np.sort(nodes.toArrow().column("node").to_numpy())
-    return nodes.sparkSession.sparkContext.broadcast(found)
+def _small(table: DataFrame) -> DataFrame:
+    """A written table, with the hint to broadcast it where its rows are few."""
+    return F.broadcast(table) if table.count() <= BROADCAST_NODES else table
 
 
-def _in(listed: np.ndarray, node: np.ndarray) -> np.ndarray:
-    if not len(listed):
-        return np.zeros(len(node), dtype=bool)
-    return listed[np.minimum(np.searchsorted(listed, node), len(listed) - 1)] == node
-
-
-def _only(rows: DataFrame, nodes: DataFrame) -> DataFrame:
-    """The rows of the given nodes."""
+def _shingles(docs: DataFrame, found: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(node, shingles) of the given nodes, each cut from one text that holds it: only those texts reach Python,
+    and one set per node leaves a task. Texts are known by their hash; a node that the named span doesn't
+    give (another text of that hash) is not sent."""
     nodes = written(nodes, "paragraph-nodes")
-    listed = _listed(nodes)
-    if listed is None:
-        return rows.join(nodes, "node", "left_semi")
-    at = rows.columns.index("node")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield batch.filter(pa.array(_in(listed.value, batch.column(at).to_numpy())))
-
-    return rows.mapInArrow(run, rows.schema)
-
-
-def _shingles(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(node, shingles) of the nodes in ``wanted`` (node, doc_id). A listed node's shingles are all that leaves the
-    tasks that read the texts; beyond the list's bound, texts and nodes are joined."""
-    listed = _listed(wanted.select("node"))
-    chosen = docs if listed is not None else docs.join(wanted.select("doc_id").distinct(), "doc_id", "left_semi")
+    firsts = found.join(_small(nodes), "node", "left_semi").groupBy("node").agg(F.min(F.struct("key", "at", "n_words", "kind")).alias("p"))
+    places = written(firsts.groupBy("p.key").agg(F.collect_list(F.struct("node", "p.at", "p.n_words", "p.kind")).alias("spans")), "paragraph-places")
+    dropped(nodes)
+    chosen = docs.select("text", F.xxhash64("text").alias("key")).join(_small(places), "key").select("text", "spans")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sent: set[int] = set()
         for batch in batches:
             for rows, data, offsets in slices(batch, "text"):
-                *_, kind, first, end, _, grams = _paragraphs(rows, data, offsets)
-                node = _node(grams, first, end, kind)
-                if listed is not None:
-                    kept = _in(listed.value, node)
-                    first, end, node = first[kept], end[kept], node[kept]
-                node, one = np.unique(node, return_index=True)
-                sets = [np.unique(grams[a: e - SHINGLE_WORDS + 1]).view(np.int64) for a, e in zip(first[one].tolist(), end[one].tolist(), strict=True)]
-                yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(sets, pa.list_(pa.int64()))], ["node", "shingles"])
-
-    found = chosen.mapInArrow(run, "node bigint, shingles array<bigint>")
-    if listed is None:
-        found = found.join(wanted.select("node"), "node", "left_semi")
-    return found.dropDuplicates(["node"])
+                b, starts, ends, owner = word_spans(data, offsets)
+                bounds = np.searchsorted(owner, np.arange(len(offsets)))
+                grams = window_hashes(span_hashes(b, starts, ends), SHINGLE_WORDS)
+                spans = rows.column("spans")
+                row = np.repeat(np.arange(len(spans)), spans.value_lengths().to_numpy())
+                node, at, n, kind = (spans.flatten().field(c).to_numpy() for c in ("node", "at", "n_words", "kind"))
+                first, end = bounds[row] + at, bounds[row] + at + n
+                inside = np.flatnonzero(end <= bounds[row + 1])
+                right = inside[_node(grams, first[inside], end[inside], kind[inside]) == node[inside]]
+                right = [k for k in right[np.unique(node[right], return_index=True)[1]].tolist() if int(node[k]) not in sent]
+                sent.update(node[right].tolist())
+                sets = [np.unique(grams[first[k]: end[k] - SHINGLE_WORDS + 1]).view(np.int64) for k in right]
+                yield pa.RecordBatch.from_arrays([pa.array(node[right]), pa.array(sets, pa.list_(pa.int64()))], ["node", "shingles"])
+
+    sets = written(chosen.mapInArrow(run, "node bigint, shingles array<bigint>").dropDuplicates(["node"]), "paragraph-shingles")
+    dropped(places)
+    return sets
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, found: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) of nodes whose shingles reach the threshold."""
     pairs = written(pairs.select("a", "b"), "paragraph-pairs")
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    at = written(_only(found, ends).groupBy("node").agg(F.min("doc_id").alias("doc_id")), "paragraph-places")
-    sets = written(_shingles(docs, at), "paragraph-shingles")
+    sets = _shingles(docs, found, pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct())
     one = pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa")), "a")
     two = one.join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb")), "b")
     inter = F.size(F.array_intersect("sa", "sb"))
-    return two.where(100 * inter >= percent * (F.size("sa") + F.size("sb") - inter)).select("a", "b")
+    links = written(two.where(100 * inter >= percent * (F.size("sa") + F.size("sb") - inter)).select("a", "b"), "paragraph-links")
+    dropped(pairs)
+    dropped(sets)
+    return links
 
 
 def repeated(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", percent: int = PERCENT) -> DataFrame:
@@ -236,8 +224,7 @@ def repeated(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", pe
     of the corpus holds is one entry.
 
     Null, empty and short texts have no paragraphs. Rows with a null id come
-    after all others; a paragraph that only they hold joins equal ones, not near
-    ones. Repeated rows and ids are copies like any others.
+    after all others and are matched like them. Repeated rows and ids are copies like any others.
     Empty table: no rows. Texts are read whole; only the two named columns are
     read.
     """
@@ -246,16 +233,18 @@ def repeated(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", pe
     total = found.count()
     index = _index(d, buckets.range_bits(total * BANDS)).withColumn("single", F.lit(True))
     met = written(buckets.meet(index), "paragraph-bands")
-    first = written(_verified(met.where("single IS NULL").select(F.col("node").alias("a"), F.col("other").alias("b")).distinct(), d, found, percent), "paragraph-links")
+    first = _verified(met.where("single IS NULL").select(F.col("node").alias("a"), F.col("other").alias("b")).distinct(), d, found, percent)
     members = (met.where("single").join(components(first).withColumnRenamed("component", "class"), "node", "left")
                .select("range", "single", "sig", "node", F.coalesce("class", "node").alias("class")))
     rest = _verified(buckets.across(members), d, found, percent)
+    dropped(met)
     tied = components(first.unionByName(rest))
 
     # only nodes that stand twice or have a link matter from here on
     several = found.groupBy("node").agg(F.count("*").alias("n")).where("n > 1").select("node").union(tied.select("node")).distinct()
-    copies = written(_only(found, several).join(tied, "node", "left").withColumn("component_id", F.coalesce("component", "node")).drop("component"),
-                     "paragraph-copies")
+    named = written(several.join(tied, "node", "left").select("node", F.coalesce("component", "node").alias("component_id")), "paragraph-nodes")
+    copies = written(found.join(_small(named), "node").drop("node", "key"), "paragraph-copies")
+    dropped(found)
     # paragraphs of a component that overlap are one occurrence, known by its first word
     along = Window.partitionBy("component_id", "row").orderBy("at", F.desc("n_words"))
     reach = F.max(F.col("at") + F.col("n_words")).over(along.rowsBetween(Window.unboundedPreceding, -1))
@@ -271,5 +260,5 @@ def repeated(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", pe
     whole = Window.partitionBy("row", "passage")
     size = F.max(F.col("at") + F.col("n_words")).over(whole) - F.min("at").over(whole)
     is_first = (F.col("row") == F.col("first.row")) & (F.col("place") == F.col("first.place"))
-    return (passages.withColumn("passage_words", size).where(F.col("whole") | (F.col("passage_words") >= PASSAGE_WORDS))
+    return (passages.withColumn("passage_words", size).where((F.col("kind") == WHOLE) | (F.col("passage_words") >= PASSAGE_WORDS))
             .select("doc_id", "start", "end", "n_words", "passage_words", "component_id", "n_copies", (~is_first).alias("removed")))
