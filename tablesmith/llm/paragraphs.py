@@ -7,7 +7,9 @@ wherever a passage is pasted: a word whose hash is the least among its
 neighbours opens one, and each runs to the second next opening. Paragraphs of
 one kind whose MinHash bands collide are verified by the Jaccard similarity of
 their five-word shingles and joined to components; all but a component's first
-paragraph are marked for removal.
+paragraph are marked for removal. Chunks stand for exact copies: one changed
+word leaves most of the chunks around it below any useful similarity, so they
+join by equality and take no part in the bands.
 """
 
 from __future__ import annotations
@@ -36,8 +38,8 @@ PASSAGE_WORDS = 20
 CHUNK, PIECE, WHOLE = 0, 1, 2
 SHINGLE_WORDS = 5
 PERCENT = 75
-#: Four bands of two rows meet a pair of similarity 0.75 with probability 0.963, of 0.85 with 0.994, equal ones always.
-BANDS, ROWS = 4, 2
+#: Six bands of three rows meet a pair of similarity 0.75 with probability 0.96, of 0.85 with 0.997, equal ones always.
+BANDS, ROWS = 6, 3
 #: A node table of at most this many rows is broadcast; a longer one is joined by shuffle, with the same rows.
 BROADCAST_NODES = 1_000_000
 
@@ -86,15 +88,15 @@ def whole_spans(b: np.ndarray, starts: np.ndarray, bounds: np.ndarray) -> tuple[
     return span[:, 0], span[:, 1], np.searchsorted(bounds, span[:, 0], side="right") - 1
 
 
-def _paragraphs(rows: pa.RecordBatch, data: np.ndarray, offsets: np.ndarray):
+def _paragraphs(rows: pa.RecordBatch, data: np.ndarray, offsets: np.ndarray, chunks: bool = True):
     """(bytes, starts and ends of the words, kind, first word, end and row of each paragraph, hashes of the word windows)."""
     b, starts, ends, owner = word_spans(data, offsets)
     words = span_hashes(b, starts, ends)
     bounds = np.searchsorted(owner, np.arange(len(offsets)))
-    found = [spans(words, bounds), spans(words, bounds, PIECE_NEIGHBOURS)]
-    long = found[1][1] - found[1][0] >= PIECE_WORDS // 2
-    found[1] = tuple(x[long & (np.diff(bounds)[found[1][2]] > PIECE_WORDS)] for x in found[1])
-    found.append(whole_spans(b, starts, bounds))
+    pieces = spans(words, bounds, PIECE_NEIGHBOURS)
+    long = pieces[1] - pieces[0] >= PIECE_WORDS // 2
+    pieces = tuple(x[long & (np.diff(bounds)[pieces[2]] > PIECE_WORDS)] for x in pieces)
+    found = [spans(words, bounds) if chunks else (pieces[0][:0],) * 3, pieces, whole_spans(b, starts, bounds)]
     kind = np.repeat(np.array([CHUNK, PIECE, WHOLE]), [len(x[0]) for x in found])
     first, end, row = (np.concatenate([x[k] for x in found]).astype(np.int64) for k in range(3))
     grams = window_hashes(words, SHINGLE_WORDS)
@@ -144,11 +146,11 @@ def paragraphs(docs: DataFrame) -> DataFrame:
 
 
 def _index(docs: DataFrame, bits: int) -> DataFrame:
-    """The packed band keys of all paragraphs."""
+    """The packed band keys of the lines, blocks and pieces."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for rows, data, offsets in slices(batch, "text"):
-                *_, kind, first, end, _, grams = _paragraphs(rows, data, offsets)
+                *_, kind, first, end, _, grams = _paragraphs(rows, data, offsets, chunks=False)
                 if len(first):
                     node = _node(grams, first, end, kind)
                     yield buckets.batch(list(buckets.packed(_bands(grams, first, end, kind).ravel(), np.repeat(node, BANDS), bits)))
@@ -166,10 +168,11 @@ def _shingles(docs: DataFrame, found: DataFrame, nodes: DataFrame) -> DataFrame:
     and one set per node leaves a task. Texts are known by their hash; a node that the named span doesn't
     give (another text of that hash) is not sent."""
     nodes = written(nodes, "paragraph-nodes")
-    firsts = found.join(_small(nodes), "node", "left_semi").groupBy("node").agg(F.min(F.struct("key", "at", "n_words", "kind")).alias("p"))
-    places = written(firsts.groupBy("p.key").agg(F.collect_list(F.struct("node", "p.at", "p.n_words", "p.kind")).alias("spans")), "paragraph-places")
+    firsts = found.join(_small(nodes), "node", "left_semi").groupBy("node").agg(F.min(F.struct("key", "doc_id", "at", "n_words", "kind")).alias("p"))
+    places = written(firsts.groupBy("p.key", "p.doc_id").agg(F.collect_list(F.struct("node", "p.at", "p.n_words", "p.kind")).alias("spans")), "paragraph-places")
     dropped(nodes)
-    chosen = docs.select("text", F.xxhash64("text").alias("key")).join(_small(places), "key").select("text", "spans")
+    texts = docs.select("doc_id", "text", F.xxhash64("text").alias("key")).alias("t")
+    chosen = texts.join(_small(places).alias("p"), F.expr("t.key = p.key AND t.doc_id <=> p.doc_id")).select("text", "spans")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sent: set[int] = set()
@@ -217,8 +220,8 @@ def repeated(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", pe
     place) only. A line in its block, or a chunk in the next one, is no copy:
     paragraphs of one component that overlap count as one.
 
-    Nearly: similarity of ``percent`` or more with a paragraph of the same kind
-    that shares a band. In every band's bucket the members are held against the smallest one;
+    Nearly, for lines, blocks and pieces: similarity of ``percent`` or more with
+    a paragraph of the same kind that shares a band; chunks are copies when equal. In every band's bucket the members are held against the smallest one;
     after these links have made classes, members of different classes are held
     against each other. Equal paragraphs are one node, so a passage that a third
     of the corpus holds is one entry.
@@ -230,7 +233,7 @@ def repeated(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", pe
     """
     d = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     found = written(paragraphs(d), "paragraphs")
-    total = found.count()
+    total = found.where(F.col("kind") != CHUNK).count()
     index = _index(d, buckets.range_bits(total * BANDS)).withColumn("single", F.lit(True))
     met = written(buckets.meet(index), "paragraph-bands")
     first = _verified(met.where("single IS NULL").select(F.col("node").alias("a"), F.col("other").alias("b")).distinct(), d, found, percent)
