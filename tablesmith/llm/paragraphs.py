@@ -163,10 +163,11 @@ def _small(table: DataFrame) -> DataFrame:
     return F.broadcast(table) if table.count() <= BROADCAST_NODES else table
 
 
-def _shingles(docs: DataFrame, found: DataFrame, nodes: DataFrame) -> DataFrame:
-    """(node, shingles) of the given nodes, each cut from one text that holds it: only those texts reach Python,
-    and one set per node leaves a task. Texts are known by their hash; a node that the named span doesn't
-    give (another text of that hash) is not sent."""
+def _shingles(docs: DataFrame, found: DataFrame, nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(node, shingles) of the given nodes, each cut from one text that holds it, and the table of these places: only
+    those texts reach Python, and one set per node leaves a task. Texts are known by their hash; a node that
+    the named span doesn't give (another text of that hash) is not sent. A shingle travels as 32 bits of its
+    hash: two different ones of a pair of 100 shingles each agree by chance in 2 pairs of a million."""
     nodes = written(nodes, "paragraph-nodes")
     firsts = found.join(_small(nodes), "node", "left_semi").groupBy("node").agg(F.min(F.struct("key", "doc_id", "at", "n_words", "kind")).alias("p"))
     places = written(firsts.groupBy("p.key", "p.doc_id").agg(F.collect_list(F.struct("node", "p.at", "p.n_words", "p.kind")).alias("spans")), "paragraph-places")
@@ -189,24 +190,23 @@ def _shingles(docs: DataFrame, found: DataFrame, nodes: DataFrame) -> DataFrame:
                 right = inside[_node(grams, first[inside], end[inside], kind[inside]) == node[inside]]
                 right = [k for k in right[np.unique(node[right], return_index=True)[1]].tolist() if int(node[k]) not in sent]
                 sent.update(node[right].tolist())
-                sets = [np.unique(grams[first[k]: end[k] - SHINGLE_WORDS + 1]).view(np.int64) for k in right]
-                yield pa.RecordBatch.from_arrays([pa.array(node[right]), pa.array(sets, pa.list_(pa.int64()))], ["node", "shingles"])
+                short = (mix(grams) >> np.uint64(32)).astype(np.uint32)
+                sets = [np.unique(short[first[k]: end[k] - SHINGLE_WORDS + 1]).view(np.int32) for k in right]
+                yield pa.RecordBatch.from_arrays([pa.array(node[right]), pa.array(sets, pa.list_(pa.int32()))], ["node", "shingles"])
 
-    sets = written(chosen.mapInArrow(run, "node bigint, shingles array<bigint>").dropDuplicates(["node"]), "paragraph-shingles")
-    dropped(places)
-    return sets
+    return chosen.mapInArrow(run, "node bigint, shingles array<int>").dropDuplicates(["node"]), places
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, found: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) of nodes whose shingles reach the threshold."""
     pairs = written(pairs.select("a", "b"), "paragraph-pairs")
-    sets = _shingles(docs, found, pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct())
+    sets, places = _shingles(docs, found, pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct())
     one = pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa")), "a")
     two = one.join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb")), "b")
     inter = F.size(F.array_intersect("sa", "sb"))
     links = written(two.where(100 * inter >= percent * (F.size("sa") + F.size("sb") - inter)).select("a", "b"), "paragraph-links")
     dropped(pairs)
-    dropped(sets)
+    dropped(places)
     return links
 
 
@@ -221,8 +221,8 @@ def repeated(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", pe
     paragraphs of one component that overlap count as one.
 
     Nearly, for lines, blocks and pieces: similarity of ``percent`` or more with
-    a paragraph of the same kind that shares a band; chunks are copies when equal. In every band's bucket the members are held against the smallest one;
-    after these links have made classes, members of different classes are held
+    a paragraph of the same kind that shares a band; chunks are copies when equal. Each is held against the smallest member of a bucket,
+    the one that it shares most bands with; after these links have made classes, members of different classes are held
     against each other. Equal paragraphs are one node, so a passage that a third
     of the corpus holds is one entry.
 
@@ -236,7 +236,8 @@ def repeated(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", pe
     total = found.where(F.col("kind") != CHUNK).count()
     index = _index(d, buckets.range_bits(total * BANDS)).withColumn("single", F.lit(True))
     met = written(buckets.meet(index), "paragraph-bands")
-    first = _verified(met.where("single IS NULL").select(F.col("node").alias("a"), F.col("other").alias("b")).distinct(), d, found, percent)
+    stars = met.where("single IS NULL").groupBy(F.col("other").alias("b"), F.col("node").alias("a")).agg(F.sum("sig").alias("shared"))
+    first = _verified(stars.groupBy("b").agg(F.max_by("a", F.struct("shared", F.negate("a"))).alias("a")), d, found, percent)
     members = (met.where("single").join(components(first).withColumnRenamed("component", "class"), "node", "left")
                .select("range", "single", "sig", "node", F.coalesce("class", "node").alias("class")))
     rest = _verified(buckets.across(members), d, found, percent)
