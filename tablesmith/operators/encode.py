@@ -17,6 +17,8 @@ from tablesmith.session import shuffle_partitions
 
 #: Labels that are sampled for each range.
 _PER_RANGE = 20
+#: Labels whose codes are broadcast, at most; more are joined by shuffle, with the same rows.
+BROADCAST_LABELS = 200_000
 
 
 def _label_text(c: str):
@@ -25,7 +27,7 @@ def _label_text(c: str):
 
 
 def label_map(df: DataFrame, column: str) -> DataFrame:
-    """(label, code): code = rank of the label among the sorted distinct labels."""
+    """(label, code): code = rank of the label among the sorted distinct labels; with the hint to broadcast few labels."""
     labels = df.select(_label_text(column).alias("label")).distinct()
     ranges = shuffle_partitions(df.sparkSession)
     n = labels.count()
@@ -38,8 +40,9 @@ def label_map(df: DataFrame, column: str) -> DataFrame:
     sizes = ranged.groupBy("_r").agg(F.count("*").alias("_n"))  # one row per range
     offsets = sizes.select("_r", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
     inside = F.row_number().over(Window.partitionBy("_r").orderBy("label"))
-    return (ranged.withColumn("_i", inside).join(F.broadcast(offsets), "_r")
-            .select("label", (F.col("_before") + F.col("_i") - 1).cast("long").alias("code")))
+    codes = (ranged.withColumn("_i", inside).join(F.broadcast(offsets), "_r")
+             .select("label", (F.col("_before") + F.col("_i") - 1).cast("long").alias("code")))
+    return F.broadcast(codes) if n <= BROADCAST_LABELS else codes
 
 
 def encode_label(df: DataFrame, columns) -> DataFrame:

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tablesmith.functions import sampling
+from tablesmith.operators import encode
 
 
 @pytest.fixture()
@@ -31,3 +32,13 @@ def test_sample_by_group_leaves_the_rows_where_they_are(spark, large, monkeypatc
     other = sampling.sample_rows(df, ["g", "x"], 30, "g")
     assert "SortMergeJoin" in plan(other)
     assert sorted(map(str, got.collect())) == sorted(map(str, other.collect())) and got.count() == 90
+
+
+def test_label_codes_go_to_the_rows(spark, large, monkeypatch):
+    df = rows(spark)
+    got = encode.encode_label(df, ["g"])
+    assert "SortMergeJoin" not in plan(got)
+    monkeypatch.setattr(encode, "BROADCAST_LABELS", 0)
+    other = encode.encode_label(df, ["g"])
+    assert "SortMergeJoin" in plan(other)
+    assert sorted(map(str, got.collect())) == sorted(map(str, other.collect())) and got.count() == 4000
