@@ -130,75 +130,117 @@ class Sketches:
         order = np.argsort(node)
         self.node, self.n, self.bits, self.percent = node[order], n[order], bits[order], percent
 
-    def possible(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
-        """Flags of the pairs that may reach ``percent``; sizes tell first."""
+    def apart(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        """Bits in which the pairs differ, by a million shingles of both; -1 for those that can't reach ``percent``. Sizes tell first."""
         i, j = np.searchsorted(self.node, x), np.searchsorted(self.node, y)
         a, b = self.n[i], self.n[j]
-        out = 100 * np.minimum(a, b) >= self.percent * np.maximum(a, b)
-        every = np.flatnonzero(out)
+        out = np.full(len(x), -1, dtype=np.int64)
+        every = np.flatnonzero(100 * np.minimum(a, b) >= self.percent * np.maximum(a, b))
         for lo in range(0, len(every), 1 << 15):
             at = every[lo: lo + (1 << 15)]
             differ = np.bitwise_count(self.bits[i[at]] ^ self.bits[j[at]]).sum(axis=1, dtype=np.int64)
-            out[at] = (100 + self.percent) * differ <= (100 - self.percent) * (a[at] + b[at])
+            both = a[at] + b[at]
+            may = (100 + self.percent) * differ <= (100 - self.percent) * both
+            out[at[may]] = 1_000_000 * differ[may] // both[may]
         return out
 
+    def possible(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        """Flags of the pairs that may reach ``percent``."""
+        return self.apart(x, y) >= 0
+
 
-def across(members: DataFrame, best: bool = False, sketches=None) -> DataFrame:
+def _blocks(node: np.ndarray, cls: np.ndarray, sig: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(x, y) of all members of different classes that share a signature, about ``PAIRS_AT_ONCE`` pairs at a time.
+    Members are sorted by signature and class."""
+    n = len(sig)
+    starts = np.flatnonzero(_fresh(sig))
+    last = np.repeat(np.append(starts[1:], n), np.diff(np.append(starts, n)))  # where each member's signature ends
+    runs = np.flatnonzero(_fresh(sig, cls))
+    end = np.repeat(np.append(runs[1:], n), np.diff(np.append(runs, n)))  # and its class
+    more = last - end
+    held = np.flatnonzero(more)
+    upto = np.cumsum(more[held])
+    lo = 0
+    while lo < len(held):
+        hi = max(lo + 1, int(np.searchsorted(upto, (upto[lo - 1] if lo else 0) + PAIRS_AT_ONCE, side="right")))
+        at = held[lo:hi]
+        m = more[at]
+        yield np.repeat(node[at], m), node[np.repeat(end[at], m) + np.arange(int(m.sum())) - np.repeat(np.cumsum(m) - m, m)]
+        lo = hi
+
+
+class _Nearest:
+    """Of pairs between classes, for each node of the smaller class the one that differs least."""
+
+    def __init__(self, node: np.ndarray, cls: np.ndarray, size: np.ndarray):
+        self.known, at = np.unique(node, return_index=True)
+        self.cls, self.size = cls[at], size[at]
+        self.other, self.least = np.zeros(len(at), dtype=np.int64), np.full(len(at), np.iinfo(np.int64).max)
+
+    def add(self, x: np.ndarray, y: np.ndarray, apart: np.ndarray) -> None:
+        i, j = np.searchsorted(self.known, x), np.searchsorted(self.known, y)
+        turn = (self.size[i] > self.size[j]) | ((self.size[i] == self.size[j]) & (self.cls[i] < self.cls[j]))
+        i, b = np.where(turn, j, i), np.where(turn, x, y)
+        order = np.lexsort((b, apart, i))
+        order = order[_fresh(i[order])]
+        i, b, apart = i[order], b[order], apart[order]
+        nearer = (apart < self.least[i]) | ((apart == self.least[i]) & (b < self.other[i]))
+        self.other[i[nearer]], self.least[i[nearer]] = b[nearer], apart[nearer]
+
+    def table(self) -> pa.Table:
+        met = self.least < np.iinfo(np.int64).max
+        return pair_table(self.known[met], self.other[met], -self.least[met])
+
+
+def across(members: DataFrame, best: bool = False, sketches=None, merged: int = 0) -> DataFrame:
     """(a, b, shared) of nodes of different classes that share a signature; ``shared`` counts single ones.
 
     With ``best`` (members then have a ``size``, of their class) only one pair
-    a node: with the member of a larger class that shares the most with it.
+    a node: with the member of a larger class that shares the most with it, or
+    whose sketch differs least, ``shared`` then being the negated difference.
 
     ``sketches``, a broadcast of ``Sketches``, drops pairs that can't be links
     before they are added up.
 
-    A task adds its pairs up whenever it holds ``PAIRS_AT_ONCE``; it keeps the different ones.
+    ``merged`` bits fewer than the index has tell the tasks apart: few of its
+    entries are members, and a pair that meets in several tasks counts in each.
+
+    Pairs are made and added up ``PAIRS_AT_ONCE`` at a time; a task keeps the
+    different ones, with ``best`` and sketches one a node.
     """
     def run(table: pa.Table) -> pa.Table:
         sig, node, cls = (table.column(c).to_numpy() for c in ("sig", "node", "class"))
+        sig = sig | (table.column("low").to_numpy() << 32)
         single = int(table.column("single")[0].as_py())
         order = np.lexsort((cls, sig))
         sig, node, cls = sig[order], node[order], cls[order]
-        cuts = np.concatenate([[0], np.flatnonzero(np.diff(sig)) + 1, [len(sig)]])
-        mixed = np.flatnonzero(cls[cuts[:-1]] != cls[cuts[1:] - 1])
-        done, left, right, held = [], [], [], 0
-
-        def add_up() -> None:
-            x, y = np.concatenate(left), np.concatenate(right)
+        size = table.column("size").to_numpy()[order] if best else None
+        nearest = _Nearest(node, cls, size) if best and sketches is not None else None
+        done = []
+        for x, y in _blocks(node, cls, sig):
             if sketches is not None:
-                kept = sketches.value.possible(x, y)
+                apart = sketches.value.apart(x, y)
+                kept = apart >= 0
                 x, y = x[kept], y[kept]
+                if nearest is not None:
+                    nearest.add(x, y, apart[kept])
+                    continue
             done.append(counted(np.minimum(x, y), np.maximum(x, y), np.full(len(x), single)))
-            left.clear()
-            right.clear()
             if len(done) > 1 and sum(len(d[0]) for d in done[1:]) > len(done[0][0]):
                 done[:] = [counted(*[np.concatenate([d[k] for d in done]) for k in range(3)])]
-
-        size = cuts[mixed + 1] - cuts[mixed]
-        pairs = cuts[mixed[size == 2]]
-        for lo in range(0, len(pairs), PAIRS_AT_ONCE):
-            left.append(node[pairs[lo: lo + PAIRS_AT_ONCE]])
-            right.append(node[pairs[lo: lo + PAIRS_AT_ONCE] + 1])
-            add_up()
-        for g in mixed[size > 2].tolist():
-            a, b = int(cuts[g]), int(cuts[g + 1])
-            ends = np.searchsorted(cls[a:b], cls[a:b], side="right")  # where each member's class ends
-            more = (b - a) - ends
-            left.append(np.repeat(node[a:b], more))
-            right.append(node[a + np.repeat(ends, more) + np.arange(int(more.sum())) - np.repeat(np.cumsum(more) - more, more)])
-            held += len(left[-1])
-            if held >= PAIRS_AT_ONCE or len(left) >= PAIRS_AT_ONCE >> 5:
-                add_up()
-                held = 0
-        if left:
-            add_up()
+        if nearest is not None:
+            return nearest.table()
         if not done:
             return pair_table(node[:0], node[:0], node[:0])
         x, y, n = counted(*[np.concatenate([d[k] for d in done]) for k in range(3)])
-        return pair_table(*(_best(x, y, n, node, cls, table.column("size").to_numpy()[order]) if best else (x, y, n)))
-
-    pairs = (members.groupBy("range", "single").applyInArrow(run, "a bigint, b bigint, n bigint")
-             .groupBy("a", "b").agg(F.sum("n").alias("shared")))
+        return pair_table(*(_best(x, y, n, node, cls, size) if best else (x, y, n)))
+
+    dealt = members.withColumn("low", F.expr(f"range & {(1 << merged) - 1}")).withColumn("range", F.expr(f"shiftright(range, {merged})"))
+    pairs = dealt.groupBy("range", "single").applyInArrow(run, "a bigint, b bigint, n bigint")
+    if best and sketches is not None:
+        pairs = pairs.withColumnRenamed("n", "shared")
+    else:
+        pairs = pairs.groupBy("a", "b").agg(F.sum("n").alias("shared"))
     if not best:
         return pairs
     return (pairs.groupBy("a").agg(F.max_by("b", F.struct("shared", F.negate("b"))).alias("b"), F.max("shared").alias("shared"))

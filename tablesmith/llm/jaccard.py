@@ -30,12 +30,13 @@ from tablesmith.llm.textarrays import mix, shingle_set, slices, window_hashes, w
 SHINGLE_WORDS = 5
 #: Jaccard similarity of a link, in percent.
 PERCENT = 75
-#: Rows, about, that tell which shingles are common. The result doesn't depend on it, only the order and so the work.
-SAMPLE_ROWS = 100_000
-#: A shingle is common if so many sampled texts of different kinds hold it (texts with the same least shingle are one
+#: A shingle is common if so many texts of different kinds hold it (texts with the same least shingle are one
 #: kind), and so large a share of its texts are of a kind of their own: that tells a passage from a group of near copies.
+#: All texts are counted. The result doesn't depend on it, only the order and so the work.
 COMMON_KINDS = 8
 COMMON_SHARE = 0.6
+#: Common shingles, at most (8 bytes each, broadcast); with more, those in the most kinds.
+COMMON_MOST = 1 << 20
 #: A key list of at most this many rows is broadcast; a longer one is joined by shuffle.
 BROADCAST_ROWS = 200_000
 #: Bits of a node's parity sketch.
@@ -85,13 +86,12 @@ def _nodes(docs: DataFrame, size: int) -> DataFrame:
     return docs.mapInArrow(run, ", ".join(f"{c} {docs.schema[c].dataType.simpleString()}" for c in held) + ", node bigint, n bigint")
 
 
-def common_shingles(docs: DataFrame, rows: int, size: int, percent: int, sample_rows: int, kinds: int) -> np.ndarray:
-    """Hashes of the common shingles, ascending.
+def common_shingles(docs: DataFrame, size: int, percent: int, kinds: int, bits: int = 0, most: int = COMMON_MOST) -> np.ndarray:
+    """Hashes of the common shingles, ascending: those in ``kinds`` kinds of text, or in so many more that at most ``most`` are.
 
-    Only shingles near a prefix matter. The sample bounds the list: at most
-    sample_rows x (shingles of a text) / kinds of them can be common.
+    Only shingles near a prefix matter. Every text counts; ``bits`` give the ranges of the count.
     """
-    picked = docs.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 20)) < min(1.0, sample_rows / max(1, rows)) * (1 << 20))
+    bits = max(bits, _SAMPLE_BITS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -103,27 +103,37 @@ def common_shingles(docs: DataFrame, rows: int, size: int, percent: int, sample_
                         sig.append(near)
                         kind.append(np.full(len(near), (int(s[0]) >> 33 << 32) | (node_of(s) & 0xFFFFFFFF), dtype=np.int64))
                 if sig:
-                    yield buckets.batch(list(buckets.packed(np.concatenate(sig), np.concatenate(kind), _SAMPLE_BITS)))
+                    yield buckets.batch(list(buckets.packed(np.concatenate(sig), np.concatenate(kind), bits)))
 
     def count(table: pa.Table) -> pa.Table:
         sig, node, first = buckets.shared(table)
         own = np.ones(len(sig), dtype=bool)
         own[1:] = (sig[1:] != sig[:-1]) | (node[1:] >> 32 != node[:-1] >> 32)
-        several = np.bincount(first, own, minlength=len(sig))
+        several = np.bincount(first, own, minlength=len(sig)).astype(np.int64)
         held = np.bincount(first, minlength=len(sig))
-        found = sig[(several >= kinds) & (several >= COMMON_SHARE * held) & (held > 0)].astype(np.uint64)
+        at = np.flatnonzero((several >= kinds) & (several >= COMMON_SHARE * held) & (held > 0))
         r = np.uint64(table.column("range")[0].as_py())
-        return pa.table({"h": pa.array(((r << np.uint64(32)) | found).view(np.int64), pa.int64())})
-
-    got = picked.mapInArrow(run, buckets.SCHEMA).groupBy("range").applyInArrow(count, "h bigint").toArrow().column("h").to_numpy()
-    return np.sort(got)
-
-
+        h = ((r << np.uint64(32)) | sig[at].astype(np.uint64)) >> np.uint64(bits - _SAMPLE_BITS)
+        return pa.table({"h": pa.array(h.view(np.int64), pa.int64()), "kinds": pa.array(several[at], pa.int64())})
+
+    got = written(docs.mapInArrow(run, buckets.SCHEMA).groupBy("range").applyInArrow(count, "h bigint, kinds bigint"), "jaccard-common")
+    # as many powers of two of kinds as fit
+    level, held = F.floor(F.log2(F.col("kinds").cast("double"))).cast("int"), 0
+    least = 64
+    for r in got.groupBy(level.alias("level")).count().orderBy(F.desc("level")).collect():  # 64 rows at most
+        held += r["count"]
+        if held > most:
+            break
+        least = r["level"]
+    return np.unique(got.where(level >= least).select("h").toArrow().column("h").to_numpy())
+
+
+#: Bits of the ranges, at least; a common shingle is known by 32 bits more.
 _SAMPLE_BITS = 5
 
 
 def _is_common(s: np.ndarray, common: np.ndarray) -> np.ndarray:
-    """Flags by the upper bits that the sample's entries keep."""
+    """Flags by the upper bits that common shingles are known by."""
     if not len(common):
         return np.zeros(len(s), dtype=bool)
     key = (s >> np.uint64(32 - _SAMPLE_BITS)).view(np.int64)
@@ -241,7 +251,7 @@ def _members(met: DataFrame, tied: DataFrame, sized: bool = False) -> DataFrame:
 
 
 def classes(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", size: int = SHINGLE_WORDS, percent: int = PERCENT,
-            sample_rows: int = SAMPLE_ROWS, kinds: int = COMMON_KINDS) -> DataFrame:
+            kinds: int = COMMON_KINDS) -> DataFrame:
     """doc_id, n_shingles, component_id of every row; component_id is the smallest id reachable over links.
 
     A null, empty or blank text has no shingles and links with nothing: it is
@@ -252,7 +262,7 @@ def classes(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", siz
     table: no rows. Texts are read whole; only the two named columns are read.
     """
     d = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    rows, at, linked = _linked(d, size, percent, sample_rows, kinds)
+    rows, at, linked = _linked(d, size, percent, kinds)
     smallest = linked.join(at, "node").groupBy("component").agg(F.min("doc_id").alias("component_id"))
     reach = linked.join(smallest, "component").select("node", "component_id")
     out = (rows.join(at.withColumnRenamed("doc_id", "own"), "node", "left").join(reach, "node", "left"))
@@ -260,18 +270,19 @@ def classes(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", siz
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), own).alias("component_id"))
 
 
-def _linked(d: DataFrame, size: int, percent: int, sample_rows: int = SAMPLE_ROWS, kinds: int = COMMON_KINDS) -> tuple[DataFrame, DataFrame, DataFrame]:
+def _linked(d: DataFrame, size: int, percent: int, kinds: int = COMMON_KINDS) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Of (doc_id, text, ...): the rows with their nodes, (node, doc_id) of each node's smallest id, (node, component) of the linked ones."""
     sc = d.sparkSession.sparkContext
     rows = written(_nodes(d, size), "jaccard-rows")
     at = rows.where("node >= 0 AND doc_id IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
     total = rows.agg(F.count("*").alias("rows"), F.sum("n").alias("n")).first()
     texts = d.where("doc_id IS NOT NULL").select("doc_id", "text")
-    common = sc.broadcast(common_shingles(texts, total["rows"], size, percent, sample_rows, kinds))
     bits = buckets.range_bits((total["n"] or 0) * (100 - percent) // 100)
+    common = sc.broadcast(common_shingles(texts, size, percent, kinds, bits))
     index = written(_index(texts, size, percent, common, bits), "jaccard-index")
     nodes = _unpacked(index)
     met = written(buckets.meet(index), "jaccard-buckets")
+    merged = max(0, bits - buckets.range_bits(met.where("single IS NOT NULL").count()))
 
     # near copies: each node with the hub that it meets most
     stars = met.where("single IS NULL").groupBy(F.col("other").alias("b"), F.col("node").alias("a")).agg(F.sum("sig").alias("shared"))
@@ -291,12 +302,13 @@ def _linked(d: DataFrame, size: int, percent: int, sample_rows: int = SAMPLE_ROW
 
     # then each node with its best partner in a larger class
     sketches = _sketches(nodes, met, percent)
-    second = judged(buckets.across(_members(met, components(first), sized=True), best=True, sketches=sketches))
+    second = buckets.across(_members(met, components(first), sized=True), best=True, sketches=sketches, merged=merged)
+    second = judged(second) if sketches is None else second
     first = first.unionByName(written(_verified(second, texts, at, size, percent, "jaccard-second"), "jaccard-links"))
 
     # what is left: pairs across the classes so far
     members = _members(met, components(first))
-    rest = _verified(judged(buckets.across(members, sketches=sketches)), texts, at, size, percent, "jaccard-rest")
+    rest = _verified(judged(buckets.across(members, sketches=sketches, merged=merged)), texts, at, size, percent, "jaccard-rest")
 
     return rows, at, components(first.unionByName(rest))
 
