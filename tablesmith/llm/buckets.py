@@ -23,9 +23,9 @@ ENTRY = np.dtype([("sig", "<u4"), ("node", "<i8")])
 SCHEMA = "range bigint, entries binary"
 
 
-def range_bits(entries: int, least: int = 0) -> int:
-    """Bits of the range for about this many entries; at least ``least`` ranges."""
-    return min(24, max(0, (max(1, -(-entries // RANGE_ENTRIES), least) - 1).bit_length()))
+def range_bits(entries: int, least: int = 0, size: int = RANGE_ENTRIES) -> int:
+    """Bits of the range for about this many entries, ``size`` in each; at least ``least`` ranges."""
+    return min(24, max(0, (max(1, -(-entries // size), least) - 1).bit_length()))
 
 
 def _fresh(*keys: np.ndarray) -> np.ndarray:

@@ -39,6 +39,10 @@ COMMON_SHARE = 0.6
 COMMON_MOST = 1 << 20
 #: A key list of at most this many rows is broadcast; a longer one is joined by shuffle.
 BROADCAST_ROWS = 200_000
+#: Text hashed at once: the arrays beside it take some 60 bytes for each of its bytes.
+PART_BYTES = 1 << 18
+#: Members of shared signatures that one task pairs, about.
+MEMBERS = 1 << 17
 #: Bits of a node's parity sketch.
 SKETCH_BITS = 1024
 #: Sketches of at most this many nodes are broadcast (144 bytes each); with more, pairs are only judged by their shared shingles.
@@ -52,10 +56,15 @@ def _prefix(n: int, percent: int) -> int:
 
 
 def _sets(data: np.ndarray, offsets: np.ndarray, size: int) -> Iterator[tuple[int, np.ndarray]]:
-    words, bounds = word_hashes(data, offsets)
-    windows = window_hashes(words, size)
-    for r, (a, b) in enumerate(zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)):
-        yield r, shingle_set(words, windows, a, b, size)
+    """(row, set) of every row; ``PART_BYTES`` of text, or one longer text, are hashed at once."""
+    lo, n = 0, len(offsets) - 1
+    while lo < n:
+        hi = min(n, max(lo + 1, int(np.searchsorted(offsets, offsets[lo] + PART_BYTES, side="right")) - 1))
+        words, bounds = word_hashes(data[offsets[lo]: offsets[hi]], offsets[lo: hi + 1] - offsets[lo])
+        windows = window_hashes(words, size)
+        for r, (a, b) in enumerate(zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)):
+            yield lo + r, shingle_set(words, windows, a, b, size)
+        lo = hi
 
 
 def node_of(s: np.ndarray) -> int:
@@ -282,7 +291,7 @@ def _linked(d: DataFrame, size: int, percent: int, kinds: int = COMMON_KINDS) ->
     index = written(_index(texts, size, percent, common, bits), "jaccard-index")
     nodes = _unpacked(index)
     met = written(buckets.meet(index), "jaccard-buckets")
-    merged = max(0, bits - buckets.range_bits(met.where("single IS NOT NULL").count()))
+    merged = max(0, bits - buckets.range_bits(met.where("single IS NOT NULL").count(), size=MEMBERS))
 
     # near copies: each node with the hub that it meets most
     stars = met.where("single IS NULL").groupBy(F.col("other").alias("b"), F.col("node").alias("a")).agg(F.sum("sig").alias("shared"))

@@ -24,6 +24,8 @@ MAX_PASSAGES = 64
 #: Labelled rows that the model is fitted on, about: a hash of the id picks them.
 FIT_ROWS = 4000
 THRESHOLD = 0.7
+#: Text that ``keep`` scores at once: its arrays take some 40 bytes for each of its bytes.
+KEEP_BYTES = 1 << 18
 HIDDEN, GATE = 24, 12
 _WORD_BINS = 32
 
@@ -208,7 +210,7 @@ def keep(docs: DataFrame, model: Model, text_col: str = "text", threshold: float
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for rows, data, offsets in slices(batch, text_col):
+            for rows, data, offsets in slices(batch, text_col, KEEP_BYTES):
                 yield rows.filter(pa.array(scores(known.value, data, offsets) >= threshold))
 
     return docs.mapInArrow(run, docs.schema)

@@ -29,7 +29,7 @@ _powers = [np.ones(1, dtype=np.uint64), np.ones(1, dtype=np.uint64)]
 def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     """step**i and step**-i modulo 2**64 for i < n; kept for the next slice."""
     if len(_powers[0]) < n:
-        size = max(n, SLICE_BYTES + 1)
+        size = 1 << max(n - 1, 1 << 17).bit_length()
         for k, base in enumerate((_STEP, _STEP_INVERSE)):
             table = np.full(size, base, dtype=np.uint64)
             table[0] = 1
