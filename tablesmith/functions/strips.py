@@ -3,7 +3,9 @@
 A column's boundaries are quantiles of its rows. Every boundary value is a
 strip of its own and so is every open interval between two, so a value that a
 third of all rows hold never shares a strip with others, and an open interval
-holds about ``STRIP_ROWS`` rows (more only beyond ``MAX_STRIPS`` intervals).
+holds about ``STRIP_ROWS`` rows, up to ``FULL_ROWS`` beyond ``MANY_STRIPS``
+intervals (more only beyond ``MAX_STRIPS``): the cells of two columns' strips
+then stay far fewer than the rows.
 """
 
 from __future__ import annotations
@@ -16,8 +18,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Rows of an open interval, about, and the most intervals of a column.
+#: Rows of an open interval, about; with more than so many intervals, the rows of one grow first; and the most intervals of a column.
 STRIP_ROWS = 50_000
+MANY_STRIPS = 512
+FULL_ROWS = 1_000_000
 MAX_STRIPS = 1 << 16
 
 
@@ -35,7 +39,7 @@ class Strips:
 
     @classmethod
     def plan(cls, table: DataFrame, columns: list[str], rows: int, strip_rows: int = STRIP_ROWS, max_strips: int = MAX_STRIPS) -> Strips:
-        n = int(min(max(1, -(-rows // strip_rows)), max_strips))
+        n = int(min(max(1, -(-rows // strip_rows)), max(MANY_STRIPS, -(-rows // FULL_ROWS)), max_strips))
         if n == 1:
             return cls([np.zeros(0) for _ in columns])
         found = table.approxQuantile(columns, [k / n for k in range(1, n)], 1 / (4 * n))

@@ -8,9 +8,11 @@ each method is one pipeline whatever the number of columns.
 from __future__ import annotations
 
 import itertools
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -20,6 +22,8 @@ from tablesmith.session import staged
 
 #: Strips a side of one block of cells.
 GRID_BLOCK = 512
+#: Ranks that one group of rows holds, about: rows by columns by kinds of partner.
+BLOCK_RANKS = 1 << 22
 
 
 def _c(name: str):
@@ -66,7 +70,8 @@ def pearson_matrix(df: DataFrame, columns=None) -> DataFrame:
 
 
 def _named(df: DataFrame, pairs) -> DataFrame:
-    return F.broadcast(df.sparkSession.createDataFrame([(i, a, b) for i, (a, b) in enumerate(pairs)], "pair int, col_x string, col_y string"))
+    each = F.array(*[F.struct(F.lit(i).alias("pair"), F.lit(a).alias("col_x"), F.lit(b).alias("col_y")) for i, (a, b) in enumerate(pairs)])
+    return df.sparkSession.range(1).select(F.explode(each).alias("p")).select("p.*")
 
 
 def _striped(df: DataFrame, cols: list[str], strip_rows: int) -> tuple[DataFrame, Strips]:
@@ -78,10 +83,15 @@ def _striped(df: DataFrame, cols: list[str], strip_rows: int) -> tuple[DataFrame
     return staged(strips.added(table.withColumn("rid", F.monotonically_increasing_id()), names), "strips"), strips
 
 
+def _key(a, strip) -> Column:
+    """Column and strip as one number: rows sorted by one number need no comparisons."""
+    return (a.cast("long") * (1 << 32) + strip).alias("key")
+
+
 def _by_strip(table: DataFrame, n: int, carried: list[str]) -> DataFrame:
-    """(a, strip, carried...): every row once for each of its columns ``a`` whose value lies in an open interval."""
+    """(key, carried...): every row once for each of its columns whose value lies in an open interval."""
     at = F.explode(F.array(*[F.struct(F.lit(k).alias("a"), F.col(f"s{k}").alias("strip")) for k in range(n)])).alias("at")
-    return table.select(at, *carried).select("at.a", "at.strip", *carried).where("strip >= 0 AND strip % 2 = 0")
+    return table.select(at, *carried).where("at.strip >= 0 AND at.strip % 2 = 0").select(_key(F.col("at.a"), F.col("at.strip")), *carried)
 
 
 def spearman_matrix(df: DataFrame, columns=None, strip_rows: int = STRIP_ROWS) -> DataFrame:
@@ -92,8 +102,8 @@ def spearman_matrix(df: DataFrame, columns=None, strip_rows: int = STRIP_ROWS) -
     gaps, so each value gets one rank for all complete partners and one for
     each partner with gaps. Ranks are counted within strips of values and
     raised by the totals of the strips below; a value that is a strip of its
-    own has its rank from the totals alone. One regrouping by row then adds up
-    the products of all pairs.
+    own has its rank from the totals alone. One regrouping by blocks of rows,
+    ranks packed by block, then adds up the products of all pairs.
     """
     cols = list(columns) if columns else numeric_columns(df)
     require_numeric(df, cols)
@@ -118,69 +128,98 @@ def spearman_matrix(df: DataFrame, columns=None, strip_rows: int = STRIP_ROWS) -
         below[k] = (t[:, 0].astype(np.int64), np.cumsum(t[:, 1:], axis=0) - t[:, 1:], t[:, 1:])
     shared = df.sparkSession.sparkContext.broadcast(below)
     middle = {k: (b[2].sum(axis=0) + 1) / 2 for k, b in below.items()}
-    present = [f"k{i}" for i in range(len(kinds))]
-    schema = "rid long, a int, ranks array<double>"
-
-    def leaf(pdf: pd.DataFrame) -> pd.DataFrame:
-        """Centred ranks of one strip's rows."""
-        k = int(pdf["a"].iloc[0])
+    n_kinds = len(kinds)
+    flags = [f"k{i}" for i in range(1, n_kinds)]
+    bits = max(1, (BLOCK_RANKS // (m * n_kinds)).bit_length() - 1)  # rows of a block, as a power of two
+    both = [(cols.index(a), cols.index(b)) for a, b in pairs]
+
+    def runs(rid: np.ndarray, a: int, values: np.ndarray) -> pa.Table:
+        """(block, a, places, found): the values (a column a row) of each block's rows, packed."""
+        order = np.argsort(rid)
+        rid, values = rid[order], values[:, order]
+        block = rid >> bits
+        cuts = [0, *(np.flatnonzero(block[1:] != block[:-1]) + 1).tolist(), len(rid)] if len(rid) else [0]
+        place = (rid & ((1 << bits) - 1)).astype(np.int32)
+        ends = list(itertools.pairwise(cuts))
+        return pa.table({"block": pa.array([int(block[i]) for i, _ in ends], pa.int64()), "a": pa.array([a] * len(ends), pa.int32()),
+                         "places": pa.array([place[i:j].tobytes() for i, j in ends], pa.binary()),
+                         "found": pa.array([values[:, i:j].tobytes() for i, j in ends], pa.binary())})
+
+    def leaf(group: pa.Table) -> pa.Table:
+        """Centred ranks of one strip's rows, a row for each kind of partner."""
+        k, strip = divmod(group.column("key")[0].as_py(), 1 << 32)
         strips, lower, _ = shared.value[k]
-        start = lower[np.searchsorted(strips, int(pdf["strip"].iloc[0]))]
-        order = np.argsort(pdf["v"].to_numpy(), kind="stable")
-        v = pdf["v"].to_numpy()[order]
+        start = lower[np.searchsorted(strips, strip)]
+        v = group.column("v").to_numpy()
+        order = np.argsort(v)
+        v = v[order]
         first = np.flatnonzero(np.append(True, v[1:] != v[:-1]))
         size = np.diff(np.append(first, len(v)))
-        out = np.empty((len(v), len(present)))
-        for i, name in enumerate(present):
-            here = pdf[name].to_numpy()[order].astype(np.int64)
-            t = np.add.reduceat(here, first)
-            out[:, i] = np.repeat(start[i] + np.cumsum(t) - t + (t + 1) / 2, size) - middle[k][i]
-        return pd.DataFrame({"rid": pdf["rid"].to_numpy()[order], "a": np.int32(k), "ranks": list(out)})
-
-    def single(batches):
-        """Centred ranks of values that are strips of their own."""
-        for pdf in batches:
-            for k, rows in pdf.groupby("a"):
-                strips, lower, size = shared.value[k]
-                at = np.searchsorted(strips, rows["strip"].to_numpy())
-                yield pd.DataFrame({"rid": rows["rid"], "a": rows["a"], "ranks": list(lower[at] + (size[at] + 1) / 2 - middle[k])})
-
-    value = F.element_at(F.array(*[F.col(f"v{k}") for k in range(m)]), F.col("a") + 1)
-    flags = [c.alias(f"k{i}") for i, c in enumerate(kinds)]
-    open_rows = _by_strip(table.select("rid", *[f"v{k}" for k in range(m)], *[f"s{k}" for k in range(m)], *flags), m, ["rid", *[f"v{k}" for k in range(m)], *present])
-    ranked = open_rows.select("a", "strip", "rid", value.alias("v"), *present).groupBy("a", "strip").applyInPandas(leaf, schema)
-    alone = table.select(at, "rid").select("at.a", "at.strip", "rid").where("strip % 2 = 1").mapInPandas(single, schema)
-    rows = ranked.unionByName(alone).groupBy("rid").agg(*[F.any_value(F.when(F.col("a") == k, F.col("ranks")), True).alias(f"r{k}") for k in range(m)])
-    x = [[F.get(f"r{k}", F.lit(kind_of[j])) for j in range(m)] for k in range(m)]  # rank of column k against partner j
-    place = {c: k for k, c in enumerate(cols)}
-    both = [(place[a], place[b]) for a, b in pairs]
-
-    def product(i: int, j: int) -> Column:
-        return F.struct(F.sum(x[i][j] * x[j][i]).alias("xy"), F.sum(F.when(F.col(f"r{j}").isNotNull(), x[i][j] * x[i][j])).alias("xx"),
-                        F.sum(F.when(F.col(f"r{i}").isNotNull(), x[j][i] * x[j][i])).alias("yy"))
-
-    sums = rows.agg(*[product(i, j).alias(f"p{p}") for p, (i, j) in enumerate(both)])
-    long = sums.select(F.explode(F.array(*[F.struct(F.lit(p).alias("pair"), f"p{p}.*") for p in range(len(pairs))])).alias("p")).select("p.*")
+        out = np.empty((n_kinds, len(v)))
+        for i in range(n_kinds):
+            t = size if not i else np.add.reduceat(group.column(flags[i - 1]).to_numpy()[order].astype(np.int64), first)
+            out[i] = np.repeat(start[i] + np.cumsum(t) - t + (t + 1) / 2, size) - middle[k][i]
+        return runs(group.column("rid").to_numpy()[order], k, out)
+
+    def strips_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The rows' strips, as they are: those of single values have their ranks from the totals."""
+        for batch in batches:
+            yield from runs(batch.column(0).to_numpy(), -1, np.stack([batch.column(1 + k).to_numpy() for k in range(m)])).to_batches()
+
+    def products(group: pa.Table) -> pa.Table:
+        """Each pair's sums over one block of rows."""
+        ranks = np.full((m, n_kinds, 1 << bits), np.nan)
+        for k, places, found in zip(*(group.column(c).to_pylist() for c in ("a", "places", "found")), strict=True):
+            place = np.frombuffer(places, dtype=np.int32)
+            if k >= 0:
+                ranks[k][:, place] = np.frombuffer(found).reshape(n_kinds, -1)
+                continue
+            for c, s in enumerate(np.frombuffer(found, dtype=np.int32).reshape(m, -1)):
+                alone = np.flatnonzero(s % 2 == 1) if len(shared.value[c][0]) else []
+                alone = [] if not len(alone) else alone[s[alone] > 0]
+                if len(alone):
+                    strips, lower, size = shared.value[c]
+                    one = lower + (size + 1) / 2 - middle[c]
+                    ranks[c][:, place[alone]] = one[np.searchsorted(strips, s[alone])].T
+        here = ~np.isnan(ranks[:, 0])
+        out = []
+        for p, (i, j) in enumerate(both):
+            complete = here[i] & here[j]
+            x, y = np.where(complete, ranks[i][kind_of[j]], 0.0), np.where(complete, ranks[j][kind_of[i]], 0.0)
+            out.append((p, *(float(np.einsum("i,i->", u, w)) for u, w in ((x, y), (x, x), (y, y)))))
+        return pa.table(dict(zip(("pair", "xy", "xx", "yy"), map(list, zip(*out, strict=True)), strict=True)),
+                        schema=pa.schema([("pair", pa.int32()), ("xy", pa.float64()), ("xx", pa.float64()), ("yy", pa.float64())]))
+
+    packed = "block bigint, a int, places binary, found binary"
+    cell = F.explode(F.array(*[F.struct(F.lit(k).alias("a"), F.col(f"s{k}").alias("strip"), F.col(f"v{k}").alias("v")) for k in range(m)])).alias("c")
+    open_rows = (table.select(cell, "rid", *[c.alias(f"k{i}") for i, c in enumerate(kinds) if i])
+                 .where("c.strip >= 0 AND c.strip % 2 = 0").select(_key(F.col("c.a"), F.col("c.strip")), "c.v", "rid", *flags))
+    rows = open_rows.groupBy("key").applyInArrow(leaf, packed).unionByName(table.select("rid", *[f"s{k}" for k in range(m)]).mapInArrow(strips_of, packed))
+    long = rows.groupBy("block").applyInArrow(products, "pair int, xy double, xx double, yy double").groupBy("pair").agg(*[F.sum(c).alias(c) for c in ("xy", "xx", "yy")])
     rho = F.when((F.col("xx") > 0) & (F.col("yy") > 0), F.col("xy") / F.sqrt(F.col("xx") * F.col("yy")))
-    return _matrix_rows(df, long.select("pair", rho.alias("rho")).join(_named(df, pairs), "pair").select("col_x", "col_y", "rho"), cols, "rho")
+    return _matrix_rows(df, _named(df, pairs).join(long.select("pair", rho.alias("rho")), "pair", "left").select("col_x", "col_y", "rho"), cols, "rho")
 
 
 def inversions(ranks: np.ndarray) -> int:
-    """Pairs of places whose later value is smaller, by merging ever longer sorted blocks."""
-    n, width = len(ranks), 32
-    size = width
-    while size < n:
-        size *= 2
-    a = np.full(size, np.iinfo(np.int64).max >> 24, dtype=np.int64)
-    a[:n] = ranks
-    a = a.reshape(-1, width)
-    count = sum(int((a[:, :-d] > a[:, d:]).sum()) for d in range(1, width))
-    a = np.sort(a, axis=1)
-    while len(a) > 1:
-        rows = np.arange(len(a) // 2)[:, None] * (int(a.max()) + 1)
-        left, right = a[::2] + rows, (a[1::2] + rows).ravel()
-        count += int((np.searchsorted(right, left.ravel()) - np.repeat(np.arange(len(rows)) * a.shape[1], a.shape[1])).sum())
-        a = np.sort(a.reshape(len(rows), -1), axis=1)
+    """Pairs of places whose later value is smaller, bit by bit: behind a common prefix, ones that stand before zeros."""
+    if not len(ranks):
+        return 0
+    y = ranks.astype(np.int64) - int(ranks.min())
+    place, count = np.arange(len(y)), 0
+    for k in range(int(y.max()).bit_length() - 1, -1, -1):
+        size = np.bincount(y >> (k + 1))  # rows stand sorted by these prefixes
+        size = size[size > 0]
+        first = np.cumsum(size) - size
+        one = (y >> k) & 1
+        ones = np.cumsum(one) - one
+        before = ones - np.repeat(ones[first], size)
+        zero = one == 0
+        count += int(before[zero].sum())
+        if k:
+            zeros = np.repeat(size - np.add.reduceat(one, first) + first, size)  # where a prefix's ones begin
+            after = np.empty_like(y)
+            after[np.where(zero, place - before, zeros + before)] = y
+            y = after
     return count
 
 
@@ -190,18 +229,29 @@ def _ties(values: np.ndarray) -> int:
     return int((n * (n - 1) // 2).sum())
 
 
+def _dense(values: np.ndarray) -> tuple[np.ndarray, int]:
+    """Dense ranks, and the pairs of equal values."""
+    order = np.argsort(values)
+    v = values[order]
+    fresh = np.append(True, v[1:] != v[:-1])
+    n = np.diff(np.append(np.flatnonzero(fresh), len(v)))
+    out = np.empty(len(v), dtype=np.int64)
+    out[order] = np.cumsum(fresh) - 1
+    return out, int((n * (n - 1) // 2).sum())
+
+
 def order_score(x: np.ndarray, y: np.ndarray) -> int:
     """Concordant minus discordant pairs; a pair that ties in either counts nothing."""
     n = len(x)
     if n < 2:
         return 0
-    y = np.unique(y, return_inverse=True)[1]
-    order = np.lexsort((y, x))
-    x, y = x[order], y[order]
-    alike = np.flatnonzero(np.concatenate([[True], (x[1:] != x[:-1]) | (y[1:] != y[:-1]), [True]]))
-    both = np.diff(alike)
-    tied_x, tied_both = _ties(x), int((both * (both - 1) // 2).sum())
-    differ = n * (n - 1) // 2 - _ties(y)
+    (x, tied_x), (y, tied_y) = _dense(x), _dense(y)
+    width = int(y.max()) + 1
+    key = np.sort(x * width + y)
+    y = key % width
+    both = np.diff(np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1], [True]])))
+    tied_both = int((both * (both - 1) // 2).sum())
+    differ = n * (n - 1) // 2 - tied_y
     return differ - (tied_x - tied_both) - 2 * inversions(y)  # within equal x the order is that of y: no inversions there
 
 
@@ -263,7 +313,7 @@ def kendall_matrix(df: DataFrame, columns=None, strip_rows: int = STRIP_ROWS, bl
     shared = df.sparkSession.sparkContext.broadcast(strips)
 
     def leaf(pdf: pd.DataFrame) -> pd.DataFrame:
-        a = int(pdf["a"].iloc[0])
+        a = int(pdf["key"].iloc[0]) >> 32
         values, out = pdf[f"v{a}"].to_numpy(), []
         for b in range(m):
             if b == a:
@@ -278,7 +328,7 @@ def kendall_matrix(df: DataFrame, columns=None, strip_rows: int = STRIP_ROWS, bl
                 out.append((number_of[b, a], float(order_score(shared.value.of(b, other), own)), 0.0, ties))
         return pd.DataFrame(out, columns=["pair", "s", "tx", "ty"]).astype({"pair": np.int32})
 
-    scores = scores.unionByName(_by_strip(table, m, [f"v{k}" for k in range(m)]).groupBy("a", "strip").applyInPandas(leaf, schema))
+    scores = scores.unionByName(_by_strip(table, m, [f"v{k}" for k in range(m)]).groupBy("key").applyInPandas(leaf, schema))
     for axis, s, other in (("x", "tx", "ty"), ("y", "ty", "tx")):  # values that are strips of their own
         t = F.col("t")
         alone = cells.where(f"{axis} % 2 = 1").groupBy("pair", axis).agg(F.sum("w").alias("t"))

@@ -77,3 +77,20 @@ def test_strips():
     strips = Strips([np.array([1.0, 4.0])])
     assert strips.of(0, np.array([0.0, 1.0, 2.0, 4.0, 9.0, np.nan])).tolist() == [0, 1, 2, 3, 4, -1]
     assert strips.width == 5 and Strips([np.zeros(0)]).of(0, np.array([3.0])).tolist() == [0]
+
+
+def test_spearman_over_many_blocks_of_rows(spark, rows, monkeypatch):
+    df = spark.createDataFrame(rows, ", ".join(f"{c} double" for c in COLS))
+    whole = {(r.col_x, r.col_y): r.rho for r in corr.spearman_matrix(df, COLS, 15).collect()}
+    monkeypatch.setattr(corr, "BLOCK_RANKS", 700)
+    cut = {(r.col_x, r.col_y): r.rho for r in corr.spearman_matrix(df, COLS, 15).collect()}
+    assert cut.keys() == whole.keys()
+    for pair, v in whole.items():
+        assert cut[pair] is None if v is None else cut[pair] == pytest.approx(v, abs=1e-9)
+
+
+def test_strips_grow_in_rows_before_they_grow_in_number(spark):
+    """Cells of two columns grow with the square of the strips: 2,000 strips a column for 100 million rows before."""
+    table = spark.range(4000).selectExpr("cast(id as double) AS x")
+    assert len(Strips.plan(table, ["x"], 100_000_000).bounds[0]) < 512
+    assert len(Strips.plan(table, ["x"], 1_000_000_000).bounds[0]) < 1000
