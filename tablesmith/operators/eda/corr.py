@@ -279,7 +279,7 @@ def kendall_matrix(df: DataFrame, columns=None, strip_rows: int = STRIP_ROWS, bl
     value that is a strip of its own ties there and needs no group.
 
     Groups hold one block of cells or one open interval, about ``strip_rows``
-    rows, or a 65,536th of all rows if that is more.
+    rows, or up to a million where a column would have more than 512 intervals.
     """
     cols = list(columns) if columns else numeric_columns(df)
     require_numeric(df, cols)
