@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from tablesmith.llm import buckets
 from tablesmith.llm.components import components
 from tablesmith.llm.staging import written
-from tablesmith.llm.textarrays import mix, shingle_set, slices, window_hashes, word_hashes
+from tablesmith.llm.textarrays import handed_back, mix, shingle_set, slices, window_hashes, word_hashes
 
 SHINGLE_WORDS = 5
 #: Jaccard similarity of a link, in percent.
@@ -91,6 +91,7 @@ def _nodes(docs: DataFrame, size: int) -> DataFrame:
                 found = [(node_of(s), len(s)) for _, s in _sets(data, offsets, size)]
                 yield pa.RecordBatch.from_arrays([*[rows.column(c) for c in held], pa.array([x[0] for x in found], pa.int64()), pa.array([x[1] for x in found], pa.int64())],
                                                  [*held, "node", "n"])
+        handed_back()
 
     return docs.mapInArrow(run, ", ".join(f"{c} {docs.schema[c].dataType.simpleString()}" for c in held) + ", node bigint, n bigint")
 
@@ -113,6 +114,7 @@ def common_shingles(docs: DataFrame, size: int, percent: int, kinds: int, bits:
                         kind.append(np.full(len(near), (int(s[0]) >> 33 << 32) | (node_of(s) & 0xFFFFFFFF), dtype=np.int64))
                 if sig:
                     yield buckets.batch(list(buckets.packed(np.concatenate(sig), np.concatenate(kind), bits)))
+        handed_back()
 
     def count(table: pa.Table) -> pa.Table:
         sig, node, first = buckets.shared(table)
@@ -190,6 +192,7 @@ def _index(docs: DataFrame, size: int, percent: int, common, bits: int) -> DataF
                         rows += [(r, kind, e) for r, e in buckets.packed(np.concatenate([x[0] for x in parts]), np.concatenate([x[1] for x in parts]), bits)]
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.bool_()), pa.array([r[2] for r in rows], pa.binary())], ["range", "single", "entries"])
+        handed_back()
 
     return docs.mapInArrow(run, "range bigint, single boolean, entries binary")
 
@@ -226,6 +229,7 @@ def _set_table(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
                 for lo in range(0, len(rows), 256):
                     part = [s for r, s in _sets(data[offsets[lo]:offsets[min(lo + 256, len(rows))]], offsets[lo:min(lo + 256, len(rows)) + 1] - offsets[lo], size)]
                     yield pa.RecordBatch.from_arrays([pa.array([node_of(s) for s in part], pa.int64()), pa.array([s.view(np.int64) for s in part], pa.list_(pa.int64()))], ["node", "shingles"])
+        handed_back()
 
     wanted = written(wanted, "jaccard-wanted")
     few = wanted.count() <= BROADCAST_ROWS

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablesmith.llm.textarrays import mix, slices, span_hashes, word_spans
+from tablesmith.llm.textarrays import handed_back, mix, slices, span_hashes, word_spans
 
 #: Passages have this many bytes, or a 64th of a longer document, which so has 64 passages at most.
 PASSAGE_BYTES = 400
@@ -212,6 +212,7 @@ def keep(docs: DataFrame, model: Model, text_col: str = "text", threshold: float
         for batch in batches:
             for rows, data, offsets in slices(batch, text_col, KEEP_BYTES):
                 yield rows.filter(pa.array(scores(known.value, data, offsets) >= threshold))
+        handed_back()
 
     return docs.mapInArrow(run, docs.schema)
 

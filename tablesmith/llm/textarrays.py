@@ -6,6 +6,7 @@ task's memory follows the slice (``SLICE_BYTES``, or one longer document).
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,6 +38,15 @@ def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers[0], _powers[1]
 
 
+def handed_back() -> None:
+    """Give freed memory and the power tables back to the system at a task's end: an idle worker keeps what it once took."""
+    _powers[:] = [np.ones(1, dtype=np.uint64), np.ones(1, dtype=np.uint64)]
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim is not None:
+        trim(0)
+
+
 def mix(h: np.ndarray) -> np.ndarray:
     """A bijective 64-bit finaliser, so that every output bit depends on every input bit."""
     h = h ^ (h >> np.uint64(30))

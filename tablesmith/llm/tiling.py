@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from tablesmith.llm.textarrays import slices, window_hashes, word_hashes
+from tablesmith.llm.textarrays import handed_back, slices, window_hashes, word_hashes
 
 SEED_WORDS = 4
 #: Share of an item's words that marks a document as holding the item.
@@ -191,6 +191,7 @@ def clean(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_id
                     kept = np.ones(len(rows), dtype=bool)
                     kept[[x[0] for x in found_in(len(rows), *word_hashes(data, offsets), seeds.value, seed, coverage)]] = False
                     yield rows.filter(pa.array(kept))
+            handed_back()
 
         docs = docs.mapInArrow(run, docs.schema)
     return docs
