@@ -11,6 +11,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -149,6 +150,55 @@ class Sketches:
         return self.apart(x, y) >= 0
 
 
+def sketch_column(sets: list[np.ndarray]) -> pa.Array:
+    """Parity sketches of sets of 32-bit numbers, of two to four bits a number and 64 at least: longer ones fold to shorter ones by halves."""
+    n = np.array([len(s) for s in sets], dtype=np.int64)
+    width = np.array([max(64, 1 << (2 * k - 1).bit_length()) if k else 64 for k in n.tolist()], dtype=np.int64)
+    edges = np.concatenate([[0], np.cumsum(width)])
+    flat = np.concatenate([s.view(np.uint32) for s in sets]).astype(np.int64) if len(sets) else n
+    bits = np.bincount(np.repeat(edges[:-1], n) + (flat & (np.repeat(width, n) - 1)), minlength=edges[-1]) & 1
+    data = np.packbits(bits.astype(np.uint8), bitorder="little")
+    return pa.Array.from_buffers(pa.binary(), len(n), [None, pa.py_buffer((edges // 8).astype(np.int32)), pa.py_buffer(data)])
+
+
+class Carried(Sketches):
+    """The same from the members themselves: set sizes and ``sketch_column`` sketches of any lengths."""
+
+    def __init__(self, node: np.ndarray, n: np.ndarray, sketch: pa.Array, percent: int):
+        self.node, at = np.unique(node, return_index=True)
+        self.n, self.percent = n[at], percent
+        held = sketch.take(pa.array(at))
+        self.width = pc.binary_length(held).to_numpy().astype(np.int64) // 8
+        self.row = np.zeros(len(at), dtype=np.int64)
+        self.bits, self.half = {}, {}
+        for w in np.unique(self.width).tolist():
+            rows = np.flatnonzero(self.width == w)
+            self.row[rows] = np.arange(len(rows))
+            bits = np.frombuffer(b"".join(held.take(pa.array(rows)).to_pylist()), dtype=np.uint64).reshape(-1, w)
+            self.bits[w] = bits
+            if w > 1:
+                self.half[w // 2] = bits[:, : w // 2] ^ bits[:, w // 2:]
+
+    def apart(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        i, j = np.searchsorted(self.node, x), np.searchsorted(self.node, y)
+        turn = self.width[i] > self.width[j]
+        i, j = np.where(turn, j, i), np.where(turn, i, j)  # the longer sketch is the second one's
+        a, b = self.n[i], self.n[j]
+        out = np.full(len(x), -1, dtype=np.int64)
+        alike = 100 * np.minimum(a, b) >= self.percent * np.maximum(a, b)  # so one is at most twice as long
+        for w, bits in self.bits.items():
+            for other, factor in ((bits, 1), (self.half.get(w), 2)):
+                every = np.flatnonzero(alike & (self.width[i] == w) & (self.width[j] == factor * w)) if other is not None else ()
+                step = max(1, (1 << 18) // w)
+                for lo in range(0, len(every), step):
+                    at = every[lo: lo + step]
+                    differ = np.bitwise_count(bits[self.row[i[at]]] ^ other[self.row[j[at]]]).sum(axis=1, dtype=np.int64)
+                    both = a[at] + b[at]
+                    may = (100 + self.percent) * differ <= (100 - self.percent) * both
+                    out[at[may]] = 1_000_000 * differ[may] // both[may]
+        return out
+
+
 def _blocks(node: np.ndarray, cls: np.ndarray, sig: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """(x, y) of all members of different classes that share a signature, about ``PAIRS_AT_ONCE`` pairs at a time.
     Members are sorted by signature and class."""
@@ -192,7 +242,7 @@ class _Nearest:
         return pair_table(self.known[met], self.other[met], -self.least[met])
 
 
-def across(members: DataFrame, best: bool = False, sketches=None, merged: int = 0) -> DataFrame:
+def across(members: DataFrame, best: bool = False, sketches=None, merged: int = 0, percent: int | None = None) -> DataFrame:
     """(a, b, shared) of nodes of different classes that share a signature; ``shared`` counts single ones.
 
     With ``best`` (members then have a ``size``, of their class) only one pair
@@ -200,7 +250,8 @@ def across(members: DataFrame, best: bool = False, sketches=None, merged: int =
     whose sketch differs least, ``shared`` then being the negated difference.
 
     ``sketches``, a broadcast of ``Sketches``, drops pairs that can't be links
-    before they are added up.
+    before they are added up. With ``percent`` instead, members bring their own
+    (``n`` and ``sketch``), so that any number of them is judged.
 
     ``merged`` bits fewer than the index has tell the tasks apart: few of its
     entries are members, and a pair that meets in several tasks counts in each.
@@ -215,11 +266,13 @@ def across(members: DataFrame, best: bool = False, sketches=None, merged: int =
         order = np.lexsort((cls, sig))
         sig, node, cls = sig[order], node[order], cls[order]
         size = table.column("size").to_numpy()[order] if best else None
-        nearest = _Nearest(node, cls, size) if best and sketches is not None else None
+        judge = Carried(node, table.column("n").to_numpy()[order], table.column("sketch").combine_chunks().take(pa.array(order)), percent) if percent is not None else None
+        judge = sketches.value if sketches is not None else judge
+        nearest = _Nearest(node, cls, size) if best and judge is not None else None
         done = []
         for x, y in _blocks(node, cls, sig):
-            if sketches is not None:
-                apart = sketches.value.apart(x, y)
+            if judge is not None:
+                apart = judge.apart(x, y)
                 kept = apart >= 0
                 x, y = x[kept], y[kept]
                 if nearest is not None:
@@ -237,7 +290,7 @@ def across(members: DataFrame, best: bool = False, sketches=None, merged: int =
 
     dealt = members.withColumn("low", F.expr(f"range & {(1 << merged) - 1}")).withColumn("range", F.expr(f"shiftright(range, {merged})"))
     pairs = dealt.groupBy("range", "single").applyInArrow(run, "a bigint, b bigint, n bigint")
-    if best and sketches is not None:
+    if best and (sketches is not None or percent is not None):
         pairs = pairs.withColumnRenamed("n", "shared")
     else:
         pairs = pairs.groupBy("a", "b").agg(F.sum("n").alias("shared"))

@@ -163,13 +163,13 @@ def _small(table: DataFrame) -> DataFrame:
     return F.broadcast(table) if table.count() <= BROADCAST_NODES else table
 
 
-def _shingles(docs: DataFrame, found: DataFrame, nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(node, shingles) of the given nodes, each cut from one text that holds it, and the table of these places: only
+def _shingles(docs: DataFrame, found: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(node, n, sketch, shingles) of the given nodes, written, each cut from one text that holds it: only
     those texts reach Python, and one set per node leaves a task. Texts are known by their hash; a node that
     the named span doesn't give (another text of that hash) is not sent. A shingle travels as 32 bits of its
     hash: two different ones of a pair of 100 shingles each agree by chance in 2 pairs of a million."""
     nodes = written(nodes, "paragraph-nodes")
-    firsts = found.join(_small(nodes), "node", "left_semi").groupBy("node").agg(F.min(F.struct("key", "doc_id", "at", "n_words", "kind")).alias("p"))
+    firsts = found.where(F.col("kind") != CHUNK).join(_small(nodes), "node", "left_semi").groupBy("node").agg(F.min(F.struct("key", "doc_id", "at", "n_words", "kind")).alias("p"))
     places = written(firsts.groupBy("p.key", "p.doc_id").agg(F.collect_list(F.struct("node", "p.at", "p.n_words", "p.kind")).alias("spans")), "paragraph-places")
     dropped(nodes)
     texts = docs.select("doc_id", "text", F.xxhash64("text").alias("key")).alias("t")
@@ -192,24 +192,47 @@ def _shingles(docs: DataFrame, found: DataFrame, nodes: DataFrame) -> tuple[Data
                 sent.update(node[right].tolist())
                 short = (mix(grams) >> np.uint64(32)).astype(np.uint32)
                 sets = [np.unique(short[first[k]: end[k] - SHINGLE_WORDS + 1]).view(np.int32) for k in right]
-                yield pa.RecordBatch.from_arrays([pa.array(node[right]), pa.array(sets, pa.list_(pa.int32()))], ["node", "shingles"])
+                n_set = pa.array([len(s) for s in sets], pa.int64())
+                yield pa.RecordBatch.from_arrays([pa.array(node[right]), n_set, buckets.sketch_column(sets), pa.array(sets, pa.list_(pa.int32()))],
+                                                 ["node", "n", "sketch", "shingles"])
 
-    return chosen.mapInArrow(run, "node bigint, shingles array<int>").dropDuplicates(["node"]), places
+    sets = written(chosen.mapInArrow(run, "node bigint, n bigint, sketch binary, shingles array<int>"), "paragraph-sets")
+    dropped(places)
+    if sets.count() == sets.select("node").distinct().count():
+        return sets
+    # a text that stands on several rows of one id was cut by several tasks
+    once = written(sets.dropDuplicates(["node"]), "paragraph-sets")
+    dropped(sets)
+    return once
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, found: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) of nodes whose shingles reach the threshold."""
+def _verified(pairs: DataFrame, sets: DataFrame, percent: int, part: bool = True) -> DataFrame:
+    """The pairs (a, b) of nodes whose shingles reach the threshold; with ``part`` few of the sets are among them."""
     pairs = written(pairs.select("a", "b"), "paragraph-pairs")
-    sets, places = _shingles(docs, found, pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct())
-    one = pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa")), "a")
-    two = one.join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb")), "b")
+    held = sets.select("node", "shingles")
+    if part:
+        ends = written(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "paragraph-ends")
+        held = held.join(_small(ends), "node", "left_semi")
+    one = pairs.join(held.select(F.col("node").alias("a"), F.col("shingles").alias("sa")), "a")
+    two = one.join(held.select(F.col("node").alias("b"), F.col("shingles").alias("sb")), "b")
     inter = F.size(F.array_intersect("sa", "sb"))
     links = written(two.where(100 * inter >= percent * (F.size("sa") + F.size("sb") - inter)).select("a", "b"), "paragraph-links")
     dropped(pairs)
-    dropped(places)
+    if part:
+        dropped(ends)
     return links
 
 
+def _members(met: DataFrame, sets: DataFrame, links: DataFrame, sized: bool = False) -> DataFrame:
+    """The nodes of every shared band with their classes so far, set sizes and sketches, and the classes' sizes."""
+    tied = components(links).withColumnRenamed("component", "class")
+    if sized:
+        tied = tied.join(tied.groupBy("class").agg(F.count("*").alias("size")), "class")
+    known = sets.select("node", "n", "sketch").join(tied, "node", "left").withColumn("class", F.coalesce("class", "node"))
+    return met.where("single").join(known, "node").select(
+        "range", "single", "sig", "node", "class", "n", "sketch", *[F.coalesce("size", F.lit(1)).alias("size")] * sized)
+
+
 def repeated(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", percent: int = PERCENT) -> DataFrame:
     """One row per paragraph that stands elsewhere too, as it is or nearly.
 
@@ -222,8 +245,8 @@ def repeated(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", pe
 
     Nearly, for lines, blocks and pieces: similarity of ``percent`` or more with
     a paragraph of the same kind that shares a band; chunks are copies when equal. Each is held against the smallest member of a bucket,
-    the one that it shares most bands with; after these links have made classes, members of different classes are held
-    against each other. Equal paragraphs are one node, so a passage that a third
+    the one that it shares most bands with; after these links have made classes, against the nearest member of a larger class; then
+    members of different classes that their parity sketches don't tell apart are held against each other. Equal paragraphs are one node, so a passage that a third
     of the corpus holds is one entry.
 
     Null, empty and short texts have no paragraphs. Rows with a null id come
@@ -237,12 +260,14 @@ def repeated(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", pe
     index = _index(d, buckets.range_bits(total * BANDS)).withColumn("single", F.lit(True))
     met = written(buckets.meet(index), "paragraph-bands")
     stars = met.where("single IS NULL").groupBy(F.col("other").alias("b"), F.col("node").alias("a")).agg(F.sum("sig").alias("shared"))
-    first = _verified(stars.groupBy("b").agg(F.max_by("a", F.struct("shared", F.negate("a"))).alias("a")), d, found, percent)
-    members = (met.where("single").join(components(first).withColumnRenamed("component", "class"), "node", "left")
-               .select("range", "single", "sig", "node", F.coalesce("class", "node").alias("class")))
-    rest = _verified(buckets.across(members), d, found, percent)
+    sets = _shingles(d, found, met.where("single").select("node").distinct())
+    links = _verified(stars.groupBy("b").agg(F.max_by("a", F.struct("shared", F.negate("a"))).alias("a")), sets, percent, part=False)
+    nearest = buckets.across(_members(met, sets, links, sized=True), best=True, percent=percent)
+    links = links.unionByName(_verified(nearest, sets, percent))
+    rest = _verified(buckets.across(_members(met, sets, links), percent=percent), sets, percent)
     dropped(met)
-    tied = components(first.unionByName(rest))
+    dropped(sets)
+    tied = components(links.unionByName(rest))
 
     # only nodes that stand twice or have a link matter from here on
     several = found.groupBy("node").agg(F.count("*").alias("n")).where("n > 1").select("node").union(tied.select("node")).distinct()
