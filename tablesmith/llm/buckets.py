@@ -19,6 +19,10 @@ from pyspark.sql import functions as F
 RANGE_ENTRIES = 1 << 19
 #: Pairs that a task adds up at once.
 PAIRS_AT_ONCE = 1 << 18
+#: Bits a number of the sketches by which sets in a task are told apart first, at least.
+WIDE = 8
+#: Bits that deal the signatures of a range to tasks when members bring their sets.
+PART_BITS = 3
 #: The signature's 32 bits after the range, and the node. Chance agreement of 32 bits only adds candidates.
 ENTRY = np.dtype([("sig", "<u4"), ("node", "<i8")])
 SCHEMA = "range bigint, entries binary"
@@ -122,6 +126,15 @@ def meet(index: DataFrame) -> DataFrame:
     return index.where("range >= 0").groupBy("range", "single").applyInArrow(run, "range bigint, single boolean, sig bigint, node bigint, other bigint")
 
 
+def sharing(index: DataFrame) -> DataFrame:
+    """(range, sig, node) of an index's (range, entries) signatures with two nodes or more."""
+    def run(table: pa.Table) -> pa.Table:
+        sig, node, _ = shared(table)
+        return pa.table({"range": pa.array([table.column("range")[0].as_py()] * len(sig), pa.int64()), "sig": pa.array(sig.astype(np.int64)), "node": pa.array(node)})
+
+    return index.groupBy("range").applyInArrow(run, "range bigint, sig bigint, node bigint")
+
+
 class Sketches:
     """Nodes' set sizes and parity sketches: bit k of a sketch is the parity of
     the node's shingles that fall to k. Every bit in which two sketches differ
@@ -150,10 +163,10 @@ class Sketches:
         return self.apart(x, y) >= 0
 
 
-def sketch_column(sets: list[np.ndarray]) -> pa.Array:
-    """Parity sketches of sets of 32-bit numbers, of two to four bits a number and 64 at least: longer ones fold to shorter ones by halves."""
+def sketch_column(sets: list[np.ndarray], least: int = 2) -> pa.Array:
+    """Parity sketches of sets of 32-bit numbers, of ``least`` to twice as many bits a number and 64 at least: longer ones fold to shorter ones by halves."""
     n = np.array([len(s) for s in sets], dtype=np.int64)
-    width = np.array([max(64, 1 << (2 * k - 1).bit_length()) if k else 64 for k in n.tolist()], dtype=np.int64)
+    width = np.array([max(64, 1 << (least * k - 1).bit_length()) if k else 64 for k in n.tolist()], dtype=np.int64)
     edges = np.concatenate([[0], np.cumsum(width)])
     flat = np.concatenate([s.view(np.uint32) for s in sets]).astype(np.int64) if len(sets) else n
     bits = np.bincount(np.repeat(edges[:-1], n) + (flat & (np.repeat(width, n) - 1)), minlength=edges[-1]) & 1
@@ -242,7 +255,7 @@ class _Nearest:
         return pair_table(self.known[met], self.other[met], -self.least[met])
 
 
-def across(members: DataFrame, best: bool = False, sketches=None, merged: int = 0, percent: int | None = None) -> DataFrame:
+def across(members: DataFrame, best: bool = False, sketches=None, merged: int = 0) -> DataFrame:
     """(a, b, shared) of nodes of different classes that share a signature; ``shared`` counts single ones.
 
     With ``best`` (members then have a ``size``, of their class) only one pair
@@ -250,8 +263,7 @@ def across(members: DataFrame, best: bool = False, sketches=None, merged: int =
     whose sketch differs least, ``shared`` then being the negated difference.
 
     ``sketches``, a broadcast of ``Sketches``, drops pairs that can't be links
-    before they are added up. With ``percent`` instead, members bring their own
-    (``n`` and ``sketch``), so that any number of them is judged.
+    before they are added up.
 
     ``merged`` bits fewer than the index has tell the tasks apart: few of its
     entries are members, and a pair that meets in several tasks counts in each.
@@ -266,8 +278,7 @@ def across(members: DataFrame, best: bool = False, sketches=None, merged: int =
         order = np.lexsort((cls, sig))
         sig, node, cls = sig[order], node[order], cls[order]
         size = table.column("size").to_numpy()[order] if best else None
-        judge = Carried(node, table.column("n").to_numpy()[order], table.column("sketch").combine_chunks().take(pa.array(order)), percent) if percent is not None else None
-        judge = sketches.value if sketches is not None else judge
+        judge = sketches.value if sketches is not None else None
         nearest = _Nearest(node, cls, size) if best and judge is not None else None
         done = []
         for x, y in _blocks(node, cls, sig):
@@ -290,7 +301,7 @@ def across(members: DataFrame, best: bool = False, sketches=None, merged: int =
 
     dealt = members.withColumn("low", F.expr(f"range & {(1 << merged) - 1}")).withColumn("range", F.expr(f"shiftright(range, {merged})"))
     pairs = dealt.groupBy("range", "single").applyInArrow(run, "a bigint, b bigint, n bigint")
-    if best and (sketches is not None or percent is not None):
+    if best and sketches is not None:
         pairs = pairs.withColumnRenamed("n", "shared")
     else:
         pairs = pairs.groupBy("a", "b").agg(F.sum("n").alias("shared"))
@@ -298,3 +309,113 @@ def across(members: DataFrame, best: bool = False, sketches=None, merged: int =
         return pairs
     return (pairs.groupBy("a").agg(F.max_by("b", F.struct("shared", F.negate("b"))).alias("b"), F.max("shared").alias("shared"))
             .select("a", "b", "shared"))
+
+
+def hopeful(members: DataFrame, percent: int) -> DataFrame:
+    """(range, sig, node) of the members (with ``n`` and ``sketch``) that may reach ``percent`` with another of their signature.
+
+    Members leave a task, not pairs: as many at most as came. Each is held
+    against the first of its signature, and only those without a partner then
+    against all others.
+    """
+    def run(table: pa.Table) -> pa.Table:
+        sig, node = (table.column(c).to_numpy() for c in ("sig", "node"))
+        order = np.lexsort((node, sig))
+        order = order[_fresh(sig[order], node[order])]
+        sig, node = sig[order], node[order]
+        judge = Carried(node, table.column("n").to_numpy()[order], table.column("sketch").combine_chunks().take(pa.array(order)), percent)
+        at = np.arange(len(sig))
+        hub = np.maximum.accumulate(np.where(_fresh(sig), at, 0))
+        others = np.flatnonzero(hub != at)
+        near = others[judge.possible(node[others], node[hub[others]])]
+        met = np.zeros(len(sig), dtype=bool)
+        met[near] = met[hub[near]] = True
+        apart = np.where(met, -1, at)
+        order = np.lexsort((apart, sig))
+        for x, y in _blocks(at[order], apart[order], sig[order]):
+            may = judge.possible(node[x], node[y])
+            met[x[may]] = met[y[may]] = True
+        return pa.table({"range": pa.array([table.column("range")[0].as_py()] * int(met.sum()), pa.int64()), "sig": pa.array(sig[met]), "node": pa.array(node[met])})
+
+    return members.groupBy("range").applyInArrow(run, "range bigint, sig bigint, node bigint")
+
+
+class Sets:
+    """Sorted sets of 32-bit numbers, known by their places: which pairs reach ``percent``, exactly."""
+
+    def __init__(self, flat: np.ndarray, bounds: np.ndarray, percent: int):
+        self.flat, self.start, self.n, self.percent = flat.view(np.uint32), bounds[:-1], np.diff(bounds), percent
+        self.key = (np.repeat(np.arange(len(self.n)), self.n) << 32) | self.flat
+        parts = [sketch_column([self.flat[a:b] for a, b in zip(bounds[lo: lo + 256].tolist(), bounds[lo + 1: lo + 257].tolist(), strict=False)], WIDE)
+                 for lo in range(0, len(self.n), 256)]
+        self.judge = Carried(np.arange(len(self.n)), self.n, pa.concat_arrays(parts), percent)
+
+    def linked(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        """Flags of the pairs that reach ``percent``."""
+        out = np.zeros(len(x), dtype=bool)
+        may = np.flatnonzero(self.judge.possible(x, y))
+        turn = self.n[x[may]] > self.n[y[may]]
+        x, y = np.where(turn, y[may], x[may]), np.where(turn, x[may], y[may])
+        upto = np.concatenate([[0], np.cumsum(self.n[x])])
+        lo = 0
+        while lo < len(may):
+            hi = max(lo + 1, int(np.searchsorted(upto, upto[lo] + PAIRS_AT_ONCE, side="right")) - 1)
+            m = self.n[x[lo:hi]]
+            first = np.cumsum(m) - m
+            asked = (np.repeat(y[lo:hi], m) << 32) | self.flat[np.repeat(self.start[x[lo:hi]] - first, m) + np.arange(int(m.sum()))]
+            found = np.searchsorted(self.key, asked)
+            both = np.add.reduceat(self.key[np.minimum(found, len(self.key) - 1)] == asked, first, dtype=np.int64)
+            out[may[lo:hi]] = 100 * both >= self.percent * (m + self.n[y[lo:hi]] - both)
+            lo = hi
+        return out
+
+
+def _joined(label: np.ndarray, x: np.ndarray, y: np.ndarray) -> None:
+    """Join the classes of x and y; ``label`` has the least place of each place's class, before and after."""
+    while True:
+        a, b = label[x], label[y]
+        differ = a != b
+        if not differ.any():
+            return
+        x, y = x[differ], y[differ]
+        np.minimum.at(label, np.maximum(a, b)[differ], np.minimum(a, b)[differ])
+        while True:
+            deeper = label[label]
+            if (deeper == label).all():
+                break
+            label[:] = deeper
+
+
+def tied(members: DataFrame, percent: int) -> DataFrame:
+    """(a, b): each member (range, sig, node, sorted ``shingles``) that has a link, and the smallest node that its links lead to in the task.
+
+    A link joins two members of one signature whose sets reach ``percent``. One
+    row a node leaves a task, however many links a group has: pairs are made
+    ``PAIRS_AT_ONCE`` at a time, and those whose members links have joined
+    already are not judged. Signatures of a range are dealt anew, as members
+    with their sets are longer.
+    """
+    def run(table: pa.Table) -> pa.Table:
+        sig = table.column("sig").to_numpy() | (table.column("range").to_numpy() << 32)
+        node, first, at = np.unique(table.column("node").to_numpy(), return_index=True, return_inverse=True)
+        held = table.column("shingles").combine_chunks().take(pa.array(first))
+        sets = Sets(held.flatten().to_numpy(), np.concatenate([[0], np.cumsum(held.value_lengths().to_numpy(), dtype=np.int64)]), percent)
+        order = np.lexsort((at, sig))
+        order = order[_fresh(sig[order], at[order])]
+        sig, at = sig[order], at[order]
+        label = np.arange(len(node))
+        hub = at[np.maximum.accumulate(np.where(_fresh(sig), np.arange(len(sig)), 0))]
+        right = hub != at
+        right[right] = sets.linked(at[right], hub[right])
+        _joined(label, at[right], hub[right])
+        order = np.lexsort((label[at], sig))
+        for x, y in _blocks(at[order], label[at[order]], sig[order]):
+            differ = label[x] != label[y]
+            x, y = x[differ], y[differ]
+            right = sets.linked(x, y)
+            _joined(label, x[right], y[right])
+        several = np.flatnonzero(label != np.arange(len(node)))
+        return pa.table({"a": pa.array(node[several]), "b": pa.array(node[label[several]])})
+
+    dealt = members.withColumn("part", F.expr(f"shiftleft(range, {PART_BITS}) | shiftright(sig, {32 - PART_BITS})"))
+    return dealt.groupBy("part").applyInArrow(run, "a bigint, b bigint")

@@ -40,8 +40,9 @@ SHINGLE_WORDS = 5
 PERCENT = 75
 #: Six bands of three rows meet a pair of similarity 0.75 with probability 0.96, of 0.85 with 0.997, equal ones always.
 BANDS, ROWS = 6, 3
-#: A node table of at most this many rows is broadcast; a longer one is joined by shuffle, with the same rows.
-BROADCAST_NODES = 1_000_000
+#: A table of texts to cut from of at most this many rows is broadcast; a longer one is joined by shuffle, with the same rows.
+#: Tables of nodes are joined by shuffle at any size.
+BROADCAST_PLACES = 1_000_000
 
 
 def openings(words: np.ndarray, bounds: np.ndarray, neighbours: int = NEIGHBOURS) -> np.ndarray:
@@ -160,20 +161,23 @@ def _index(docs: DataFrame, bits: int) -> DataFrame:
 
 def _small(table: DataFrame) -> DataFrame:
     """A written table, with the hint to broadcast it where its rows are few."""
-    return F.broadcast(table) if table.count() <= BROADCAST_NODES else table
-
-
-def _shingles(docs: DataFrame, found: DataFrame, nodes: DataFrame) -> DataFrame:
-    """(node, n, sketch, shingles) of the given nodes, written, each cut from one text that holds it: only
-    those texts reach Python, and one set per node leaves a task. Texts are known by their hash; a node that
-    the named span doesn't give (another text of that hash) is not sent. A shingle travels as 32 bits of its
-    hash: two different ones of a pair of 100 shingles each agree by chance in 2 pairs of a million."""
-    nodes = written(nodes, "paragraph-nodes")
-    firsts = found.where(F.col("kind") != CHUNK).join(_small(nodes), "node", "left_semi").groupBy("node").agg(F.min(F.struct("key", "doc_id", "at", "n_words", "kind")).alias("p"))
-    places = written(firsts.groupBy("p.key", "p.doc_id").agg(F.collect_list(F.struct("node", "p.at", "p.n_words", "p.kind")).alias("spans")), "paragraph-places")
-    dropped(nodes)
+    return F.broadcast(table) if table.count() <= BROADCAST_PLACES else table
+
+
+def _places(found: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(node, key, doc_id, at, n_words, kind) of one place of each of the given nodes, written."""
+    one = found.where(F.col("kind") != CHUNK).groupBy("node").agg(*[F.first(c).alias(c) for c in ("key", "doc_id", "at", "n_words", "kind")])
+    return written(one.join(nodes.hint("shuffle_hash"), "node", "left_semi"), "paragraph-places")
+
+
+def _cut(docs: DataFrame, places: DataFrame, sketches: bool) -> DataFrame:
+    """(node, n, sketch) or (node, shingles) of the nodes, written, each cut from the one text of its place: only
+    those texts reach Python. Texts are known by their hash; a node that the named span doesn't give (another text of
+    that hash) is not sent, and one whose text stands on several rows of one id may come more than once. A shingle travels
+    as 32 bits of its hash: two different ones of a pair of 100 shingles each agree by chance in 2 pairs of a million."""
+    spans = written(places.groupBy("key", "doc_id").agg(F.collect_list(F.struct("node", "at", "n_words", "kind")).alias("spans")), "paragraph-spans")
     texts = docs.select("doc_id", "text", F.xxhash64("text").alias("key")).alias("t")
-    chosen = texts.join(_small(places).alias("p"), F.expr("t.key = p.key AND t.doc_id <=> p.doc_id")).select("text", "spans")
+    chosen = texts.join(_small(spans).alias("p"), F.expr("t.key = p.key AND t.doc_id <=> p.doc_id")).select("text", "spans")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sent: set[int] = set()
@@ -192,47 +196,27 @@ def _shingles(docs: DataFrame, found: DataFrame, nodes: DataFrame) -> DataFrame:
                 sent.update(node[right].tolist())
                 short = (mix(grams) >> np.uint64(32)).astype(np.uint32)
                 sets = [np.unique(short[first[k]: end[k] - SHINGLE_WORDS + 1]).view(np.int32) for k in right]
-                n_set = pa.array([len(s) for s in sets], pa.int64())
-                yield pa.RecordBatch.from_arrays([pa.array(node[right]), n_set, buckets.sketch_column(sets), pa.array(sets, pa.list_(pa.int32()))],
-                                                 ["node", "n", "sketch", "shingles"])
-
-    sets = written(chosen.mapInArrow(run, "node bigint, n bigint, sketch binary, shingles array<int>"), "paragraph-sets")
-    dropped(places)
-    if sets.count() == sets.select("node").distinct().count():
-        return sets
-    # a text that stands on several rows of one id was cut by several tasks
-    once = written(sets.dropDuplicates(["node"]), "paragraph-sets")
+                if sketches:
+                    held = {"n": pa.array([len(s) for s in sets], pa.int64()), "sketch": buckets.sketch_column(sets)}
+                else:
+                    held = {"shingles": pa.array(sets, pa.list_(pa.int32()))}
+                yield pa.RecordBatch.from_pydict({"node": pa.array(node[right]), **held})
+
+    got = written(chosen.mapInArrow(run, "node bigint, n bigint, sketch binary" if sketches else "node bigint, shingles array<int>"), "paragraph-sets")
+    dropped(spans)
+    return got
+
+
+def _verified(members: DataFrame, docs: DataFrame, places: DataFrame, percent: int) -> DataFrame:
+    """(a, b) of nodes that links join, written, one at most for each member of a task: members (range, sig, node)
+    bring their whole sets, and those of one band whose shingles reach the threshold are linked."""
+    wanted = places.join(members.select("node").distinct().hint("shuffle_hash"), "node", "left_semi")
+    sets = _cut(docs, wanted, sketches=False)
+    links = written(buckets.tied(members.join(sets, "node"), percent), "paragraph-links")
     dropped(sets)
-    return once
-
-
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int, part: bool = True) -> DataFrame:
-    """The pairs (a, b) of nodes whose shingles reach the threshold; with ``part`` few of the sets are among them."""
-    pairs = written(pairs.select("a", "b"), "paragraph-pairs")
-    held = sets.select("node", "shingles")
-    if part:
-        ends = written(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "paragraph-ends")
-        held = held.join(_small(ends), "node", "left_semi")
-    one = pairs.join(held.select(F.col("node").alias("a"), F.col("shingles").alias("sa")), "a")
-    two = one.join(held.select(F.col("node").alias("b"), F.col("shingles").alias("sb")), "b")
-    inter = F.size(F.array_intersect("sa", "sb"))
-    links = written(two.where(100 * inter >= percent * (F.size("sa") + F.size("sb") - inter)).select("a", "b"), "paragraph-links")
-    dropped(pairs)
-    if part:
-        dropped(ends)
     return links
 
 
-def _members(met: DataFrame, sets: DataFrame, links: DataFrame, sized: bool = False) -> DataFrame:
-    """The nodes of every shared band with their classes so far, set sizes and sketches, and the classes' sizes."""
-    tied = components(links).withColumnRenamed("component", "class")
-    if sized:
-        tied = tied.join(tied.groupBy("class").agg(F.count("*").alias("size")), "class")
-    known = sets.select("node", "n", "sketch").join(tied, "node", "left").withColumn("class", F.coalesce("class", "node"))
-    return met.where("single").join(known, "node").select(
-        "range", "single", "sig", "node", "class", "n", "sketch", *[F.coalesce("size", F.lit(1)).alias("size")] * sized)
-
-
 def repeated(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", percent: int = PERCENT) -> DataFrame:
     """One row per paragraph that stands elsewhere too, as it is or nearly.
 
@@ -244,9 +228,9 @@ def repeated(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", pe
     paragraphs of one component that overlap count as one.
 
     Nearly, for lines, blocks and pieces: similarity of ``percent`` or more with
-    a paragraph of the same kind that shares a band; chunks are copies when equal. Each is held against the smallest member of a bucket,
-    the one that it shares most bands with; after these links have made classes, against the nearest member of a larger class; then
-    members of different classes that their parity sketches don't tell apart are held against each other. Equal paragraphs are one node, so a passage that a third
+    a paragraph of the same kind that shares a band; chunks are copies when equal. Parity sketches tell which members of a band
+    may have a link there; these bring their whole sets to the band's task, which joins classes first by its smallest member, then
+    by all pairs that are still in different ones. Equal paragraphs are one node, so a passage that a third
     of the corpus holds is one entry.
 
     Null, empty and short texts have no paragraphs. Rows with a null id come
@@ -257,22 +241,22 @@ def repeated(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", pe
     d = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     found = written(paragraphs(d), "paragraphs")
     total = found.where(F.col("kind") != CHUNK).count()
-    index = _index(d, buckets.range_bits(total * BANDS)).withColumn("single", F.lit(True))
-    met = written(buckets.meet(index), "paragraph-bands")
-    stars = met.where("single IS NULL").groupBy(F.col("other").alias("b"), F.col("node").alias("a")).agg(F.sum("sig").alias("shared"))
-    sets = _shingles(d, found, met.where("single").select("node").distinct())
-    links = _verified(stars.groupBy("b").agg(F.max_by("a", F.struct("shared", F.negate("a"))).alias("a")), sets, percent, part=False)
-    nearest = buckets.across(_members(met, sets, links, sized=True), best=True, percent=percent)
-    links = links.unionByName(_verified(nearest, sets, percent))
-    rest = _verified(buckets.across(_members(met, sets, links), percent=percent), sets, percent)
+    met = written(buckets.sharing(_index(d, buckets.range_bits(total * BANDS))), "paragraph-bands")
+    places = _places(found, met.select("node").distinct())
+    sketches = _cut(d, places, sketches=True)
+    members = written(buckets.hopeful(met.join(sketches, "node"), percent), "paragraph-members")
     dropped(met)
-    dropped(sets)
-    tied = components(links.unionByName(rest))
+    dropped(sketches)
+    links = _verified(members, d, places, percent)
+    dropped(members)
+    dropped(places)
+    tied = components(links)
 
     # only nodes that stand twice or have a link matter from here on
-    several = found.groupBy("node").agg(F.count("*").alias("n")).where("n > 1").select("node").union(tied.select("node")).distinct()
-    named = written(several.join(tied, "node", "left").select("node", F.coalesce("component", "node").alias("component_id")), "paragraph-nodes")
-    copies = written(found.join(_small(named), "node").drop("node", "key"), "paragraph-copies")
+    stand = found.select("node", F.lit(1).alias("n"), F.lit(None).cast("bigint").alias("component"))
+    several = stand.unionByName(tied.select("node", F.lit(2).alias("n"), "component")).groupBy("node").agg(F.sum("n").alias("n"), F.min("component").alias("component"))
+    named = written(several.where("n > 1").select("node", F.coalesce("component", "node").alias("component_id")), "paragraph-nodes")
+    copies = written(found.join(named.hint("shuffle_hash"), "node").drop("node", "key"), "paragraph-copies")
     dropped(found)
     # paragraphs of a component that overlap are one occurrence, known by its first word
     along = Window.partitionBy("component_id", "row").orderBy("at", F.desc("n_words"))
