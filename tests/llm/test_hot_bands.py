@@ -101,3 +101,19 @@ def test_members_are_joined_as_all_their_links_do(spark):
         by.setdefault((r, s), []).append(x)
     assert all({(r, s, x), (r, s, y)} <= kept for (r, s), of in by.items() for x, y in itertools.combinations(sorted(of), 2) if (x, y) in linked)
     assert len(kept) < len(set(members))
+
+
+def test_lines_of_a_template_bring_no_sets(spark, monkeypatch):
+    """Lines that share bands but can't be links by their sketches are no members of the task that verifies."""
+    n, template = 400, words(5, 13)
+    rows = [(k, f"{' '.join(template[:6])} name{k} {' '.join(template[7:])}") for k in range(n)]
+    made = []
+    held = paragraphs._verified
+
+    def counted(members, *more, **named):
+        made.append(members.count())
+        return held(members, *more, **named)
+
+    monkeypatch.setattr(paragraphs, "_verified", counted)
+    assert paragraphs.repeated(frame(spark, rows)).count() == 0
+    assert len(made) == 1 and made[0] < n // 4
