@@ -15,12 +15,20 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tablesmith.llm.textarrays import handed_back, mix
+
 #: Entries that one task sorts, about.
 RANGE_ENTRIES = 1 << 19
 #: Pairs that a task adds up at once.
 PAIRS_AT_ONCE = 1 << 18
 #: Bits a number of the sketches by which sets in a task are told apart first, at least.
 WIDE = 8
+#: Pairs that a task holds before it sends them on.
+PAIRS_HELD = 1 << 18
+#: Rows that a task sends at once.
+ROWS_SENT = 1 << 16
+#: Bits of the ranges that buckets are dealt by once they are known by their members.
+SET_BITS = 24
 #: Bits that deal the signatures of a range to tasks when members bring their sets.
 PART_BITS = 3
 #: The signature's 32 bits after the range, and the node. Chance agreement of 32 bits only adds candidates.
@@ -89,6 +97,16 @@ def shared(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return sig[many], node[many], place[first[many]]
 
 
+def grouped(frame, run, schema: str) -> DataFrame:
+    """``run`` (table to tables) on every group of a grouped frame: its results leave in small batches, and what it took is given back."""
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for out in run(pa.Table.from_batches(list(batches))):
+            yield from out.to_batches(max_chunksize=ROWS_SENT)
+        handed_back()
+
+    return frame.applyInArrow(each, schema)
+
+
 def pair_table(a: np.ndarray, b: np.ndarray, n: np.ndarray) -> pa.Table:
     return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64()), "n": pa.array(n, pa.int64())})
 
@@ -108,22 +126,38 @@ def _best(x: np.ndarray, y: np.ndarray, n: np.ndarray, node: np.ndarray, cls: np
 def meet(index: DataFrame) -> DataFrame:
     """What an index (range, single, entries) of two kinds of signature joins.
 
-    (range, single, sig, node) rows of the signatures with two nodes or more.
+    (range, single, sig, node, shared) rows of the buckets, which are the nodes
+    of a signature that has two or more. A bucket is known by its members,
+    ``range`` and ``sig`` being bits of their hash, so that the many signatures
+    that just two near copies share are one bucket: once a task here, and once
+    at all when the caller sums up ``shared``, the number of its single
+    signatures. Chance agreement only adds candidates.
     Beside them, with ``single`` null, the stars: ``node`` is the smallest node
     of ``sig`` signatures, each of which ``other`` has too.
     """
-    def run(table: pa.Table) -> pa.Table:
+    def run(table: pa.Table) -> Iterator[pa.Table]:
         sig, node, first = shared(table)
         hub = node[first]
         other = hub != node
         a, b, n = counted(hub[other], node[other])
-        r, kind = table.column("range")[0].as_py(), table.column("single")[0].as_py()
-        return pa.table({
-            "range": pa.array([r] * (len(sig) + len(a)), pa.int64()), "single": pa.array([kind] * len(sig) + [None] * len(a), pa.bool_()),
-            "sig": pa.array(np.concatenate([sig.astype(np.int64), n])), "node": pa.array(np.concatenate([node, a])),
-            "other": pa.array(np.concatenate([node, b]))})
-
-    return index.where("range >= 0").groupBy("range", "single").applyInArrow(run, "range bigint, single boolean, sig bigint, node bigint, other bigint")
+        starts = np.flatnonzero(_fresh(sig))
+        held = np.diff(np.append(starts, len(sig)))
+        key = mix(np.add.reduceat(mix(node.view(np.uint64)), starts) + held.astype(np.uint64)) if len(sig) else sig[:0].astype(np.uint64)
+        _, at, times = np.unique(key, return_index=True, return_counts=True)
+        kept = np.zeros(len(starts), dtype=bool)
+        kept[at] = True
+        kind = table.column("single")[0].as_py()
+        weight = np.zeros(len(starts), dtype=np.int64)
+        weight[at] = int(kind) * times
+        key, weight, node = np.repeat(key[kept], held[kept]), np.repeat(weight[kept], held[kept]), node[np.repeat(kept, held)]
+        where = (key >> np.uint64(64 - SET_BITS)).astype(np.int64)
+        low = ((key << np.uint64(SET_BITS)) >> np.uint64(32)).astype(np.int64)
+        yield pa.table({
+            "range": pa.array(np.concatenate([where, np.zeros(len(a), dtype=np.int64)])), "single": pa.array([kind] * len(node) + [None] * len(a), pa.bool_()),
+            "sig": pa.array(np.concatenate([low, n])), "node": pa.array(np.concatenate([node, a])),
+            "other": pa.array(np.concatenate([node, b])), "shared": pa.array(np.concatenate([weight, n]))})
+
+    return grouped(index.where("range >= 0").groupBy("range", "single"), run, "range bigint, single boolean, sig bigint, node bigint, other bigint, shared bigint")
 
 
 def sharing(index: DataFrame) -> DataFrame:
@@ -163,6 +197,15 @@ class Sketches:
         return self.apart(x, y) >= 0
 
 
+def _brought(table: pa.Table, percent: int) -> Sketches:
+    """The sketches, all of one length, that members (node, n, sketch) bring; each node's once."""
+    node, at = np.unique(table.column("node").to_numpy(), return_index=True)
+    held = pa.concat_arrays([c.cast(pa.large_binary()) for c in table.column("sketch").chunks]).take(pa.array(at))
+    width = len(held[0].as_py()) // 8
+    bits = np.frombuffer(held.buffers()[2], dtype=np.uint64, count=len(at) * width).reshape(-1, width)
+    return Sketches(node, table.column("n").to_numpy()[at], bits, percent)
+
+
 def sketch_column(sets: list[np.ndarray], least: int = 2) -> pa.Array:
     """Parity sketches of sets of 32-bit numbers, of ``least`` to twice as many bits a number and 64 at least: longer ones fold to shorter ones by halves."""
     n = np.array([len(s) for s in sets], dtype=np.int64)
@@ -255,53 +298,61 @@ class _Nearest:
         return pair_table(self.known[met], self.other[met], -self.least[met])
 
 
-def across(members: DataFrame, best: bool = False, sketches=None, merged: int = 0) -> DataFrame:
-    """(a, b, shared) of nodes of different classes that share a signature; ``shared`` counts single ones.
+def across(members: DataFrame, best: bool = False, sketches=None, merged: int = 0, percent: int | None = None) -> DataFrame:
+    """(a, b, shared) of nodes of different classes that share a signature; ``shared`` counts single ones,
+    or adds up the ``shared`` that members bring.
 
     With ``best`` (members then have a ``size``, of their class) only one pair
     a node: with the member of a larger class that shares the most with it, or
     whose sketch differs least, ``shared`` then being the negated difference.
 
     ``sketches``, a broadcast of ``Sketches``, drops pairs that can't be links
-    before they are added up.
+    before they are added up. With ``percent`` members bring theirs instead, as
+    ``n`` and ``sketch``, so that a task holds those of its own members only.
 
     ``merged`` bits fewer than the index has tell the tasks apart: few of its
     entries are members, and a pair that meets in several tasks counts in each.
 
-    Pairs are made and added up ``PAIRS_AT_ONCE`` at a time; a task keeps the
-    different ones, with ``best`` and sketches one a node.
+    Pairs are made ``PAIRS_AT_ONCE`` at a time; with ``best`` a task keeps the
+    different ones, or with sketches one a node, else it sends them on whenever
+    it has ``PAIRS_HELD``.
     """
-    def run(table: pa.Table) -> pa.Table:
+    def run(table: pa.Table) -> Iterator[pa.Table]:
         sig, node, cls = (table.column(c).to_numpy() for c in ("sig", "node", "class"))
         sig = sig | (table.column("low").to_numpy() << 32)
-        single = int(table.column("single")[0].as_py())
+        single = table.column("shared").to_numpy() if "shared" in table.column_names else np.full(len(sig), int(table.column("single")[0].as_py()))
         order = np.lexsort((cls, sig))
-        sig, node, cls = sig[order], node[order], cls[order]
-        size = table.column("size").to_numpy()[order] if best else None
         judge = sketches.value if sketches is not None else None
+        if percent is not None:
+            judge = _brought(table, percent)
+        size = table.column("size").to_numpy()[order] if best else None
+        sig, node, cls, single = sig[order], node[order], cls[order], single[order]
         nearest = _Nearest(node, cls, size) if best and judge is not None else None
         done = []
-        for x, y in _blocks(node, cls, sig):
+        for i, j in _blocks(np.arange(len(sig)), cls, sig):
+            x, y, n = node[i], node[j], single[i]
             if judge is not None:
                 apart = judge.apart(x, y)
                 kept = apart >= 0
-                x, y = x[kept], y[kept]
+                x, y, n = x[kept], y[kept], n[kept]
                 if nearest is not None:
                     nearest.add(x, y, apart[kept])
                     continue
-            done.append(counted(np.minimum(x, y), np.maximum(x, y), np.full(len(x), single)))
+            done.append(counted(np.minimum(x, y), np.maximum(x, y), n))
             if len(done) > 1 and sum(len(d[0]) for d in done[1:]) > len(done[0][0]):
                 done[:] = [counted(*[np.concatenate([d[k] for d in done]) for k in range(3)])]
+            if not best and sum(len(d[0]) for d in done) >= PAIRS_HELD:
+                yield from (pair_table(*d) for d in done)
+                done.clear()
         if nearest is not None:
-            return nearest.table()
-        if not done:
-            return pair_table(node[:0], node[:0], node[:0])
-        x, y, n = counted(*[np.concatenate([d[k] for d in done]) for k in range(3)])
-        return pair_table(*(_best(x, y, n, node, cls, size) if best else (x, y, n)))
+            yield nearest.table()
+        elif done:
+            x, y, n = counted(*[np.concatenate([d[k] for d in done]) for k in range(3)])
+            yield pair_table(*(_best(x, y, n, node, cls, size) if best else (x, y, n)))
 
     dealt = members.withColumn("low", F.expr(f"range & {(1 << merged) - 1}")).withColumn("range", F.expr(f"shiftright(range, {merged})"))
-    pairs = dealt.groupBy("range", "single").applyInArrow(run, "a bigint, b bigint, n bigint")
-    if best and sketches is not None:
+    pairs = grouped(dealt.groupBy("range", "single"), run, "a bigint, b bigint, n bigint")
+    if best and (sketches is not None or percent is not None):
         pairs = pairs.withColumnRenamed("n", "shared")
     else:
         pairs = pairs.groupBy("a", "b").agg(F.sum("n").alias("shared"))

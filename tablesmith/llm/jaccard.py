@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from tablesmith.llm import buckets
 from tablesmith.llm.components import components
-from tablesmith.llm.staging import written
+from tablesmith.llm.staging import dropped, written
 from tablesmith.llm.textarrays import handed_back, mix, shingle_set, slices, window_hashes, word_hashes
 
 SHINGLE_WORDS = 5
@@ -41,12 +41,10 @@ COMMON_MOST = 1 << 20
 BROADCAST_ROWS = 200_000
 #: Text hashed at once: the arrays beside it take some 60 bytes for each of its bytes.
 PART_BYTES = 1 << 18
-#: Members of shared signatures that one task pairs, about.
-MEMBERS = 1 << 17
+#: Members of shared signatures that one task pairs, about; each brings a sketch.
+MEMBERS = 1 << 16
 #: Bits of a node's parity sketch.
 SKETCH_BITS = 1024
-#: Sketches of at most this many nodes are broadcast (144 bytes each); with more, pairs are only judged by their shared shingles.
-SKETCH_ROWS = 300_000
 _NODE = np.dtype([("node", "<i8"), ("n", "<i8"), ("rare", "<i8"), ("sketch", f"V{SKETCH_BITS // 8}")])
 
 
@@ -116,7 +114,7 @@ def common_shingles(docs: DataFrame, size: int, percent: int, kinds: int, bits:
                     yield buckets.batch(list(buckets.packed(np.concatenate(sig), np.concatenate(kind), bits)))
         handed_back()
 
-    def count(table: pa.Table) -> pa.Table:
+    def count(table: pa.Table) -> Iterator[pa.Table]:
         sig, node, first = buckets.shared(table)
         own = np.ones(len(sig), dtype=bool)
         own[1:] = (sig[1:] != sig[:-1]) | (node[1:] >> 32 != node[:-1] >> 32)
@@ -125,9 +123,9 @@ def common_shingles(docs: DataFrame, size: int, percent: int, kinds: int, bits:
         at = np.flatnonzero((several >= kinds) & (several >= COMMON_SHARE * held) & (held > 0))
         r = np.uint64(table.column("range")[0].as_py())
         h = ((r << np.uint64(32)) | sig[at].astype(np.uint64)) >> np.uint64(bits - _SAMPLE_BITS)
-        return pa.table({"h": pa.array(h.view(np.int64), pa.int64()), "kinds": pa.array(several[at], pa.int64())})
+        yield pa.table({"h": pa.array(h.view(np.int64), pa.int64()), "kinds": pa.array(several[at], pa.int64())})
 
-    got = written(docs.mapInArrow(run, buckets.SCHEMA).groupBy("range").applyInArrow(count, "h bigint, kinds bigint"), "jaccard-common")
+    got = written(buckets.grouped(docs.mapInArrow(run, buckets.SCHEMA).groupBy("range"), count, "h bigint, kinds bigint"), "jaccard-common")
     # as many powers of two of kinds as fit
     level, held = F.floor(F.log2(F.col("kinds").cast("double"))).cast("int"), 0
     least = 64
@@ -197,8 +195,8 @@ def _index(docs: DataFrame, size: int, percent: int, common, bits: int) -> DataF
     return docs.mapInArrow(run, "range bigint, single boolean, entries binary")
 
 
-def _unpacked(index: DataFrame) -> DataFrame:
-    """(node, n, rare, sketch), a row for each node."""
+def _unpacked(index: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(node, n, rare, sketch), a row for each node in ``wanted``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for e in batch.column(0).to_pylist():
@@ -207,31 +205,18 @@ def _unpacked(index: DataFrame) -> DataFrame:
                                                  ["node", "n", "rare", "sketch"])
 
     rows = index.where("range = -1").select("entries").mapInArrow(run, "node bigint, n bigint, rare bigint, sketch binary")
-    return rows.groupBy("node").agg(F.min("n").alias("n"), F.min("rare").alias("rare"), F.first("sketch").alias("sketch"))
-
-
-def _sketches(nodes: DataFrame, members: DataFrame, percent: int):
-    """The sketches of the nodes that share a signature, broadcast; None if they are too many."""
-    held = members.select("node").distinct()
-    if held.count() > SKETCH_ROWS:
-        return None
-    got = nodes.join(held, "node", "left_semi").select("node", "n", "sketch").toArrow()
-    bits = np.frombuffer(b"".join(got.column("sketch").to_pylist()), dtype=np.uint64).reshape(-1, SKETCH_BITS // 64)
-    found = buckets.Sketches(got.column("node").to_numpy(), got.column("n").to_numpy(), bits, percent)
-    return nodes.sparkSession.sparkContext.broadcast(found)
+    return rows.join(wanted, "node", "left_semi").groupBy("node").agg(F.min("n").alias("n"), F.min("rare").alias("rare"), F.first("sketch").alias("sketch"))
 
 
 def _set_table(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
-    """(node, shingles) of the nodes in ``wanted`` (node, doc_id): only those documents' texts are shuffled to them."""
+    """(node, shingles) of the nodes in ``wanted`` (node, doc_id), a written table: only those documents' texts are shuffled to them."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for rows, data, offsets in slices(batch, "text"):
-                for lo in range(0, len(rows), 256):
-                    part = [s for r, s in _sets(data[offsets[lo]:offsets[min(lo + 256, len(rows))]], offsets[lo:min(lo + 256, len(rows)) + 1] - offsets[lo], size)]
-                    yield pa.RecordBatch.from_arrays([pa.array([node_of(s) for s in part], pa.int64()), pa.array([s.view(np.int64) for s in part], pa.list_(pa.int64()))], ["node", "shingles"])
+            for _, data, offsets in slices(batch, "text", PART_BYTES):
+                part = [s for _, s in _sets(data, offsets, size)]
+                yield pa.RecordBatch.from_arrays([pa.array([node_of(s) for s in part], pa.int64()), pa.array([s.view(np.int64) for s in part], pa.list_(pa.int64()))], ["node", "shingles"])
         handed_back()
 
-    wanted = written(wanted, "jaccard-wanted")
     few = wanted.count() <= BROADCAST_ROWS
 
     def keys(column: str) -> DataFrame:
@@ -246,20 +231,24 @@ def _verified(pairs: DataFrame, docs: DataFrame, at: DataFrame, size: int, perce
     """The pairs (a, b) whose whole sets reach the threshold."""
     pairs = written(pairs.select("a", "b"), f"{name}-candidates")
     ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    sets = written(_set_table(docs, at.join(ends, "node", "left_semi"), size), f"{name}-sets")
+    wanted = written(at.join(ends, "node", "left_semi"), "jaccard-wanted")
+    sets = written(_set_table(docs, wanted, size), f"{name}-sets")
     one = pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa")), "a")
     two = one.join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb")), "b")
     inter = F.size(F.array_intersect("sa", "sb"))
-    return two.where(100 * inter >= percent * (F.size("sa") + F.size("sb") - inter)).select("a", "b")
+    links = written(two.where(100 * inter >= percent * (F.size("sa") + F.size("sb") - inter)).select("a", "b"), "jaccard-links")
+    for table in (pairs, wanted, sets):
+        dropped(table)
+    return links
 
 
-def _members(met: DataFrame, tied: DataFrame, sized: bool = False) -> DataFrame:
-    """The nodes of every shared signature with their classes so far, and the classes' sizes."""
+def _members(met: DataFrame, nodes: DataFrame, tied: DataFrame, sized: bool = False) -> DataFrame:
+    """The nodes of every bucket with their set sizes, sketches and classes so far, and the classes' sizes."""
     named = tied.withColumnRenamed("component", "class")
     if sized:
         named = named.join(named.groupBy("class").agg(F.count("*").alias("size")), "class")
-    out = met.where("single IS NOT NULL").join(named, "node", "left")
-    return out.select("range", "single", "sig", "node", F.coalesce("class", "node").alias("class"),
+    out = met.join(nodes.select("node", "n", "sketch"), "node").join(named, "node", "left")
+    return out.select("range", F.lit(True).alias("single"), "sig", "node", "shared", "n", "sketch", F.coalesce("class", "node").alias("class"),
                       *[F.coalesce("size", F.lit(1)).alias("size")] * sized)
 
 
@@ -290,40 +279,40 @@ def _linked(d: DataFrame, size: int, percent: int, kinds: int = COMMON_KINDS) ->
     at = rows.where("node >= 0 AND doc_id IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
     total = rows.agg(F.count("*").alias("rows"), F.sum("n").alias("n")).first()
     texts = d.where("doc_id IS NOT NULL").select("doc_id", "text")
-    bits = buckets.range_bits((total["n"] or 0) * (100 - percent) // 100)
+    # prefixes are the least hashes of their sets: as few of the ranges are busy as of the shingles are in prefixes
+    bits = buckets.range_bits(total["n"] or 0)
     common = sc.broadcast(common_shingles(texts, size, percent, kinds, bits))
     index = written(_index(texts, size, percent, common, bits), "jaccard-index")
-    nodes = _unpacked(index)
-    met = written(buckets.meet(index), "jaccard-buckets")
-    merged = max(0, bits - buckets.range_bits(met.where("single IS NOT NULL").count(), size=MEMBERS))
+    found = written(buckets.meet(index), "jaccard-buckets")
+    met = written(found.where("single IS NOT NULL").groupBy("range", "sig", "node").agg(F.sum("shared").alias("shared")), "jaccard-members")
+    nodes = written(_unpacked(index, met.select("node").distinct()), "jaccard-nodes")
+    dropped(index)
+    merged = buckets.SET_BITS - buckets.range_bits(met.count(), size=MEMBERS)
 
     # near copies: each node with the hub that it meets most
-    stars = met.where("single IS NULL").groupBy(F.col("other").alias("b"), F.col("node").alias("a")).agg(F.sum("sig").alias("shared"))
+    stars = found.where("single IS NULL").groupBy(F.col("other").alias("b"), F.col("node").alias("a")).agg(F.sum("sig").alias("shared"))
     sized = (stars.join(nodes.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("rare").alias("ra")), "a")
              .join(nodes.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("rare").alias("rb")), "b"))
     alike = 100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")
     best = (sized.where(alike & (5 * F.col("shared") >= F.least("ra", "rb"))).groupBy("b")
             .agg(F.max_by("a", F.struct("shared", F.negate("a"))).alias("a")))
-    first = written(_verified(best, texts, at, size, percent, "jaccard-stars"), "jaccard-links")
-    def judged(pairs: DataFrame) -> DataFrame:
-        """The overlap is at most the shared prefix shingles and what lies behind one of the prefixes."""
-        both = (pairs.join(nodes.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("rare").alias("ra")), "a")
-                .join(nodes.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("rare").alias("rb")), "b"))
-        least = F.ceil(percent * (F.col("na") + F.col("nb")) / F.lit(100.0 + percent))
-        possible = F.col("shared") + F.greatest(F.col("na") - F.col("ra"), F.col("nb") - F.col("rb"))
-        return both.where(alike & (possible >= least))
-
-    # then each node with its best partner in a larger class
-    sketches = _sketches(nodes, met, percent)
-    second = buckets.across(_members(met, components(first), sized=True), best=True, sketches=sketches, merged=merged)
-    second = judged(second) if sketches is None else second
-    first = first.unionByName(written(_verified(second, texts, at, size, percent, "jaccard-second"), "jaccard-links"))
+    links = _verified(best, texts, at, size, percent, "jaccard-stars")
+    dropped(found)
 
-    # what is left: pairs across the classes so far
-    members = _members(met, components(first))
-    rest = _verified(judged(buckets.across(members, sketches=sketches, merged=merged)), texts, at, size, percent, "jaccard-rest")
+    # then each node with its nearest partner in a larger class
+    second = buckets.across(_members(met, nodes, components(links), sized=True), best=True, merged=merged, percent=percent)
+    links = links.unionByName(_verified(second, texts, at, size, percent, "jaccard-second"))
 
-    return rows, at, components(first.unionByName(rest))
+    # what is left: pairs across the classes so far
+    rest = (buckets.across(_members(met, nodes, components(links)), merged=merged, percent=percent)
+            .join(nodes.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("rare").alias("ra")), "a")
+            .join(nodes.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("rare").alias("rb")), "b"))
+    # the overlap is at most the shared prefix shingles and what lies behind one of the prefixes
+    least = F.ceil(percent * (F.col("na") + F.col("nb")) / F.lit(100.0 + percent))
+    rest = rest.where(alike & (F.col("shared") + F.greatest(F.col("na") - F.col("ra"), F.col("nb") - F.col("rb")) >= least))
+    links = links.unionByName(_verified(rest, texts, at, size, percent, "jaccard-rest"))
+
+    return rows, at, components(links)
 
 
 def keep_first(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", size: int = SHINGLE_WORDS, percent: int = PERCENT) -> DataFrame:
