@@ -23,6 +23,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tablesmith.llm.textarrays import caches
+
 VOCABULARY = "byte_bpe_50k.json"
 #: Words whose ids a worker remembers; a full memory is emptied, nothing else changes.
 MEMORY = 400_000
@@ -221,6 +223,7 @@ class Vocabulary:
 
 
 _loaded: dict[int, Vocabulary] = {}
+caches.append(_loaded)
 
 
 def loaded(spec: str, memory: int = MEMORY) -> Vocabulary:

@@ -24,7 +24,7 @@ MAX_PASSAGES = 64
 #: Labelled rows that the model is fitted on, about: a hash of the id picks them.
 FIT_ROWS = 4000
 THRESHOLD = 0.7
-#: Text that ``keep`` scores at once: its arrays take some 40 bytes for each of its bytes.
+#: Text that ``keep`` scores and ``fit`` encodes at once: its arrays take some 40 bytes for each of its bytes.
 KEEP_BYTES = 1 << 18
 HIDDEN, GATE = 24, 12
 _WORD_BINS = 32
@@ -169,10 +169,12 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", text_col
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(picked), "id").select("y", "text")
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        handed_back()  # what the stages of an earlier run kept
         for batch in batches:
-            for rows, data, offsets in slices(batch, "text"):
+            for rows, data, offsets in slices(batch, "text", KEEP_BYTES):
                 x, bounds = passages(data, offsets)
                 yield pa.RecordBatch.from_arrays([rows.column(0), pa.array([x[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:], strict=True)], pa.binary())], ["y", "x"])
+        handed_back()
 
     got = texts.mapInArrow(encode, "y double, x binary").toArrow()
     bags = [np.frombuffer(x, dtype=np.float32).reshape(-1, N_FEATURES) for x in got.column("x").to_pylist()]
@@ -209,6 +211,7 @@ def keep(docs: DataFrame, model: Model, text_col: str = "text", threshold: float
     known = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        handed_back()
         for batch in batches:
             for rows, data, offsets in slices(batch, text_col, KEEP_BYTES):
                 yield rows.filter(pa.array(scores(known.value, data, offsets) >= threshold))

@@ -38,8 +38,14 @@ def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers[0], _powers[1]
 
 
+#: What modules keep in a worker for the next task of their stage.
+caches: list[dict] = []
+
+
 def handed_back() -> None:
-    """Give freed memory and the power tables back to the system at a task's end: an idle worker keeps what it once took."""
+    """Give freed memory, the power tables and what other stages kept back to the system: an idle worker keeps what it once took."""
+    for kept in caches:
+        kept.clear()
     _powers[:] = [np.ones(1, dtype=np.uint64), np.ones(1, dtype=np.uint64)]
     pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only

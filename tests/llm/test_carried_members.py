@@ -8,7 +8,8 @@ import numpy as np
 from llm_data import frame, words
 from test_corpus import find, shingles
 
-from tablesmith.llm import buckets, jaccard
+from tablesmith.llm import bpe, buckets, jaccard
+from tablesmith.llm.textarrays import handed_back
 
 
 def template(n, length=120, places=12):
@@ -97,3 +98,20 @@ def test_a_template_gives_few_candidates(spark, monkeypatch):
     assert got == {i: find(parent, i) for i in sets}
     assert max(n for name, n in made.items() if name.endswith("candidates")) < 4 * len(rows)
     assert made["jaccard-members"] < made["jaccard-buckets"]
+
+
+def resident():
+    return int(re.search(r"VmRSS:\s+(\d+)", Path("/proc/self/status").read_text())[1]) << 10
+
+
+def test_another_stage_frees_the_vocabulary():
+    """A worker that has encoded brings no vocabulary into the next run's first stages, and builds it again when it must."""
+    spec = bpe.read_spec()
+    handed_back()
+    before = resident()
+    first = bpe.loaded(spec).encode("some words to encode")
+    taken = resident() - before
+    assert bpe._loaded
+    handed_back()
+    assert not bpe._loaded and resident() - before < taken // 2
+    assert bpe.loaded(spec).encode("some words to encode") == first
